@@ -80,11 +80,17 @@ def with_line(df: DataFrame, fit: DataFrame, x: str, by: Sequence[str] = (),
 # ----------------------------------------------------------------------
 
 
-def _chebyshev(z: Column, degree: int) -> list[Column]:
-    t = [F.lit(1.0), z]
-    for _ in range(2, degree + 1):
-        t.append(F.lit(2.0) * z * t[-1] - t[-2])
-    return t[: degree + 1]
+def _with_chebyshev(df: DataFrame, z: str, degree: int, prefix: str = "__t") -> DataFrame:
+    """Add T_0(z) .. T_degree(z) as columns.
+
+    Each term is its own column (the recurrence refers to the two before
+    it), so the optimizer keeps one evaluation per term instead of
+    expanding the recurrence into ever larger expressions.
+    """
+    df = df.withColumn(f"{prefix}0", F.lit(1.0)).withColumn(f"{prefix}1", F.col(z))
+    for k in range(2, degree + 1):
+        df = df.withColumn(f"{prefix}{k}", F.lit(2.0) * F.col(z) * F.col(f"{prefix}{k - 1}") - F.col(f"{prefix}{k - 2}"))
+    return df
 
 
 def _scaled(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
@@ -110,7 +116,8 @@ def polyfit(df: DataFrame, x: str, y: str, degree: int, by: Sequence[str] = ())
     if not by:
         raise ValueError("give at least one group column")
     pts = _scaled(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), x, by)
-    basis = _chebyshev(F.col("__z"), degree)
+    pts = _with_chebyshev(pts, "__z", degree)
+    basis = [F.col(f"__t{k}") for k in range(degree + 1)]
     yy = F.col(y).cast("double")
     sums = []
     for i in range(degree + 1):

@@ -1,9 +1,10 @@
 """Shared base frames for one session and one data folder.
 
-Every query of the catalog starts from these lazily built frames.  Three
+Every query of the catalog starts from these lazily built frames.  Four
 are persisted because many queries reuse them and each is far smaller
 than its input: the daily weather (stations x days), the classified
-comments without their text, and the city x day base aggregate.
+comments without their text, the city x day base aggregate and the
+monthly alignment.
 Persisted blocks lost with an executor are recomputed from lineage.
 """
 
@@ -142,5 +143,6 @@ class Workspace:
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return align.align_monthly(self.monthly_counts, self.monthly_prcp, self.params.monthly_rain,
-                                   by=["city"])
+        """Cities x months x classes: small, and read by every monthly query."""
+        return _keep(align.align_monthly(self.monthly_counts, self.monthly_prcp, self.params.monthly_rain,
+                                   by=["city"]))
