@@ -25,8 +25,9 @@ def _c(col: Column | str) -> Column:
 
 
 def reading_date(yyyymmdd: Column | str) -> Column:
-    """int yyyyMMdd -> date."""
-    return F.to_date(_c(yyyymmdd).cast("string"), "yyyyMMdd")
+    """int yyyyMMdd -> date; an impossible date gives NULL instead of
+    failing the job under ANSI mode."""
+    return F.call_function("try_to_date", _c(yyyymmdd).cast("string"), F.lit("yyyyMMdd"))
 
 
 def comment_date(epoch_seconds: Column | str) -> Column:

@@ -76,17 +76,29 @@ ROW_COLUMNS = ["station_id", "date", "year", "month", "day", "city", "TMAX", "TM
 def city_day_rows(weather: DataFrame, classified: DataFrame, how: str = "inner") -> DataFrame:
     """Row-level weather x comments on (date, city = community).
 
-    ``how='left'`` keeps stations without comments (NULL comment fields);
-    ``how='inner'`` followed by the NULL filter is what the analyses use.
-    Both sides are large here, so this is a shuffle join on (date, city);
-    adaptive execution splits a hot (city, date) key.
+    ``how='inner'`` drops incomplete rows afterwards (an explicit inner
+    join: the optimizer does not turn left-join-plus-NULL-filter into
+    one).  ``how='left'`` keeps station days without comments with NULL
+    comment fields; it is written as the inner join plus the station days
+    whose (city, date) has no comment at all (anti join against the
+    counted, broadcast set of comment keys).  Both sides of the inner join
+    are large, so it is a shuffle join on (date, city) in which adaptive
+    execution may split a hot (city, date) of either side; a plain left
+    outer join could only split the weather side.
     """
     w = weather.select("station_id", "date", "year", "month", "day", "city",
                        "TMAX", "TMIN", "TAVG", "T_label")
     c = classified.select(F.col("date").alias("c_date"), "subreddit", "body", "sentiment")
-    joined = w.join(c, (w["date"] == c["c_date"]) & (w["city"] == c["subreddit"]), how)
-    out = joined.select(*ROW_COLUMNS)
-    return out.dropna() if how == "inner" else out
+    joined = w.join(c, (w["date"] == c["c_date"]) & (w["city"] == c["subreddit"]), "inner").select(*ROW_COLUMNS)
+    if how == "inner":
+        return joined.dropna()
+    if how != "left":
+        raise ValueError("how must be 'inner' or 'left'")
+    keys = classified.select(F.col("subreddit").alias("city"), "date").distinct()
+    lonely = w.join(joins.bounded(keys), ["city", "date"], "left_anti")
+    lonely = lonely.select(*[F.col(x) if x in w.columns else F.lit(None).cast("string").alias(x)
+                             for x in ROW_COLUMNS])
+    return joined.unionByName(lonely)
 
 
 def city_day_counts(classified: DataFrame) -> DataFrame:

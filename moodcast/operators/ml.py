@@ -56,15 +56,21 @@ def hash_split(df: DataFrame, keys: Sequence[str], fraction: float = TRAIN_FRACT
 
 
 def prepared(weather: DataFrame, classified: DataFrame) -> DataFrame:
-    rows = forest_rows(weather, classified)
+    """Forest rows, indexed and assembled.  The joined rows are kept while
+    the two indexers are fitted (each fit is one pass over them)."""
+    rows = forest_rows(weather, classified).persist()
     rows = index_strings(rows, [("sentiment", "sentiment_index"), ("city", "city_index")])
     return assemble(rows)
 
 
 def train_forest(train: DataFrame, seed: int = 42, trees: int = FOREST_TREES,
                  depth: int = FOREST_DEPTH):
+    """Trees are grown level by level over the cached training rows; node
+    ids are cached per row and checkpointed to the shared checkpoint
+    folder every 10 levels, which cuts the lineage of deep trees."""
     rf = RandomForestClassifier(labelCol="sentiment_index", featuresCol="features",
-                                numTrees=trees, maxDepth=depth, seed=seed, maxBins=64)
+                                numTrees=trees, maxDepth=depth, seed=seed, maxBins=32,
+                                cacheNodeIds=True, checkpointInterval=10)
     return rf.fit(train)
 
 

@@ -1,11 +1,14 @@
 """Mann-Whitney U test between named pairs of samples.
 
-Rows collapse to a value histogram per sample first (bounded by the
-number of distinct values, whatever the row count), then each pair's
-histograms are merged and mid-ranks come from a running sum over the
-pair's distinct values.  U, the tie term and the normal approximation
-follow from one row per pair; small samples without ties take the exact
-distribution.
+Rows collapse to a value histogram per sample first (one row per
+distinct value, whatever the row count), then each pair's histograms are
+merged.  Mid-ranks need a running count over a pair's values in order;
+so that no pair is gathered into one task, the merged histogram is
+range-partitioned on (pair, value): each range partition computes its
+own running counts, and a running sum over the per-partition totals
+(a few rows per pair) gives each partition's offset.  U, the tie term
+and the normal approximation follow from one row per pair; small
+samples without ties take the exact distribution.
 """
 
 from __future__ import annotations
@@ -49,6 +52,26 @@ def _exact_p(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
                      dtype="float64")
 
 
+def midranks(merged: DataFrame, keys: list[str], value: str, parts: int) -> DataFrame:
+    """Add __t (copies of the value in the pair) and __mid (its mid-rank).
+
+    mid-rank = (copies of smaller values in the pair) + (__t + 1) / 2.
+    """
+    first = Window.unboundedPreceding
+    ranged = (merged.withColumn("__t", (F.col("n1") + F.col("n2")).cast("double"))
+              .repartitionByRange(max(parts, 1), *keys, value)
+              .withColumn("__pid", F.spark_partition_id()))
+    # per-range totals, then each range's offset within its pair
+    totals = ranged.groupBy(*keys, "__pid").agg(F.sum("__t").alias("__bt"))
+    offsets = totals.withColumn("__off", F.coalesce(F.sum("__bt").over(
+        Window.partitionBy(*keys).orderBy("__pid").rowsBetween(first, -1)), F.lit(0.0))).drop("__bt")
+    below = F.coalesce(F.sum("__t").over(
+        Window.partitionBy(*keys, "__pid").orderBy(value).rowsBetween(first, -1)), F.lit(0.0))
+    within = ranged.withColumn("__below", below)
+    out = within.join(joins.bounded(offsets), keys + ["__pid"])
+    return out.withColumn("__mid", F.col("__off") + F.col("__below") + (F.col("__t") + 1.0) / 2.0)
+
+
 def mann_whitney(df: DataFrame, group: str, value: str, pairs: Sequence[tuple[str, str]],
                  by: Sequence[str] = (), exact: bool = True) -> DataFrame:
     """by..., group1, group2, u_stat (for group1), p_value (two-sided)."""
@@ -64,10 +87,7 @@ def mann_whitney(df: DataFrame, group: str, value: str, pairs: Sequence[tuple[st
         *by, "pair", "group1", "group2", value, F.lit(0).cast("long").alias("n1"), F.col("__n").alias("n2"))
     keys = list(by) + ["pair", "group1", "group2"]
     merged = side1.unionByName(side2).groupBy(*keys, value).agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
-    t = (F.col("n1") + F.col("n2")).cast("double")
-    below = F.coalesce(F.sum(t).over(
-        Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    ranked = merged.withColumn("__t", t).withColumn("__mid", below + (F.col("__t") + 1.0) / 2.0)
+    ranked = midranks(merged, keys, value, parts=int(spark.conf.get("spark.sql.shuffle.partitions")))
     s = ranked.groupBy(*keys).agg(
         F.sum("n1").cast("double").alias("__n1"),
         F.sum("n2").cast("double").alias("__n2"),

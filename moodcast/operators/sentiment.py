@@ -180,14 +180,16 @@ def score_rules(df: DataFrame, lexicon: DataFrame, text: str = "body") -> DataFr
     """Add ``compound`` (rules mode) with an Arrow-batched pandas UDF.
 
     The lexicon is a small dimension: its size is checked before it is
-    collected and shipped inside the UDF closure.
+    collected, then sent once per executor as a broadcast variable.
     """
     if lexicon.limit(joins.MAX_BROADCAST_ROWS + 1).count() > joins.MAX_BROADCAST_ROWS:
         raise ValueError("lexicon too large to ship to the scoring tasks")
     lex = {r["token"]: float(r["valence"]) for r in lexicon.select("token", "valence").collect()}
+    shared = df.sparkSession.sparkContext.broadcast(lex)
 
     @F.pandas_udf(T.DoubleType())
     def _score(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: rule_valence(t, lex)).astype("float64")
+        table = shared.value
+        return texts.map(lambda t: rule_valence(t, table)).astype("float64")
 
     return df.withColumn("compound", _score(F.col(text)))

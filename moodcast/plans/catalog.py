@@ -33,7 +33,7 @@ from ..operators import (
     sentiment,
     weather,
 )
-from ..session import scratch_path
+from ..session import checkpoint_root, scratch_path
 from ..sources import files
 from . import sqlstats as S
 from .sqlbase import in_list, parts, q, slug_sql, with_base
@@ -687,7 +687,9 @@ def _forest(ws: Workspace):
     """Test rows with predictions; the model is trained once per workspace."""
     cached = ws.__dict__.get("_forest")
     if cached is None:
-        data = ml.prepared(ws.weather, ws.classified)
+        # indexer fits, split, training and scoring all read it: keep it
+        checkpoint_root(ws.spark)
+        data = ml.prepared(ws.weather, ws.classified).persist()
         train, test = ml.hash_split(data, ["station_id", "date", "comment_id"])
         model = ml.train_forest(train)
         cached = ws.__dict__["_forest"] = model.transform(test)
