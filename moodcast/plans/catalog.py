@@ -167,6 +167,20 @@ def partitioned_sink_comments(ws: Workspace) -> DataFrame:
     return files.read_partitioned(ws.spark, path)
 
 
+@query(
+    "streaming_ingest",
+    f"SELECT *, {slug_sql('subreddit')} AS slug FROM classified",
+    "S3 S10 P8 F2 V2 (stream)",
+)
+def streaming_ingest(ws: Workspace) -> DataFrame:
+    """Raw comments land as JSON files; a checkpointed file stream cleans,
+    classifies and writes them by city; the sink is read back."""
+    from ..streaming import run_ingest
+    src = files.write_json_gzip(ws.raw_comments, scratch_path(ws.spark, "comment-files"))
+    return run_ingest(ws.spark, src, ws.lexicon, scratch_path(ws.spark, "stream-sink"),
+                      scratch_path(ws.spark, "stream-checkpoint"))
+
+
 # ----------------------------------------------------------------------
 # Projections, filters, scalar functions
 # ----------------------------------------------------------------------
