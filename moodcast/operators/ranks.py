@@ -52,15 +52,30 @@ def _exact_p(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
                      dtype="float64")
 
 
-def midranks(merged: DataFrame, keys: list[str], value: str, parts: int) -> DataFrame:
+# Distinct (pair, value) rows up to which a pair is ranked in one window
+# task; above it the range-partitioned two-level running sum is used.
+ONE_TASK_MAX_ROWS = 1_000_000
+
+
+def midranks(merged: DataFrame, keys: list[str], value: str, parts: int,
+             one_task_max: int | None = None) -> DataFrame:
     """Add __t (copies of the value in the pair) and __mid (its mid-rank).
 
     mid-rank = (copies of smaller values in the pair) + (__t + 1) / 2.
+    The merged histogram is materialised and counted first: while it has
+    at most ``one_task_max`` rows in all, each pair is ranked by a single
+    window; beyond that no pair is gathered in one task.
     """
     first = Window.unboundedPreceding
-    ranged = (merged.withColumn("__t", (F.col("n1") + F.col("n2")).cast("double"))
-              .repartitionByRange(max(parts, 1), *keys, value)
-              .withColumn("__pid", F.spark_partition_id()))
+    limit = ONE_TASK_MAX_ROWS if one_task_max is None else one_task_max
+    hist = merged.withColumn("__t", (F.col("n1") + F.col("n2")).cast("double")).persist()
+    if hist.count() <= limit:
+        below = F.coalesce(F.sum("__t").over(
+            Window.partitionBy(*keys).orderBy(value).rowsBetween(first, -1)), F.lit(0.0))
+        return hist.withColumn("__mid", below + (F.col("__t") + 1.0) / 2.0)
+    ranged = (hist.repartitionByRange(max(parts, 1), *keys, value)
+              .withColumn("__pid", F.spark_partition_id())
+              .persist())
     # per-range totals, then each range's offset within its pair
     totals = ranged.groupBy(*keys, "__pid").agg(F.sum("__t").alias("__bt"))
     offsets = totals.withColumn("__off", F.coalesce(F.sum("__bt").over(

@@ -195,6 +195,17 @@ def test_histogram_matches_numpy(spark):
         assert [got[(k, i)] for i in range(10)] == list(ref)
 
 
+def test_mann_whitney_range_partitioned_path_agrees(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    groups = {"a": list(rng.normal(0, 1, 60).round(2)), "b": list(rng.normal(0.4, 1, 50).round(2))}
+    df = _frame(spark, groups)
+    small = ranks.mann_whitney(df, "g", "v", [("a", "b")]).first()
+    monkeypatch.setattr(ranks, "ONE_TASK_MAX_ROWS", 0)
+    big = ranks.mann_whitney(df, "g", "v", [("a", "b")]).first()
+    assert big.u_stat == small.u_stat == _u_brute(groups["a"], groups["b"])
+    assert big.p_value == pytest.approx(small.p_value, abs=1e-12)
+
+
 def test_results_do_not_depend_on_partitioning(spark):
     rng = np.random.default_rng(11)
     groups = {g: list(rng.integers(0, 20, 40)) for g in ("a", "b", "c")}
