@@ -42,6 +42,12 @@ HEADLINE = [
     "daily_count_histogram",
     "partitioned_sink_weather",
     "rf_accuracy",
+    "lines_chi2",
+    "lines_anova",
+    "lines_tukey",
+    "lines_linreg",
+    "lines_mannwhitney",
+    "lines_histogram",
 ]
 
 

@@ -48,8 +48,10 @@ def exact_two_sided(u: float, n1: int, n2: int) -> float:
 
 @F.pandas_udf(T.DoubleType())
 def _exact_p(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    return pd.Series([exact_two_sided(float(a), int(b), int(c)) for a, b, c in zip(u, n1, n2)],
-                     dtype="float64")
+    # Spark evaluates the UDF on every pair row, whatever the branch that
+    # uses it, so the size guard must be here as well.
+    return pd.Series([exact_two_sided(float(a), int(b), int(c)) if min(b, c) <= EXACT_MAX else None
+                      for a, b, c in zip(u, n1, n2)], dtype="float64")
 
 
 # Distinct (pair, value) rows up to which a pair is ranked in one window

@@ -646,6 +646,59 @@ def mannwhitney_pairs(ws: Workspace) -> DataFrame:
     return _round(ranks.mann_whitney(ws.class_daily, "sentiment", "count", MW_PAIRS), "u_stat", "p_value")
 
 
+# ----------------------------------------------------------------------
+# The same statistics over order lines (the largest provided table)
+# ----------------------------------------------------------------------
+
+LINE_FLAGS = ["A", "N", "R"]
+LINE_PAIRS = [("A", "N"), ("A", "R"), ("N", "R")]
+
+
+@query("lines_daily_counts",
+       "SELECT date, sentiment, count(*) AS count FROM lines GROUP BY date, sentiment", "A1")
+def lines_daily_counts(ws: Workspace) -> DataFrame:
+    return align.class_counts(ws.lines, ["date", "sentiment"])
+
+
+@query("lines_contingency_2x3", S.pivot_sql("SELECT * FROM lines", "status", "sentiment", LINE_FLAGS, None), "A10")
+def lines_contingency_2x3(ws: Workspace) -> DataFrame:
+    return contingency.pivot(ws.lines, "status", "sentiment", LINE_FLAGS)
+
+
+@query("lines_chi2", S.chi2_sql(S.cells_sql("SELECT * FROM lines", "status", "sentiment", LINE_FLAGS, None),
+                                "status", "sentiment"), "T5")
+def lines_chi2(ws: Workspace) -> DataFrame:
+    cells = contingency.cells(ws.lines, "status", "sentiment", LINE_FLAGS)
+    return _round(contingency.chi2_test(cells, "status", "sentiment"), "chi2", "p_value")
+
+
+@query("lines_anova", S.anova_sql("SELECT sentiment AS grp, quantity FROM lines", "grp", "quantity"), "T7")
+def lines_anova(ws: Workspace) -> DataFrame:
+    df = ws.lines.select(F.col("sentiment").alias("grp"), "quantity")
+    return _round(anova.one_way_anova(df, "grp", "quantity"), "f_stat", "p_value")
+
+
+@query("lines_tukey", None, "T9")
+def lines_tukey(ws: Workspace) -> DataFrame:
+    df = ws.lines.select(F.col("sentiment").alias("grp"), "quantity")
+    return _round(anova.tukey_hsd(df, "grp", "quantity"), "meandiff", "p_adj", "lower", "upper")
+
+
+@query("lines_linreg", S.linreg_out("SELECT * FROM lines", "quantity", "price", ["sentiment"]), "T1")
+def lines_linreg(ws: Workspace) -> DataFrame:
+    return _lin(ws.lines, "quantity", "price", ["sentiment"])
+
+
+@query("lines_mannwhitney", S.mannwhitney_sql("SELECT * FROM lines", "sentiment", "price", LINE_PAIRS), "T6")
+def lines_mannwhitney(ws: Workspace) -> DataFrame:
+    return _round(ranks.mann_whitney(ws.lines, "sentiment", "price", LINE_PAIRS), "u_stat", "p_value")
+
+
+@query("lines_histogram", S.histogram_sql("SELECT * FROM lines", "sentiment", "discount"), "A12")
+def lines_histogram(ws: Workspace) -> DataFrame:
+    return _round(histogram.shared_histogram(ws.lines, "sentiment", "discount", 10), "bin_lo", "bin_hi")
+
+
 # ----------------------------------------------------------------------
 # Machine learning
 # ----------------------------------------------------------------------

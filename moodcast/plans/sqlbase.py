@@ -155,6 +155,10 @@ monthly_prcp AS (
         FROM orders) o
   WHERE PRCP IS NOT NULL
   GROUP BY city, year, month),
+lines AS (
+  SELECT l_returnflag AS sentiment, l_linestatus AS status, CAST(l_shipdate AS DATE) AS date,
+         l_quantity AS quantity, l_discount AS discount, l_extendedprice AS price
+  FROM lineitem),
 monthly AS (
   SELECT c.city, c.year, c.month, c.sentiment, c.count, m.prcp_mm,
          coalesce(m.prcp_mm > {p.monthly_rain}, false) AS has_rain

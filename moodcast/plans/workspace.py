@@ -44,7 +44,9 @@ _CACHE: dict[tuple[int, str], Workspace] = {}
 def workspace(spark: SparkSession, sf_dir: str, params: Params = TESTDATA) -> Workspace:
     key = (id(spark), sf_dir.rstrip("/"))
     ws = _CACHE.get(key)
-    if ws is None or ws.spark is not spark or ws.params != params:
+    stale = ws is not None and (ws.spark is not spark or ws.sc is not spark.sparkContext
+                                or ws.sc._jsc is None or ws.params != params)
+    if ws is None or stale:
         ws = Workspace(spark, sf_dir.rstrip("/"), params)
         _CACHE[key] = ws
     return ws
@@ -57,6 +59,7 @@ def _keep(df: DataFrame) -> DataFrame:
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params):
         self.spark = spark
+        self.sc = spark.sparkContext
         self.sf_dir = sf_dir
         self.params = params
 
@@ -128,6 +131,11 @@ class Workspace:
     def temp_points(self) -> DataFrame:
         return align.temp_class_counts(self.base)
 
+    # -- order lines as a larger sample table ---------------------------
+    @cached_property
+    def lines(self) -> DataFrame:
+        return testdata.order_lines(self.spark, self.sf_dir)
+
     # -- monthly -------------------------------------------------------
     @cached_property
     def line_classes(self) -> DataFrame:

@@ -143,3 +143,17 @@ def order_rain(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.month(d).alias("month"),
         (F.col("o_totalprice") / ORDER_RAIN_DIVISOR).alias("PRCP"),
     )
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as a larger sample table for the same statistics:
+    class = return flag, flag = line status, day = ship date."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_returnflag").alias("sentiment"),
+        F.col("l_linestatus").alias("status"),
+        F.to_date("l_shipdate").alias("date"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_discount").alias("discount"),
+        F.col("l_extendedprice").alias("price"),
+    )
