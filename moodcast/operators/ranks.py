@@ -56,7 +56,7 @@ def _exact_p(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
 
 # Distinct (pair, value) rows up to which a pair is ranked in one window
 # task; above it the range-partitioned two-level running sum is used.
-ONE_TASK_MAX_ROWS = 1_000_000
+ONE_TASK_MAX_ROWS = 100_000
 
 
 def midranks(merged: DataFrame, keys: list[str], value: str, parts: int,

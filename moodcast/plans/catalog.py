@@ -725,11 +725,22 @@ def string_index(ws: Workspace) -> DataFrame:
     return a.unionByName(b)
 
 
-@query("feature_vector", None, "L2")
+def _feature_sql() -> str:
+    def idx(col: str) -> str:
+        return (f"SELECT value AS {col}, CAST(row_number() OVER (ORDER BY n DESC, value) - 1 AS DOUBLE) AS {col}_index "
+                f"FROM (SELECT {col} AS value, count(*) AS n FROM ({FOREST_SQL}) f GROUP BY {col}) g")
+    return (f"SELECT f.station_id, f.date, f.comment_id, "
+            f"list_transform([c.city_index, f.PRCP, f.SNOW, f.TMAX, f.TMIN, f.TAVG], lambda v: round(v, 6)) "
+            f"AS features, s.sentiment_index "
+            f"FROM ({FOREST_SQL}) f JOIN ({idx('city')}) c ON f.city = c.city "
+            f"JOIN ({idx('sentiment')}) s ON f.sentiment = s.sentiment")
+
+
+@query("feature_vector", _feature_sql(), "L2")
 def feature_vector(ws: Workspace) -> DataFrame:
     data = ml.prepared(ws.weather, ws.classified)
-    return data.select("station_id", "date", "comment_id", vector_to_array("features").alias("features"),
-                       "sentiment_index")
+    arr = F.transform(vector_to_array("features"), lambda v: F.round(v, 6))
+    return data.select("station_id", "date", "comment_id", arr.alias("features"), "sentiment_index")
 
 
 def _bucket_sql() -> str:
