@@ -92,26 +92,33 @@ def station_lookup(readings_df: DataFrame) -> DataFrame:
             .select("station_id", city_of(F.col("station_id").cast("bigint")).alias("city")))
 
 
-def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comment records: id, community, epoch seconds as a string, body.
-
-    Document ``d`` takes its time and city from event
-    ``(d * 7919) mod n_events``; ``n_events`` is a scalar subquery.
-    """
+def comment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """comment_id, body and the event that gives the comment its time and
+    city: ``(doc_id * 7919) mod n_events``, with ``n_events`` a scalar
+    subquery."""
     docs = table(spark, sf_dir, "documents")
-    ev = table(spark, sf_dir, "events")
-    n_events = ev.select(F.count(F.lit(1))).scalar()
-    keyed = docs.select(
+    n_events = table(spark, sf_dir, "events").select(F.count(F.lit(1))).scalar()
+    return docs.select(
         F.col("doc_id").alias("comment_id"),
         F.col("text").alias("body"),
         F.pmod(F.col("doc_id") * DOC_EVENT_STRIDE, n_events).alias("event_id"),
     )
-    events = ev.select(
+
+
+def comment_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id, community and epoch seconds (as a string) of each event."""
+    return table(spark, sf_dir, "events").select(
         "event_id",
         city_of("user_id").alias("subreddit"),
         F.unix_seconds(F.col("ts").cast("timestamp")).cast("string").alias("created_utc"),
     )
-    return keyed.join(events, "event_id").select("comment_id", "subreddit", "created_utc", "body")
+
+
+def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comment records: id, community, epoch seconds as a string, body."""
+    keyed = comment_texts(spark, sf_dir)
+    return keyed.join(comment_meta(spark, sf_dir), "event_id").select(
+        "comment_id", "subreddit", "created_utc", "body")
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
