@@ -149,7 +149,7 @@ def histogram_sql(src: str, series: str, value: str, bins: int = 10) -> str:
               + ", ".join(f"count_if(g = {i}) AS b{i}" for i in range(bins))
               + f" FROM ({g}) c GROUP BY series")
     parts = [f"SELECT series AS {series}, {i} AS bin, {edge(str(i))} AS bin_lo, {edge(str(i + 1))} AS bin_hi, "
-             f"b{i} AS count FROM ({counts}) k" for i in range(bins)]
+             f"CAST(b{i} AS BIGINT) AS count FROM ({counts}) k" for i in range(bins)]
     body = " UNION ALL ".join(parts)
     return (f"SELECT {series}, bin, round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi, count "
             f"FROM ({body}) h")
