@@ -295,8 +295,10 @@ def daily_snow(ws: Workspace) -> DataFrame:
 )
 def daily_rain_sorted(ws: Workspace) -> DataFrame:
     """The aligned rows in (year, month, day, class) order: a range-partitioned
-    distributed sort, kept apart so analyses that only aggregate skip it."""
-    return daily_rain(ws).orderBy("year", "month", "day", "sentiment")
+    distributed sort, kept apart so analyses that only aggregate skip it.
+    The station is a tie-breaker, so the rows of one busy day can be spread
+    over several range partitions (equal sort keys cannot be split)."""
+    return daily_rain(ws).orderBy("year", "month", "day", "sentiment", "station_id")
 
 
 @query("monthly_class_counts", "SELECT * FROM monthly_counts", "A2")
@@ -344,8 +346,13 @@ def aligned_city_day(ws: Workspace) -> DataFrame:
     "O2",
 )
 def aligned_sorted(ws: Workspace) -> DataFrame:
-    """Joined rows ordered by (year, month, day) ascending, as a distributed sort."""
-    return aligned_city_day(ws).orderBy(F.col("year").asc(), F.col("month").asc(), F.col("day").asc())
+    """Joined rows ordered by (year, month, day) ascending, as a distributed sort.
+
+    Tie-breakers after the requested keys (city, station, a hash of the
+    text) keep the order and let the range partitioner split a day that
+    holds a large share of the rows."""
+    return aligned_city_day(ws).orderBy(F.col("year").asc(), F.col("month").asc(), F.col("day").asc(),
+                                        "city", "station_id", F.xxhash64("body"))
 
 
 @query(
