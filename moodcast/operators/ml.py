@@ -29,10 +29,20 @@ def forest_rows(weather: DataFrame, classified: DataFrame) -> DataFrame:
     return j.select("station_id", "date", "comment_id", "city", *MEASURES, "sentiment")
 
 
-def index_strings(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
-    """StringIndexer per (input, output): most frequent value -> 0.0, ties by name."""
+def index_strings(df: DataFrame, columns: Sequence[tuple[str, str]], fit_on: DataFrame | None = None,
+                  handle_invalid: str = "error") -> DataFrame:
+    """StringIndexer per (input, output): most frequent value -> 0.0, ties by name.
+
+    By default each indexer is fitted on ``df`` itself (every value is
+    known).  ``fit_on`` fits on another frame, e.g. the training part,
+    with ``handle_invalid='keep'`` giving unseen values their own index.
+    """
     for src, dst in columns:
-        df = StringIndexer(inputCol=src, outputCol=dst).fit(df).transform(df)
+        model = StringIndexer(inputCol=src, outputCol=dst, handleInvalid=handle_invalid).fit(
+            df if fit_on is None else fit_on)
+        df = model.transform(df)
+        if fit_on is not None:
+            fit_on = model.transform(fit_on)
     return df
 
 
@@ -55,6 +65,14 @@ def hash_split(df: DataFrame, keys: Sequence[str], fraction: float = TRAIN_FRACT
             b.where(F.col("__bucket") >= cut).drop("__bucket"))
 
 
+def random_split(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = 42
+                 ) -> tuple[DataFrame, DataFrame]:
+    """Seeded ``randomSplit``; reproducible only while the input partitioning
+    stays the same, unlike ``hash_split``."""
+    train, test = df.randomSplit([fraction, 1.0 - fraction], seed=seed)
+    return train, test
+
+
 def prepared(weather: DataFrame, classified: DataFrame) -> DataFrame:
     """Forest rows, indexed and assembled.  The joined rows are kept while
     the two indexers are fitted (each fit is one pass over them)."""

@@ -8,6 +8,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from moodcast.functions.studentized import qtukey, tukey_sf
 from moodcast.operators import anova, contingency, histogram, ranks, regression
 
@@ -216,3 +218,35 @@ def test_results_do_not_depend_on_partitioning(spark):
     u1 = ranks.mann_whitney(df, "g", "v", [("a", "b")]).first()
     u2 = ranks.mann_whitney(df.repartition(5), "g", "v", [("a", "b")]).first()
     assert u1.u_stat == u2.u_stat and u1.p_value == pytest.approx(u2.p_value)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(-20, 20), st.integers(-50, 50)), min_size=3, max_size=25))
+def test_regression_residuals_sum_to_zero_and_p_in_range(spark, pts):
+    if len({x for x, _ in pts}) < 2:
+        return
+    df = spark.createDataFrame([("g", float(x), float(y)) for x, y in pts], "g string, x double, y double")
+    fit = regression.linregress(df, "x", "y", ["g"]).first()
+    resid = sum(y - (fit.slope * x + fit.intercept) for x, y in pts)
+    assert abs(resid) < 1e-8 * max(1.0, sum(abs(y) for _, y in pts))
+    assert 0.0 <= fit.p_value <= 1.0
+
+
+def test_split_options(spark):
+    from moodcast.operators import ml
+    df = spark.range(2000).withColumn("k", F.col("id") * 7)
+    a, b = ml.hash_split(df, ["k"])
+    a2, _ = ml.hash_split(df.repartition(5), ["k"])
+    assert a.count() + b.count() == 2000
+    assert sorted(r.id for r in a.collect()) == sorted(r.id for r in a2.collect())
+    r1, r2 = ml.random_split(df)
+    assert r1.count() + r2.count() == 2000
+    assert 1300 < r1.count() < 1700
+
+
+def test_indexer_fitted_on_train_keeps_unseen(spark):
+    from moodcast.operators import ml
+    df = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "v string")
+    train = df.where(F.col("v") != "c")
+    out = {r.v: r.i for r in ml.index_strings(df, [("v", "i")], fit_on=train, handle_invalid="keep").collect()}
+    assert out == {"a": 0.0, "b": 1.0, "c": 2.0}
