@@ -3,19 +3,16 @@
 Linear: central moments (``covar_pop``, ``var_pop``, ``avg``) per group in
 one pass; slope, intercept, r, the two-sided p and standard errors follow
 from one row per group.  Polynomial: per-group sums of products of a
-Chebyshev basis on the group's x range, then a (d+1) x (d+1) solve per
-group on the driver-free one-row-per-group table.
+Chebyshev basis on the group's x range, then a (d+1) x (d+1) solve as
+column arithmetic on the one-row-per-group table.  No Python is involved.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import special
 from . import joins
@@ -87,9 +84,9 @@ def _with_chebyshev(df: DataFrame, z: str, degree: int, prefix: str = "__t") ->
     it), so the optimizer keeps one evaluation per term instead of
     expanding the recurrence into ever larger expressions.
     """
-    df = df.withColumn(f"{prefix}0", F.lit(1.0)).withColumn(f"{prefix}1", F.col(z))
+    df = df.selectExpr("*", f"1.0D AS {prefix}0", f"{z} AS {prefix}1")
     for k in range(2, degree + 1):
-        df = df.withColumn(f"{prefix}{k}", F.lit(2.0) * F.col(z) * F.col(f"{prefix}{k - 1}") - F.col(f"{prefix}{k - 2}"))
+        df = df.selectExpr("*", f"2.0D * {z} * {prefix}{k - 1} - {prefix}{k - 2} AS {prefix}{k}")
     return df
 
 
@@ -103,58 +100,62 @@ def _scaled(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
     return j.withColumn("__z", z)
 
 
+# Pivots below this fraction of the largest diagonal entry of the Gram
+# matrix count as zero: that basis term is redundant for the group.
+PIVOT_TOL = 1e-11
+
+
+def solve_normal_equations(stats: DataFrame, degree: int, keep: Sequence[str]) -> DataFrame:
+    """Solve G c = h per row, G symmetric positive semi-definite.
+
+    ``stats`` holds __g{i}_{j} (i <= j) and __h{i}.  Gaussian elimination
+    without row exchanges (stable for such matrices) on the augmented
+    matrix held as an array of rows, as two higher-order expressions (one
+    fold for the elimination, one for back substitution), so the plan
+    stays two projections whatever the degree.  A pivot below
+    PIVOT_TOL x max diag marks a redundant term: its coefficient is 0,
+    which still gives a least-squares solution, so fitted values at the
+    data points are the least-squares projection in every case.
+    Returns keep..., rank, coef.
+    """
+    d = degree
+    diag = ", ".join(f"__g{i}_{i}" for i in range(d + 1))
+    tol = f"{PIVOT_TOL!r} * greatest({diag}, 0.0D)"
+    rows = ", ".join(
+        "array(" + ", ".join([f"__g{min(i, j)}_{max(i, j)}" for j in range(d + 1)] + [f"__h{i}"]) + ")"
+        for i in range(d + 1))
+    eliminate = (f"aggregate(sequence(0, {max(d - 1, 0)}), array({rows}), (m, k) -> "
+                 f"IF(k >= {d}, m, transform(m, (r, i) -> IF(i > k AND m[k][k] > __tol, "
+                 f"transform(r, (v, j) -> v - r[k] / m[k][k] * m[k][j]), r))))")
+    back = (f"aggregate(sequence({d}, 0, -1), array_repeat(0.0D, {d + 1}), (c, i) -> "
+            f"transform(c, (cv, t) -> IF(t = i, IF(__m[i][i] > __tol, "
+            f"(__m[i][{d + 1}] - aggregate(sequence(0, {d}), 0.0D, (s, j) -> s + IF(j > i, __m[i][j] * c[j], 0.0D)))"
+            f" / __m[i][i], 0.0D), cv)))")
+    rank = f"size(filter(sequence(0, {d}), i -> __m[i][i] > __tol))"
+    cur = stats.selectExpr(*keep, f"{tol} AS __tol", f"{eliminate} AS __m")
+    return cur.selectExpr(*keep, f"CAST({rank} AS INT) AS rank", f"{back} AS coef")
+
+
 def polyfit(df: DataFrame, x: str, y: str, degree: int, by: Sequence[str] = ()) -> DataFrame:
     """Least-squares polynomial of ``y`` on ``x`` per group.
 
     Returns by..., n, rank, lo, hi, coef (Chebyshev coefficients on
     [lo, hi]).  One aggregate collects the (d+1)(d+2)/2 + (d+1) sums of
-    basis products; the solve runs per group on that one row.  When the
-    group has fewer distinct x than d + 1 the system is rank deficient
-    and the minimum-norm solution is taken; fitted values at the data
-    points are the least-squares projection either way.
+    basis products; the solve is column arithmetic on that one row per
+    group (``solve_normal_equations``), so the whole fit stays in the JVM.
     """
     if not by:
         raise ValueError("give at least one group column")
     pts = _scaled(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), x, by)
     pts = _with_chebyshev(pts, "__z", degree)
-    basis = [F.col(f"__t{k}") for k in range(degree + 1)]
-    yy = F.col(y).cast("double")
     sums = []
     for i in range(degree + 1):
         for j in range(i, degree + 1):
-            sums.append(F.sum(basis[i] * basis[j]).alias(f"__g{i}_{j}"))
-        sums.append(F.sum(basis[i] * yy).alias(f"__h{i}"))
+            sums.append(F.expr(f"sum(__t{i} * __t{j}) AS __g{i}_{j}"))
+        sums.append(F.expr(f"sum(__t{i} * CAST(`{y}` AS DOUBLE)) AS __h{i}"))
     stats = pts.groupBy(*by, "__lo", "__hi").agg(F.count(F.lit(1)).alias("n"), *sums)
-
-    d = degree
-    key_fields = [f for f in stats.schema.fields if f.name in by]
-    schema = T.StructType(key_fields + [
-        T.StructField("n", T.LongType()),
-        T.StructField("rank", T.IntegerType()),
-        T.StructField("lo", T.DoubleType()),
-        T.StructField("hi", T.DoubleType()),
-        T.StructField("coef", T.ArrayType(T.DoubleType())),
-    ])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, r in pdf.iterrows():
-            g = np.zeros((d + 1, d + 1))
-            h = np.zeros(d + 1)
-            for i in range(d + 1):
-                h[i] = r[f"__h{i}"]
-                for j in range(i, d + 1):
-                    g[i, j] = g[j, i] = r[f"__g{i}_{j}"]
-            w, v = np.linalg.eigh(g)
-            keep = w > max(w.max(), 0.0) * 1e-11
-            coef = v[:, keep] @ ((v[:, keep].T @ h) / w[keep])
-            row = {k: r[k] for k in by}
-            row.update(n=int(r["n"]), rank=int(keep.sum()), lo=float(r["__lo"]), hi=float(r["__hi"]),
-                       coef=[float(c) for c in coef])
-            rows.append(row)
-        return pd.DataFrame(rows, columns=[f.name for f in schema.fields])
-
-    return stats.groupBy(*by).applyInPandas(solve, schema)
+    solved = solve_normal_equations(stats, degree, [*by, "n", "__lo", "__hi"])
+    return solved.select(*by, "n", "rank", F.col("__lo").alias("lo"), F.col("__hi").alias("hi"), "coef")
 
 
 def with_poly(df: DataFrame, fit: DataFrame, x: str, degree: int, by: Sequence[str] = (),
@@ -167,11 +168,8 @@ def with_poly(df: DataFrame, fit: DataFrame, x: str, degree: int, by: Sequence[s
     width = F.col("__hi") - F.col("__lo")
     j = j.withColumn("__z", F.when(width > 0, (F.lit(2.0) * F.col(x) - F.col("__lo") - F.col("__hi")) / width)
                      .otherwise(F.lit(0.0)))
-    z = F.col("__z")
-    b1, b2 = F.lit(0.0), F.lit(0.0)
+    j = j.selectExpr("*", "0.0D AS __q" + str(degree + 2), "0.0D AS __q" + str(degree + 1))
     for k in range(degree, 0, -1):
-        j = j.withColumn("__b", F.col("__c")[k] + F.lit(2.0) * z * b1 - b2)
-        j = j.withColumn(f"__b{k}", F.col("__b"))
-        b2, b1 = b1, F.col(f"__b{k}")
-    j = j.withColumn(out, F.col("__c")[0] + z * b1 - b2)
-    return j.drop("__lo", "__hi", "__c", "__z", "__b", *[f"__b{k}" for k in range(1, degree + 1)])
+        j = j.selectExpr("*", f"__c[{k}] + 2.0D * __z * __q{k + 1} - __q{k + 2} AS __q{k}")
+    j = j.selectExpr("*", f"__c[0] + __z * __q1 - __q2 AS `{out}`")
+    return j.drop("__lo", "__hi", "__c", "__z", *[f"__q{k}" for k in range(1, degree + 3)])

@@ -579,7 +579,19 @@ def rain_loglog_series(ws: Workspace) -> DataFrame:
                     "lin_predict")
 
 
-@query("polyfit4_temp", None, "T3 T11 P14")
+def _poly_sql(src: str, x: str, y: str, degree: int, by: list[str], rest: list[str]) -> str:
+    keep = by + rest + [x, y]
+    poly = S.polyfit_sql(src, x, y, degree, by, keep)
+    fit = S.linreg_sql(src, x, y, by)
+    on = " AND ".join(f"p.{b} = f.{b}" for b in by)
+    cols = ", ".join(f"p.{c}" for c in by + rest)
+    return (f"SELECT {cols}, round(p.{x}, 6) AS {x}, p.{y}, round(f.slope * p.{x} + f.intercept, 6) AS lin_predict, "
+            f"p.poly_predict FROM ({poly}) p LEFT JOIN ({fit}) f ON {on}")
+
+
+@query("polyfit4_temp",
+       _poly_sql("SELECT * FROM temp_points", "TAVG", "count", 4, ["T_label", "sentiment"], ["subreddit"]),
+       "T3 T11 P14")
 def polyfit4_temp(ws: Workspace) -> DataFrame:
     by = ["T_label", "sentiment"]
     pts = ws.temp_points.withColumn("TAVG", F.col("TAVG").cast("double")).withColumn("count", F.col("count").cast("long"))
@@ -589,7 +601,9 @@ def polyfit4_temp(ws: Workspace) -> DataFrame:
     return _round(out, "TAVG", "lin_predict", "poly_predict")
 
 
-@query("polyfit11_monthly", None, "T4 T2")
+@query("polyfit11_monthly",
+       _poly_sql("SELECT * FROM monthly", "prcp_mm", "count", 11, ["city", "sentiment"], ["year", "month"]),
+       "T4 T2")
 def polyfit11_monthly(ws: Workspace) -> DataFrame:
     by = ["city", "sentiment"]
     pts = ws.monthly.select("city", "sentiment", "year", "month", "prcp_mm", "count")
