@@ -36,6 +36,7 @@ from ..operators import (
 from ..session import checkpoint_root, scratch_path
 from ..sources import files
 from . import sqlstats as S
+from . import sqltukey as T
 from .sqlbase import in_list, parts, q, slug_sql, with_base
 from .workspace import TESTDATA, Workspace
 
@@ -654,7 +655,7 @@ def _register_tests():
             return _round(anova.tukey_hsd(_samples(ws, _n), "grp", "count"), "meandiff", "p_adj", "lower", "upper")
 
         query(f"anova_{name}", S.anova_sql(_samples_sql(name), "grp", "count"), covers_a)(build_anova)
-        query(f"tukey_{name}", None, covers_t)(build_tukey)
+        query(f"tukey_{name}", T.tukey_sql(_samples_sql(name), "grp", "count"), covers_t)(build_tukey)
 
 
 _register_tests()
@@ -699,7 +700,7 @@ def lines_anova(ws: Workspace) -> DataFrame:
     return _round(anova.one_way_anova(df, "grp", "quantity"), "f_stat", "p_value")
 
 
-@query("lines_tukey", None, "T9")
+@query("lines_tukey", T.tukey_sql("SELECT sentiment AS grp, quantity FROM lines", "grp", "quantity"), "T9")
 def lines_tukey(ws: Workspace) -> DataFrame:
     df = ws.lines.select(F.col("sentiment").alias("grp"), "quantity")
     return _round(anova.tukey_hsd(df, "grp", "quantity"), "meandiff", "p_adj", "lower", "upper")
