@@ -9,22 +9,23 @@ Two modes:
   larger lexicon is joined to the exploded words by a counted broadcast
   and summed per text id.
 * ``rules``: the valence rules of the published method (boosters,
-  negation, capitals, exclamation and question marks, "but") in an
-  Arrow-batched pandas UDF; the lexicon dict is shipped once per task.
+  negation, capitals, exclamation and question marks, "but") as one SQL
+  expression of higher-order functions; an Arrow-batched pandas UDF with
+  a broadcast dict takes over for lexicons too large for a map literal.
 """
 
 from __future__ import annotations
 
 import math
-import re
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import COMPOUND_ALPHA, COMPOUND_DECIMALS
-from ..functions import class_of_compound, tokens
+from ..functions import class_of_compound, rules, special, tokens
 from . import joins
 
 MAP_LOOKUP_MAX = 256
@@ -72,77 +73,29 @@ def classify(df: DataFrame, lexicon: DataFrame, text: str = "body", mode: str =
 # Rules mode.
 # ----------------------------------------------------------------------
 
-# Fixed values of the published rule set (Hutto & Gilbert, ICWSM 2014):
-# booster increment, capitals increment, negation scalar, punctuation
-# weights, and the booster damping at distance 2 and 3.
-B_INCR = 0.293
-B_DECR = -0.293
-C_INCR = 0.733
-N_SCALAR = -0.74
-EXCLAIM_WEIGHT = 0.292
-EXCLAIM_MAX = 4
-QUESTION_WEIGHT = 0.18
-QUESTION_MAX_WEIGHT = 0.96
-BOOSTER_DAMPING = (1.0, 0.95, 0.9)
-BUT_BEFORE = 0.5
-BUT_AFTER = 1.5
-
-# Negation words and intensity modifiers (a subset of the
-# published lists, English).
-NEGATIONS = [
-    "aint", "arent", "cannot", "cant", "couldnt", "darent", "didnt", "doesnt",
-    "dont", "hadnt", "hasnt", "havent", "isnt", "mightnt", "mustnt", "neither",
-    "never", "none", "nope", "nor", "not", "nothing", "nowhere", "oughtnt",
-    "shant", "shouldnt", "wasnt", "werent", "without", "wont", "wouldnt",
-    "rarely", "seldom", "despite",
-]
-BOOSTERS_UP = [
-    "absolutely", "amazingly", "awfully", "completely", "considerably",
-    "decidedly", "deeply", "enormously", "entirely", "especially",
-    "exceptionally", "extremely", "fabulously", "greatly", "highly",
-    "hugely", "incredibly", "intensely", "majorly", "more", "most",
-    "particularly", "purely", "quite", "really", "remarkably", "so",
-    "substantially", "thoroughly", "totally", "tremendously", "uber",
-    "unbelievably", "unusually", "utterly", "very",
-]
-BOOSTERS_DOWN = [
-    "almost", "barely", "hardly", "kind of", "kinda", "less", "little",
-    "marginally", "occasionally", "partly", "scarcely", "slightly",
-    "somewhat", "sort of", "sorta",
-]
-
-_WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?", re.UNICODE)
-
-
-def _booster_scalar(word: str, valence: float, mixed_case: bool) -> float:
-    low = word.lower()
-    if low in _UP:
-        scalar = B_INCR
-    elif low in _DOWN:
-        scalar = B_DECR
-    else:
-        return 0.0
-    if valence < 0:
-        scalar = -scalar
-    if mixed_case and word.isupper():
-        scalar += C_INCR if valence > 0 else -C_INCR
-    return scalar
+_WORD = regex.compile(rules.WORD_PATTERN)
+_UP = set(rules.BOOSTERS_UP)
+_DOWN = set(rules.BOOSTERS_DOWN)
+_NEG = set(rules.NEGATIONS)
 
 
-_UP = set(BOOSTERS_UP)
-_DOWN = set(BOOSTERS_DOWN)
-_NEG = set(NEGATIONS)
+def _isupper(w: str) -> bool:
+    return w.upper() == w and w.lower() != w
 
 
 def rule_valence(text: str | None, lex: dict[str, float]) -> float:
-    """Compound score of one text under the rule set (plain Python)."""
+    """Compound score of one text under the rule set (plain Python).
+
+    The reference for ``functions.rules.compound_sql`` (tests) and the
+    scorer of the UDF path used for lexicons too large for a map literal.
+    """
     if text is None:
         return 0.0
     words = _WORD.findall(text)
     if not words:
         return 0.0
-    n_upper = sum(1 for w in words if w.isupper())
-    mixed_case = 0 < n_upper < len(words)
+    n_upper = sum(1 for w in words if _isupper(w))
+    mixed = 0 < n_upper < len(words)
     lows = [w.lower().replace("'", "") for w in words]
     vals = []
     for i, (word, low) in enumerate(zip(words, lows)):
@@ -150,42 +103,56 @@ def rule_valence(text: str | None, lex: dict[str, float]) -> float:
         if v is None or low in _UP or low in _DOWN:
             vals.append(0.0)
             continue
-        if mixed_case and word.isupper():
-            v += C_INCR if v > 0 else -C_INCR
+        if mixed and _isupper(word):
+            v += rules.C_INCR if v > 0 else -rules.C_INCR
         for dist in (1, 2, 3):
             j = i - dist
             if j < 0:
                 break
             if lows[j] not in lex:
-                b = _booster_scalar(words[j], v, mixed_case)
-                v += b * BOOSTER_DAMPING[dist - 1]
+                s0 = rules.B_INCR if lows[j] in _UP else rules.B_DECR if lows[j] in _DOWN else 0.0
+                if s0 != 0.0:
+                    scalar = -s0 if v < 0 else s0
+                    if mixed and _isupper(words[j]):
+                        scalar += rules.C_INCR if v > 0 else -rules.C_INCR
+                    v += scalar * rules.BOOSTER_DAMPING[dist - 1]
             if lows[j] in _NEG or "n't" in words[j].lower():
-                v *= N_SCALAR
+                v *= rules.N_SCALAR
         vals.append(v)
     if "but" in lows:
         at = lows.index("but")
-        vals = [v * BUT_BEFORE if i < at else (v * BUT_AFTER if i > at else v) for i, v in enumerate(vals)]
-    s = sum(vals)
+        vals = [v * rules.BUT_BEFORE if i < at else (v * rules.BUT_AFTER if i > at else v)
+                for i, v in enumerate(vals)]
+    s = 0.0
+    for v in vals:
+        s += v
     if s != 0.0:
-        ep = min(text.count("!"), EXCLAIM_MAX) * EXCLAIM_WEIGHT
         q = text.count("?")
-        if q > 1:
-            ep += q * QUESTION_WEIGHT if q <= 3 else QUESTION_MAX_WEIGHT
-        s += ep if s > 0 else -ep
-    comp = s / math.sqrt(s * s + COMPOUND_ALPHA)
-    return round(max(-1.0, min(1.0, comp)), COMPOUND_DECIMALS)
+        ep = min(text.count("!"), rules.EXCLAIM_MAX) * rules.EXCLAIM_WEIGHT
+        ep += (q * rules.QUESTION_WEIGHT if q <= 3 else rules.QUESTION_MAX_WEIGHT) if q > 1 else 0.0
+        s = s + ep if s > 0 else s - ep
+    comp = max(-1.0, min(1.0, s / math.sqrt(s * s + COMPOUND_ALPHA)))
+    return round(comp, COMPOUND_DECIMALS)
 
 
 def score_rules(df: DataFrame, lexicon: DataFrame, text: str = "body") -> DataFrame:
-    """Add ``compound`` (rules mode) with an Arrow-batched pandas UDF.
+    """Add ``compound`` (rules mode).
 
-    The lexicon is a small dimension: its size is checked before it is
-    collected, then sent once per executor as a broadcast variable.
+    With a lexicon small enough for a map literal the whole rule set is
+    one SQL expression of higher-order array functions
+    (``functions.rules``), evaluated in the JVM.  A larger lexicon is
+    collected after a size check, sent once per executor as a broadcast
+    variable and used by an Arrow-batched pandas UDF.
     """
-    if lexicon.limit(joins.MAX_BROADCAST_ROWS + 1).count() > joins.MAX_BROADCAST_ROWS:
+    n = lexicon.limit(joins.MAX_BROADCAST_ROWS + 1).count()
+    if n > joins.MAX_BROADCAST_ROWS:
         raise ValueError("lexicon too large to ship to the scoring tasks")
-    lex = {r["token"]: float(r["valence"]) for r in lexicon.select("token", "valence").collect()}
-    shared = df.sparkSession.sparkContext.broadcast(lex)
+    rows = [(r["token"], float(r["valence"])) for r in lexicon.select("token", "valence").collect()]
+    if n <= MAP_LOOKUP_MAX:
+        steps = rules.compound_sql(f"`{text}`", rules.lexicon_map_sql(rows, special.SPARK), special.SPARK)
+        out = special.apply_spark(df, steps).withColumnRenamed("__rules_compound", "compound")
+        return out.drop(*[name for name, _ in steps if name in out.columns and name.startswith("__")])
+    shared = df.sparkSession.sparkContext.broadcast(dict(rows))
 
     @F.pandas_udf(T.DoubleType())
     def _score(texts: pd.Series) -> pd.Series:

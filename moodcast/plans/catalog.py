@@ -256,7 +256,19 @@ def sentiment_class(ws: Workspace) -> DataFrame:
     return ws.classified.groupBy("sentiment").agg(F.count(F.lit(1)).alias("count"))
 
 
-@query("sentiment_rules", None, "V1 V2")
+def _rules_sql() -> str:
+    from ..constants import NEGATIVE_AT, POSITIVE_AT
+    from ..functions import rules
+    from ..functions.special import DUCKDB, apply_sql
+    from ..sources.testdata import LEXICON_ROWS
+    steps = rules.compound_sql("body", rules.lexicon_map_sql(LEXICON_ROWS, DUCKDB), DUCKDB)
+    scored = apply_sql("SELECT comment_id, body FROM comments", steps)
+    return (f"SELECT comment_id, __rules_compound AS compound, CASE WHEN __rules_compound >= {POSITIVE_AT} "
+            f"THEN 'positive' WHEN __rules_compound > {NEGATIVE_AT} THEN 'neutral' ELSE 'negative' END AS sentiment "
+            f"FROM ({scored}) r")
+
+
+@query("sentiment_rules", _rules_sql(), "V1 V2")
 def sentiment_rules(ws: Workspace) -> DataFrame:
     return sentiment.classify(ws.comments, ws.lexicon, mode="rules").select("comment_id", "compound", "sentiment")
 

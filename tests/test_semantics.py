@@ -132,3 +132,16 @@ def test_rule_sentiment_effects():
     assert sentiment.rule_valence("it is GOOD today", lex) > sentiment.rule_valence("it is good today", lex)
     assert sentiment.rule_valence("bad but good", lex) > sentiment.rule_valence("bad and good", lex)
     assert sentiment.rule_valence("", lex) == 0.0 and sentiment.rule_valence(None, lex) == 0.0
+
+
+def test_rules_sql_path_matches_udf_path_and_python(spark, monkeypatch):
+    lex_rows = [("good", 1.9), ("bad", -2.5)]
+    lex = spark.createDataFrame(lex_rows, schemas.LEXICON)
+    texts = ["very good", "not good!!", "It is GOOD", "bad but good", "Don't say bad?? really bad", "", None,
+             "kinda good, hardly bad", "isn't it good"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, body string")
+    sql_path = {r.id: r.compound for r in sentiment.score_rules(df, lex).collect()}
+    monkeypatch.setattr(sentiment, "MAP_LOOKUP_MAX", 1)
+    udf_path = {r.id: r.compound for r in sentiment.score_rules(df, lex).collect()}
+    py = {i: sentiment.rule_valence(t, dict(lex_rows)) for i, t in enumerate(texts)}
+    assert sql_path == udf_path == py
