@@ -165,3 +165,12 @@ class Workspace:
         """Cities x months x classes: small, and read by every monthly query."""
         return _keep(align.align_monthly(self.monthly_counts, self.monthly_prcp, self.params.monthly_rain,
                                    by=["city"]))
+
+    def release(self) -> None:
+        """Unpersist the kept inputs (they are rebuilt on next use)."""
+        for name in ("weather", "classified", "base", "monthly"):
+            df = self.__dict__.pop(name, None)
+            if df is not None:
+                df.unpersist()
+        for name in ("daily_counts", "rain", "snow", "label_daily", "class_daily", "temp_points"):
+            self.__dict__.pop(name, None)

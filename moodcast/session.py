@@ -19,6 +19,28 @@ SESSION_DEFAULTS = {
 }
 
 
+# Settings for a large cluster (about 100 TB of input, ~1000 executors).
+# The library never sets these on a session it is given; they are what a
+# user would pass to spark-submit.  Many initial shuffle partitions let
+# adaptive execution coalesce towards the advisory size instead of
+# spilling, and split skewed partitions of joins and rebalanced writes.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.checkpoint.dir": "<shared folder, e.g. an object-store or HDFS path>",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "moodcast", extra: dict | None = None) -> SparkSession:
     """A session for tests and local runs.  On a cluster use your own

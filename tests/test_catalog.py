@@ -48,3 +48,13 @@ def test_query_matches_oracle(spark, con, name):
     drows = rel.fetchall()
     msg = compare(rows, df.columns, drows, [d[0] for d in rel.description])
     assert msg is None, msg
+
+
+def test_forest_scores_the_hash_test_part(spark):
+    split = E.queries()["train_test_split"](spark, SF0001)
+    n_test = split.where("part = 'test'").count()
+    acc = E.queries()["rf_accuracy"](spark, SF0001).first()
+    preds = E.queries()["rf_predictions"](spark, SF0001)
+    assert acc.n_test == n_test == preds.count()
+    assert 0.0 <= acc.accuracy <= 1.0
+    assert set(r.prediction for r in preds.collect()) <= {0.0, 1.0, 2.0}
