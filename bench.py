@@ -51,12 +51,22 @@ HEADLINE = [
 ]
 
 
+def _driver_memory() -> str:
+    """Up to 8 GB, at most ~60% of this machine's memory."""
+    try:
+        with open("/proc/meminfo") as fh:
+            total_kb = int(next(line for line in fh if line.startswith("MemTotal")).split()[1])
+        return f"{max(1, min(8, int(total_kb * 0.6 / 1024 / 1024)))}g"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     scratch = tempfile.mkdtemp(prefix="moodcast-bench-", dir="/tmp")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(2 * cpus, 4), app="moodcast-bench",
-                          extra={"spark.driver.memory": "8g",
+                          extra={"spark.driver.memory": _driver_memory(),
                                  "spark.checkpoint.dir": scratch + "/ckpt",
                                  "spark.eventLog.enabled": "true",
                                  "spark.eventLog.dir": scratch})

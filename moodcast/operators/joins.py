@@ -24,8 +24,3 @@ def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
     return F.broadcast(kept) if n <= max_rows else kept
-
-
-def small_literal(df: DataFrame, n_rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a frame built on the driver whose row count is known."""
-    return F.broadcast(df) if n_rows <= max_rows else df

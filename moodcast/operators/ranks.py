@@ -1,13 +1,11 @@
 """Mann-Whitney U test between named pairs of samples.
 
-Rows collapse to a value histogram per sample first (one row per
-distinct value, whatever the row count), then each pair's histograms are
-merged.  Mid-ranks need a running count over a pair's values in order;
-so that no pair is gathered into one task, the merged histogram is
-range-partitioned on (pair, value): each range partition computes its
-own running counts, and a running sum over the per-partition totals
-(a few rows per pair) gives each partition's offset.  U, the tie term
-and the normal approximation follow from one row per pair; small
+Rows collapse to one row per distinct value with a count per group (so
+a value shared by millions of rows is one row), all groups are ordered
+once, and running counts of smaller values per group give every pair's
+mid-ranks.  Above a size bound the ordering is range-partitioned, so no
+task holds more than one value range.  U, the tie term and the normal
+approximation come from one aggregate over the value table; small
 samples without ties take the exact distribution.
 """
 
@@ -54,64 +52,80 @@ def _exact_p(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
                       for a, b, c in zip(u, n1, n2)], dtype="float64")
 
 
-# Distinct (pair, value) rows up to which a pair is ranked in one window
+# Distinct values up to which the running counts are taken by one window
 # task; above it the range-partitioned two-level running sum is used.
 ONE_TASK_MAX_ROWS = 100_000
 
 
-def midranks(merged: DataFrame, keys: list[str], value: str, parts: int,
-             one_task_max: int | None = None) -> DataFrame:
-    """Add __t (copies of the value in the pair) and __mid (its mid-rank).
+def running_below(wide: DataFrame, value: str, counts: list[str], parts: int,
+                  one_task_max: int | None = None) -> DataFrame:
+    """For each distinct value, add __below_<c> = sum of column c over all
+    smaller values, for every count column c.
 
-    mid-rank = (copies of smaller values in the pair) + (__t + 1) / 2.
-    The merged histogram is materialised and counted first: while it has
-    at most ``one_task_max`` rows in all, each pair is ranked by a single
-    window; beyond that no pair is gathered in one task.
+    The value table is materialised and counted first: up to
+    ``one_task_max`` rows one ordered window computes the running sums;
+    beyond that the table is range-partitioned on the value, each range
+    computes its own running sums and a running sum over the per-range
+    totals (a few rows) gives each range its offset, so no task holds
+    more than one range.
     """
     first = Window.unboundedPreceding
     limit = ONE_TASK_MAX_ROWS if one_task_max is None else one_task_max
-    hist = merged.withColumn("__t", (F.col("n1") + F.col("n2")).cast("double")).persist()
-    if hist.count() <= limit:
-        below = F.coalesce(F.sum("__t").over(
-            Window.partitionBy(*keys).orderBy(value).rowsBetween(first, -1)), F.lit(0.0))
-        return hist.withColumn("__mid", below + (F.col("__t") + 1.0) / 2.0)
-    ranged = (hist.repartitionByRange(max(parts, 1), *keys, value)
+    kept = wide.persist()
+    if kept.count() <= limit:
+        w = Window.orderBy(value).rowsBetween(first, -1)
+        return kept.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0.0)).alias(f"__below_{c}") for c in counts])
+    ranged = (kept.repartitionByRange(max(parts, 1), value)
               .withColumn("__pid", F.spark_partition_id())
               .persist())
-    # per-range totals, then each range's offset within its pair
-    totals = ranged.groupBy(*keys, "__pid").agg(F.sum("__t").alias("__bt"))
-    offsets = totals.withColumn("__off", F.coalesce(F.sum("__bt").over(
-        Window.partitionBy(*keys).orderBy("__pid").rowsBetween(first, -1)), F.lit(0.0))).drop("__bt")
-    below = F.coalesce(F.sum("__t").over(
-        Window.partitionBy(*keys, "__pid").orderBy(value).rowsBetween(first, -1)), F.lit(0.0))
-    within = ranged.withColumn("__below", below)
-    out = within.join(joins.bounded(offsets), keys + ["__pid"])
-    return out.withColumn("__mid", F.col("__off") + F.col("__below") + (F.col("__t") + 1.0) / 2.0)
+    totals = ranged.groupBy("__pid").agg(*[F.sum(c).alias(f"__tot_{c}") for c in counts])
+    wo = Window.orderBy("__pid").rowsBetween(first, -1)
+    offsets = totals.select("__pid", *[F.coalesce(F.sum(f"__tot_{c}").over(wo), F.lit(0.0)).alias(f"__off_{c}")
+                                       for c in counts])
+    wi = Window.partitionBy("__pid").orderBy(value).rowsBetween(first, -1)
+    within = ranged.select("*", *[F.coalesce(F.sum(c).over(wi), F.lit(0.0)).alias(f"__in_{c}") for c in counts])
+    out = within.join(joins.bounded(offsets), "__pid")
+    return out.select(*wide.columns, *[(F.col(f"__off_{c}") + F.col(f"__in_{c}")).alias(f"__below_{c}")
+                                       for c in counts])
 
 
 def mann_whitney(df: DataFrame, group: str, value: str, pairs: Sequence[tuple[str, str]],
                  by: Sequence[str] = (), exact: bool = True) -> DataFrame:
-    """by..., group1, group2, u_stat (for group1), p_value (two-sided)."""
+    """group1, group2, u_stat (for group1), p_value (two-sided) per pair.
+
+    The rows become one row per distinct value with a count column per
+    group (one aggregate), every group's running count of smaller values
+    is computed over that one ordering, and one aggregate then gives each
+    pair its rank sum, sizes and tie term:
+    R1 = sum_v n1(v) * (below1(v) + below2(v) + (n1(v) + n2(v) + 1) / 2).
+    """
+    if by:
+        raise ValueError("mann_whitney compares named groups; filter to one test first")
     spark = SparkSession.getActiveSession() or df.sparkSession
-    pair_rows = [(i, a, b) for i, (a, b) in enumerate(pairs)]
-    pair_df = joins.small_literal(
-        spark.createDataFrame(pair_rows, "pair int, group1 string, group2 string"), len(pair_rows))
-    hist = (df.where(F.col(value).isNotNull())
-            .groupBy(*by, group, value).agg(F.count(F.lit(1)).alias("__n")))
-    side1 = hist.join(pair_df, hist[group] == pair_df["group1"]).select(
-        *by, "pair", "group1", "group2", value, F.col("__n").alias("n1"), F.lit(0).cast("long").alias("n2"))
-    side2 = hist.join(pair_df, hist[group] == pair_df["group2"]).select(
-        *by, "pair", "group1", "group2", value, F.lit(0).cast("long").alias("n1"), F.col("__n").alias("n2"))
-    keys = list(by) + ["pair", "group1", "group2"]
-    merged = side1.unionByName(side2).groupBy(*keys, value).agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
-    ranked = midranks(merged, keys, value, parts=int(spark.conf.get("spark.sql.shuffle.partitions")))
-    s = ranked.groupBy(*keys).agg(
-        F.sum("n1").cast("double").alias("__n1"),
-        F.sum("n2").cast("double").alias("__n2"),
-        F.sum(F.col("n1") * F.col("__mid")).alias("__r1"),
-        F.sum(F.col("__t") ** 3 - F.col("__t")).alias("__ties"),
-        F.max("__t").alias("__tmax"),
-    )
+    groups = sorted({g for pair in pairs for g in pair})
+    col_of = {g: f"__n{i}" for i, g in enumerate(groups)}
+    counts = [F.sum(F.when(F.col(group) == F.lit(g), F.lit(1.0)).otherwise(F.lit(0.0))).alias(col_of[g])
+              for g in groups]
+    wide = (df.where(F.col(value).isNotNull() & F.col(group).isin(groups))
+            .groupBy(value).agg(*counts))
+    ranked = running_below(wide, value, list(col_of.values()),
+                           parts=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    stats = []
+    for i, (a, b) in enumerate(pairs):
+        na, nb = F.col(col_of[a]), F.col(col_of[b])
+        t = na + nb
+        mid = F.col(f"__below_{col_of[a]}") + F.col(f"__below_{col_of[b]}") + (t + 1.0) / 2.0
+        stats += [F.sum(na).alias(f"__p{i}_n1"), F.sum(nb).alias(f"__p{i}_n2"),
+                  F.sum(na * mid).alias(f"__p{i}_r1"), F.sum(t * t * t - t).alias(f"__p{i}_ties"),
+                  F.max(t).alias(f"__p{i}_tmax")]
+    one = ranked.agg(*stats)
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(a).alias("group1"), F.lit(b).alias("group2"),
+                 F.col(f"__p{i}_n1").alias("__n1"), F.col(f"__p{i}_n2").alias("__n2"),
+                 F.col(f"__p{i}_r1").alias("__r1"), F.col(f"__p{i}_ties").alias("__ties"),
+                 F.col(f"__p{i}_tmax").alias("__tmax"))
+        for i, (a, b) in enumerate(pairs)]))
+    s = one.select(rows.alias("__s")).select("__s.*")
     nn = F.col("__n1") + F.col("__n2")
     s = (s.withColumn("u_stat", F.col("__r1") - F.col("__n1") * (F.col("__n1") + 1.0) / 2.0)
          .withColumn("__u", F.greatest(F.col("u_stat"), F.col("__n1") * F.col("__n2") - F.col("u_stat")))
@@ -126,4 +140,4 @@ def mann_whitney(df: DataFrame, group: str, value: str, pairs: Sequence[tuple[st
                          .otherwise(F.col("p_asym")))
     else:
         s = s.withColumn("p_value", F.col("p_asym"))
-    return s.select(*by, "group1", "group2", "u_stat", "p_value")
+    return s.select("group1", "group2", "u_stat", "p_value")

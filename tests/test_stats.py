@@ -199,13 +199,16 @@ def test_histogram_matches_numpy(spark):
 
 def test_mann_whitney_range_partitioned_path_agrees(spark, monkeypatch):
     rng = np.random.default_rng(13)
-    groups = {"a": list(rng.normal(0, 1, 60).round(2)), "b": list(rng.normal(0.4, 1, 50).round(2))}
+    groups = {"a": list(rng.normal(0, 1, 60).round(2)), "b": list(rng.normal(0.4, 1, 50).round(2)),
+              "c": list(rng.normal(-0.2, 1, 40).round(1))}
     df = _frame(spark, groups)
-    small = ranks.mann_whitney(df, "g", "v", [("a", "b")]).first()
+    pairs = [("a", "b"), ("c", "a"), ("b", "c")]
+    small = {(r.group1, r.group2): r for r in ranks.mann_whitney(df, "g", "v", pairs).collect()}
     monkeypatch.setattr(ranks, "ONE_TASK_MAX_ROWS", 0)
-    big = ranks.mann_whitney(df, "g", "v", [("a", "b")]).first()
-    assert big.u_stat == small.u_stat == _u_brute(groups["a"], groups["b"])
-    assert big.p_value == pytest.approx(small.p_value, abs=1e-12)
+    big = {(r.group1, r.group2): r for r in ranks.mann_whitney(df, "g", "v", pairs).collect()}
+    for a, b in pairs:
+        assert big[(a, b)].u_stat == small[(a, b)].u_stat == _u_brute(groups[a], groups[b])
+        assert big[(a, b)].p_value == pytest.approx(small[(a, b)].p_value, abs=1e-12)
 
 
 def test_results_do_not_depend_on_partitioning(spark):
