@@ -65,7 +65,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     scratch = tempfile.mkdtemp(prefix="moodcast-bench-", dir="/tmp")
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(2 * cpus, 4), app="moodcast-bench",
+    # sf0.1 fits in a few MB per shuffle: one partition per core; AQE
+    # coalesces further and splits skew.
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(cpus, 2))))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=parts, app="moodcast-bench",
                           extra={"spark.driver.memory": _driver_memory(),
                                  "spark.checkpoint.dir": scratch + "/ckpt",
                                  "spark.eventLog.enabled": "true",
