@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import special
 from ..functions.studentized import qtukey, tukey_sf
+from . import joins
 
 
 def group_moments(df: DataFrame, group: str, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -26,17 +27,24 @@ def group_moments(df: DataFrame, group: str, value: str, by: Sequence[str] = ())
                  F.coalesce(F.var_samp(v), F.lit(0.0)).alias("var")))
 
 
-def _test_window(by: Sequence[str]):
-    # One test has k group rows; a window over it is tiny.
-    return Window.partitionBy(*(list(by) or [F.lit(0)]))
+# Tukey compares every pair of groups; more groups than this would emit
+# an unreasonable number of pairs, so it is refused.
+TUKEY_MAX_GROUPS = 1000
+
+
+def _with_test_totals(m: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per-test N, k, grand mean and pooled within-group sum of squares,
+    attached to each group row (small aggregate, counted broadcast)."""
+    tot = m.groupBy(*by).agg(
+        F.sum("n").alias("__N"), F.count(F.lit(1)).alias("__k"),
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("__grand"),
+        F.sum((F.col("n") - 1) * F.col("var")).alias("__ssw"))
+    return joins.attach(m, tot, by)
 
 
 def one_way_anova(df: DataFrame, group: str, value: str, by: Sequence[str] = ()) -> DataFrame:
     """by..., k, n, f_stat, p_value, df_between, df_within."""
-    m = group_moments(df, group, value, by)
-    w = _test_window(by)
-    m = (m.withColumn("__N", F.sum("n").over(w))
-         .withColumn("__grand", F.sum(F.col("n") * F.col("mean")).over(w) / F.col("__N")))
+    m = _with_test_totals(group_moments(df, group, value, by), by)
     ss = m.groupBy(*by).agg(
         F.count(F.lit(1)).alias("k"),
         F.sum("n").alias("n"),
@@ -85,11 +93,13 @@ def tukey_hsd(df: DataFrame, group: str, value: str, alpha: float = 0.05,
     upper, reject; pairs in name order.  The studentised-range tail and
     quantile are a pandas UDF over the k(k-1)/2 pair rows.
     """
-    m = group_moments(df, group, value, by)
-    w = _test_window(by)
-    m = (m.withColumn("__k", F.count(F.lit(1)).over(w))
-         .withColumn("__dfw", F.sum("n").over(w) - F.col("__k"))
-         .withColumn("__mse", F.try_divide(F.sum((F.col("n") - 1) * F.col("var")).over(w), F.col("__dfw"))))
+    m = joins.bounded(group_moments(df, group, value, by), TUKEY_MAX_GROUPS * 1000)
+    widest = m.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    if widest > TUKEY_MAX_GROUPS:
+        raise ValueError(f"Tukey HSD over {widest} groups: more than {TUKEY_MAX_GROUPS}")
+    m = _with_test_totals(m, by)
+    m = (m.withColumn("__dfw", F.col("__N") - F.col("__k"))
+         .withColumn("__mse", F.try_divide(F.col("__ssw"), F.col("__dfw"))))
     pairs = group_pairs(m, group, by, carry=("__k", "__dfw", "__mse"))
     se = F.sqrt(F.col("__mse") / 2.0 * (1.0 / F.col("__p.a.n") + 1.0 / F.col("__p.b.n")))
     out = (pairs

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import special
+from . import joins
 
 
 def cells(df: DataFrame, row: str, col: str, col_values: Sequence, weight: str | None = None,
@@ -37,24 +38,22 @@ def pivot(df: DataFrame, row: str, col: str, col_values: Sequence, weight: str |
     return df.where(F.col(col).isin(list(col_values))).groupBy(*by, row).agg(*sums)
 
 
-def _windows(by: Sequence[str], row: str, col: str):
-    # The cell table has rows x columns entries per test, so a window over
-    # one test is a handful of rows.
-    part = list(by) or [F.lit(0)]
-    return (Window.partitionBy(*part), Window.partitionBy(*part, row), Window.partitionBy(*part, col))
-
-
 def expected(cell_df: DataFrame, row: str, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """Add row/column totals, the grand total, dof and expected counts."""
-    wt, wr, wc = _windows(by, row, col)
+    """Add row/column totals, the grand total, dof and expected counts.
+
+    Row totals: a window per (test, row value), which holds only the
+    listed column values.  Column totals and the per-test grand total and
+    dof are small aggregates attached by a counted broadcast (or a scalar
+    subquery for a single test), so no task holds a whole test.
+    """
     o = F.col("observed").cast("double")
-    return (cell_df
-            .withColumn("__r", F.sum(o).over(wr))
-            .withColumn("__c", F.sum(o).over(wc))
-            .withColumn("__n", F.sum(o).over(wt))
-            .withColumn("dof", ((F.size(F.collect_set(row).over(wt)) - 1)
-                                * (F.size(F.collect_set(col).over(wt)) - 1)).cast("long"))
-            .withColumn("expected", F.try_divide(F.col("__r") * F.col("__c"), F.col("__n"))))
+    with_r = cell_df.withColumn("__r", F.sum(o).over(Window.partitionBy(*by, row)))
+    col_tot = cell_df.groupBy(*by, col).agg(F.sum(o).alias("__c"))
+    test_tot = cell_df.groupBy(*by).agg(
+        F.sum(o).alias("__n"),
+        ((F.count_distinct(row) - 1) * (F.count_distinct(col) - 1)).cast("long").alias("dof"))
+    e = joins.attach(joins.attach(with_r, col_tot, [*by, col]), test_tot, by)
+    return e.withColumn("expected", F.try_divide(F.col("__r") * F.col("__c"), F.col("__n")))
 
 
 def chi2_test(cell_df: DataFrame, row: str, col: str, by: Sequence[str] = (),

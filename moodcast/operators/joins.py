@@ -24,3 +24,17 @@ def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
     return F.broadcast(kept) if n <= max_rows else kept
+
+
+def attach(df: DataFrame, small: DataFrame, keys) -> DataFrame:
+    """Add the columns of a small per-key table to every row of ``df``.
+
+    With keys: a counted broadcast join on them.  Without keys ``small``
+    has one row, attached through one scalar subquery (no join at all).
+    """
+    keys = list(keys)
+    if keys:
+        return df.join(bounded(small), keys)
+    cols = small.columns
+    one = small.select(F.struct(*cols).alias("__one")).scalar()
+    return df.select("*", one.alias("__one")).select(*df.columns, *[F.col(f"__one.{c}").alias(c) for c in cols])
