@@ -446,8 +446,7 @@ def _register_tables():
             return contingency.pivot(_table_input(ws, _n), _row, _col, _v, _w)
 
         def build_chi(ws, _n=name, _row=row, _col=col, _v=values, _w=weight):
-            cells = contingency.cells(_table_input(ws, _n), _row, _col, _v, _w)
-            return _round(contingency.chi2_test(cells, _row, _col), "chi2", "p_value")
+            return _round(contingency.chi2_test(_table_input(ws, _n), _row, _col, _v, _w), "chi2", "p_value")
 
         src_sql = f"SELECT * FROM {src}"
         query(cont_name, S.pivot_sql(src_sql, row, col, values, weight), covers)(build_pivot)
@@ -471,8 +470,7 @@ def _expected_sql() -> str:
 def chi2_expected(ws: Workspace) -> DataFrame:
     frames = []
     for name, (src, row, col, values, weight) in TABLES.items():
-        cells = contingency.cells(_table_input(ws, name), row, col, values, weight)
-        e = contingency.expected(cells, row, col)
+        e = contingency.expected(_table_input(ws, name), row, col, values, weight)
         frames.append(e.select(F.lit(name).alias("test"), F.col(row).cast("string").alias("row_value"),
                                F.col(col).cast("string").alias("col_value"), "observed",
                                rounded("expected").alias("expected")))
@@ -702,8 +700,7 @@ def lines_contingency_2x3(ws: Workspace) -> DataFrame:
 @query("lines_chi2", S.chi2_sql(S.cells_sql("SELECT * FROM lines", "status", "sentiment", LINE_FLAGS, None),
                                 "status", "sentiment"), "T5")
 def lines_chi2(ws: Workspace) -> DataFrame:
-    cells = contingency.cells(ws.lines, "status", "sentiment", LINE_FLAGS)
-    return _round(contingency.chi2_test(cells, "status", "sentiment"), "chi2", "p_value")
+    return _round(contingency.chi2_test(ws.lines, "status", "sentiment", LINE_FLAGS), "chi2", "p_value")
 
 
 @query("lines_anova", S.anova_sql("SELECT sentiment AS grp, quantity FROM lines", "grp", "quantity"), "T7")

@@ -84,8 +84,7 @@ def test_chi2_matches_reference(spark, jvm, table):
     rows = [(f"r{i}", f"c{j}", v) for i, line in enumerate(table) for j, v in enumerate(line)]
     df = spark.createDataFrame(rows, "r string, c string, n long")
     cols = [f"c{j}" for j in range(len(table[0]))]
-    cells = contingency.cells(df, "r", "c", cols, weight="n")
-    got = contingency.chi2_test(cells, "r", "c").first()
+    got = contingency.chi2_test(df, "r", "c", cols, weight="n").first()
     chi2, dof = _chi2_reference(table)
     assert got.dof == dof
     assert got.chi2 == pytest.approx(chi2, rel=1e-12)
@@ -97,11 +96,11 @@ def test_chi2_transpose_invariant_and_degenerate(spark):
     table = [[30, 10, 4], [12, 25, 8]]
     rows = [(f"r{i}", f"c{j}", v) for i, line in enumerate(table) for j, v in enumerate(line)]
     df = spark.createDataFrame(rows, "r string, c string, n long")
-    a = contingency.chi2_test(contingency.cells(df, "r", "c", ["c0", "c1", "c2"], "n"), "r", "c").first()
-    b = contingency.chi2_test(contingency.cells(df, "c", "r", ["r0", "r1"], "n"), "c", "r").first()
+    a = contingency.chi2_test(df, "r", "c", ["c0", "c1", "c2"], "n").first()
+    b = contingency.chi2_test(df, "c", "r", ["r0", "r1"], "n").first()
     assert a.chi2 == pytest.approx(b.chi2) and a.p_value == pytest.approx(b.p_value)
     one = spark.createDataFrame([("r0", "c0", 4), ("r0", "c1", 6)], "r string, c string, n long")
-    d = contingency.chi2_test(contingency.cells(one, "r", "c", ["c0", "c1"], "n"), "r", "c").first()
+    d = contingency.chi2_test(one, "r", "c", ["c0", "c1"], "n").first()
     assert d.dof == 0 and d.chi2 == 0.0 and d.p_value == 1.0
 
 
@@ -253,3 +252,20 @@ def test_indexer_fitted_on_train_keeps_unseen(spark):
     train = df.where(F.col("v") != "c")
     out = {r.v: r.i for r in ml.index_strings(df, [("v", "i")], fit_on=train, handle_invalid="keep").collect()}
     assert out == {"a": 0.0, "b": 1.0, "c": 2.0}
+
+
+def test_chi2_per_test_matches_single_tables(spark):
+    rows = [("t1", f"r{i}", f"c{j}", v) for i, line in enumerate([[12, 5], [7, 9]]) for j, v in enumerate(line)]
+    rows += [("t2", f"r{i}", f"c{j}", v) for i, line in enumerate([[30, 10], [12, 25], [4, 8]])
+             for j, v in enumerate(line)]
+    df = spark.createDataFrame(rows, "t string, r string, c string, n long")
+    both = {r.t: r for r in contingency.chi2_test(df, "r", "c", ["c0", "c1"], "n", by=["t"]).collect()}
+    for t in ("t1", "t2"):
+        one = contingency.chi2_test(df.where(F.col("t") == t), "r", "c", ["c0", "c1"], "n").first()
+        assert both[t].chi2 == pytest.approx(one.chi2) and both[t].dof == one.dof
+
+
+def test_tukey_group_bound(spark, monkeypatch):
+    monkeypatch.setattr(anova, "TUKEY_MAX_GROUPS", 2)
+    with pytest.raises(Exception):
+        anova.tukey_hsd(_frame(spark, {"a": [1, 2], "b": [2, 3], "c": [5, 6]}), "g", "v").collect()
