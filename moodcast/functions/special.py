@@ -70,10 +70,6 @@ def _fold_down(n: str, init: str, acc: str, k: str, body: str, dialect: str) ->
     )
 
 
-def _ln(x: str) -> str:
-    return f"ln({x})"
-
-
 def betainc_steps(a: str, b: str, x: str, out: str, dialect: str) -> list[tuple[str, str]]:
     """Regularised incomplete beta I_x(a, b) into column ``out``.
 

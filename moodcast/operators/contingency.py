@@ -11,24 +11,6 @@ from ..functions import special
 from . import joins
 
 
-def cells(df: DataFrame, row: str, col: str, col_values: Sequence, weight: str | None = None,
-          by: Sequence[str] = ()) -> DataFrame:
-    """Long cells (by..., row, col, observed) over every row value x ``col_values``.
-
-    One aggregate with a conditional sum per column value, so an empty cell
-    is a 0, not a missing row.  ``weight`` sums a count column; without it
-    rows are counted.
-    """
-    w = F.col(weight) if weight else F.lit(1)
-    sums = [F.sum(F.when(F.col(col) == F.lit(v), w).otherwise(F.lit(0))).alias(f"__c{i}")
-            for i, v in enumerate(col_values)]
-    wide = df.where(F.col(col).isin(list(col_values))).groupBy(*by, row).agg(*sums)
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(v).alias(col), F.col(f"__c{i}").cast("long").alias("observed"))
-        for i, v in enumerate(col_values)]))
-    return wide.select(*by, row, stacked.alias("__cell")).select(*by, row, "__cell.*")
-
-
 def pivot(df: DataFrame, row: str, col: str, col_values: Sequence, weight: str | None = None,
           by: Sequence[str] = ()) -> DataFrame:
     """Wide table: one row per row value, one column per column value."""

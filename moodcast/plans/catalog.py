@@ -37,7 +37,7 @@ from ..session import checkpoint_root, scratch_path
 from ..sources import files
 from . import sqlstats as S
 from . import sqltukey as T
-from .sqlbase import in_list, parts, q, slug_sql, with_base
+from .sqlbase import parts, q, slug_sql, with_base
 from .workspace import TESTDATA, Workspace
 
 
@@ -823,7 +823,3 @@ def rf_accuracy(ws: Workspace) -> DataFrame:
 def run(name: str, spark, sf_dir: str) -> DataFrame:
     from .workspace import workspace
     return REGISTRY[name].build(workspace(spark, sf_dir))
-
-
-def in_values(values) -> str:
-    return in_list(values)

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from moodcast import schemas
 from moodcast.functions import class_of_compound, comment_date, flag, temperature_label
