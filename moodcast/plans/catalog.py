@@ -30,7 +30,6 @@ from ..operators import (
     ml,
     ranks,
     regression,
-    sentiment,
     weather,
 )
 from ..session import checkpoint_root, scratch_path
@@ -163,7 +162,7 @@ def city_partition_scan(ws: Workspace) -> DataFrame:
     "S10 S11",
 )
 def partitioned_sink_comments(ws: Workspace) -> DataFrame:
-    df = ws.classified.withColumn("slug", slug_of("subreddit"))
+    df = ws.classified.drop("compound").withColumn("slug", slug_of("subreddit"))
     path = files.write_partitioned(df, scratch_path(ws.spark, "comments-by-city"), ["slug"])
     return files.read_partitioned(ws.spark, path)
 
@@ -248,7 +247,7 @@ def temp_label(ws: Workspace) -> DataFrame:
 
 @query("sentiment_bag", "SELECT comment_id, compound FROM scored", "V2")
 def sentiment_bag(ws: Workspace) -> DataFrame:
-    return ws.classified_rows.select("comment_id", "compound")
+    return ws.classified.select("comment_id", "compound")
 
 
 @query("sentiment_class", "SELECT sentiment, count(*) AS count FROM classified GROUP BY sentiment", "F8 M7")
@@ -270,7 +269,7 @@ def _rules_sql() -> str:
 
 @query("sentiment_rules", _rules_sql(), "V1 V2")
 def sentiment_rules(ws: Workspace) -> DataFrame:
-    return sentiment.classify(ws.comments, ws.lexicon, mode="rules").select("comment_id", "compound", "sentiment")
+    return ws.scored("rules").select("comment_id", "compound", "sentiment")
 
 
 # ----------------------------------------------------------------------
@@ -413,7 +412,7 @@ def class_by_flag_counts(ws: Workspace) -> DataFrame:
     "O4",
 )
 def preview(ws: Workspace) -> DataFrame:
-    return ws.classified.orderBy("year", "month", "day", "comment_id").limit(20)
+    return ws.classified.drop("compound").orderBy("year", "month", "day", "comment_id").limit(20)
 
 
 # ----------------------------------------------------------------------

@@ -94,22 +94,27 @@ class Workspace:
         """Cleaned comments with text, compound and class (not persisted)."""
         return sentiment.classify(self.comments, self.lexicon)
 
-    @cached_property
-    def classified(self) -> DataFrame:
-        """One row per comment without its text, scored once and kept.
+    def scored(self, mode: str = "bag") -> DataFrame:
+        """Cleaned comments with compound and class, without their text.
 
         Scoring is per row, so it runs where the texts are read, before the
-        join that brings each comment its city and time: only (id, class)
-        rows cross that join, never the text.  Same rows as cleaning the
-        joined records first (``classified_rows``).
+        join that brings each comment its city and time: only narrow
+        (id, score) rows cross that join, never the text.  Same rows as
+        cleaning the joined records first (``classified_rows``).
         """
         texts = comments.drop_tombstones(testdata.comment_texts(self.spark, self.sf_dir))
-        scored = sentiment.classify(texts, self.lexicon).select("comment_id", "event_id", "sentiment")
-        meta = testdata.comment_meta(self.spark, self.sf_dir)
-        records = scored.join(meta, "event_id")
-        kept = comments.select_communities(records, columns=("comment_id", "subreddit", "created_utc", "sentiment"))
-        dated = comments.with_comment_dates(kept)
-        return _keep(dated.select("comment_id", "subreddit", "date", "year", "month", "day", "sentiment"))
+        scored = sentiment.classify(texts, self.lexicon, mode=mode).select(
+            "comment_id", "event_id", "compound", "sentiment")
+        records = scored.join(testdata.comment_meta(self.spark, self.sf_dir), "event_id")
+        kept = comments.select_communities(
+            records, columns=("comment_id", "subreddit", "created_utc", "compound", "sentiment"))
+        return comments.with_comment_dates(kept).select(
+            "comment_id", "subreddit", "date", "year", "month", "day", "compound", "sentiment")
+
+    @cached_property
+    def classified(self) -> DataFrame:
+        """One row per comment without its text, scored once and kept."""
+        return _keep(self.scored("bag"))
 
     # -- daily alignment -------------------------------------------------
     @cached_property
