@@ -7,6 +7,7 @@ second implementation over the same parquet tables.
 
 from __future__ import annotations
 
+
 from ..constants import (
     COMMUNITIES,
     COMPOUND_ALPHA,
@@ -166,5 +167,38 @@ monthly AS (
 """
 
 
+def positive_zero_rounding(sql: str) -> str:
+    """Rewrite every ``round(...)`` call as ``(round(...) + 0.0)``.
+
+    DuckDB rounds a tiny negative number to -0.0 where Spark gives 0.0;
+    adding 0.0 turns -0.0 into 0.0 and leaves every other value as it is.
+    String literals are left alone.
+    """
+    out: list[str] = []
+    stack: list[bool] = []  # one entry per open parenthesis: closes a round( call?
+    i, n, quote = 0, len(sql), False
+    while i < n:
+        ch = sql[i]
+        if ch == "'":
+            quote = not quote
+            out.append(ch)
+        elif quote:
+            out.append(ch)
+        elif sql[i:i + 6].lower() == "round(" and (i == 0 or not (sql[i - 1].isalnum() or sql[i - 1] == "_")):
+            out.append("(round(")
+            stack.append(True)
+            i += 6
+            continue
+        elif ch == "(":
+            stack.append(False)
+            out.append(ch)
+        elif ch == ")":
+            out.append(") + 0.0)" if stack and stack.pop() else ")")
+        else:
+            out.append(ch)
+        i += 1
+    return "".join(out)
+
+
 def with_base(select_sql: str, p: Params = TESTDATA) -> str:
-    return f"WITH {base_ctes(p)}\n{select_sql}"
+    return positive_zero_rounding(f"WITH {base_ctes(p)}\n{select_sql}")
