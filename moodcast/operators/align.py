@@ -73,23 +73,25 @@ ROW_COLUMNS = ["station_id", "date", "year", "month", "day", "city", "TMAX", "TM
                "TAVG", "T_label", "subreddit", "body", "sentiment"]
 
 
-def city_day_rows(weather: DataFrame, classified: DataFrame, how: str = "inner") -> DataFrame:
-    """Row-level weather x comments on (date, city = community).
+def city_day_rows(weather: DataFrame, classified: DataFrame, texts: DataFrame, how: str = "inner") -> DataFrame:
+    """Row-level weather x comments on (date, city = community), with text.
 
-    ``how='inner'`` drops incomplete rows afterwards (an explicit inner
+    The station days meet the narrow class rows (id, city, date, class)
+    first; the text is attached last by comment id, so it crosses one
+    shuffle.  ``how='inner'`` drops incomplete rows (an explicit inner
     join: the optimizer does not turn left-join-plus-NULL-filter into
-    one).  ``how='left'`` keeps station days without comments with NULL
-    comment fields; it is written as the inner join plus the station days
-    whose (city, date) has no comment at all (anti join against the
-    counted, broadcast set of comment keys).  Both sides of the inner join
-    are large, so it is a shuffle join on (date, city) in which adaptive
-    execution may split a hot (city, date) of either side; a plain left
-    outer join could only split the weather side.
+    one).  ``how='left'`` keeps station days without comments, with NULL
+    comment fields, written as the inner join plus the station days whose
+    (city, date) has no comment at all (anti join against the counted,
+    broadcast set of comment keys).  Adaptive execution may split a hot
+    (city, date) on either side of the inner join; a plain left outer
+    join could only split the weather side.
     """
     w = weather.select("station_id", "date", "year", "month", "day", "city",
                        "TMAX", "TMIN", "TAVG", "T_label")
-    c = classified.select(F.col("date").alias("c_date"), "subreddit", "body", "sentiment")
-    joined = w.join(c, (w["date"] == c["c_date"]) & (w["city"] == c["subreddit"]), "inner").select(*ROW_COLUMNS)
+    c = classified.select("comment_id", F.col("date").alias("c_date"), "subreddit", "sentiment")
+    pairs = w.join(c, (w["date"] == c["c_date"]) & (w["city"] == c["subreddit"]), "inner")
+    joined = pairs.join(texts.select("comment_id", "body"), "comment_id").select(*ROW_COLUMNS)
     if how == "inner":
         return joined.dropna()
     if how != "left":

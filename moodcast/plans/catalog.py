@@ -337,7 +337,7 @@ ROW_SQL = ("w.station_id, w.date, w.year, w.month, w.day, w.city, round(w.TMAX,
     "J2",
 )
 def aligned_city_day_left(ws: Workspace) -> DataFrame:
-    return _round(align.city_day_rows(ws.weather, ws.classified_rows, "left"), "TMAX", "TMIN", "TAVG")
+    return _round(align.city_day_rows(ws.weather, ws.classified, ws.texts, "left"), "TMAX", "TMIN", "TAVG")
 
 
 @query(
@@ -347,7 +347,7 @@ def aligned_city_day_left(ws: Workspace) -> DataFrame:
     "J3 P11 M10 O6 O9",
 )
 def aligned_city_day(ws: Workspace) -> DataFrame:
-    rows = align.city_day_rows(ws.weather, ws.classified_rows, "inner")
+    rows = align.city_day_rows(ws.weather, ws.classified, ws.texts, "inner")
     return _round(rows, "TMAX", "TMIN", "TAVG")
 
 

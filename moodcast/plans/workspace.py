@@ -90,9 +90,9 @@ class Workspace:
         return testdata.lexicon(self.spark)
 
     @cached_property
-    def classified_rows(self) -> DataFrame:
-        """Cleaned comments with text, compound and class (not persisted)."""
-        return sentiment.classify(self.comments, self.lexicon)
+    def texts(self) -> DataFrame:
+        """comment_id -> body, as read (no join)."""
+        return testdata.comment_texts(self.spark, self.sf_dir).select("comment_id", "body")
 
     def scored(self, mode: str = "bag") -> DataFrame:
         """Cleaned comments with compound and class, without their text.
@@ -100,7 +100,7 @@ class Workspace:
         Scoring is per row, so it runs where the texts are read, before the
         join that brings each comment its city and time: only narrow
         (id, score) rows cross that join, never the text.  Same rows as
-        cleaning the joined records first (``classified_rows``).
+        cleaning the joined records first and scoring them.
         """
         texts = comments.drop_tombstones(testdata.comment_texts(self.spark, self.sf_dir))
         scored = sentiment.classify(texts, self.lexicon, mode=mode).select(
