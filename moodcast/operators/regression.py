@@ -173,3 +173,39 @@ def with_poly(df: DataFrame, fit: DataFrame, x: str, degree: int, by: Sequence[s
         j = j.selectExpr("*", f"__c[{k}] + 2.0D * __z * __q{k + 1} - __q{k + 2} AS __q{k}")
     j = j.selectExpr("*", f"__c[0] + __z * __q1 - __q2 AS `{out}`")
     return j.drop("__lo", "__hi", "__c", "__z", *[f"__q{k}" for k in range(1, degree + 3)])
+
+
+def fit_series(df: DataFrame, x: str, y: str, degree: int, by: Sequence[str],
+               lin_out: str = "lin_predict", poly_out: str = "poly_predict") -> DataFrame:
+    """Each point with its group's straight-line and polynomial fits.
+
+    One aggregate per group gives both the linear moments and the
+    Chebyshev sums, one small table carries both sets of coefficients,
+    and one counted broadcast join brings them to the points.
+    """
+    if not by:
+        raise ValueError("give at least one group column")
+    pts = _scaled(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), x, by)
+    pts = _with_chebyshev(pts, "__z", degree)
+    xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
+    sums = [F.count(F.lit(1)).alias("n"), F.avg(xd).alias("__mx"), F.avg(yd).alias("__my"),
+            F.var_pop(xd).alias("__vx"), F.var_pop(yd).alias("__vy"), F.covar_pop(xd, yd).alias("__cxy")]
+    for i in range(degree + 1):
+        for j in range(i, degree + 1):
+            sums.append(F.expr(f"sum(__t{i} * __t{j}) AS __g{i}_{j}"))
+        sums.append(F.expr(f"sum(__t{i} * CAST(`{y}` AS DOUBLE)) AS __h{i}"))
+    stats = pts.groupBy(*by, "__lo", "__hi").agg(*sums)
+    ok = F.col("__vx") > 0
+    stats = (stats.withColumn("__b1", F.when(ok, F.col("__cxy") / F.col("__vx")))
+             .withColumn("__b0", F.col("__my") - F.col("__b1") * F.col("__mx")))
+    coef = solve_normal_equations(stats, degree, [*by, "__lo", "__hi", "__b1", "__b0"])
+    j = df.join(joins.bounded(coef.withColumnRenamed("coef", "__c").drop("rank")), list(by), "left")
+    j = j.withColumn(lin_out, F.col("__b1") * F.col(x) + F.col("__b0"))
+    width = F.col("__hi") - F.col("__lo")
+    j = j.withColumn("__z", F.when(width > 0, (F.lit(2.0) * F.col(x) - F.col("__lo") - F.col("__hi")) / width)
+                     .otherwise(F.lit(0.0)))
+    j = j.selectExpr("*", "0.0D AS __q" + str(degree + 2), "0.0D AS __q" + str(degree + 1))
+    for k in range(degree, 0, -1):
+        j = j.selectExpr("*", f"__c[{k}] + 2.0D * __z * __q{k + 1} - __q{k + 2} AS __q{k}")
+    j = j.selectExpr("*", f"__c[0] + __z * __q1 - __q2 AS `{poly_out}`")
+    return j.drop("__lo", "__hi", "__c", "__z", "__b1", "__b0", *[f"__q{k}" for k in range(1, degree + 3)])

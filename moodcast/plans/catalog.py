@@ -605,10 +605,7 @@ def _poly_sql(src: str, x: str, y: str, degree: int, by: list[str], rest: list[s
 def polyfit4_temp(ws: Workspace) -> DataFrame:
     by = ["T_label", "sentiment"]
     pts = ws.temp_points.withColumn("TAVG", F.col("TAVG").cast("double")).withColumn("count", F.col("count").cast("long"))
-    poly = regression.polyfit(pts, "TAVG", "count", 4, by)
-    lin = regression.linregress(pts, "TAVG", "count", by)
-    out = regression.with_poly(regression.with_line(pts, lin, "TAVG", by), poly, "TAVG", 4, by)
-    return _round(out, "TAVG", "lin_predict", "poly_predict")
+    return _round(regression.fit_series(pts, "TAVG", "count", 4, by), "TAVG", "lin_predict", "poly_predict")
 
 
 @query("polyfit11_monthly",
@@ -617,10 +614,7 @@ def polyfit4_temp(ws: Workspace) -> DataFrame:
 def polyfit11_monthly(ws: Workspace) -> DataFrame:
     by = ["city", "sentiment"]
     pts = ws.monthly.select("city", "sentiment", "year", "month", "prcp_mm", "count")
-    poly = regression.polyfit(pts, "prcp_mm", "count", 11, by)
-    lin = regression.linregress(pts, "prcp_mm", "count", by)
-    out = regression.with_poly(regression.with_line(pts, lin, "prcp_mm", by), poly, "prcp_mm", 11, by)
-    return _round(out, "prcp_mm", "lin_predict", "poly_predict")
+    return _round(regression.fit_series(pts, "prcp_mm", "count", 11, by), "prcp_mm", "lin_predict", "poly_predict")
 
 
 # ----------------------------------------------------------------------

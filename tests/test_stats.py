@@ -269,3 +269,21 @@ def test_tukey_group_bound(spark, monkeypatch):
     monkeypatch.setattr(anova, "TUKEY_MAX_GROUPS", 2)
     with pytest.raises(Exception):
         anova.tukey_hsd(_frame(spark, {"a": [1, 2], "b": [2, 3], "c": [5, 6]}), "g", "v").collect()
+
+
+def test_fit_series_matches_numpy(spark):
+    rng = np.random.default_rng(21)
+    rows = []
+    for g in ("a", "b"):
+        x = np.sort(rng.uniform(-5, 30, 35))
+        y = 3 + 0.5 * x - 0.02 * x ** 2 + rng.normal(0, 0.3, 35)
+        rows += [(g, float(a), float(b)) for a, b in zip(x, y)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    got = regression.fit_series(df, "x", "y", 4, ["g"]).collect()
+    for g in ("a", "b"):
+        pts = sorted((r.x, r.y, r.lin_predict, r.poly_predict) for r in got if r.g == g)
+        x = np.array([p[0] for p in pts]); y = np.array([p[1] for p in pts])
+        lin = np.polyval(np.polyfit(x, y, 1), x)
+        poly = np.polynomial.Polynomial.fit(x, y, 4)(x)
+        assert np.allclose([p[2] for p in pts], lin, atol=1e-9)
+        assert np.allclose([p[3] for p in pts], poly, atol=1e-8)
