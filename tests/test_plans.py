@@ -61,3 +61,48 @@ def test_city_day_base_streams_weather_past_counts(spark):
     ws = workspace(spark, SF001)
     plan = _plan(ws.base)
     assert "BroadcastHashJoin" in plan
+
+
+def _seq(s):
+    return [s.apply(i) for i in range(s.size())]
+
+
+def _join_input_columns(df):
+    """Column names of every join input in the executed plan (adaptive
+    stages followed)."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name in ("InMemoryTableScan", "TableCacheQueryStage"):
+            return
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        children = _seq(node.children())
+        if "Join" in name:
+            for child in children:
+                found.append({a.name() for a in _seq(child.output())})
+        for sub in _seq(node.subqueries()):
+            walk(sub)
+        for child in children:
+            walk(child)
+
+    df.write.format("noop").mode("overwrite").save()
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_comment_text_never_enters_a_join_when_scoring(spark):
+    ws = workspace(spark, SF001)
+    # rules mode: the bag-mode frame may already be cached (and then shows no join)
+    inputs = _join_input_columns(ws.scored("rules"))
+    assert inputs, "expected the metadata join"
+    assert all("body" not in cols and "text" not in cols for cols in inputs)
+
+
+def test_row_level_join_attaches_text_last(spark):
+    inputs = _join_input_columns(_build(spark, "aligned_city_day"))
+    with_text = [cols for cols in inputs if "body" in cols]
+    assert len(with_text) == 1 and with_text[0] == {"comment_id", "body"}
