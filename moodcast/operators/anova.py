@@ -43,15 +43,27 @@ def _with_test_totals(m: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def one_way_anova(df: DataFrame, group: str, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """by..., k, n, f_stat, p_value, df_between, df_within."""
-    m = _with_test_totals(group_moments(df, group, value, by), by)
-    ss = m.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("k"),
-        F.sum("n").alias("n"),
-        F.sum(F.col("n") * (F.col("mean") - F.col("__grand")) ** 2).alias("__ssb"),
-        F.sum((F.col("n") - 1) * F.col("var")).alias("__ssw"),
-    )
-    ss = (ss.withColumn("df_between", F.col("k") - 1)
+    """by..., k, n, f_stat, p_value, df_between, df_within.
+
+    One pass over the rows: grouping sets give each group's (n, var) and
+    each test's (N, population variance) in the same aggregate; then
+    SSW = sum (n - 1) var, SSB = N var_pop(all) - SSW, on a few rows.
+    """
+    v = F.col(value).cast("double")
+    sets = [[*by, group], list(by)]
+    lv = df.where(F.col(value).isNotNull()).groupingSets(sets, *by, group).agg(
+        F.grouping(group).alias("__total"),
+        F.count(F.lit(1)).alias("__n"),
+        F.coalesce(F.var_samp(v), F.lit(0.0)).alias("__var"),
+        F.var_pop(v).alias("__vpop"))
+    is_group = F.col("__total") == 0
+    ss = lv.groupBy(*by).agg(
+        F.sum(F.when(is_group, 1).otherwise(0)).cast("long").alias("k"),
+        F.sum(F.when(~is_group, F.col("__n"))).alias("n"),
+        F.sum(F.when(is_group, (F.col("__n") - 1) * F.col("__var"))).alias("__ssw"),
+        F.sum(F.when(~is_group, F.col("__n") * F.col("__vpop"))).alias("__sst"))
+    ss = (ss.withColumn("__ssb", F.greatest(F.col("__sst") - F.col("__ssw"), F.lit(0.0)))
+          .withColumn("df_between", F.col("k") - 1)
           .withColumn("df_within", F.col("n") - F.col("k"))
           .withColumn("f_stat", F.try_divide(F.try_divide(F.col("__ssb"), F.col("df_between")),
                                              F.try_divide(F.col("__ssw"), F.col("df_within")))))

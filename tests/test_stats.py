@@ -287,3 +287,15 @@ def test_fit_series_matches_numpy(spark):
         poly = np.polynomial.Polynomial.fit(x, y, 4)(x)
         assert np.allclose([p[2] for p in pts], lin, atol=1e-9)
         assert np.allclose([p[3] for p in pts], poly, atol=1e-8)
+
+
+def test_anova_by_test_matches_single_tests(spark):
+    rng = np.random.default_rng(4)
+    rows = [(t, g, float(v)) for t in ("x", "y") for g in ("a", "b", "c")
+            for v in rng.integers(0, 20 if t == "x" else 9, 15)]
+    df = spark.createDataFrame(rows, "t string, g string, v double")
+    both = {r.t: r for r in anova.one_way_anova(df, "g", "v", by=["t"]).collect()}
+    for t in ("x", "y"):
+        one = anova.one_way_anova(df.where(F.col("t") == t), "g", "v").first()
+        assert both[t].f_stat == pytest.approx(one.f_stat, rel=1e-10) and both[t].k == one.k == 3
+        assert both[t].n == one.n == 45
