@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from ..functions import special
 from ..functions.studentized import qtukey, tukey_sf
-from . import joins
 
 
 def group_moments(df: DataFrame, group: str, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -32,16 +31,6 @@ def group_moments(df: DataFrame, group: str, value: str, by: Sequence[str] = ())
 TUKEY_MAX_GROUPS = 1000
 
 
-def _with_test_totals(m: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Per-test N, k, grand mean and pooled within-group sum of squares,
-    attached to each group row (small aggregate, counted broadcast)."""
-    tot = m.groupBy(*by).agg(
-        F.sum("n").alias("__N"), F.count(F.lit(1)).alias("__k"),
-        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("__grand"),
-        F.sum((F.col("n") - 1) * F.col("var")).alias("__ssw"))
-    return joins.attach(m, tot, by)
-
-
 def one_way_anova(df: DataFrame, group: str, value: str, by: Sequence[str] = ()) -> DataFrame:
     """by..., k, n, f_stat, p_value, df_between, df_within.
 
@@ -84,42 +73,38 @@ def _tukey_crit(alpha: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
                       for a, b, c in zip(alpha, k, df)], dtype="float64")
 
 
-def group_pairs(m: DataFrame, group: str, by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
-    """Every pair of groups of a test (group1 < group2), from k rows per test.
+def tukey_hsd(df: DataFrame, group: str, value: str, alpha: float = 0.05,
+              by: Sequence[str] = ()) -> DataFrame:
+    """Tukey-Kramer pairwise comparison.
 
-    ``carry`` names per-test constants (equal on every group row) that
-    are kept on the pair rows.
+    by..., group1, group2, meandiff (group2 - group1), p_adj, lower,
+    upper, reject; pairs in name order.  One pass gives per-group
+    (n, mean, var); one small aggregate per test gathers the group
+    summaries (at most TUKEY_MAX_GROUPS, checked in the plan) with k, N
+    and the pooled sum of squares; the studentised-range quantile is
+    computed once per test and the tail once per pair, in a pandas UDF.
     """
+    m = group_moments(df, group, value, by)
     stats = F.struct(F.col(group).alias("g"), "n", "mean")
-    per_test = m.groupBy(*by).agg(F.collect_list(stats).alias("__gs"), *[F.first(c).alias(c) for c in carry])
+    per_test = m.groupBy(*by).agg(
+        F.collect_list(stats).alias("__gs"), F.count(F.lit(1)).alias("__k"),
+        F.sum("n").alias("__N"), F.sum((F.col("n") - 1) * F.col("var")).alias("__ssw"))
     # every pair is emitted, so the number of groups is bounded (checked in the plan)
     per_test = per_test.withColumn("__gs", F.when(F.size("__gs") <= TUKEY_MAX_GROUPS, F.col("__gs")).otherwise(
         F.raise_error(F.lit(f"Tukey HSD over more than {TUKEY_MAX_GROUPS} groups"))))
+    per_test = (per_test.withColumn("__dfw", F.col("__N") - F.col("__k"))
+                .withColumn("__mse", F.try_divide(F.col("__ssw"), F.col("__dfw")))
+                .withColumn("__crit", _tukey_crit(F.lit(alpha), F.col("__k"), F.col("__dfw"))))
     pairs = F.expr("filter(flatten(transform(__gs, a -> transform(__gs, b -> named_struct('a', a, 'b', b)))), "
                    "p -> p.a.g < p.b.g)")
-    return per_test.select(*by, *carry, F.explode(pairs).alias("__p"))
-
-
-def tukey_hsd(df: DataFrame, group: str, value: str, alpha: float = 0.05,
-              by: Sequence[str] = ()) -> DataFrame:
-    """Tukey-Kramer pairwise comparison.
-
-    by..., group1, group2, meandiff (group2 - group1), p_adj, lower,
-    upper, reject; pairs in name order.  The studentised-range tail and
-    quantile are a pandas UDF over the k(k-1)/2 pair rows.
-    """
-    m = _with_test_totals(group_moments(df, group, value, by), by)
-    m = (m.withColumn("__dfw", F.col("__N") - F.col("__k"))
-         .withColumn("__mse", F.try_divide(F.col("__ssw"), F.col("__dfw"))))
-    pairs = group_pairs(m, group, by, carry=("__k", "__dfw", "__mse"))
+    pp = per_test.select(*by, "__k", "__dfw", "__mse", "__crit", F.explode(pairs).alias("__p"))
     se = F.sqrt(F.col("__mse") / 2.0 * (1.0 / F.col("__p.a.n") + 1.0 / F.col("__p.b.n")))
-    out = (pairs
+    out = (pp
            .withColumn("group1", F.col("__p.a.g"))
            .withColumn("group2", F.col("__p.b.g"))
            .withColumn("meandiff", F.col("__p.b.mean") - F.col("__p.a.mean"))
            .withColumn("__se", se)
            .withColumn("__q", F.try_divide(F.abs(F.col("meandiff")), F.col("__se")))
-           .withColumn("__crit", _tukey_crit(F.lit(alpha), F.col("__k"), F.col("__dfw")))
            .withColumn("p_adj", _tukey_p(F.col("__q"), F.col("__k"), F.col("__dfw")))
            .withColumn("lower", F.col("meandiff") - F.col("__crit") * F.col("__se"))
            .withColumn("upper", F.col("meandiff") + F.col("__crit") * F.col("__se"))
