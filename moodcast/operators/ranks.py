@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import special
-from . import joins
 
 EXACT_MAX = 8
 
@@ -84,7 +83,8 @@ def running_below(wide: DataFrame, value: str, counts: list[str], parts: int,
                                        for c in counts])
     wi = Window.partitionBy("__pid").orderBy(value).rowsBetween(first, -1)
     within = ranged.select("*", *[F.coalesce(F.sum(c).over(wi), F.lit(0.0)).alias(f"__in_{c}") for c in counts])
-    out = within.join(joins.bounded(offsets), "__pid")
+    # one row per range partition: the size is known, no count needed
+    out = within.join(F.broadcast(offsets), "__pid")
     return out.select(*wide.columns, *[(F.col(f"__off_{c}") + F.col(f"__in_{c}")).alias(f"__below_{c}")
                                        for c in counts])
 
