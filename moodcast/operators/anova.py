@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import special
+from ..session import ship_package
 from ..functions.studentized import qtukey, tukey_sf
 
 
@@ -84,6 +85,7 @@ def tukey_hsd(df: DataFrame, group: str, value: str, alpha: float = 0.05,
     and the pooled sum of squares; the studentised-range quantile is
     computed once per test and the tail once per pair, in a pandas UDF.
     """
+    ship_package(df.sparkSession)
     m = group_moments(df, group, value, by)
     stats = F.struct(F.col(group).alias("g"), "n", "mean")
     per_test = m.groupBy(*by).agg(

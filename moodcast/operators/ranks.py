@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import special
+from ..session import ship_package
 
 EXACT_MAX = 8
 
@@ -102,6 +103,7 @@ def mann_whitney(df: DataFrame, group: str, value: str, pairs: Sequence[tuple[st
     if by:
         raise ValueError("mann_whitney compares named groups; filter to one test first")
     spark = SparkSession.getActiveSession() or df.sparkSession
+    ship_package(spark)
     groups = sorted({g for pair in pairs for g in pair})
     col_of = {g: f"__n{i}" for i, g in enumerate(groups)}
     counts = [F.sum(F.when(F.col(group) == F.lit(g), F.lit(1.0)).otherwise(F.lit(0.0))).alias(col_of[g])

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from ..constants import COMPOUND_ALPHA, COMPOUND_DECIMALS
 from ..functions import class_of_compound, rules, special, tokens
+from ..session import ship_package
 from . import joins
 
 MAP_LOOKUP_MAX = 256
@@ -152,6 +153,7 @@ def score_rules(df: DataFrame, lexicon: DataFrame, text: str = "body") -> DataFr
         steps = rules.compound_sql(f"`{text}`", rules.lexicon_map_sql(rows, special.SPARK), special.SPARK)
         out = special.apply_spark(df, steps).withColumnRenamed("__rules_compound", "compound")
         return out.drop(*[name for name, _ in steps if name in out.columns and name.startswith("__")])
+    ship_package(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(dict(rows))
 
     @F.pandas_udf(T.DoubleType())

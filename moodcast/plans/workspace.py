@@ -17,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import align, comments, sentiment, weather
+from ..session import ship_package
 from ..sources import testdata
 
 
@@ -47,6 +48,7 @@ def workspace(spark: SparkSession, sf_dir: str, params: Params = TESTDATA) -> Wo
     stale = ws is not None and (ws.spark is not spark or ws.sc is not spark.sparkContext
                                 or ws.sc._jsc is None or ws.params != params)
     if ws is None or stale:
+        ship_package(spark)
         ws = Workspace(spark, sf_dir.rstrip("/"), params)
         _CACHE[key] = ws
     return ws

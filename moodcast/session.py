@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -89,3 +91,33 @@ def local_path(path: str) -> str:
 
 def exists_local(path: str) -> bool:
     return os.path.exists(local_path(path))
+
+
+_SHIPPED: set[int] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``moodcast`` importable by the Python workers of this session.
+
+    The pandas UDFs refer to functions of this package, so the executors'
+    Python workers must be able to import it.  The package is zipped once
+    per SparkContext and added with ``addPyFile``, which Spark sends to
+    every executor (a package installed on the executors works as well).
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc) if getattr(sc, "_jsc", None) is not None else id(sc)
+    with _SHIP_LOCK:
+        if key in _SHIPPED:
+            return
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg_dir)
+        out = os.path.join(tempfile.mkdtemp(prefix="moodcast-pkg-"), "moodcast.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(pkg_dir):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(out)
+        _SHIPPED.add(key)
