@@ -101,8 +101,11 @@ def _scaled(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
 
 
 # Pivots below this fraction of the largest diagonal entry of the Gram
-# matrix count as zero: that basis term is redundant for the group.
-PIVOT_TOL = 1e-11
+# matrix count as zero: that basis term is redundant for the group.  The
+# Gram matrix squares the condition of the fit, so a pivot of 1e-7 is a
+# direction with about 3e-4 of the largest singular value; keeping
+# smaller ones would let rounding in the sums decide the fitted values.
+PIVOT_TOL = 1e-7
 
 
 def solve_normal_equations(stats: DataFrame, degree: int, keep: Sequence[str]) -> DataFrame:
@@ -129,7 +132,7 @@ def solve_normal_equations(stats: DataFrame, degree: int, keep: Sequence[str]) -
                  f"transform(r, (v, j) -> v - r[k] / m[k][k] * m[k][j]), r))))")
     back = (f"aggregate(sequence({d}, 0, -1), array_repeat(0.0D, {d + 1}), (c, i) -> "
             f"transform(c, (cv, t) -> IF(t = i, IF(__m[i][i] > __tol, "
-            f"(__m[i][{d + 1}] - aggregate(sequence(0, {d}), 0.0D, (s, j) -> s + IF(j > i, __m[i][j] * c[j], 0.0D)))"
+            f"aggregate(sequence(0, {d}), __m[i][{d + 1}], (s, j) -> IF(j > i, s - __m[i][j] * c[j], s))"
             f" / __m[i][i], 0.0D), cv)))")
     rank = f"size(filter(sequence(0, {d}), i -> __m[i][i] > __tol))"
     cur = stats.selectExpr(*keep, f"{tol} AS __tol", f"{eliminate} AS __m")

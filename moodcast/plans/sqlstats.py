@@ -160,7 +160,7 @@ def polyfit_sql(src: str, x: str, y: str, degree: int, by: Sequence[str], keep:
     """Least-squares polynomial per group, predicted at each point.
 
     Same basis and the same elimination as the Spark operator (Chebyshev
-    on the group's x range; pivots under 1e-11 x the largest diagonal
+    on the group's x range; pivots under 1e-7 x the largest diagonal
     entry drop their term), written out as SQL.
     """
     d = degree
@@ -180,7 +180,7 @@ def polyfit_sql(src: str, x: str, y: str, degree: int, by: Sequence[str], keep:
                      + [f"sum(t{i} * y__) AS b{i}" for i in range(d + 1)])
     g = f"SELECT {part}, any_value(lo__) AS lo__, any_value(hi__) AS hi__, {sums} FROM ({basis}) b GROUP BY {part}"
     full = ", ".join(f"g{min(i, j)}_{max(i, j)} AS a{i}_{j}" for i in range(d + 1) for j in range(d + 1))
-    tol = f"1e-11 * greatest({', '.join(f'g{i}_{i}' for i in range(d + 1))})"
+    tol = f"1e-7 * greatest({', '.join(f'g{i}_{i}' for i in range(d + 1))})"
     cur = (f"SELECT {part}, lo__, hi__, {tol} AS tol__, {full}, {', '.join(f'b{i}' for i in range(d + 1))} "
            f"FROM ({g}) g")
     for k in range(d):
