@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, quality
+from . import html_extract, line_dedup, mixing, quality, url_filter
 from .common import read_table
 
 
@@ -26,8 +26,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.digest(read_table(spark, sf_dir, "pages"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mixing, op3_quality_rules, op4_line_dedup)
+    f.__name__: f for f in (op2_mixing, op3_quality_rules, op4_line_dedup, op5_html_extraction, op8_url_filter)
 }
 
 ORACLES: dict[str, str] = {
