@@ -10,10 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, line_dedup, mixing, quality, url_filter
+from . import decontaminate, html_extract, line_dedup, mixing, quality, url_filter
 from .common import read_table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(read_table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mixing, op3_quality_rules, op4_line_dedup, op5_html_extraction, op8_url_filter)
+    f.__name__: f for f in (op1_decontamination, op2_mixing, op3_quality_rules, op4_line_dedup, op5_html_extraction, op8_url_filter)
 }
 
 ORACLES: dict[str, str] = {
