@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodcast.llm import common, line_dedup, mixing, quality
+from moodcast.llm import common, decontaminate, line_dedup, mixing, quality
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +22,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return common.recounted(out)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.clean(docs, common.read_table(spark, sf_dir, "benchmark"))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: the documents taken, with how often and when."""
     return mixing.mix(docs)
@@ -30,6 +35,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup_stage),
+    ("decontamination", decontamination),
     ("mixing", mixing_stage),
 ]
 
