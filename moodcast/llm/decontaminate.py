@@ -24,11 +24,12 @@ row is judged by itself, repeated rows alike; other columns pass through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -259,6 +260,14 @@ def item_blocks(benchmark: DataFrame, max_items: int = BLOCK_ITEMS, max_bytes: i
         yield Block([r["item_id"] for r in rows], [r["text"] for r in rows])
 
 
+def _searcher(sent: Broadcast) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(sent.value.matches([t if isinstance(t, str) else None for t in texts]))
+
+    return search
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with ``dc_matches``: the items found in each text, with the
     window (first word, words), distance and similarity."""
@@ -268,11 +277,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for i, block in enumerate(item_blocks(benchmark)):
         sent = spark.sparkContext.broadcast(block)
 
-        def search(batches: Iterator[pd.Series], sent=sent) -> Iterator[pd.Series]:
-            for texts in batches:
-                yield pd.Series(sent.value.matches([t if isinstance(t, str) else None for t in texts]))
-
-        docs = docs.withColumn(f"dc_block_{i}", F.pandas_udf(search, MATCH)("text"))
+        docs = docs.withColumn(f"dc_block_{i}", F.pandas_udf(_searcher(sent), MATCH)("text"))
         found.append(f"dc_block_{i}")
     return docs.withColumn("dc_matches", F.concat(*found)).drop(*found)
 
