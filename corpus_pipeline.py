@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodcast.llm import common, decontaminate, line_dedup, mixing, quality
+from moodcast.llm import common, decontaminate, line_dedup, minhash, mixing, quality
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +22,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return common.recounted(out)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays."""
+    return minhash.keep_one(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontaminate.clean(docs, common.read_table(spark, sf_dir, "benchmark"))
@@ -35,6 +40,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup),
     ("decontamination", decontamination),
     ("mixing", mixing_stage),
 ]
