@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, line_dedup, minhash, mixing, quality, suffix_dedup, url_filter
+from . import decontaminate, html_extract, line_dedup, minhash, mixing, quality, substring_dedup, suffix_dedup, url_filter
 from .common import read_table
 
 
@@ -34,6 +34,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.digest(read_table(spark, sf_dir, "pages"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.digest(read_table(spark, sf_dir, "pages"))
 
@@ -47,8 +51,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_mixing, op3_quality_rules, op4_line_dedup, op5_html_extraction, op8_url_filter,
-                              op9_suffix_dedup, op10_minhash)
+    f.__name__: f for f in (op1_decontamination, op2_mixing, op3_quality_rules, op4_line_dedup, op5_html_extraction, op6_substring_dedup,
+                              op8_url_filter, op9_suffix_dedup, op10_minhash)
 }
 
 ORACLES: dict[str, str] = {

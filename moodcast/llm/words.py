@@ -40,24 +40,14 @@ def _byte_terms(data: np.ndarray, powers: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_hashes(texts: Sequence[str | None], lower: bool = True, punctuation: bool = False
-                ) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, odd and so never 0; words of each text).
-
-    Words are runs of other than [\\x20\\x09-\\x0D]; by default lower-cased
-    and without ASCII punctuation.  A word hashes alike in every text.
-    """
-    raw = []
-    for t in texts:
-        t = t or ""
-        b = (t.lower() if lower else t).encode("utf-8", "surrogatepass")
-        raw.append(b if punctuation else b.translate(None, _PUNCT))
-    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+def hashed_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, byte past the last, hash) of every word of a buffer
+    that ends in white space.  Hashes are odd, and so never 0."""
     space = _SPACE[data]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if not space[0]:
         edge = np.concatenate(([0], edge))
-    first, last = edge[0::2], edge[1::2]  # the buffer ends in white space
+    first, last = edge[0::2], edge[1::2]
     # Sums of byte * base^(position in its chunk); words that cross a chunk
     # are hashed one by one.
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_byte_terms(data, _UP))))
@@ -67,6 +57,22 @@ def word_hashes(texts: Sequence[str | None], lower: bool = True, punctuation: bo
         for b in data[first[i]:last[i]][::-1].tolist():
             value = (value * _BASE + int(_BYTE[b])) & 0xFFFFFFFFFFFFFFFF
         out[i] = value
+    return first, last, mixed(out + (last - first).astype(np.uint64) * _STEP) | np.uint64(1)
+
+
+def word_hashes(texts: Sequence[str | None], lower: bool = True, punctuation: bool = False
+                ) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, odd and so never 0; words of each text).
+
+    Words are runs of other than [\\x20\\x09-\\x0D]; by default lower-cased
+    and without ASCII punctuation.  A word hashes alike in every text.
+    """
+    raw = []
+    for t in texts:
+        t = t or ""
+        b = (t.lower() if lower else t).encode("utf-8", "surrogatepass")
+        raw.append(b if punctuation else b.translate(None, _PUNCT))
+    first, _, out = hashed_words(np.frombuffer(b"\n".join(raw) + b"\n", np.uint8))
     ends = np.cumsum([len(b) + 1 for b in raw])
     count = np.diff(np.searchsorted(first, ends), prepend=0) if len(raw) else np.zeros(0, np.int64)
-    return mixed(out + (last - first).astype(np.uint64) * _STEP) | np.uint64(1), count
+    return out, count
