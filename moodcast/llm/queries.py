@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, line_dedup, minhash, mixing, quality, substring_dedup, suffix_dedup, url_filter
+from . import decontaminate, html_extract, line_dedup, minhash, mixing, pii, quality, substring_dedup, suffix_dedup, url_filter
 from .common import read_table
 
 
@@ -38,6 +38,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.digest(read_table(spark, sf_dir, "pages"))
 
@@ -51,7 +55,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_mixing, op3_quality_rules, op4_line_dedup, op5_html_extraction, op6_substring_dedup,
+    f.__name__: f for f in (op1_decontamination, op2_mixing, op3_quality_rules, op4_line_dedup, op5_html_extraction, op6_substring_dedup, op7_pii,
                               op8_url_filter, op9_suffix_dedup, op10_minhash)
 }
 
