@@ -40,6 +40,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_struct(docs: DataFrame) -> Column:
+    """All columns as one, out of the way of an operator's own names;
+    ``select("x.*")`` on it gives them back unchanged."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def unpacked(docs: DataFrame, row: str, added: dict[str, Column]) -> list[Column]:
+    """The columns of ``docs`` out of struct ``row``, then the added ones;
+    an added column takes the place of one of the same name."""
+    return [*[added.get(c, F.col(f"{row}.`{c}`")).alias(c) for c in docs.columns],
+            *[v.alias(c) for c, v in added.items() if c not in docs.columns]]
+
+
 def row_hash(*cols: Column) -> Column:
     """A second identity of a row beside its key; nulls differ from ''."""
     return F.xxhash64(*[x for c in cols for x in (c.isNull(), c)])

@@ -284,7 +284,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any match, columns unchanged."""
-    return leaks(docs, benchmark).where(F.size("dc_matches") == 0).drop("dc_matches")
+    rows = leaks(docs.select(common.row_struct(docs).alias("dc_row"), "text"), benchmark)
+    return rows.where(F.size("dc_matches") == 0).select("dc_row.*")
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

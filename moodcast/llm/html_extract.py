@@ -191,8 +191,7 @@ def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFram
     """``pages`` with the main text of each page in column ``out``."""
     common.prepare(pages.sparkSession)
     read = F.pandas_udf(_read_batches, f"{BLOCKS}, {PATHS}")
-    keep = [c for c in pages.columns if c != html]
-    rows = pages.select(F.struct(*keep).alias("he_row"), read(F.col(html)).alias("he_page"))
+    rows = pages.select(common.row_struct(pages).alias("he_row"), read(F.col(html)).alias("he_page"))
     rows = content_paths(rows)
     blocks = F.col("he_page.blocks")
     chosen = F.filter(blocks, lambda b: F.get(F.col("he_score"), b["path"]) >= F.col("he_threshold"))
@@ -206,8 +205,8 @@ def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFram
     kept = F.filter(blocks, lambda b: (b["main"] == F.col("he_main"))
                     & (none | F.array_contains(F.col("he_regions"), b["region"])))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), " ")
-    return rows.select(*[F.col(f"he_row.`{c}`").alias(c) for c in keep if c != out],
-                       F.coalesce(text, F.lit("")).alias(out))
+    rows = rows.select("he_row", F.coalesce(text, F.lit("")).alias("he_out"))
+    return rows.select(*common.unpacked(pages, "he_row", {out: F.col("he_out")}))
 
 
 def digest(pages: DataFrame) -> DataFrame:

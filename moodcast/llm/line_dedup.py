@@ -61,9 +61,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_KEY_CHARS, min_docs: int =
     """``docs`` with ``text`` less its dropped lines, and the columns
     ``ld_lines`` and ``ld_dropped`` (lines before, lines dropped)."""
     hits = dropped_lines(docs.select("doc_id", "text"), min_chars, min_docs)
-    # Names of the helper columns that no column of docs has.
-    own = [c for c in docs.columns if c != "text"]
-    rows = docs.select(F.struct(*own).alias("ld_row"), F.coalesce("text", F.lit("")).alias("ld_text"),
+    rows = docs.select(common.row_struct(docs).alias("ld_row"), F.coalesce("text", F.lit("")).alias("ld_text"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("did"),
                        common.row_hash(F.col("text")).alias("thash"), F.col("text").isNull().alias("ld_null"))
     lines = F.split("ld_text", "\n", -1)
@@ -72,11 +70,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_KEY_CHARS, min_docs: int =
     # A dropped text is never the whole row: a null text stays null.
     kept = F.when(F.col("dropped").isNull(), F.col("ld_text")).otherwise(
         F.array_join(F.transform(stay, lambda p: F.get(lines, p)), "\n"))
-    out = (rows.join(hits, ["did", "thash"], "left")
-           .select("ld_row", F.when(~F.col("ld_null"), kept).alias("text"),
-                   F.size(lines).cast("long").alias("ld_lines"), F.size(drop).cast("long").alias("ld_dropped")))
-    return out.select(*[F.col("text") if c == "text" else F.col(f"ld_row.`{c}`").alias(c) for c in docs.columns],
-                      "ld_lines", "ld_dropped")
+    out = rows.join(hits, ["did", "thash"], "left").select(
+        "ld_row", F.when(~F.col("ld_null"), kept).alias("ld_kept"), F.size(lines).cast("long").alias("ld_lines"),
+        F.size(drop).cast("long").alias("ld_dropped"))
+    added = {"text": F.col("ld_kept"), "ld_lines": F.col("ld_lines"), "ld_dropped": F.col("ld_dropped")}
+    return out.select(*common.unpacked(docs, "ld_row", added))
 
 
 def digest(docs: DataFrame) -> DataFrame:

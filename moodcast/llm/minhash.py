@@ -264,7 +264,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     row with the smallest id stays."""
     did = node_id(F.col("doc_id"), F.col("text"))
     lost = classes(docs.select("doc_id", "text")).where(F.col("class") != F.col("did")).select("did")
-    rows = docs.select(F.struct(*docs.columns).alias("nd_row"), did.alias("did"))
+    rows = docs.select(common.row_struct(docs).alias("nd_row"), did.alias("did"))
     rows = rows.join(lost, "did", "left_anti")
     first = Window.partitionBy("did").orderBy(F.col("nd_row.text"))
     return rows.withColumn("nd_nth", F.row_number().over(first)).where("nd_nth = 1").select("nd_row.*")

@@ -152,8 +152,11 @@ def mix(docs: DataFrame, budget_ratio: float = BUDGET_RATIO, max_passes: int = M
          .select(F.col("doc_id").alias("q_doc"), F.col("source").alias("q_source"), F.col("size").alias("mix_size"),
                  F.col("target").alias("mix_target"), F.col("finish").alias("mix_finish"),
                  F.col("passes").alias("mix_passes")))
-    out = docs.join(q, docs["doc_id"].eqNullSafe(q["q_doc"]) & docs["source"].eqNullSafe(q["q_source"]))
-    return out.drop("q_doc", "q_source").orderBy("mix_finish", "doc_id")
+    rows = docs.select(common.row_struct(docs).alias("mix_row"))
+    out = rows.join(q, F.col("mix_row.doc_id").eqNullSafe(F.col("q_doc"))
+                    & F.col("mix_row.source").eqNullSafe(F.col("q_source")))
+    added = {c: F.col(c) for c in ("mix_size", "mix_target", "mix_finish", "mix_passes")}
+    return out.select(*common.unpacked(docs, "mix_row", added)).orderBy("mix_finish", "doc_id")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -281,12 +281,12 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     again = (found.join(again, ["kind", "norm"]).distinct()
              .groupBy("did", "thash").agg(F.collect_list(F.struct("kind", "norm", "surrogate")).alias("again"))
              .select(F.col("did").alias("p_did"), F.col("thash").alias("p_thash"), "again"))
-    rows = docs.select(F.struct(*docs.columns).alias("pii_row"), did.alias("did"), thash.alias("thash"))
+    rows = docs.select(common.row_struct(docs).alias("pii_row"), did.alias("did"), thash.alias("thash"))
     rows = rows.join(again, rows["did"].eqNullSafe(again["p_did"]) & (rows["thash"] == again["p_thash"]), "left")
     out = rows.select("pii_row", F.pandas_udf(_replacer(key), _REPLACED)(F.col("pii_row.text"), F.col("again"))
                       .alias("pii_new"))
-    return out.select(*[F.col("pii_new.text") if c == "text" else F.col(f"pii_row.`{c}`").alias(c)
-                        for c in docs.columns], F.col("pii_new.entities").alias("pii_entities"))
+    added = {"text": F.col("pii_new.text"), "pii_entities": F.col("pii_new.entities")}
+    return out.select(*common.unpacked(docs, "pii_row", added))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@ over the bits, and ablations are bitwise aggregates over the ledger, so
 neither reads a text again.
 
 Defined results: a null or empty text has no words and fails
-``too_few_words``; other columns pass through untouched and none of them
-is overwritten (the ledger's columns carry the prefix ``q_``); an empty
+``too_few_words``; filtering keeps the other columns as
+they are, and a column of the ledger's name is replaced by it; an empty
 table gives an empty ledger.
 """
 
@@ -187,7 +187,8 @@ def ablations(rows: DataFrame, policy: Policy) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: Policy = V1) -> DataFrame:
     """The rows of ``docs`` that the policy keeps, columns unchanged."""
-    return apply_policy(ledger(docs), policy).where("q_kept").drop("q_ledger", "q_kept")
+    rows = ledger(docs.select(common.row_struct(docs).alias("q_row"), "text"))
+    return apply_policy(rows, policy).where("q_kept").select("q_row.*")
 
 
 def digest(docs: DataFrame, policy: Policy = V1) -> DataFrame:

@@ -155,13 +155,12 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     did = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
     thash = F.hash(F.col("text").isNull(), F.col("text")).cast("long")
     spans = repeated_units(docs.select(did.alias("did"), thash.alias("thash"), "text"))
-    rows = docs.select(F.struct(*docs.columns).alias("ss_row"), did.alias("did"), thash.alias("thash"))
+    rows = docs.select(common.row_struct(docs).alias("ss_row"), did.alias("did"), thash.alias("thash"))
     cut = F.pandas_udf(_cut, _CUT)
     out = (rows.join(spans, ["did", "thash"], "left")
            .select("ss_row", cut(F.col("ss_row.text"), F.col("spans")).alias("ss_cut")))
-    return out.select(*[F.col("ss_cut.text") if c == "text" else F.col(f"ss_row.`{c}`").alias(c)
-                        for c in docs.columns],
-                      F.struct("ss_cut.removed", "ss_cut.n_chars", "ss_cut.n_removed").alias("ss"))
+    added = {"text": F.col("ss_cut.text"), "ss": F.struct("ss_cut.removed", "ss_cut.n_chars", "ss_cut.n_removed")}
+    return out.select(*common.unpacked(docs, "ss_row", added))
 
 
 def digest(docs: DataFrame) -> DataFrame:
