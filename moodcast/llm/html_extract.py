@@ -44,6 +44,8 @@ NOISE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dial
 PUNCTUATION = re.compile(r"[.,;:!?、。，！？…]")
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+#: A tag that the end of the page cuts off.
+_CUT_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 
 
 def is_noise(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -146,7 +148,12 @@ PATHS = "paths array<struct<path string, nodes long, chars long, punct long>>"
 
 def read_page(html: str | None) -> tuple[list[tuple[int, int, bool, str]], list[tuple[str, int, int, int]]]:
     reader = PageReader()
-    reader.feed(html or "")
+    html = html or ""
+    comment = html.rfind("<!--")
+    if comment >= 0 and "-->" not in html[comment:]:  # a comment that never ends holds the rest
+        html = html[:comment]
+    last = html.rfind("<")
+    reader.feed(html[:last] if last >= 0 and _CUT_TAG.match(html, last) else html)
     reader.close()
     reader.flush()
     return reader.blocks, [(p, *s[1:]) for p, s in reader.paths.items()]
