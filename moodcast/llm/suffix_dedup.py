@@ -42,8 +42,9 @@ from .words import mixed
 LENGTH = 200
 GRAM = 56
 WINDOW = LENGTH - GRAM + 1
-#: Contexts of one gram that one task compares, and bytes read at a time.
-GROUP_CONTEXTS = 1000
+#: Contexts of one gram that one task compares (about 300 bytes and 70
+#: suffixes each), and bytes read at a time.
+GROUP_CONTEXTS = 16_384
 SLICE = 4 << 20
 
 _RNG = np.random.default_rng(41)
