@@ -18,8 +18,8 @@ def tables(spark, tmp_path_factory):
     rng = random.Random(9)
     bench = [prose(rng, 30) for _ in range(5)]
     common_line = "This very line stands at the foot of every page"
-    rows = [(i, prose(rng, rng.randrange(40, 120)) + "\n" + common_line, "en", f"src{i % 4}") for i in range(80)]
-    rows += [(100, rows[3][1] + " indeed", "en", "src1"), (101, rows[3][1], "en", "src2")]  # near and exact copy
+    rows = [(i, prose(rng, rng.randrange(80, 160)) + "\n" + common_line, "en", f"src{i % 4}") for i in range(80)]
+    rows += [(100, rows[3][1] + " indeed", "en", "src1"), (101, rows[5][1], "en", "src2")]  # near and exact copy
     rows += [(102, prose(rng, 30) + " " + bench[2] + " " + prose(rng, 30), "en", "src1")]
     rows += [(103, "# $ % & * | < > " * 20, "en", "src0"), (104, "short", "en", None), (105, None, None, None),
              (106, PROSE * 1, "en", None)]
