@@ -122,7 +122,7 @@ def compound_sql(text: str, lex_map: str, dialect: str) -> list[tuple[str, str]]
                   f"+ {caps(wj, v)} END)")
         damp = f"{at(_damp(dialect), dist)}"
         boosted = f"(CASE WHEN {lookup(lj)} IS NULL THEN {v} + {scalar} * {damp} ELSE {v} END)"
-        negated = (f"(CASE WHEN {has(neg, lj)} OR instr(lower({wj}), {q(chr(39).join(['n', 't']))}) > 0 "
+        negated = (f"(CASE WHEN {has(neg, lj)} OR instr(lower({wj}), {q("n't")}) > 0 "
                    f"THEN b_ * {dbl(N_SCALAR)} ELSE b_ END)")
         # bind the boosted value once
         return f"({tr('array(' + boosted + ')' if sp else '[' + boosted + ']', lam1('b_', negated))})[{0 if sp else 1}]"

@@ -197,14 +197,22 @@ def normal_two_sided_steps(z: str, out: str, dialect: str) -> list[tuple[str, st
 # ----------------------------------------------------------------------
 
 
+def bound(steps) -> str:
+    """The last step's SQL with every step before it bound to its name by
+    a lambda, so that each is written (and evaluated) once however often
+    the later ones use it.  A chain of columns would be inlined, and so
+    multiplied, wherever the optimizer moves the result, as into a filter."""
+    *first, (_, expr) = steps
+    for name, sql in reversed(first):
+        expr = f"transform(array({sql}), {name} -> {expr})[0]"
+    return expr
+
+
 def apply_spark(df, steps):
-    """Add each step as a column of a Spark DataFrame, then drop the helpers."""
+    """Add the last step as a column of a Spark DataFrame."""
     from pyspark.sql import functions as F
 
-    for name, sql in steps:
-        df = df.withColumn(name, F.expr(sql))
-    helpers = [name for name, _ in steps[:-1] if name.startswith("__")]
-    return df.drop(*helpers)
+    return df.withColumn(steps[-1][0], F.expr(bound(steps)))
 
 
 def apply_sql(select_sql: str, steps, keep: str = "*") -> str:

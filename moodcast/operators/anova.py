@@ -15,16 +15,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import special
-from ..session import ship_package
 from ..functions.studentized import qtukey, tukey_sf
+from ..session import ship_package
+from . import joins
 
 
 def group_moments(df: DataFrame, group: str, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """by..., group, n, mean, var, and the sums of the whole and the
+    fractional parts of the values: the first is exact up to 2^53, so an
+    offset common to all values costs the second no digits."""
     v = F.col(value).cast("double")
-    return (df.where(F.col(value).isNotNull())
-            .groupBy(*by, group)
-            .agg(F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"),
-                 F.coalesce(F.var_samp(v), F.lit(0.0)).alias("var")))
+    m = (df.where(F.col(value).isNotNull())
+         .groupBy(*by, group)
+         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.floor(v).cast("double")).alias("whole"),
+              F.sum(v - F.floor(v)).alias("part"), F.coalesce(F.var_samp(v), F.lit(0.0)).alias("var")))
+    return m.withColumn("mean", F.col("whole") / F.col("n") + F.col("part") / F.col("n"))
 
 
 # Tukey compares every pair of groups; more groups than this would emit
@@ -35,24 +40,23 @@ TUKEY_MAX_GROUPS = 1000
 def one_way_anova(df: DataFrame, group: str, value: str, by: Sequence[str] = ()) -> DataFrame:
     """by..., k, n, f_stat, p_value, df_between, df_within.
 
-    One pass over the rows: grouping sets give each group's (n, var) and
-    each test's (N, population variance) in the same aggregate; then
-    SSW = sum (n - 1) var, SSB = N var_pop(all) - SSW, on a few rows.
+    One pass over the rows gives each group's moments; the test's totals
+    and then SSW = sum (n - 1) var and SSB = sum n (mean - grand mean)^2
+    come from those few rows, the means taken from a whole number near
+    the grand mean.
     """
-    v = F.col(value).cast("double")
-    sets = [[*by, group], list(by)]
-    lv = df.where(F.col(value).isNotNull()).groupingSets(sets, *by, group).agg(
-        F.grouping(group).alias("__total"),
-        F.count(F.lit(1)).alias("__n"),
-        F.coalesce(F.var_samp(v), F.lit(0.0)).alias("__var"),
-        F.var_pop(v).alias("__vpop"))
-    is_group = F.col("__total") == 0
-    ss = lv.groupBy(*by).agg(
-        F.sum(F.when(is_group, 1).otherwise(0)).cast("long").alias("k"),
-        F.sum(F.when(~is_group, F.col("__n"))).alias("n"),
-        F.sum(F.when(is_group, (F.col("__n") - 1) * F.col("__var"))).alias("__ssw"),
-        F.sum(F.when(~is_group, F.col("__n") * F.col("__vpop"))).alias("__sst"))
-    ss = (ss.withColumn("__ssb", F.greatest(F.col("__sst") - F.col("__ssw"), F.lit(0.0)))
+    m = group_moments(df, group, value, by)
+    total = m.groupBy(*by).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("__N"), F.sum("whole").alias("__whole"),
+                               F.sum("part").alias("__part"), F.sum((F.col("n") - 1) * F.col("var")).alias("__ssw"))
+    total = total.withColumn("__near", F.floor(F.col("__whole") / F.col("__N")).cast("double"))
+
+    def from_near(whole: str, part: str, n: str):
+        return (F.col(whole) - F.col("__near") * F.col(n)) / F.col(n) + F.col(part) / F.col(n)
+
+    off = from_near("whole", "part", "n") - from_near("__whole", "__part", "__N")
+    ss = (joins.attach(m, total, by).groupBy(*by, "k", F.col("__N"), "__ssw")
+          .agg(F.sum(F.col("n") * off * off).alias("__ssb")).withColumnRenamed("__N", "n"))
+    ss = (ss
           .withColumn("df_between", F.col("k") - 1)
           .withColumn("df_within", F.col("n") - F.col("k"))
           .withColumn("f_stat", F.try_divide(F.try_divide(F.col("__ssb"), F.col("df_between")),

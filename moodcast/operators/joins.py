@@ -1,4 +1,4 @@
-"""Broadcast only what has been counted."""
+"""Broadcast only what has been sized."""
 
 from __future__ import annotations
 
@@ -6,24 +6,42 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound for a broadcast side.  The sides broadcast here are keyed by
-# calendar day x class, city x day x class, or one row per test group,
-# so their size grows with the calendar, not with the fact tables.
-MAX_BROADCAST_ROWS = 2_000_000
+# Bound of a broadcast side, by its rows and the width of its columns.
+MAX_BROADCAST_BYTES = 64 << 20
 
+#: Frames that sizing has persisted, until ``release``.
+_KEPT: list[DataFrame] = []
 
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialise ``df``, count it, and mark it for broadcast only when the
-    count is within ``max_rows``.
+
+def row_bytes(df: DataFrame) -> int:
+    """The width of a row: 8 bytes a number, 64 a string, 16 for itself."""
+    return 16 + sum(64 if f.dataType.typeName() in ("string", "binary") else 8 for f in df.schema)
+
+
+def bounded(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Materialise ``df``, count it, and mark it for broadcast only when
+    its size is within ``max_bytes``.
 
     Above the bound the frame is returned unmarked and the join falls back
     to a shuffle join (adaptive execution may still choose a broadcast
     from the measured size).  The persisted copy is recomputed from its
-    lineage if an executor holding it is lost.
+    lineage if an executor holding it is lost, and given up by ``release``.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.count()
-    return F.broadcast(kept) if n <= max_rows else kept
+    _KEPT.append(kept)
+    return F.broadcast(kept) if kept.count() * row_bytes(kept) <= max_bytes else kept
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist until ``release``."""
+    _KEPT.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+    return _KEPT[-1]
+
+
+def release() -> None:
+    """Unpersist everything that building queries has persisted."""
+    while _KEPT:
+        _KEPT.pop().unpersist()
 
 
 def attach(df: DataFrame, small: DataFrame, keys) -> DataFrame:

@@ -3,17 +3,19 @@
 Rows collapse to one row per distinct value with a count per group (so
 a value shared by millions of rows is one row), all groups are ordered
 once, and running counts of smaller values per group give every pair's
-mid-ranks.  Above a size bound the ordering is range-partitioned, so no
-task holds more than one value range.  U, the tie term and the normal
+mid-ranks.  The ordering is cut into value ranges, so no task holds more
+than one of them.  U, the tie term and the normal
 approximation come from one aggregate over the value table; small
 samples without ties take the exact distribution.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from fractions import Fraction
+from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,66 +28,94 @@ EXACT_MAX = 8
 
 
 def exact_two_sided(u: float, n1: int, n2: int) -> float:
-    """2 * P(U >= u) under H0, from the Gaussian binomial coefficients."""
+    """2 * P(U >= u) under H0, U the Mann-Whitney count of samples of n1
+    and n2 without ties.
+
+    U counts as a partition into at most m = min(n1, n2) parts of at most
+    n = max(n1, n2); its distribution function is a fixed sum of binomial
+    polynomials: with prod_{i<=m} (1 - q^(n+i)) opened into 2^m signed
+    powers, each term needs the number of partitions of at most r into
+    parts of at most m, a quasi-polynomial in r.  So the cost depends on
+    m <= EXACT_MAX only, not on n.
+    """
     m, n = min(n1, n2), max(n1, n2)
-    size = m * n + 1
-    # coefficients of prod_{i=1..m} (1 - q^(n+i)) / (1 - q^i)
-    poly = np.zeros(size)
-    poly[0] = 1.0
+    if m == 0:
+        return 1.0
+    k = math.ceil(u - 1e-9)
+    below = m * n - k  # P(U >= k) = P(U <= mn - k) by symmetry
+    if below < 0:
+        return 0.0
+    signed: dict[int, int] = {0: 1}
     for i in range(1, m + 1):
-        shifted = np.zeros(size)
-        shifted[n + i:] = poly[: size - n - i]
-        poly = poly - shifted
-        for j in range(i, size):
-            poly[j] += poly[j - i]
-    total = poly.sum()
-    k = int(np.ceil(u - 1e-9))
-    upper = poly[k:].sum() if k < size else 0.0
-    return float(min(1.0, 2.0 * upper / total))
+        for power, sign in list(signed.items()):
+            if power + n + i <= below:
+                signed[power + n + i] = signed.get(power + n + i, 0) - sign
+    count = sum(sign * _partitions_up_to(below - power, m) for power, sign in signed.items() if sign)
+    return float(min(Fraction(1), Fraction(2 * count, math.comb(m + n, m))))
+
+
+@lru_cache(maxsize=None)
+def _partition_numerator(m: int) -> tuple[int, tuple[int, ...]]:
+    """1 / ((1-q) prod_{i<=m} (1-q^i)) = numerator / (1 - q^c)^(m+1), c the
+    least common multiple of 1..m: (c, numerator)."""
+    c = math.lcm(*range(1, m + 1))
+    poly = [1]
+    for step in (1, *range(1, m + 1)):
+        # times (1 - q^c) / (1 - q^step): a run of ones at every step-th place
+        out = [0] * (len(poly) + c - step)
+        for at in range(0, c, step):
+            for j, v in enumerate(poly):
+                out[at + j] += v
+        poly = out
+    return c, tuple(poly)
+
+
+def _partitions_up_to(r: int, m: int) -> int:
+    """Partitions of 0..r into parts of at most m."""
+    c, numerator = _partition_numerator(m)
+    return sum(v * math.comb((r - j) // c + m, m) for j, v in enumerate(numerator)
+               if v and j <= r and (r - j) % c == 0)
 
 
 @F.pandas_udf(T.DoubleType())
-def _exact_p(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+def _exact_p(u: pd.Series, n1: pd.Series, n2: pd.Series, tmax: pd.Series) -> pd.Series:
     # Spark evaluates the UDF on every pair row, whatever the branch that
-    # uses it, so the size guard must be here as well.
-    return pd.Series([exact_two_sided(float(a), int(b), int(c)) if min(b, c) <= EXACT_MAX else None
-                      for a, b, c in zip(u, n1, n2)], dtype="float64")
+    # uses it, so its conditions must be here as well.
+    return pd.Series([exact_two_sided(float(a), int(b), int(c)) if min(b, c) <= EXACT_MAX and t <= 1 else None
+                      for a, b, c, t in zip(u, n1, n2, tmax)], dtype="float64")
 
 
-# Distinct values up to which the running counts are taken by one window
-# task; above it the range-partitioned two-level running sum is used.
-ONE_TASK_MAX_ROWS = 100_000
+#: Ranges of the value table, by quantiles of the distinct values.
+RANGES = 1024
 
 
-def running_below(wide: DataFrame, value: str, counts: list[str], parts: int,
-                  one_task_max: int | None = None) -> DataFrame:
+def running_below(wide: DataFrame, value: str, counts: list[str], ranges: int = RANGES) -> DataFrame:
     """For each distinct value, add __below_<c> = sum of column c over all
     smaller values, for every count column c.
 
-    The value table is materialised and counted first: up to
-    ``one_task_max`` rows one ordered window computes the running sums;
-    beyond that the table is range-partitioned on the value, each range
-    computes its own running sums and a running sum over the per-range
-    totals (a few rows) gives each range its offset, so no task holds
-    more than one range.
+    The values are cut into ranges at their approximate quantiles, and a
+    value's range follows from the value alone: each range has its own
+    running sums, and one row per range gives the sums below it.  A
+    recomputed partition puts every value into the same range.
     """
     first = Window.unboundedPreceding
-    limit = ONE_TASK_MAX_ROWS if one_task_max is None else one_task_max
-    kept = wide.persist()
-    if kept.count() <= limit:
-        w = Window.orderBy(value).rowsBetween(first, -1)
-        return kept.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0.0)).alias(f"__below_{c}") for c in counts])
-    ranged = (kept.repartitionByRange(max(parts, 1), value)
-              .withColumn("__pid", F.spark_partition_id())
-              .persist())
-    totals = ranged.groupBy("__pid").agg(*[F.sum(c).alias(f"__tot_{c}") for c in counts])
-    wo = Window.orderBy("__pid").rowsBetween(first, -1)
-    offsets = totals.select("__pid", *[F.coalesce(F.sum(f"__tot_{c}").over(wo), F.lit(0.0)).alias(f"__off_{c}")
-                                       for c in counts])
-    wi = Window.partitionBy("__pid").orderBy(value).rowsBetween(first, -1)
-    within = ranged.select("*", *[F.coalesce(F.sum(c).over(wi), F.lit(0.0)).alias(f"__in_{c}") for c in counts])
-    # one row per range partition: the size is known, no count needed
-    out = within.join(F.broadcast(offsets), "__pid")
+    key = F.col(value).cast("double")
+    cuts = wide.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 10 * ranges)).scalar()
+    # Cuts are sorted: the range is found by halving, not by a scan.
+    placed = wide.select("*", cuts.alias("__cuts"))
+    placed = placed.withColumn("__cuts", F.coalesce("__cuts", F.array().cast("array<double>")))
+    step = ("aggregate(sequence(1, {n}), named_struct('lo', 0, 'hi', size(__cuts)), (s, i) -> "
+            "IF(s.lo >= s.hi, s, IF(__cuts[CAST((s.lo + s.hi) / 2 AS INT)] < CAST(`{v}` AS DOUBLE), "
+            "named_struct('lo', CAST((s.lo + s.hi) / 2 AS INT) + 1, 'hi', s.hi), "
+            "named_struct('lo', s.lo, 'hi', CAST((s.lo + s.hi) / 2 AS INT)))), s -> s.lo)")
+    placed = placed.withColumn("__range", F.expr(step.format(n=ranges.bit_length(), v=value))).drop("__cuts")
+    totals = placed.groupBy("__range").agg(*[F.sum(c).alias(f"__tot_{c}") for c in counts])
+    lower = Window.orderBy("__range").rowsBetween(first, -1)  # one row per range
+    offsets = totals.select("__range", *[F.coalesce(F.sum(f"__tot_{c}").over(lower), F.lit(0.0)).alias(f"__off_{c}")
+                                         for c in counts])
+    inside = Window.partitionBy("__range").orderBy(value).rowsBetween(first, -1)
+    within = placed.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0.0)).alias(f"__in_{c}") for c in counts])
+    out = within.join(F.broadcast(offsets), "__range")  # at most ``ranges`` rows
     return out.select(*wide.columns, *[(F.col(f"__off_{c}") + F.col(f"__in_{c}")).alias(f"__below_{c}")
                                        for c in counts])
 
@@ -110,8 +140,7 @@ def mann_whitney(df: DataFrame, group: str, value: str, pairs: Sequence[tuple[st
               for g in groups]
     wide = (df.where(F.col(value).isNotNull() & F.col(group).isin(groups))
             .groupBy(value).agg(*counts))
-    ranked = running_below(wide, value, list(col_of.values()),
-                           parts=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranked = running_below(wide, value, list(col_of.values()))
     stats = []
     for i, (a, b) in enumerate(pairs):
         na, nb = F.col(col_of[a]), F.col(col_of[b])
@@ -138,7 +167,8 @@ def mann_whitney(df: DataFrame, group: str, value: str, pairs: Sequence[tuple[st
     s = special.apply_spark(s, special.normal_two_sided_steps("__z", "p_asym", special.SPARK))
     if exact:
         use_exact = (F.least(F.col("__n1"), F.col("__n2")) <= EXACT_MAX) & (F.col("__tmax") <= 1)
-        s = s.withColumn("p_value", F.when(use_exact, _exact_p(F.col("__u"), F.col("__n1"), F.col("__n2")))
+        s = s.withColumn("p_value", F.when(use_exact, _exact_p(F.col("__u"), F.col("__n1"), F.col("__n2"),
+                                                           F.col("__tmax")))
                          .otherwise(F.col("p_asym")))
     else:
         s = s.withColumn("p_value", F.col("p_asym"))

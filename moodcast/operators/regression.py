@@ -2,19 +2,24 @@
 
 Linear: central moments (``covar_pop``, ``var_pop``, ``avg``) per group in
 one pass; slope, intercept, r, the two-sided p and standard errors follow
-from one row per group.  Polynomial: per-group sums of products of a
-Chebyshev basis on the group's x range, then a (d+1) x (d+1) solve as
-column arithmetic on the one-row-per-group table.  No Python is involved.
+from one row per group.  Polynomial: the points of a group, as rows of a
+Chebyshev basis on the group's x range, are reduced to a triangular QR
+factor block by block; factors merge like sums do (stacked and factored
+again), so a group of any size ends as one small matrix, and no normal
+equations square the condition of the fit.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import special
+from ..session import ship_package
 from . import joins
 
 
@@ -77,19 +82,6 @@ def with_line(df: DataFrame, fit: DataFrame, x: str, by: Sequence[str] = (),
 # ----------------------------------------------------------------------
 
 
-def _with_chebyshev(df: DataFrame, z: str, degree: int, prefix: str = "__t") -> DataFrame:
-    """Add T_0(z) .. T_degree(z) as columns.
-
-    Each term is its own column (the recurrence refers to the two before
-    it), so the optimizer keeps one evaluation per term instead of
-    expanding the recurrence into ever larger expressions.
-    """
-    df = df.selectExpr("*", f"1.0D AS {prefix}0", f"{z} AS {prefix}1")
-    for k in range(2, degree + 1):
-        df = df.selectExpr("*", f"2.0D * {z} * {prefix}{k - 1} - {prefix}{k - 2} AS {prefix}{k}")
-    return df
-
-
 def _scaled(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
     """Add __z, the group's x mapped to [-1, 1] (0 when x does not vary)."""
     rng = df.groupBy(*by).agg(F.min(F.col(x).cast("double")).alias("__lo"),
@@ -100,65 +92,102 @@ def _scaled(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
     return j.withColumn("__z", z)
 
 
-# Pivots below this fraction of the largest diagonal entry of the Gram
-# matrix count as zero: that basis term is redundant for the group.  The
-# Gram matrix squares the condition of the fit, so a pivot of 1e-7 is a
-# direction with about 3e-4 of the largest singular value; keeping
-# smaller ones would let rounding in the sums decide the fitted values.
-PIVOT_TOL = 1e-7
+#: Factors of one group that one task merges at a time, and groups whose
+#: factors a task holds before it hands them on.
+MERGE_WAYS = 64
+HELD_GROUPS = 4096
 
 
-def solve_normal_equations(stats: DataFrame, degree: int, keep: Sequence[str]) -> DataFrame:
-    """Solve G c = h per row, G symmetric positive semi-definite.
+def _merged_r(blocks: list[np.ndarray], width: int) -> np.ndarray:
+    """The triangular factor of blocks of rows, as a width x width matrix."""
+    r = np.linalg.qr(np.vstack(blocks), mode="r")
+    out = np.zeros((width, width))
+    out[:len(r)] = r[:width]
+    return out
 
-    ``stats`` holds __g{i}_{j} (i <= j) and __h{i}.  Gaussian elimination
-    without row exchanges (stable for such matrices) on the augmented
-    matrix held as an array of rows, as two higher-order expressions (one
-    fold for the elimination, one for back substitution), so the plan
-    stays two projections whatever the degree.  A pivot below
-    PIVOT_TOL x max diag marks a redundant term: its coefficient is 0,
-    which still gives a least-squares solution, so fitted values at the
-    data points are the least-squares projection in every case.
-    Returns keep..., rank, coef.
-    """
-    d = degree
-    diag = ", ".join(f"__g{i}_{i}" for i in range(d + 1))
-    tol = f"{PIVOT_TOL!r} * greatest({diag}, 0.0D)"
-    rows = ", ".join(
-        "array(" + ", ".join([f"__g{min(i, j)}_{max(i, j)}" for j in range(d + 1)] + [f"__h{i}"]) + ")"
-        for i in range(d + 1))
-    eliminate = (f"aggregate(sequence(0, {max(d - 1, 0)}), array({rows}), (m, k) -> "
-                 f"IF(k >= {d}, m, transform(m, (r, i) -> IF(i > k AND m[k][k] > __tol, "
-                 f"transform(r, (v, j) -> v - r[k] / m[k][k] * m[k][j]), r))))")
-    back = (f"aggregate(sequence({d}, 0, -1), array_repeat(0.0D, {d + 1}), (c, i) -> "
-            f"transform(c, (cv, t) -> IF(t = i, IF(__m[i][i] > __tol, "
-            f"aggregate(sequence(0, {d}), __m[i][{d + 1}], (s, j) -> IF(j > i, s - __m[i][j] * c[j], s))"
-            f" / __m[i][i], 0.0D), cv)))")
-    rank = f"size(filter(sequence(0, {d}), i -> __m[i][i] > __tol))"
-    cur = stats.selectExpr(*keep, f"{tol} AS __tol", f"{eliminate} AS __m")
-    return cur.selectExpr(*keep, f"CAST({rank} AS INT) AS rank", f"{back} AS coef")
+
+def _factors(degree: int, by: list[str]):
+    """Points (by..., __z, __y) to (by..., r, n), one row per group and task."""
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, tuple[np.ndarray, int]] = {}
+
+        def handed_on() -> pd.DataFrame:
+            rows = [(*k, r.ravel(), n) for k, (r, n) in held.items()]
+            held.clear()
+            return pd.DataFrame(rows, columns=[*by, "r", "n"])
+
+        for points in batches:
+            for key, part in points.groupby(by, dropna=False, sort=False):
+                rows = np.column_stack((np.polynomial.chebyshev.chebvander(part["__z"].to_numpy(float), degree),
+                                        part["__y"].to_numpy(float)))
+                key = tuple(None if pd.isna(k) else k for k in key)
+                old = held.get(key)
+                held[key] = (_merged_r([rows] if old is None else [old[0], rows], degree + 2),
+                             len(rows) + (old[1] if old else 0))
+            if len(held) >= HELD_GROUPS:
+                yield handed_on()
+        if held:
+            yield handed_on()
+
+    return blocks
+
+
+def _merge(degree: int, by: list[str]):
+    def merge(part: pd.DataFrame) -> pd.DataFrame:
+        size = degree + 2
+        r = _merged_r([np.asarray(x, float).reshape(size, size) for x in part["r"]], size)
+        return pd.DataFrame([(*[part[b].iloc[0] for b in by], r.ravel(), int(part["n"].sum()))], columns=[*by, "r", "n"])
+
+    return merge
+
+
+def solve_triangular(r: np.ndarray, degree: int) -> tuple[np.ndarray, int]:
+    """Least-squares coefficients from a factor of [basis | y], and the
+    rank; directions at rounding level only are left out."""
+    size = degree + 2
+    r = r.reshape(size, size)
+    coef, _, rank, _ = np.linalg.lstsq(r[:, :-1], r[:, -1], rcond=size * np.finfo(float).eps)
+    return coef, int(rank)
+
+
+def _solved(degree: int):
+    def solve(r: pd.Series) -> pd.DataFrame:
+        got = [solve_triangular(np.asarray(x, float), degree) for x in r]
+        return pd.DataFrame({"coef": [c.tolist() for c, _ in got], "rank": [k for _, k in got]})
+
+    solve.__annotations__ = {"r": pd.Series, "return": pd.DataFrame}
+    return solve
 
 
 def polyfit(df: DataFrame, x: str, y: str, degree: int, by: Sequence[str] = ()) -> DataFrame:
     """Least-squares polynomial of ``y`` on ``x`` per group.
 
     Returns by..., n, rank, lo, hi, coef (Chebyshev coefficients on
-    [lo, hi]).  One aggregate collects the (d+1)(d+2)/2 + (d+1) sums of
-    basis products; the solve is column arithmetic on that one row per
-    group (``solve_normal_equations``), so the whole fit stays in the JVM.
+    [lo, hi]).  Every task reduces its points of a group to one factor;
+    a group's factors are merged in two rounds, so a group that many
+    tasks share is never one task's work.
     """
     if not by:
         raise ValueError("give at least one group column")
-    pts = _scaled(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), x, by)
-    pts = _with_chebyshev(pts, "__z", degree)
-    sums = []
-    for i in range(degree + 1):
-        for j in range(i, degree + 1):
-            sums.append(F.expr(f"sum(__t{i} * __t{j}) AS __g{i}_{j}"))
-        sums.append(F.expr(f"sum(__t{i} * CAST(`{y}` AS DOUBLE)) AS __h{i}"))
-    stats = pts.groupBy(*by, "__lo", "__hi").agg(F.count(F.lit(1)).alias("n"), *sums)
-    solved = solve_normal_equations(stats, degree, [*by, "n", "__lo", "__hi"])
-    return solved.select(*by, "n", "rank", F.col("__lo").alias("lo"), F.col("__hi").alias("hi"), "coef")
+    ship_package(df.sparkSession)
+    by = list(by)
+    pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    rng = pts.groupBy(*by).agg(F.min(F.col(x).cast("double")).alias("lo"), F.max(F.col(x).cast("double")).alias("hi"))
+    pts = _scaled(pts, x, by).select(*by, "__z", F.col(y).cast("double").alias("__y"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pts.select(*by).schema)
+    factors = pts.mapInPandas(_factors(degree, by), f"{kinds}, r array<double>, n long")
+    salted = factors.withColumn("__way", F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS)))
+    schema = f"{kinds}, r array<double>, n long"
+    merged = salted.groupBy(*by, "__way").applyInPandas(_merge(degree, by), schema)
+    merged = merged.groupBy(*by).applyInPandas(_merge(degree, by), schema)
+    fit = merged.withColumn("__s", F.pandas_udf(_solved(degree), "coef array<double>, rank int")("r"))
+    fit = fit.select(*[F.col(b).alias(f"__{b}") for b in by], "n", F.col("__s.rank").alias("rank"),
+                     F.col("__s.coef").alias("coef"))
+    same = [rng[b].eqNullSafe(fit[f"__{b}"]) for b in by]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    return rng.join(fit, cond).select(*by, "n", "rank", "lo", "hi", "coef")
 
 
 def with_poly(df: DataFrame, fit: DataFrame, x: str, degree: int, by: Sequence[str] = (),
@@ -182,33 +211,8 @@ def fit_series(df: DataFrame, x: str, y: str, degree: int, by: Sequence[str],
                lin_out: str = "lin_predict", poly_out: str = "poly_predict") -> DataFrame:
     """Each point with its group's straight-line and polynomial fits.
 
-    One aggregate per group gives both the linear moments and the
-    Chebyshev sums, one small table carries both sets of coefficients,
-    and one counted broadcast join brings them to the points.
+    Each set of coefficients is one row per group, joined to the points.
     """
-    if not by:
-        raise ValueError("give at least one group column")
-    pts = _scaled(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), x, by)
-    pts = _with_chebyshev(pts, "__z", degree)
-    xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
-    sums = [F.count(F.lit(1)).alias("n"), F.avg(xd).alias("__mx"), F.avg(yd).alias("__my"),
-            F.var_pop(xd).alias("__vx"), F.var_pop(yd).alias("__vy"), F.covar_pop(xd, yd).alias("__cxy")]
-    for i in range(degree + 1):
-        for j in range(i, degree + 1):
-            sums.append(F.expr(f"sum(__t{i} * __t{j}) AS __g{i}_{j}"))
-        sums.append(F.expr(f"sum(__t{i} * CAST(`{y}` AS DOUBLE)) AS __h{i}"))
-    stats = pts.groupBy(*by, "__lo", "__hi").agg(*sums)
-    ok = F.col("__vx") > 0
-    stats = (stats.withColumn("__b1", F.when(ok, F.col("__cxy") / F.col("__vx")))
-             .withColumn("__b0", F.col("__my") - F.col("__b1") * F.col("__mx")))
-    coef = solve_normal_equations(stats, degree, [*by, "__lo", "__hi", "__b1", "__b0"])
-    j = df.join(joins.bounded(coef.withColumnRenamed("coef", "__c").drop("rank")), list(by), "left")
-    j = j.withColumn(lin_out, F.col("__b1") * F.col(x) + F.col("__b0"))
-    width = F.col("__hi") - F.col("__lo")
-    j = j.withColumn("__z", F.when(width > 0, (F.lit(2.0) * F.col(x) - F.col("__lo") - F.col("__hi")) / width)
-                     .otherwise(F.lit(0.0)))
-    j = j.selectExpr("*", "0.0D AS __q" + str(degree + 2), "0.0D AS __q" + str(degree + 1))
-    for k in range(degree, 0, -1):
-        j = j.selectExpr("*", f"__c[{k}] + 2.0D * __z * __q{k + 1} - __q{k + 2} AS __q{k}")
-    j = j.selectExpr("*", f"__c[0] + __z * __q1 - __q2 AS `{poly_out}`")
-    return j.drop("__lo", "__hi", "__c", "__z", "__b1", "__b0", *[f"__q{k}" for k in range(1, degree + 3)])
+    fit = polyfit(df, x, y, degree, by)
+    lines = with_line(df, linregress(df, x, y, by), x, by, lin_out)
+    return with_poly(lines, fit, x, degree, by, poly_out)

@@ -3,33 +3,25 @@
 Two modes:
 
 * ``bag``: lower-case words, sum of their valences, then
-  ``s / sqrt(s^2 + 15)``.  Runs entirely in the JVM.  A lexicon of at most
-  ``MAP_LOOKUP_MAX`` entries becomes a map literal and every text is
-  scored by a higher-order function inside its own row (no shuffle); a
-  larger lexicon is joined to the exploded words by a counted broadcast
-  and summed per text id.
+  ``s / sqrt(s^2 + 15)``;
 * ``rules``: the valence rules of the published method (boosters,
-  negation, capitals, exclamation and question marks, "but") as one SQL
-  expression of higher-order functions; an Arrow-batched pandas UDF with
-  a broadcast dict takes over for lexicons too large for a map literal.
+  negation, capitals, exclamation and question marks, "but").
+
+Both take one path for a lexicon of any size: the words of a text leave
+it as rows (id, position, word, and in rules mode what the three words
+before it do to it), meet the lexicon in a join, and are summed per id.
+The text itself never enters a join or an exchange.  A token listed
+several times in the lexicon counts once, with its largest valence.
 """
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..constants import COMPOUND_ALPHA, COMPOUND_DECIMALS
-from ..functions import class_of_compound, rules, special, tokens
-from ..session import ship_package
-from . import joins
-
-MAP_LOOKUP_MAX = 256
+from ..functions import class_of_compound, rules, tokens
+from ..functions.special import bound
 
 
 def normalise(s: Column) -> Column:
@@ -37,128 +29,109 @@ def normalise(s: Column) -> Column:
     return F.round(s / F.sqrt(s * s + F.lit(COMPOUND_ALPHA)), COMPOUND_DECIMALS)
 
 
-def _lexicon_map(lexicon: DataFrame) -> Column | None:
-    """A map literal when the lexicon is small; the row count is checked
-    before anything is brought to the driver."""
-    if lexicon.limit(MAP_LOOKUP_MAX + 1).count() > MAP_LOOKUP_MAX:
-        return None
-    pairs = []
-    for row in lexicon.select("token", "valence").collect():
-        pairs += [F.lit(row["token"]), F.lit(float(row["valence"]))]
-    return F.create_map(*pairs)
+def _valences(lexicon: DataFrame) -> DataFrame:
+    return lexicon.groupBy("token").agg(F.max(F.col("valence").cast("double")).alias("valence"))
+
+
+def _with_scores(ids: DataFrame, sums: DataFrame, id_col: str, compound: Column) -> DataFrame:
+    """Every id with its score; texts without a lexicon word score 0."""
+    scores = sums.select(id_col, compound.alias("compound"))
+    return ids.join(scores, id_col, "left").select(id_col, F.coalesce("compound", F.lit(0.0)).alias("compound"))
 
 
 def score_bag(df: DataFrame, lexicon: DataFrame, text: str = "body",
               id_col: str = "comment_id") -> DataFrame:
-    """Add ``compound`` (bag mode).  Texts without a lexicon word score 0."""
-    lex_map = _lexicon_map(lexicon)
-    if lex_map is not None:
-        vals = F.transform(tokens(text), lambda t: F.coalesce(F.try_element_at(lex_map, t), F.lit(0.0)))
-        s = F.aggregate(vals, F.lit(0.0), lambda acc, v: acc + v)
-        return df.withColumn("compound", normalise(s))
+    """(id, compound) of every text, bag mode."""
     words = df.select(id_col, F.explode(tokens(text)).alias("token"))
-    hits = (words.join(joins.bounded(lexicon.select("token", "valence")), "token")
-            .groupBy(id_col).agg(F.sum("valence").alias("__s")))
-    scored = df.join(hits, id_col, "left")
-    return scored.withColumn("compound", normalise(F.coalesce(F.col("__s"), F.lit(0.0)))).drop("__s")
-
-
-def classify(df: DataFrame, lexicon: DataFrame, text: str = "body", mode: str = "bag",
-             id_col: str = "comment_id") -> DataFrame:
-    """Add ``compound`` and ``sentiment`` (negative / neutral / positive)."""
-    scored = score_bag(df, lexicon, text, id_col) if mode == "bag" else score_rules(df, lexicon, text)
-    return scored.withColumn("sentiment", class_of_compound("compound"))
+    sums = words.join(_valences(lexicon), "token").groupBy(id_col).agg(F.sum("valence").alias("__s"))
+    return _with_scores(df.select(id_col), sums, id_col, normalise(F.col("__s")))
 
 
 # ----------------------------------------------------------------------
 # Rules mode.
 # ----------------------------------------------------------------------
 
-_WORD = regex.compile(rules.WORD_PATTERN)
-_UP = set(rules.BOOSTERS_UP)
-_DOWN = set(rules.BOOSTERS_DOWN)
-_NEG = set(rules.NEGATIONS)
-
-
-def _isupper(w: str) -> bool:
-    return w.upper() == w and w.lower() != w
-
-
-def rule_valence(text: str | None, lex: dict[str, float]) -> float:
-    """Compound score of one text under the rule set (plain Python).
-
-    The reference for ``functions.rules.compound_sql`` (tests) and the
-    scorer of the UDF path used for lexicons too large for a map literal.
-    """
-    if text is None:
-        return 0.0
-    words = _WORD.findall(text)
-    if not words:
-        return 0.0
-    n_upper = sum(1 for w in words if _isupper(w))
-    mixed = 0 < n_upper < len(words)
-    lows = [w.lower().replace("'", "") for w in words]
-    vals = []
-    for i, (word, low) in enumerate(zip(words, lows)):
-        v = lex.get(low)
-        if v is None or low in _UP or low in _DOWN:
-            vals.append(0.0)
-            continue
-        if mixed and _isupper(word):
-            v += rules.C_INCR if v > 0 else -rules.C_INCR
-        for dist in (1, 2, 3):
-            j = i - dist
-            if j < 0:
-                break
-            if lows[j] not in lex:
-                s0 = rules.B_INCR if lows[j] in _UP else rules.B_DECR if lows[j] in _DOWN else 0.0
-                if s0 != 0.0:
-                    scalar = -s0 if v < 0 else s0
-                    if mixed and _isupper(words[j]):
-                        scalar += rules.C_INCR if v > 0 else -rules.C_INCR
-                    v += scalar * rules.BOOSTER_DAMPING[dist - 1]
-            if lows[j] in _NEG or "n't" in words[j].lower():
-                v *= rules.N_SCALAR
-        vals.append(v)
-    if "but" in lows:
-        at = lows.index("but")
-        vals = [v * rules.BUT_BEFORE if i < at else (v * rules.BUT_AFTER if i > at else v)
-                for i, v in enumerate(vals)]
-    s = 0.0
-    for v in vals:
-        s += v
-    if s != 0.0:
-        q = text.count("?")
-        ep = min(text.count("!"), rules.EXCLAIM_MAX) * rules.EXCLAIM_WEIGHT
-        ep += (q * rules.QUESTION_WEIGHT if q <= 3 else rules.QUESTION_MAX_WEIGHT) if q > 1 else 0.0
-        s = s + ep if s > 0 else s - ep
-    comp = max(-1.0, min(1.0, s / math.sqrt(s * s + COMPOUND_ALPHA)))
-    return round(comp, COMPOUND_DECIMALS)
-
-
-def score_rules(df: DataFrame, lexicon: DataFrame, text: str = "body") -> DataFrame:
-    """Add ``compound`` (rules mode).
-
-    With a lexicon small enough for a map literal the whole rule set is
-    one SQL expression of higher-order array functions
-    (``functions.rules``), evaluated in the JVM.  A larger lexicon is
-    collected after a size check, sent once per executor as a broadcast
-    variable and used by an Arrow-batched pandas UDF.
-    """
-    n = lexicon.limit(joins.MAX_BROADCAST_ROWS + 1).count()
-    if n > joins.MAX_BROADCAST_ROWS:
-        raise ValueError("lexicon too large to ship to the scoring tasks")
-    rows = [(r["token"], float(r["valence"])) for r in lexicon.select("token", "valence").collect()]
-    if n <= MAP_LOOKUP_MAX:
-        steps = rules.compound_sql(f"`{text}`", rules.lexicon_map_sql(rows, special.SPARK), special.SPARK)
-        out = special.apply_spark(df, steps).withColumnRenamed("__rules_compound", "compound")
-        return out.drop(*[name for name, _ in steps if name in out.columns and name.startswith("__")])
-    ship_package(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(dict(rows))
-
-    @F.pandas_udf(T.DoubleType())
-    def _score(texts: pd.Series) -> pd.Series:
-        table = shared.value
-        return texts.map(lambda t: rule_valence(t, table)).astype("float64")
-
-    return df.withColumn("compound", _score(F.col(text)))
+
+def _strings(values) -> str:
+    return "array(" + ", ".join("'" + v + "'" for v in values) + ")"
+
+
+def _capitals(word: str) -> str:
+    return f"coalesce(upper({word}) = {word} AND lower({word}) <> {word}, false)"
+
+
+def _words_sql(text: str, up: list[str], down: list[str]) -> str:
+    """The words of a text as structs: the word's own form, and for the
+    words one, two and three before it their boost (0 for none), capitals
+    and negation."""
+    low = "replace(lower(w), '''', '')"
+    word = (f"transform({text}, w -> named_struct('low', {low}, 'caps', {_capitals('w')}, "
+            f"'boost', CASE WHEN array_contains({_strings(up)}, {low}) THEN {rules.B_INCR!r}D "
+            f"WHEN array_contains({_strings(down)}, {low}) THEN {rules.B_DECR!r}D ELSE 0.0D END, "
+            f"'deny', array_contains({_strings(rules.NEGATIONS)}, {low}) OR instr(lower(w), 'n''t') > 0))")
+    before = ", ".join(f"get(ws, i - {d})" for d in (1, 2, 3))
+    flagged = ("transform(ws, (x, i) -> named_struct('low', x.low, 'caps', x.caps, "
+               f"'before', array({before})))")
+    caps = "size(filter(ws, x -> x.caps))"
+    return bound([
+        ("ws", word),
+        ("out", f"named_struct('words', {flagged}, 'mixed', {caps} > 0 AND {caps} < size(ws), "
+                "'but', array_position(transform(ws, x -> x.low), 'but'))"),
+    ])
+
+
+def _valence_sql() -> str:
+    """A lexicon word's valence after the words before it, nearest first."""
+    push = f"(CASE WHEN v > 0 THEN {rules.C_INCR!r}D ELSE {-rules.C_INCR!r}D END)"
+    steps = [("v", "valence + CASE WHEN mixed AND t.caps THEN "
+                   f"CASE WHEN valence > 0 THEN {rules.C_INCR!r}D ELSE {-rules.C_INCR!r}D END ELSE 0.0D END")]
+    for d, damping in enumerate(rules.BOOSTER_DAMPING):
+        prev = f"t.before[{d}]"
+        boosted = (f"CASE WHEN coalesce({prev}.boost, 0.0D) = 0.0D THEN v ELSE v + {damping!r}D * "
+                   f"(CASE WHEN v < 0 THEN -{prev}.boost ELSE {prev}.boost END "
+                   f"+ CASE WHEN mixed AND {prev}.caps THEN {push} ELSE 0.0D END) END")
+        steps += [("v", boosted), ("v", f"CASE WHEN coalesce({prev}.deny, false) THEN v * {rules.N_SCALAR!r}D ELSE v END")]
+    steps.append(("out", f"v * CASE WHEN but = 0 OR pos + 1 = but THEN 1.0D WHEN pos + 1 < but THEN {rules.BUT_BEFORE!r}D "
+                         f"ELSE {rules.BUT_AFTER!r}D END"))
+    return bound(steps)
+
+
+def score_rules(df: DataFrame, lexicon: DataFrame, text: str = "body",
+                id_col: str = "comment_id") -> DataFrame:
+    """(id, compound) of every text, rules mode."""
+    # Boosters that are lexicon words themselves neither boost nor count.
+    boosters = [*rules.BOOSTERS_UP, *rules.BOOSTERS_DOWN]
+    listed = {r["token"] for r in lexicon.where(F.col("token").isin(boosters)).select("token").distinct().collect()}
+    up, down = ([b for b in side if b not in listed] for side in (rules.BOOSTERS_UP, rules.BOOSTERS_DOWN))
+    found = F.coalesce(F.regexp_extract_all(F.col(text), F.lit(rules.WORD_PATTERN), F.lit(0)),
+                       F.array().cast("array<string>"))
+    marks = [(F.length(text) - F.length(F.replace(F.col(text), F.lit(c), F.lit("")))).alias(n)
+             for c, n in (("!", "excl"), ("?", "ques"))]
+    texts = df.select(id_col, *marks, found.alias("__found")).withColumn("__t", F.expr(_words_sql("__found", up, down)))
+    words = texts.select(id_col, "excl", "ques", F.col("__t.mixed").alias("mixed"), F.col("__t.but").alias("but"),
+                         F.posexplode("__t.words").alias("pos", "t"))
+    words = words.where(~F.col("t.low").isin(boosters)).withColumn("token", F.col("t.low"))
+    hits = words.join(_valences(lexicon), "token").select(
+        id_col, "excl", "ques", F.struct("pos", F.expr(_valence_sql()).alias("x")).alias("__x"))
+    # Summed in the order of the text, so that reruns agree to the last digit.
+    sums = hits.groupBy(id_col).agg(F.first("excl").alias("excl"), F.first("ques").alias("ques"),
+                                    F.array_sort(F.collect_list("__x")).alias("__xs"))
+    s = F.aggregate(F.transform("__xs", lambda h: h["x"]), F.lit(0.0), lambda a, x: a + x)
+    emphasis = (F.least("excl", F.lit(rules.EXCLAIM_MAX)) * F.lit(rules.EXCLAIM_WEIGHT)
+                + F.when(F.col("ques") <= 1, 0.0).when(F.col("ques") <= 3, F.col("ques") * rules.QUESTION_WEIGHT)
+                .otherwise(rules.QUESTION_MAX_WEIGHT))
+    sums = sums.select(id_col, s.alias("__s"), emphasis.alias("__e"))
+    total = F.col("__s") + F.signum("__s") * F.col("__e")
+    compound = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), total / F.sqrt(total * total + F.lit(COMPOUND_ALPHA))))
+    return _with_scores(df.select(id_col), sums, id_col, F.round(compound, COMPOUND_DECIMALS))
+
+
+def classify(df: DataFrame, lexicon: DataFrame, text: str = "body", mode: str = "bag",
+             id_col: str = "comment_id") -> DataFrame:
+    """``df`` without its text, with ``compound`` and ``sentiment``
+    (negative / neutral / positive).  ``id_col`` is unique."""
+    score = score_bag if mode == "bag" else score_rules
+    scored = score(df, lexicon, text, id_col)
+    if set(df.columns) - {text, id_col}:
+        scored = df.drop(text).join(scored, id_col)
+    return scored.withColumn("sentiment", class_of_compound("compound"))

@@ -159,49 +159,29 @@ def polyfit_sql(src: str, x: str, y: str, degree: int, by: Sequence[str], keep:
                 decimals: int = 6) -> str:
     """Least-squares polynomial per group, predicted at each point.
 
-    Same basis and the same elimination as the Spark operator (Chebyshev
-    on the group's x range; pivots under 1e-7 x the largest diagonal
-    entry drop their term), written out as SQL.
+    Another method than the Spark operator's: polynomials orthogonal on
+    the group's own points, by the three-term recurrence with every term
+    orthogonalised once more against all before it, and y projected on
+    each.  A term at rounding level is left out.
     """
-    d = degree
-    part = ", ".join(by)
-    on = " AND ".join(f"p.{b} = c.{b}" for b in by)
+    part = f"OVER (PARTITION BY {', '.join(by)})"
     xd, yd = f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)"
-    pts = (f"SELECT *, {xd} AS x__, {yd} AS y__, min({xd}) OVER (PARTITION BY {part}) AS lo__, "
-           f"max({xd}) OVER (PARTITION BY {part}) AS hi__ FROM ({src}) s "
-           f"WHERE {x} IS NOT NULL AND {y} IS NOT NULL")
-    z = (f"SELECT *, CASE WHEN hi__ > lo__ THEN (2.0 * x__ - lo__ - hi__) / (hi__ - lo__) ELSE 0.0 END AS z__, "
-         f"1.0 AS t0 FROM ({pts}) p")
-    cur = f"SELECT *, z__ AS t1 FROM ({z}) a"
-    for k in range(2, d + 1):
-        cur = f"SELECT *, 2.0 * z__ * t{k - 1} - t{k - 2} AS t{k} FROM ({cur}) a{k}"
-    basis = cur
-    sums = ", ".join([f"sum(t{i} * t{j}) AS g{i}_{j}" for i in range(d + 1) for j in range(i, d + 1)]
-                     + [f"sum(t{i} * y__) AS b{i}" for i in range(d + 1)])
-    g = f"SELECT {part}, any_value(lo__) AS lo__, any_value(hi__) AS hi__, {sums} FROM ({basis}) b GROUP BY {part}"
-    full = ", ".join(f"g{min(i, j)}_{max(i, j)} AS a{i}_{j}" for i in range(d + 1) for j in range(d + 1))
-    tol = f"1e-7 * greatest({', '.join(f'g{i}_{i}' for i in range(d + 1))})"
-    cur = (f"SELECT {part}, lo__, hi__, {tol} AS tol__, {full}, {', '.join(f'b{i}' for i in range(d + 1))} "
-           f"FROM ({g}) g")
-    for k in range(d):
-        repl = []
-        for i in range(k + 1, d + 1):
-            f = f"(CASE WHEN a{k}_{k} > tol__ THEN a{i}_{k} / a{k}_{k} ELSE 0.0 END)"
-            repl += [f"a{i}_{j} - {f} * a{k}_{j} AS a{i}_{j}" for j in range(k + 1, d + 1)]
-            repl.append(f"b{i} - {f} * b{k} AS b{i}")
-        cur = f"SELECT * REPLACE ({', '.join(repl)}) FROM ({cur}) e{k}"
-    for i in range(d, -1, -1):
-        tail = " ".join(f"- a{i}_{j} * c{j}" for j in range(i + 1, d + 1))
-        cur = (f"SELECT *, CASE WHEN a{i}_{i} > tol__ THEN (b{i} {tail}) / a{i}_{i} ELSE 0.0 END AS c{i} "
-               f"FROM ({cur}) r{i}")
-    coefs = cur
-    # Clenshaw at each point
-    pz = (f"SELECT p.*, c.lo__ AS clo, c.hi__ AS chi, {', '.join(f'c.c{k}' for k in range(d + 1))} "
-          f"FROM ({src}) p JOIN ({coefs}) c ON {on}")
-    zz = (f"SELECT *, CASE WHEN chi > clo THEN (2.0 * CAST({x} AS DOUBLE) - clo - chi) / (chi - clo) "
-          f"ELSE 0.0 END AS zz__, 0.0 AS q{d + 2}, 0.0 AS q{d + 1} FROM ({pz}) p")
-    cur = zz
-    for k in range(d, 0, -1):
-        cur = f"SELECT *, c{k} + 2.0 * zz__ * q{k + 1} - q{k + 2} AS q{k} FROM ({cur}) h{k}"
-    keep_cols = ", ".join(keep)
-    return (f"SELECT {keep_cols}, round(c0 + zz__ * q1 - q2, {decimals}) AS poly_predict FROM ({cur}) fin")
+    cur = (f"SELECT *, {yd} AS y__, CASE WHEN max({xd}) {part} > min({xd}) {part} THEN (2.0 * {xd} - min({xd}) {part} "
+           f"- max({xd}) {part}) / (max({xd}) {part} - min({xd}) {part}) ELSE 0.0 END AS z__ "
+           f"FROM ({src}) s WHERE {x} IS NOT NULL AND {y} IS NOT NULL")
+    cur = f"SELECT *, 1.0 / sqrt(count(*) {part}) AS p0 FROM ({cur}) a"
+    for k in range(1, degree + 1):
+        cur = f"SELECT *, z__ * p{k - 1} AS w FROM ({cur}) a{k}"
+        cur = f"SELECT *, sqrt(sum(w * w) {part}) AS w0 FROM ({cur}) b{k}"
+        for _ in range(2):
+            dots = ", ".join(f"sum(w * p{j}) {part} AS d{j}" for j in range(k))
+            less = " ".join(f"- d{j} * p{j}" for j in range(k))
+            cur = (f"SELECT * EXCLUDE ({', '.join(f'd{j}' for j in range(k))}) REPLACE (w {less} AS w) "
+                   f"FROM (SELECT *, {dots} FROM ({cur}) c{k}) e{k}")
+        cur = f"SELECT *, sqrt(sum(w * w) {part}) AS w1 FROM ({cur}) f{k}"
+        cur = (f"SELECT * EXCLUDE (w, w0, w1), CASE WHEN w1 > 1e-13 * w0 THEN w / w1 ELSE 0.0 END AS p{k} "
+               f"FROM ({cur}) g{k}")
+    coefs = ", ".join(f"sum(y__ * p{k}) {part} AS c{k}" for k in range(degree + 1))
+    fitted = " + ".join(f"c{k} * p{k}" for k in range(degree + 1))
+    return (f"SELECT {', '.join(keep)}, round({fitted}, {decimals}) AS poly_predict "
+            f"FROM (SELECT *, {coefs} FROM ({cur}) h) i")

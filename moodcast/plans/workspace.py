@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import align, comments, sentiment, weather
+from ..operators import align, comments, joins, sentiment, weather
 from ..session import ship_package
 from ..sources import testdata
 
@@ -174,10 +174,12 @@ class Workspace:
                                    by=["city"]))
 
     def release(self) -> None:
-        """Unpersist the kept inputs (they are rebuilt on next use)."""
+        """Unpersist the kept inputs and all that queries built on them have
+        persisted (they are rebuilt on next use)."""
+        joins.release()
         for name in ("weather", "classified", "base", "monthly"):
             df = self.__dict__.pop(name, None)
             if df is not None:
                 df.unpersist()
-        for name in ("daily_counts", "rain", "snow", "label_daily", "class_daily", "temp_points"):
+        for name in ("daily_counts", "rain", "snow", "label_daily", "class_daily", "temp_points", "_forest"):
             self.__dict__.pop(name, None)

@@ -110,37 +110,69 @@ def test_m16_epoch_to_utc_date_and_malformed(spark):
     assert got == [dt.date(2024, 1, 1), dt.date(2024, 1, 2), None, None]
 
 
-def test_bag_sentiment_modes_agree_on_large_lexicon_path(spark, monkeypatch):
-    lex = spark.createDataFrame([("good", 1.9), ("bad", -2.5)], schemas.LEXICON)
+def _big_lexicon(spark, rows, n=5000):
+    """The given rows among so many more that no literal could hold them."""
+    return spark.createDataFrame([*rows, *((f"filler{i}", 1.0 + i % 3) for i in range(n - len(rows)))], schemas.LEXICON)
+
+
+def test_bag_sentiment_is_one_path_for_any_lexicon(spark):
+    rows = [("good", 1.9), ("bad", -2.5)]
     df = spark.createDataFrame([(1, "Good, good day"), (2, "bad"), (3, "nothing here"), (4, None)],
                                "comment_id long, body string")
-    small = {r.comment_id: r.compound for r in sentiment.score_bag(df, lex).collect()}
-    monkeypatch.setattr(sentiment, "MAP_LOOKUP_MAX", 1)
-    big = {r.comment_id: r.compound for r in sentiment.score_bag(df, lex).collect()}
+    small = {r.comment_id: r.compound for r in
+             sentiment.score_bag(df, spark.createDataFrame(rows, schemas.LEXICON)).collect()}
+    big = {r.comment_id: r.compound for r in sentiment.score_bag(df, _big_lexicon(spark, rows)).collect()}
     assert small[1] == pytest.approx(round(3.8 / (3.8 ** 2 + 15) ** 0.5, 4))
-    assert small[3] == 0.0
-    assert {k: v for k, v in small.items() if k != 4} == {k: v for k, v in big.items() if k != 4}
-
-
-def test_rule_sentiment_effects():
-    lex = {"good": 1.9, "bad": -2.5}
-    plain = sentiment.rule_valence("good", lex)
-    assert sentiment.rule_valence("very good", lex) > plain          # booster
-    assert sentiment.rule_valence("not good", lex) < 0               # negation
-    assert sentiment.rule_valence("good!!!", lex) > plain            # exclamation
-    assert sentiment.rule_valence("it is GOOD today", lex) > sentiment.rule_valence("it is good today", lex)
-    assert sentiment.rule_valence("bad but good", lex) > sentiment.rule_valence("bad and good", lex)
-    assert sentiment.rule_valence("", lex) == 0.0 and sentiment.rule_valence(None, lex) == 0.0
-
-
-def test_rules_sql_path_matches_udf_path_and_python(spark, monkeypatch):
-    lex_rows = [("good", 1.9), ("bad", -2.5)]
-    lex = spark.createDataFrame(lex_rows, schemas.LEXICON)
-    texts = ["very good", "not good!!", "It is GOOD", "bad but good", "Don't say bad?? really bad", "", None,
-             "kinda good, hardly bad", "isn't it good"]
-    df = spark.createDataFrame(list(enumerate(texts)), "id long, body string")
-    sql_path = {r.id: r.compound for r in sentiment.score_rules(df, lex).collect()}
-    monkeypatch.setattr(sentiment, "MAP_LOOKUP_MAX", 1)
-    udf_path = {r.id: r.compound for r in sentiment.score_rules(df, lex).collect()}
-    py = {i: sentiment.rule_valence(t, dict(lex_rows)) for i, t in enumerate(texts)}
-    assert sql_path == udf_path == py
+    assert small[3] == small[4] == 0.0 and small == big
+
+
+def test_repeated_lexicon_tokens_count_once(spark):
+    df = spark.createDataFrame([(1, "good day")], "comment_id long, body string")
+    lex = spark.createDataFrame([("good", 1.0), ("good", 2.0)], schemas.LEXICON)
+    want = round(2.0 / (2.0 ** 2 + 15) ** 0.5, 4)
+    assert sentiment.score_bag(df, lex).first().compound == want
+    assert sentiment.score_rules(df, lex).first().compound == want
+
+
+def _compound(s):
+    return round(s / (s * s + 15) ** 0.5, 4)
+
+
+# Sums worked out by hand from the published constants.
+RULE_CASES = [
+    ("good", 1.9),
+    ("very good", 1.9 + 0.293),
+    ("it was really very good", 1.9 + 0.293 + 0.293 * 0.95),
+    ("kinda good", 1.9 - 0.293),
+    ("hardly a bad", -2.5 + 0.293 * 0.95),
+    ("not good", 1.9 * -0.74),
+    ("don't say good", 1.9 * -0.74),
+    ("not a very good", (1.9 + 0.293) * -0.74),
+    ("It is GOOD", 1.9 + 0.733),
+    ("GOOD DAY", 1.9),
+    ("it is VERY good", 1.9 + 0.293 + 0.733),
+    ("bad but good", -2.5 * 0.5 + 1.9 * 1.5),
+    ("good!!!", 1.9 + 3 * 0.292),
+    ("bad!!!!!!", -2.5 - 4 * 0.292),
+    ("good??", 1.9 + 2 * 0.18),
+    ("bad?????", -2.5 - 0.96),
+    ("good?", 1.9),
+    ("neutral words!!!", 0.0),
+    ("never never never good", 1.9 * -0.74 ** 3),
+    ("", 0.0),
+    (None, 0.0),
+]
+
+
+@pytest.mark.parametrize("size", [2, 5000])
+def test_rules_match_sums_by_hand(spark, size):
+    lex = _big_lexicon(spark, [("good", 1.9), ("bad", -2.5)], size)
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(RULE_CASES)], "comment_id long, body string")
+    got = {r.comment_id: r.compound for r in sentiment.score_rules(df, lex).collect()}
+    assert got == {i: pytest.approx(_compound(s), abs=1e-9) for i, (_, s) in enumerate(RULE_CASES)}
+
+
+def test_boosters_in_the_lexicon_do_not_boost(spark):
+    lex = spark.createDataFrame([("good", 1.9), ("so", 1.0)], schemas.LEXICON)
+    df = spark.createDataFrame([(1, "so good")], "comment_id long, body string")
+    assert sentiment.score_rules(df, lex).first().compound == _compound(1.9)
