@@ -215,7 +215,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = nodes.where(F.col("did") == F.col("node")).select("node", F.explode("keys").alias("key"))
     spark = docs.sparkSession
     linked = spark.createDataFrame([], "u long, v long")
-    tried = None
+    tried = words = None
     for _ in range(ROUNDS):
         heads = members.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"))
         heads = common.rekeyed(heads.where(F.col("last") > F.col("head")), ["key"], "k_").select("k_key", "head")
@@ -224,7 +224,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs = held.select("node", "head").distinct()
         if tried is not None:
             pairs = pairs.join(tried.select("node", "head"), ["node", "head"], "left_anti")
-        tested = common.written(tested_pairs(rows, pairs), "omh-tested")
+        if words is None:  # whoever shares a bucket; later rounds are among them
+            words = packed_words(rows, pairs)
+        tested = common.written(tested_pairs(words, pairs), "omh-tested")
         linked = linked.unionByName(tested.where("ok").select(F.col("node").alias("u"), F.col("head").alias("v")))
         tried = tested if tried is None else tried.unionByName(tested)
         # Members that are no match of their head go on among themselves.
@@ -235,12 +237,16 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes.select("did", "node"), linked
 
 
-def tested_pairs(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, head) pairs with ``ok``: whether their texts are similar."""
-    wanted = (pairs.select("node").unionByName(pairs.select(F.col("head").alias("node"))).distinct())
+def packed_words(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, words) of every node in ``pairs``."""
+    wanted = pairs.select("node").unionByName(pairs.select(F.col("head").alias("node"))).distinct()
     texts = rows.join(wanted, rows["did"] == wanted["node"], "left_semi").select("did", "text")
-    words = common.written(texts.mapInPandas(_pack_batches, "node long, words binary")
-                           .groupBy("node").agg(F.max("words").alias("words")), "omh-words")
+    return common.written(texts.mapInPandas(_pack_batches, "node long, words binary")
+                          .groupBy("node").agg(F.max("words").alias("words")), "omh-words")
+
+
+def tested_pairs(words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, head) pairs with ``ok``: whether their texts are similar."""
     a = words.select("node", F.col("words").alias("a"))
     b = words.select(F.col("node").alias("head"), F.col("words").alias("b"))
     return (pairs.join(a, "node").join(b, "head")
