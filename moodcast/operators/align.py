@@ -90,7 +90,8 @@ def city_day_rows(weather: DataFrame, classified: DataFrame, texts: DataFrame, h
     w = weather.select("station_id", "date", "year", "month", "day", "city",
                        "TMAX", "TMIN", "TAVG", "T_label")
     if how == "inner":  # incomplete station days go before anything is joined to them
-        w = w.dropna()
+        for name in w.columns:
+            w = w.where(F.col(name).isNotNull())
     c = classified.select("comment_id", F.col("date").alias("c_date"), "subreddit", "sentiment")
     pairs = w.join(c, (w["date"] == c["c_date"]) & (w["city"] == c["subreddit"]), "inner")
     joined = pairs.join(texts.select("comment_id", "body"), "comment_id").select(*ROW_COLUMNS)

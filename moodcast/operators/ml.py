@@ -29,21 +29,22 @@ def forest_rows(weather: DataFrame, classified: DataFrame) -> DataFrame:
     return j.select("station_id", "date", "comment_id", "city", *MEASURES, "sentiment")
 
 
-def index_strings(df: DataFrame, columns: Sequence[tuple[str, str]], fit_on: DataFrame | None = None,
+def fit_index(df: DataFrame, columns: Sequence[str], handle_invalid: str = "error"):
+    """One StringIndexer for all columns: most frequent value -> 0.0, ties
+    by name; one pass over ``df``."""
+    return StringIndexer(inputCols=list(columns), outputCols=[f"{c}_index" for c in columns],
+                         handleInvalid=handle_invalid).fit(df)
+
+
+def index_strings(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None,
                   handle_invalid: str = "error") -> DataFrame:
-    """StringIndexer per (input, output): most frequent value -> 0.0, ties by name.
+    """``<column>_index`` for each column.
 
-    By default each indexer is fitted on ``df`` itself (every value is
+    By default the indexer is fitted on ``df`` itself (every value is
     known).  ``fit_on`` fits on another frame, e.g. the training part,
     with ``handle_invalid='keep'`` giving unseen values their own index.
     """
-    for src, dst in columns:
-        model = StringIndexer(inputCol=src, outputCol=dst, handleInvalid=handle_invalid).fit(
-            df if fit_on is None else fit_on)
-        df = model.transform(df)
-        if fit_on is not None:
-            fit_on = model.transform(fit_on)
-    return df
+    return fit_index(df if fit_on is None else fit_on, columns, handle_invalid).transform(df)
 
 
 def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -73,21 +74,24 @@ def random_split(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = 42
     return train, test
 
 
+def prepared_rows(rows: DataFrame) -> DataFrame:
+    return assemble(index_strings(rows, ["sentiment", "city"]))
+
+
 def prepared(weather: DataFrame, classified: DataFrame) -> DataFrame:
-    """Forest rows, indexed and assembled.  The joined rows are kept while
-    the two indexers are fitted (each fit is one pass over them)."""
-    rows = forest_rows(weather, classified).persist()
-    rows = index_strings(rows, [("sentiment", "sentiment_index"), ("city", "city_index")])
-    return assemble(rows)
+    """Forest rows, indexed and assembled."""
+    return prepared_rows(forest_rows(weather, classified))
 
 
 def train_forest(train: DataFrame, seed: int = 42, trees: int = FOREST_TREES,
-                 depth: int = FOREST_DEPTH):
+                 depth: int = FOREST_DEPTH, cities: int = 0):
     """Trees are grown level by level over the cached training rows; node
     ids are cached per row and checkpointed to the shared checkpoint
-    folder every 10 levels, which cuts the lineage of deep trees."""
+    folder every 10 levels, which cuts the lineage of deep trees.  There
+    is a bin for each of the ``cities``, as every value of a category
+    needs one."""
     rf = RandomForestClassifier(labelCol="sentiment_index", featuresCol="features",
-                                numTrees=trees, maxDepth=depth, seed=seed, maxBins=32,
+                                numTrees=trees, maxDepth=depth, seed=seed, maxBins=max(32, cities),
                                 cacheNodeIds=True, checkpointInterval=10)
     return rf.fit(train)
 

@@ -272,6 +272,11 @@ def sentiment_rules(ws: Workspace) -> DataFrame:
     return ws.scored("rules").select("comment_id", "compound", "sentiment")
 
 
+@query("sentiment_rules_filtered", f"SELECT * FROM ({_rules_sql()}) r WHERE sentiment = {q(POSITIVE)}", "V1 V2 P13")
+def sentiment_rules_filtered(ws: Workspace) -> DataFrame:
+    return sentiment_rules(ws).where(F.col("sentiment") == POSITIVE)
+
+
 # ----------------------------------------------------------------------
 # Alignment and counts
 # ----------------------------------------------------------------------
@@ -481,6 +486,11 @@ def daily_count_histogram(ws: Workspace) -> DataFrame:
     return _round(histogram.shared_histogram(ws.rain, "sentiment", "count", 10), "bin_lo", "bin_hi")
 
 
+@query("snow_count_histogram", S.histogram_sql("SELECT * FROM snow", "sentiment", "count"), "A12")
+def snow_count_histogram(ws: Workspace) -> DataFrame:
+    return _round(histogram.shared_histogram(ws.snow, "sentiment", "count", 10), "bin_lo", "bin_hi")
+
+
 # ----------------------------------------------------------------------
 # Samples
 # ----------------------------------------------------------------------
@@ -525,6 +535,13 @@ def linreg_rain(ws: Workspace) -> DataFrame:
     return _lin(ws.rain, "count", "PRCP", ["sentiment"])
 
 
+@query("linreg_rain_filtered",
+       f"SELECT * FROM ({S.linreg_out('SELECT * FROM rain', 'count', 'PRCP', ['sentiment'])}) f WHERE p_value < 0.5",
+       "T1 P13")
+def linreg_rain_filtered(ws: Workspace) -> DataFrame:
+    return linreg_rain(ws).where(F.col("p_value") < 0.5)
+
+
 @query("linreg_snow", S.linreg_out("SELECT * FROM snow", "count", "SNOW", ["sentiment"]), "T1 M14")
 def linreg_snow(ws: Workspace) -> DataFrame:
     return _lin(ws.snow, "count", "SNOW", ["sentiment"])
@@ -573,6 +590,18 @@ def fit_series(ws: Workspace) -> DataFrame:
     return _round(regression.with_line(pts, fit, "count", ["sentiment"]), "PRCP", "lin_predict")
 
 
+@query(
+    "fit_series_snow",
+    _pred_sql("SELECT * FROM snow", "count", "SNOW", ["sentiment"],
+              "d.sentiment, d.year, d.month, d.day, d.station_id, d.count, round(d.SNOW, 6) AS SNOW"),
+    "T11 F9",
+)
+def fit_series_snow(ws: Workspace) -> DataFrame:
+    fit = regression.linregress(ws.snow, "count", "SNOW", ["sentiment"])
+    pts = ws.snow.select("sentiment", "year", "month", "day", "station_id", "count", "SNOW")
+    return _round(regression.with_line(pts, fit, "count", ["sentiment"]), "SNOW", "lin_predict")
+
+
 @query(
     "rain_loglog_series",
     f"""SELECT sentiment, year, month, day, station_id, count, PRCP, round(log10(count), 6) AS log_count,
@@ -740,13 +769,10 @@ def _index_sql(col: str) -> str:
 
 @query("string_index", f"{_index_sql('sentiment')} UNION ALL {_index_sql('city')}", "L1")
 def string_index(ws: Workspace) -> DataFrame:
-    rows = ml.index_strings(ml.forest_rows(ws.weather, ws.classified),
-                            [("sentiment", "sentiment_index"), ("city", "city_index")])
-    a = rows.select(F.lit("sentiment").alias("column_name"), F.col("sentiment").alias("value"),
-                    F.col("sentiment_index").alias("idx")).distinct()
-    b = rows.select(F.lit("city").alias("column_name"), F.col("city").alias("value"),
-                    F.col("city_index").alias("idx")).distinct()
-    return a.unionByName(b)
+    """The labels of the fitted model are the answer: no pass of its own."""
+    labels = ml.fit_index(ml.forest_rows(ws.weather, ws.classified), ["sentiment", "city"]).labelsArray
+    rows = [(c, v, float(i)) for c, vs in zip(["sentiment", "city"], labels) for i, v in enumerate(vs)]
+    return ws.spark.createDataFrame(rows, "column_name string, value string, idx double")
 
 
 def _feature_sql() -> str:
@@ -789,15 +815,33 @@ def _forest(ws: Workspace):
     """Test rows with predictions; the model is trained once per workspace."""
     cached = ws.__dict__.get("_forest")
     if cached is None:
-        # indexer fits, split, training and scoring all read it: keep it
         checkpoint_root(ws.spark)
-        data = ml.prepared(ws.weather, ws.classified).persist()
+        # Indexer fit, split, training and scoring all read the joined rows.
+        rows = joins.keep(ml.forest_rows(ws.weather, ws.classified))
+        data = ml.prepared_rows(rows)
         train, test = ml.hash_split(data, ["station_id", "date", "comment_id"])
-        model = ml.train_forest(train)
+        model = ml.train_forest(train, cities=rows.select("city").distinct().count())
         cached = ws.__dict__["_forest"] = model.transform(test)
     return cached
 
 
+def _test_sql() -> str:
+    return (f"SELECT f.station_id, f.date, f.comment_id, f.sentiment_index, count(*) OVER () AS n_test "
+            f"FROM ({_feature_sql()}) f JOIN (SELECT *, {_bucket_sql()} AS bucket FROM ({FOREST_SQL}) r) b "
+            f"ON f.station_id = b.station_id AND f.date = b.date AND f.comment_id = b.comment_id WHERE b.bucket >= 75")
+
+
+@query("rf_scored_keys", _test_sql(), "L4 L5")
+def rf_scored_keys(ws: Workspace) -> DataFrame:
+    """What SQL can say of the scored test set: its keys, its labels and
+    its size, each row with a prediction that is one of the labels."""
+    scored = _forest(ws)
+    n = scored.agg(F.count(F.lit(1)).alias("n")).scalar()
+    known = scored.select("sentiment_index").distinct().withColumnRenamed("sentiment_index", "prediction")
+    return (scored.join(F.broadcast(known), "prediction", "left_semi")  # one row per class
+            .select("station_id", "date", "comment_id", "sentiment_index", n.alias("n_test")))
+
+
 @query("rf_predictions", None, "L4 L5")
 def rf_predictions(ws: Workspace) -> DataFrame:
     return _forest(ws).select("station_id", "date", "comment_id", "sentiment_index", "prediction")

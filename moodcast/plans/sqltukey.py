@@ -66,8 +66,7 @@ def ptukey_sql(qq: str, k: str, df: str) -> str:
     outer = (f"list_sum(list_transform({_OUTER}, lambda ot: (list_transform([{{'s': ({lo} + {hi}) / 2.0 + "
              f"({hi} - {lo}) / 2.0 * ot.t, 'w': ({hi} - {lo}) / 2.0 * ot.w}}], lambda sw: "
              f"(list_transform([sw.s], lambda s_: sw.w * exp({log_f}) * {range_cdf}))[1]))[1]))")
-    big = f"(list_transform([qq_], lambda s_: {range_cdf.replace('s_', '1.0')}))[1]"
-    expr = f"CASE WHEN qq_ <= 0.0 THEN 0.0 WHEN df_ > 50000 THEN least(1.0, {big}) ELSE least(1.0, {outer}) END"
+    expr = f"CASE WHEN qq_ <= 0.0 THEN 0.0 ELSE least(1.0, {outer}) END"
     return (f"(list_transform([{{'q': CAST({qq} AS DOUBLE), 'k': CAST({k} AS DOUBLE), 'd': CAST({df} AS DOUBLE)}}], "
             f"lambda a_: (list_transform([a_.q], lambda qq_: (list_transform([a_.k], lambda k_: "
             f"(list_transform([a_.d], lambda df_: {expr}))[1]))[1]))[1]))[1]")

@@ -54,7 +54,7 @@ def test_year_scan_prunes_partitions(spark):
 
 def test_daily_join_broadcasts_the_counted_side(spark):
     plan = _plan(_build(spark, "daily_rain"))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "BroadcastHashJoin [year" in plan and "SortMergeJoin [year" not in plan
 
 
 def test_city_day_base_streams_weather_past_counts(spark):
@@ -106,3 +106,57 @@ def test_row_level_join_attaches_text_last(spark):
     inputs = _join_input_columns(_build(spark, "aligned_city_day"))
     with_text = [cols for cols in inputs if "body" in cols]
     assert len(with_text) == 1 and with_text[0] == {"comment_id", "body"}
+
+
+def _exchange_columns(df):
+    """Column names of every exchange in the executed plan."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if "Exchange" in name:
+            found.append({a.name() for a in _seq(node.output())})
+        for child in _seq(node.children()):
+            walk(child)
+
+    df.write.format("noop").mode("overwrite").save()
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+@pytest.mark.parametrize("mode", ["bag", "rules"])
+def test_a_real_size_lexicon_needs_no_python_and_moves_no_text(spark, mode):
+    from moodcast.operators import sentiment
+    texts = spark.createDataFrame([(i, "some good words and a bad one") for i in range(50)],
+                                  "comment_id long, body string")
+    rows = [("good", 1.9), ("bad", -2.5), *((f"w{i}", 1.0) for i in range(5000))]
+    lexicon = spark.createDataFrame(rows, "token string, valence double")
+    scored = sentiment.classify(texts, lexicon, mode=mode).where("sentiment = 'negative'")
+    plan = _plan(scored)
+    assert "PythonUDF" not in plan and "EvalPython" not in plan
+    assert all("body" not in cols for cols in _exchange_columns(scored))
+
+
+def test_incomplete_station_days_go_before_the_first_join(spark):
+    df = _build(spark, "aligned_city_day")
+    df.write.format("noop").mode("overwrite").save()
+    optimised = df._jdf.queryExecution().optimizedPlan().toString()
+    joins_at = optimised.index("Join Inner")
+    for c in ("TMAX", "TMIN", "TAVG"):
+        assert f"isnotnull({c}#" in optimised[joins_at:]
+    assert "isnotnull(TMAX" not in optimised[:joins_at]
+
+
+def test_release_gives_up_what_queries_persisted(spark):
+    ws = workspace(spark, SF001)
+    ws.release()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for name in ("daily_rain", "monthly_rain", "linreg_predictions", "rf_accuracy"):
+        catalog.REGISTRY[name].build(ws).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() > before
+    ws.release()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
