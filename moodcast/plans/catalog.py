@@ -89,6 +89,19 @@ def scan_comments_json(ws: Workspace) -> DataFrame:
     return files.read_json(ws.spark, [path], schemas.RAW_COMMENTS)
 
 
+@query("scan_comments_full", "SELECT subreddit, created_utc, body FROM comment_subset", "S3 P1 P5")
+def scan_comments_full(ws: Workspace) -> DataFrame:
+    """Records with all their fields on file, read with the whole declared
+    schema; three fields are kept of them, and only those are parsed."""
+    wide = ws.raw_comments.withColumn("id", F.col("comment_id").cast("string")).withColumn("score", F.length("body"))
+    absent = [f for f in schemas.FULL_COMMENTS if f.name not in wide.columns]
+    wide = wide.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f in absent
+                         else F.col(f.name).cast(f.dataType) for f in schemas.FULL_COMMENTS])
+    path = files.write_json_gzip(wide, scratch_path(ws.spark, "comments-full"))
+    return comments.select_communities(files.read_json(ws.spark, [path], schemas.FULL_COMMENTS),
+                                       columns=("subreddit", "created_utc", "body"))
+
+
 @query(
     "scan_year_pruned",
     f"""SELECT comment_id, subreddit, created_utc, body, {parts('d').replace(', CAST(day(d) AS INTEGER) AS day', '')}

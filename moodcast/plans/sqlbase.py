@@ -18,7 +18,17 @@ from ..constants import (
     SLUG_EXCEPTIONS,
     TOMBSTONES,
 )
-from ..sources.testdata import DOC_EVENT_STRIDE, EVENT_ELEMENT, LEXICON_ROWS, ORDER_RAIN_DIVISOR
+from ..sources.testdata import (
+    DOC_EVENT_STRIDE,
+    DRY_BELOW,
+    EVENT_ELEMENT,
+    LEXICON_ROWS,
+    NO_STATION_SEGMENT,
+    ORDER_RAIN_DIVISOR,
+    OTHER_COMMUNITY,
+    REMOVED_SOURCES,
+    SENSOR_LIMIT,
+)
 from .workspace import TESTDATA, Params
 
 
@@ -36,6 +46,12 @@ def city_sql(key: str) -> str:
     return f"(CASE {idx} {whens} END)"
 
 
+def community_sql(key: str) -> str:
+    names = [*COMMUNITIES, OTHER_COMMUNITY]
+    whens = " ".join(f"WHEN {i} THEN {q(c)}" for i, c in enumerate(names))
+    return f"(CASE (({key}) % {len(names)} + {len(names)}) % {len(names)} {whens} END)"
+
+
 def slug_sql(city: str) -> str:
     whens = " ".join(f"WHEN {city} = {q(k)} THEN {q(v)}" for k, v in SLUG_EXCEPTIONS.items())
     return f"(CASE {whens} ELSE lower({city}) END)"
@@ -52,6 +68,8 @@ def r6(x: str, alias: str, decimals: int = 6) -> str:
 
 def base_ctes(p: Params = TESTDATA) -> str:
     element_case = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in EVENT_ELEMENT.items())
+    removed = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in REMOVED_SOURCES.items())
+    rain_event = next(k for k, v in EVENT_ELEMENT.items() if v == "PRCP")
     sums = ", ".join(f"sum(CASE WHEN element = {q(e)} THEN data_value END) AS {e}" for e in ELEMENTS)
     lex_values = ", ".join(f"({q(t)}, CAST({v!r} AS DOUBLE))" for t, v in LEXICON_ROWS)
     tmax, tmin = "(TMAX / 10.0)", "(TMIN / 10.0)"
@@ -61,13 +79,14 @@ readings AS (
   SELECT CAST(user_id AS VARCHAR) AS station_id,
          CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS date,
          CASE event_type {element_case} ELSE upper(event_type) END AS element,
-         CAST(value AS DOUBLE) AS data_value,
+         CASE WHEN value > {SENSOR_LIMIT} THEN {MISSING_SENTINEL}
+              WHEN event_type = {q(rain_event)} AND value < {DRY_BELOW} THEN 0.0 ELSE CAST(value AS DOUBLE) END AS data_value,
          CAST(NULL AS VARCHAR) AS m_flag, CAST(NULL AS VARCHAR) AS q_flag, CAST(NULL AS VARCHAR) AS s_flag,
          CAST(hour(ts) * 100 + minute(ts) AS INTEGER) AS obs_time
   FROM events),
 lookup AS (
-  SELECT station_id, {city_sql('CAST(station_id AS BIGINT)')} AS city
-  FROM (SELECT DISTINCT station_id FROM readings) s),
+  SELECT CAST(c_custkey AS VARCHAR) AS station_id, {city_sql('c_custkey')} AS city
+  FROM customer WHERE c_mktsegment <> {q(NO_STATION_SEGMENT)}),
 readings_kept AS (
   SELECT * FROM readings
   WHERE element IN {in_list(ELEMENTS)} AND data_value <> {MISSING_SENTINEL}),
@@ -83,8 +102,8 @@ weather AS (
          CASE WHEN {tavg} > {p.hot} THEN 'hot' ELSE 'cold' END AS T_label
   FROM weather_wide),
 raw_comments AS (
-  SELECT d.doc_id AS comment_id, {city_sql('e.user_id')} AS subreddit,
-         CAST(epoch_us(e.ts) // 1000000 AS VARCHAR) AS created_utc, d.text AS body
+  SELECT d.doc_id AS comment_id, {community_sql('e.user_id')} AS subreddit,
+         CAST(epoch_us(e.ts) // 1000000 AS VARCHAR) AS created_utc, CASE d.source {removed} ELSE d.text END AS body
   FROM documents d JOIN events e
     ON e.event_id = (d.doc_id * {DOC_EVENT_STRIDE}) % (SELECT count(*) FROM events)),
 comment_subset AS (

@@ -72,7 +72,7 @@ class Workspace:
 
     @cached_property
     def lookup(self) -> DataFrame:
-        return testdata.station_lookup(self.readings)
+        return testdata.station_lookup(self.spark, self.sf_dir)
 
     @cached_property
     def weather(self) -> DataFrame:

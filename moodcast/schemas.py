@@ -44,6 +44,33 @@ RAW_COMMENTS = T.StructType([
     T.StructField("body", T.StringType()),
 ])
 
+# All fields of a raw comment record, as published.
+FULL_COMMENTS = T.StructType([
+    T.StructField("archived", T.BooleanType()),
+    T.StructField("author", T.StringType()),
+    T.StructField("author_flair_css_class", T.StringType()),
+    T.StructField("author_flair_text", T.StringType()),
+    T.StructField("body", T.StringType()),
+    T.StructField("controversiality", T.LongType()),
+    T.StructField("created_utc", T.StringType()),
+    T.StructField("distinguished", T.StringType()),
+    T.StructField("downs", T.LongType()),
+    T.StructField("edited", T.StringType()),
+    T.StructField("gilded", T.LongType()),
+    T.StructField("id", T.StringType()),
+    T.StructField("link_id", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("parent_id", T.StringType()),
+    T.StructField("retrieved_on", T.LongType()),
+    T.StructField("score", T.LongType()),
+    T.StructField("score_hidden", T.BooleanType()),
+    T.StructField("subreddit", T.StringType()),
+    T.StructField("subreddit_id", T.StringType()),
+    T.StructField("ups", T.LongType()),
+    T.StructField("year", T.IntegerType()),
+    T.StructField("month", T.IntegerType()),
+])
+
 CLASSIFIED_COMMENTS = T.StructType([
     T.StructField("comment_id", T.LongType()),
     T.StructField("subreddit", T.StringType()),

@@ -4,9 +4,15 @@ The provided tables hold no weather and no forum comments, so each shape
 is derived from them (FIXTURES.md section 2):
 
 * readings   <- ``events``: one reading per event; station = user, element
-                from the event type, value = event value.
-* lookup     <- distinct stations of the readings, city by a fixed rule.
-* comments   <- ``documents`` joined to ``events`` (text, time and city).
+                from the event type, value = event value.  Values above
+                SENSOR_LIMIT are the missing sentinel, and rain below
+                DRY_BELOW is none, so the filters for both have work.
+* lookup     <- ``customer``, a dimension of its own: its keys are the
+                stations, city by a fixed rule; one market segment has no
+                stations, so some readings are of unknown ones.
+* comments   <- ``documents`` joined to ``events`` (text, time and
+                community).  The texts of two sources are tombstones, and
+                one community is not among those listed.
 * lexicon    <- a small fixed token -> valence table (invented: the texts
                 are pseudo-words, no public lexicon matches them).
 * line classes / order rain <- ``lineitem`` / ``orders``: the monthly
@@ -21,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import COMMUNITIES
+from ..constants import COMMUNITIES, MISSING_SENTINEL
 from ..schemas import LEXICON
 
 # Fixed values (ours): event type -> weather element.
@@ -44,6 +50,15 @@ LEXICON_ROWS = [
     ("thea", 0.5), ("thti", -1.2), ("eron", 1.6), ("thly", -2.2),
 ]
 
+# Fixed values (ours): where the stand-in readings are missing or dry, which
+# customers are no stations, which sources' texts are removed comments, and
+# the community that no analysis asks for.
+SENSOR_LIMIT = 300.0
+DRY_BELOW = 5.0
+NO_STATION_SEGMENT = "MACHINERY"
+REMOVED_SOURCES = {"src7": "[deleted]", "src13": "[removed]"}
+OTHER_COMMUNITY = "elsewhere"
+
 # Divisor that turns an order total into a "precipitation" reading in
 # tenths of a millimetre for the monthly view (ours).
 ORDER_RAIN_DIVISOR = 1000.0
@@ -63,6 +78,19 @@ def city_of(key: Column | str) -> Column:
     return expr
 
 
+def community_of(key: Column | str) -> Column:
+    """Community of a numeric key: one of the cities or OTHER_COMMUNITY."""
+    key = F.col(key) if isinstance(key, str) else key
+    idx = F.pmod(key, F.lit(len(COMMUNITIES) + 1))
+    names = F.array(*map(F.lit, [*COMMUNITIES, OTHER_COMMUNITY]))
+    return F.get(names, idx.cast("int"))
+
+
+def _reading_value(element: Column, value: Column) -> Column:
+    return (F.when(value > SENSOR_LIMIT, F.lit(MISSING_SENTINEL))
+            .when((element == "PRCP") & (value < DRY_BELOW), F.lit(0.0)).otherwise(value))
+
+
 def _element(event_type: Column) -> Column:
     expr = None
     for etype, element in EVENT_ELEMENT.items():
@@ -78,7 +106,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("station_id"),
         (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int").alias("date"),
         _element(F.col("event_type")).alias("element"),
-        F.col("value").cast("double").alias("data_value"),
+        _reading_value(_element(F.col("event_type")), F.col("value").cast("double")).alias("data_value"),
         F.lit(None).cast("string").alias("m_flag"),
         F.lit(None).cast("string").alias("q_flag"),
         F.lit(None).cast("string").alias("s_flag"),
@@ -86,10 +114,10 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def station_lookup(readings_df: DataFrame) -> DataFrame:
-    """station_id -> city for every station that reports (a small dimension)."""
-    return (readings_df.select("station_id").distinct()
-            .select("station_id", city_of(F.col("station_id").cast("bigint")).alias("city")))
+def station_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """station_id -> city, from the customer dimension."""
+    c = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != NO_STATION_SEGMENT)
+    return c.select(F.col("c_custkey").cast("string").alias("station_id"), city_of("c_custkey").alias("city"))
 
 
 def comment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,9 +126,12 @@ def comment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     subquery."""
     docs = table(spark, sf_dir, "documents")
     n_events = table(spark, sf_dir, "events").select(F.count(F.lit(1))).scalar()
+    body = F.col("text")
+    for source, mark in REMOVED_SOURCES.items():
+        body = F.when(F.col("source") == source, F.lit(mark)).otherwise(body)
     return docs.select(
         F.col("doc_id").alias("comment_id"),
-        F.col("text").alias("body"),
+        body.alias("body"),
         F.pmod(F.col("doc_id") * DOC_EVENT_STRIDE, n_events).alias("event_id"),
     )
 
@@ -109,7 +140,7 @@ def comment_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, community and epoch seconds (as a string) of each event."""
     return table(spark, sf_dir, "events").select(
         "event_id",
-        city_of("user_id").alias("subreddit"),
+        community_of("user_id").alias("subreddit"),
         F.unix_seconds(F.col("ts").cast("timestamp")).cast("string").alias("created_utc"),
     )
 
