@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from moodcast.plans import catalog  # noqa: E402
 from moodcast.plans.workspace import workspace  # noqa: E402
-from moodcast.session import build_session  # noqa: E402
+from moodcast.session import build_session, clear_scratch  # noqa: E402
 
 HEADLINE = [
     "weather_wide",
@@ -40,6 +40,9 @@ HEADLINE = [
     "polyfit11_monthly",
     "aligned_city_day",
     "daily_count_histogram",
+    "sentiment_rules",
+    "aligned_sorted",
+    "station_lookup",
     "partitioned_sink_weather",
     "rf_accuracy",
     "lines_chi2",
@@ -91,6 +94,8 @@ def main() -> None:
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times,
                       "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
+    ws.release()
+    clear_scratch(spark)
     spark.stop()
 
 

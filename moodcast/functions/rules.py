@@ -1,4 +1,4 @@
-"""Rule-based valence of a text as one SQL expression (Spark SQL or DuckDB).
+"""Rule-based valence of a text: fixed values, and the rules as DuckDB SQL.
 
 The rules of the published lexicon method, applied to the words of a
 text (letters or digits, with at most one inner apostrophe):
@@ -15,14 +15,13 @@ text (letters or digits, with at most one inner apostrophe):
   non-zero sum further from zero;
 * compound = s / sqrt(s^2 + 15), rounded to 4 decimals.
 
-The expression only uses higher-order array functions, so the scoring
-runs inside the JVM next to the data.
+The SQL uses array functions over each whole text; the Spark operator
+scores word rows instead (``operators.sentiment``).
 """
 
 from __future__ import annotations
 
 from ..constants import COMPOUND_ALPHA, COMPOUND_DECIMALS
-from .special import DUCKDB, SPARK
 
 # Fixed values of the published rule set (Hutto & Gilbert, ICWSM 2014):
 # booster increment, capitals increment, negation scalar, punctuation
@@ -62,50 +61,53 @@ BOOSTERS_DOWN = [
     "occasionally", "partly", "scarcely", "slightly", "somewhat", "sorta",
 ]
 
+# The ending of a contracted negation, and its sign.
+NOT_SUFFIX = "n't"
+APOSTROPHE = "'"
+
 # Word pattern: letters or digits, optionally one apostrophe inside.
 WORD_PATTERN = r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)?"
 
 
-def _lit(s: str, dialect: str) -> str:
-    body = s.replace("'", "''")
-    if dialect == SPARK:
-        body = body.replace("\\", "\\\\")
-    return f"'{body}'"
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
 
 
-def _array(values, dialect: str) -> str:
-    items = ", ".join(_lit(v, dialect) for v in values)
-    return f"array({items})" if dialect == SPARK else f"[{items}]"
+def _array(values) -> str:
+    return "[" + ", ".join(map(_lit, values)) + "]"
 
 
-def lexicon_map_sql(rows, dialect: str) -> str:
+def lexicon_map_sql(rows) -> str:
     """Map literal token -> valence."""
-    if dialect == SPARK:
-        return "map(" + ", ".join(f"{_lit(t, dialect)}, CAST({float(v)!r} AS DOUBLE)" for t, v in rows) + ")"
-    return "MAP {" + ", ".join(f"{_lit(t, dialect)}: CAST({float(v)!r} AS DOUBLE)" for t, v in rows) + "}"
-
-
-def compound_sql(text: str, lex_map: str, dialect: str) -> list[tuple[str, str]]:
-    """Steps (column, SQL) ending in ``__rules_compound`` for the text column."""
-    sp = dialect == SPARK
-    has = (lambda arr, x: f"array_contains({arr}, {x})") if sp else (lambda arr, x: f"list_contains({arr}, {x})")
-    at = (lambda arr, i: f"element_at({arr}, {i})") if sp else (lambda arr, i: f"{arr}[{i}]")
-    lam1 = (lambda v, body: f"{v} -> {body}") if sp else (lambda v, body: f"lambda {v}: {body}")
-    lam2 = (lambda a, b, body: f"({a}, {b}) -> {body}") if sp else (lambda a, b, body: f"lambda {a}, {b}: {body}")
-    lookup = (lambda k: f"try_element_at({lex_map}, {k})") if sp else (lambda k: f"({lex_map})[{k}]")
-    seq = (lambda a, b: f"sequence({a}, {b})") if sp else (lambda a, b: f"range({a}, ({b}) + 1)")
-    fold = ((lambda arr, init, body: f"aggregate({arr}, CAST({init} AS DOUBLE), {body})") if sp
-            else (lambda arr, init, body: f"list_reduce({arr}, {body}, CAST({init} AS DOUBLE))"))
-    tr = (lambda arr, body: f"transform({arr}, {body})") if sp else (lambda arr, body: f"list_transform({arr}, {body})")
-    flt = (lambda arr, body: f"filter({arr}, {body})") if sp else (lambda arr, body: f"list_filter({arr}, {body})")
-    size = (lambda arr: f"size({arr})") if sp else (lambda arr: f"len({arr})")
-    pos = ((lambda arr, x: f"array_position({arr}, {x})") if sp
-           else (lambda arr, x: f"coalesce(list_position({arr}, {x}), 0)"))
-    q = (lambda x: _lit(x, dialect))
-    dbl = (lambda x: f"CAST({x!r} AS DOUBLE)")
+    return "MAP {" + ", ".join(f"{_lit(t)}: CAST({float(v)!r} AS DOUBLE)" for t, v in rows) + "}"
+
+
+def compound_sql(text: str, lex_map: str) -> list[tuple[str, str]]:
+    """DuckDB steps (column, SQL) ending in ``__rules_compound`` for the
+    text column: the oracle of the relational form in operators.sentiment."""
+    def has(arr: str, x: str) -> str:
+        return f"list_contains({arr}, {x})"
+
+    def at(arr: str, i: str) -> str:
+        return f"{arr}[{i}]"
+
+    def lookup(k: str) -> str:
+        return f"({lex_map})[{k}]"
+
+    def seq(a: str, b: str) -> str:
+        return f"range({a}, ({b}) + 1)"
+
+    def fold(arr: str, init: str, body: str) -> str:
+        return f"list_reduce({arr}, lambda {body}, CAST({init} AS DOUBLE))"
+
+    def tr(arr: str, body: str) -> str:
+        return f"list_transform({arr}, lambda {body})"
+
+    def dbl(x: float) -> str:
+        return f"CAST({x!r} AS DOUBLE)"
 
     W, L, N, MIX, BUT = "__rw", "__rl", "__rn", "__rmix", "__rbut"
-    up, down, neg = _array(BOOSTERS_UP, dialect), _array(BOOSTERS_DOWN, dialect), _array(NEGATIONS, dialect)
+    up, down, neg = _array(BOOSTERS_UP), _array(BOOSTERS_DOWN), _array(NEGATIONS)
 
     def isup(w: str) -> str:
         return f"(upper({w}) = {w} AND lower({w}) <> {w})"
@@ -120,22 +122,22 @@ def compound_sql(text: str, lex_map: str, dialect: str) -> list[tuple[str, str]]
               f"ELSE 0.0 END)")
         scalar = (f"(CASE WHEN {s0} = 0.0 THEN 0.0 ELSE (CASE WHEN {v} < 0 THEN -{s0} ELSE {s0} END) "
                   f"+ {caps(wj, v)} END)")
-        damp = f"{at(_damp(dialect), dist)}"
+        damp = f"{at(_damp(), dist)}"
         boosted = f"(CASE WHEN {lookup(lj)} IS NULL THEN {v} + {scalar} * {damp} ELSE {v} END)"
-        negated = (f"(CASE WHEN {has(neg, lj)} OR instr(lower({wj}), {q("n't")}) > 0 "
-                   f"THEN b_ * {dbl(N_SCALAR)} ELSE b_ END)")
+        denied = f"{has(neg, lj)} OR instr(lower({wj}), {_lit(NOT_SUFFIX)}) > 0"
         # bind the boosted value once
-        return f"({tr('array(' + boosted + ')' if sp else '[' + boosted + ']', lam1('b_', negated))})[{0 if sp else 1}]"
+        negated = f"b_: (CASE WHEN {denied} THEN b_ * {dbl(N_SCALAR)} ELSE b_ END)"
+        return f"({tr('[' + boosted + ']', negated)})[1]"
 
     lp, wp = at(L, "p"), at(W, "p")
     base = lookup(lp)
     v0 = f"({base} + {caps(wp, base)})"
-    loop = fold(seq(1, 3), v0, lam2("v", "dist", f"CASE WHEN p - dist < 1 THEN v ELSE {step('v', 'p - dist', 'dist')} END"))
+    loop = fold(seq("1", "3"), v0, f"v, dist: CASE WHEN p - dist < 1 THEN v ELSE {step('v', 'p - dist', 'dist')} END")
     val = (f"(CASE WHEN {base} IS NULL OR {has(up, lp)} OR {has(down, lp)} THEN 0.0 ELSE {loop} END)")
     but = (f"(CASE WHEN {BUT} = 0 THEN 1.0 WHEN p < {BUT} THEN {dbl(BUT_BEFORE)} "
            f"WHEN p > {BUT} THEN {dbl(BUT_AFTER)} ELSE 1.0 END)")
-    vals = tr(seq(1, N), lam1("p", f"{val} * {but}"))
-    total = f"(CASE WHEN {N} = 0 THEN 0.0 ELSE {fold(vals, '0.0', lam2('a', 'x', 'a + x'))} END)"
+    vals = tr(seq("1", N), f"p: {val} * {but}")
+    total = f"(CASE WHEN {N} = 0 THEN 0.0 ELSE {fold(vals, '0.0', 'a, x: a + x')} END)"
     excl = f"(length({text}) - length(replace({text}, '!', '')))"
     ques = f"(length({text}) - length(replace({text}, '?', '')))"
     ep = (f"(least({excl}, {EXCLAIM_MAX}) * {dbl(EXCLAIM_WEIGHT)} + CASE WHEN {ques} > 1 THEN "
@@ -144,22 +146,20 @@ def compound_sql(text: str, lex_map: str, dialect: str) -> list[tuple[str, str]]
     s = "__rs"
     emph = f"(CASE WHEN {s} = 0.0 THEN 0.0 WHEN {s} > 0 THEN {s} + {ep} ELSE {s} - {ep} END)"
     comp = f"greatest(-1.0, least(1.0, {emph} / sqrt({emph} * {emph} + {dbl(COMPOUND_ALPHA)})))"
-    words = f"regexp_extract_all({text}, {_lit(WORD_PATTERN, dialect)}, 0)" if sp else \
-        f"regexp_extract_all({text}, {_lit(WORD_PATTERN, dialect)})"
+    caps_found = f"len(list_filter({W}, lambda w: {isup('w')}))"
     return [
-        (W, f"coalesce({words}, {'CAST(array() AS ARRAY<STRING>)' if sp else '[]::VARCHAR[]'})"),
-        (L, tr(W, lam1("w", "replace(lower(w), '''', '')"))),
-        (N, size(W)),
-        (MIX, f"({size(flt(W, lam1('w', isup('w'))))} > 0 AND {size(flt(W, lam1('w', isup('w'))))} < {N})"),
-        (BUT, pos(L, q("but"))),
+        (W, f"coalesce(regexp_extract_all({text}, {_lit(WORD_PATTERN)}), []::VARCHAR[])"),
+        (L, tr(W, f"w: replace(lower(w), {_lit(APOSTROPHE)}, '')")),
+        (N, f"len({W})"),
+        (MIX, f"({caps_found} > 0 AND {caps_found} < {N})"),
+        (BUT, f"coalesce(list_position({L}, {_lit('but')}), 0)"),
         (s, total),
         ("__rules_compound", f"CAST(round({comp}, {COMPOUND_DECIMALS}) AS DOUBLE)"),
     ]
 
 
-def _damp(dialect: str) -> str:
-    items = ", ".join(f"CAST({d!r} AS DOUBLE)" for d in BOOSTER_DAMPING)
-    return f"array({items})" if dialect == SPARK else f"[{items}]"
+def _damp() -> str:
+    return "[" + ", ".join(f"CAST({d!r} AS DOUBLE)" for d in BOOSTER_DAMPING) + "]"
 
 
-__all__ = ["compound_sql", "lexicon_map_sql", "WORD_PATTERN", "DUCKDB", "SPARK"]
+__all__ = ["compound_sql", "lexicon_map_sql", "WORD_PATTERN"]

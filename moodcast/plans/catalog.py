@@ -271,9 +271,9 @@ def sentiment_class(ws: Workspace) -> DataFrame:
 def _rules_sql() -> str:
     from ..constants import NEGATIVE_AT, POSITIVE_AT
     from ..functions import rules
-    from ..functions.special import DUCKDB, apply_sql
+    from ..functions.special import apply_sql
     from ..sources.testdata import LEXICON_ROWS
-    steps = rules.compound_sql("body", rules.lexicon_map_sql(LEXICON_ROWS, DUCKDB), DUCKDB)
+    steps = rules.compound_sql("body", rules.lexicon_map_sql(LEXICON_ROWS))
     scored = apply_sql("SELECT comment_id, body FROM comments", steps)
     return (f"SELECT comment_id, __rules_compound AS compound, CASE WHEN __rules_compound >= {POSITIVE_AT} "
             f"THEN 'positive' WHEN __rules_compound > {NEGATIVE_AT} THEN 'neutral' ELSE 'negative' END AS sentiment "

@@ -78,10 +78,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or root
 
 
+#: Scratch tables of this process, until ``clear_scratch``.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for a written table."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{root}/tables/{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the written scratch tables.  Frames that read them must not
+    be used afterwards."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def local_path(path: str) -> str:
