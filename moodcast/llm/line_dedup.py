@@ -32,8 +32,7 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(common.SPACE_CHARS)), UPPER, UPPER.lower())
 
 
-def _digest(line: Column, min_chars: int) -> Column:
-    key = line_key(line)
+def _digest(key: Column, min_chars: int) -> Column:
     return F.when(F.char_length(key) >= min_chars, F.md5(key))
 
 
@@ -42,8 +41,9 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_KEY_CHARS, min_docs: int
     the dropped lines of each document that loses any."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("did"),
                        common.row_hash(F.col("text")).alias("thash"),
-                       F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1),
-                                   lambda s: _digest(s, min_chars)).alias("keys"))
+                       # Two steps, so that each key is made once.
+                       F.transform(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), line_key),
+                                   lambda k: _digest(k, min_chars)).alias("keys"))
     # A document's keys once each, then partial sums before the shuffle.
     found = (rows.select("did", F.explode(F.array_distinct("keys")).alias("key"))
              .where(F.col("key").isNotNull())
