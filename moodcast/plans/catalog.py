@@ -850,8 +850,8 @@ def rf_scored_keys(ws: Workspace) -> DataFrame:
     its size, each row with a prediction that is one of the labels."""
     scored = _forest(ws)
     n = scored.agg(F.count(F.lit(1)).alias("n")).scalar()
-    known = scored.select("sentiment_index").distinct().withColumnRenamed("sentiment_index", "prediction")
-    return (scored.join(F.broadcast(known), "prediction", "left_semi")  # one row per class
+    p = F.col("prediction")
+    return (scored.where((p >= 0) & (p < len(CLASSES)) & (p == F.floor(p)))
             .select("station_id", "date", "comment_id", "sentiment_index", n.alias("n_test")))
 
 

