@@ -53,10 +53,12 @@ SURNAME_ENDS = {("latin", ""): "en er in son ton".split(), ("cyrillic", "m"): "
 
 _GIVEN = {n: (script, gender) for (script, gender), names in FIRST_NAMES.items() for n in names.split()}
 _CAP = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][\w’'-]*[\wà-ÿ]"
+#: Between the parts of a phone number: a sign, after marks as junk has them.
+_GAP = r"[!%#$&*]{0,3}[ .-]?"
 _PATTERNS = [
     ("secret", re.compile(r"""(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)\b["']?\s*[:=]\s*)"""
                           r"""["']?([^\s"',;]{6,})""")),
-    ("secret", re.compile(r"\b(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])([0-9a-f]{32,})\b")),
+    ("secret", re.compile(r"\b(?=[0-9a-fA-F]*[a-fA-F])(?=[0-9a-fA-F]*[0-9])([0-9a-fA-F]{32,})\b")),
     ("secret", re.compile(r"\b((?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_\w{30,}|sk-[\w-]{20,}|eyJ[\w-]+\.[\w-]+\.[\w-]+)")),
     ("email", re.compile(r"(?<![\w.+-])([\w.+-]+@(?:[\w-]+\.)+[^\W\d_]{2,})")),
     ("iban", re.compile(r"\b([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b")),
@@ -64,8 +66,8 @@ _PATTERNS = [
     ("ip", re.compile(r"(?<![\w.])((?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\.?\w)")),
     ("ip6", re.compile(r"(?<![\w:])((?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?:[0-9a-fA-F]{1,4}:){1,6}(?::[0-9a-fA-F]{1,4}){1,6})(?![\w:])")),
     ("ssn", re.compile(r"(?<![\w-])(\d{3}-\d{2}-\d{4})(?![\w-])")),
-    ("phone", re.compile(r"(?<![\w.])(\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}"
-                         r"|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])")),
+    ("phone", re.compile(rf"(?<![\w.])(\+\d{{1,3}}{_GAP}(?:\(\d{{1,4}}\){_GAP})?\d{{1,4}}(?:{_GAP}\d{{2,4}}){{1,4}}"
+                         rf"|\(\d{{2,4}}\){_GAP}\d{{3,4}}{_GAP}\d{{3,4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}})(?![\w-]|\.\d)")),
     ("name", re.compile(rf"\b(?:{'|'.join(TITLES)})\b\.? +({_CAP}(?: +{_CAP}){{0,2}})")),
     ("name", re.compile(rf"\b((?:{'|'.join(_GIVEN)}) +{_CAP})")),
 ]
@@ -182,8 +184,9 @@ def surrogate(key: str, kind: str, norm: str, attempt: int = 0) -> str:
         return norm[:2] + _like(norm[2:], draw)
     if kind == "phone" and norm.startswith("+"):
         return norm[:2] + _like(norm[2:], draw)  # the country stays
-    if kind == "secret" and re.fullmatch("[0-9a-f]+", norm):
-        return "".join("0123456789abcdef"[draw(16)] for _ in norm)
+    if kind == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", norm):
+        digits = "0123456789ABCDEF" if norm.isupper() else "0123456789abcdef"
+        return "".join(digits[draw(16)] for _ in norm)
     return _like(norm, draw)
 
 

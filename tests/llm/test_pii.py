@@ -21,6 +21,12 @@ def test_detection():
                            ("last", "Keller"), ("first", "John"), ("last", "Smith")]
 
 
+def test_neighbours_are_told_apart():
+    assert kinds("+1 (826) 555-4081 190.137.223.204 du") == [("phone", "+1 (826) 555-4081"), ("ip", "190.137.223.204")]
+    assert kinds("+1!! (826)!! 555-4081!! A@B.ORG!!") == [("phone", "+1!! (826)!! 555-4081"), ("email", "A@B.ORG")]
+    assert kinds("KEY 908038B7DAAF91E1234567890ABCDEF123456789") == [("secret", "908038B7DAAF91E1234567890ABCDEF123456789")]
+
+
 def test_clean_text_is_left_alone():
     for t in ("In 2024 they sold 12,500 tons for 3.5 million.", "Version 1.2.3 of 10/11/2012, room 1024.", "a@b", "12:30:45",
               "The Frankfurt road, the John, a decade and a facade.", ""):
