@@ -128,9 +128,11 @@ def node_id(doc_id: Column, text: Column) -> Column:
 def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Edit distance of two word sequences, ``most`` + 1 if it is more.
 
-    Furthest-reaching points on the diagonals of a band that widens with
-    the number of edits; stretches of equal words are passed by hashes of
-    blocks of 2, 4, 8... words.
+    Alignment in the band of ``most`` diagonals either way.  A column of
+    the band is two bit vectors (where the distance goes up, and where
+    down, from row to row), and slides down a row with each word of b; the
+    distance is followed along the band's lower edge, then along the last
+    row.
     """
     n, m = len(a), len(b)
     if abs(n - m) > most:
@@ -140,47 +142,45 @@ def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> int:
     gap = np.bincount(where[:n], minlength=len(values)) - np.bincount(where[n:], minlength=len(values))
     if max(gap[gap > 0].sum(), -gap[gap < 0].sum()) > most:
         return most + 1
-    levels = [(a, b)]
-    while 2 << len(levels) - 1 <= min(n, m):
-        x, y = levels[-1]
-        s = 1 << len(levels) - 1
-        levels.append((mixed(x[:-s] * _STEP + x[s:]), mixed(y[:-s] * _STEP + y[s:])))
-
-    def slide(i: np.ndarray, d: np.ndarray) -> np.ndarray:
-        i = i.copy()
-        for size in range(len(levels) - 1, -1, -1):
-            x, y = levels[size]
-            s = 1 << size
-            while True:  # the longest blocks may follow each other
-                ok = np.flatnonzero((i + s <= n) & (i - d + s <= m) & (i >= 0) & (i - d >= 0))
-                ok = ok[x[i[ok]] == y[i[ok] - d[ok]]] if len(ok) else ok
-                i[ok] += s
-                if size < len(levels) - 1 or not len(ok):
-                    break
-        return i
-
-    # reach[d + most]: words of a used on diagonal d (place in a less place in b).
-    reach = np.full(2 * most + 3, -2, np.int64)
-    mid = most + 1
-    reach[mid] = slide(np.zeros(1, np.int64), np.zeros(1, np.int64))[0]
-    for e in range(most + 1):
-        if reach[mid + n - m] >= n:
-            return e
-        if e == most:
-            break
-        d = np.arange(-e - 1, e + 2)
-        d = d[(d >= -m) & (d <= n)]
-        at = mid + d
-        same, left, right = reach[at], reach[at - 1], reach[np.minimum(at + 1, len(reach) - 1)]
-        best = np.where(same >= 0, same + 1, -2)  # a changed word
-        best = np.maximum(best, np.where(left >= 0, left + 1, -2))  # a word more in a
-        best = np.maximum(best, right)  # a word more in b
-        best = np.minimum(best, np.minimum(n, m + d))
-        live = (best >= 0) & (best - d >= 0)
-        new = np.where(live, best, -2)
-        new[live] = slide(best[live], d[live])
-        reach[at] = new
-    return most + 1
+    most, bound = min(most, max(n, m)), most
+    if n <= most:  # shorter than the band: the whole table is small
+        row = list(range(m + 1))
+        for i, x in enumerate(where[:n].tolist(), 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(where[n:].tolist(), 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return min(row[m], bound + 1)
+    places: dict[int, int] = {}
+    bit = 1 << most + 1  # so that the first columns need no left shift
+    for x in where[:n].tolist():
+        places[x] = places.get(x, 0) | bit
+        bit <<= 1
+    width = 2 * most + 1
+    mask = (1 << width) - 1
+    up, down = mask >> most << most, 0
+    edge = 1 << width - 1
+    distance, last = most, 2 * most + m - n
+    text = where[n:].tolist()
+    for j in range(n - most):
+        same = places.get(text[j], 0) >> j + 1 & mask
+        level = ((same & up) + up ^ up | same | down) & mask  # no change along the diagonal
+        right, left = down | ~(level | up) & mask, level & up
+        if not level & edge:
+            distance += 1
+            if distance > last:
+                return bound + 1
+        level >>= 1
+        up, down = left | ~(level | right) & mask, level & right
+    edge >>= 1
+    for j in range(n - most, m):
+        same = places.get(text[j], 0) >> j + 1 & mask
+        level = ((same & up) + up ^ up | same | down) & mask
+        right, left = down | ~(level | up) & mask, level & up
+        distance += bool(right & edge) - bool(left & edge)
+        edge >>= 1
+        level >>= 1
+        up, down = left | ~(level | right) & mask, level & right
+    return min(distance, bound + 1)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
