@@ -19,6 +19,12 @@ def _least(pairs: DataFrame) -> DataFrame:
     return common.rekeyed(pairs, ["u"], "k_").join(low, "k_u").drop("k_u")
 
 
+def _two(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """Several (u, v) edges out of each row, in one pass over ``df``."""
+    made = F.array(*[F.struct(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in pairs])
+    return df.select(F.explode(made).alias("e")).select("e.u", "e.v")
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0])
 
@@ -31,13 +37,10 @@ def components(edges: DataFrame) -> DataFrame:
                            "cc-edges")
     state = _state(edges)
     while state[0]:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (_least(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .distinct())
+        large = _least(_two(edges, ("u", "v"), ("v", "u"))).where(F.col("v") > F.col("u"))
+        large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Every u has neighbours below it only; itself goes along.
-        small = _least(large)
-        small = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(small.select("u", F.col("m").alias("v"))).where(F.col("u") != F.col("v")).distinct())
+        small = _two(_least(large), ("v", "m"), ("u", "m")).where(F.col("u") != F.col("v")).distinct()
         edges = common.written(small, "cc-edges")
         before, state = state, _state(edges)
         if state == before:
