@@ -38,8 +38,8 @@ def test_gammaincc_matches_reference(spark, jvm):
 def test_t_and_f_tails(spark, jvm):
     rows = [(0.3, 10.0, 2.5, 2.0, 27.0), (-0.05, 1600.0, 0.7, 5.0, 174.0), (0.9, 3.0, 11.0, 1.0, 8.0)]
     df = spark.createDataFrame(rows, "r double, df double, f double, d1 double, d2 double")
-    steps = S.t_two_sided_steps("r", "df", "pt", S.SPARK) + S.f_upper_steps("f", "d1", "d2", "pf", S.SPARK)
-    for row in S.apply_spark(df, steps).collect():
+    df = S.apply_spark(df, S.t_two_sided_steps("r", "df", "pt", S.SPARK))
+    for row in S.apply_spark(df, S.f_upper_steps("f", "d1", "d2", "pf", S.SPARK)).collect():
         t = abs(row.r) * (row.df / (1 - row.r ** 2)) ** 0.5
         ref_t = 2 * (1 - jvm.distribution.TDistribution(row.df).cumulativeProbability(t))
         ref_f = 1 - jvm.distribution.FDistribution(row.d1, row.d2).cumulativeProbability(row.f)
@@ -49,8 +49,8 @@ def test_t_and_f_tails(spark, jvm):
 
 def test_chi2_and_normal_tails(spark, jvm):
     df = spark.createDataFrame([(3.84, 1.0, 1.96), (7.0, 2.0, 0.3), (0.0, 0.0, -1.0)], "c double, k double, z double")
-    steps = S.chi2_upper_steps("c", "k", "pc", S.SPARK) + S.normal_two_sided_steps("z", "pz", S.SPARK)
-    rows = S.apply_spark(df, steps).collect()
+    df = S.apply_spark(df, S.chi2_upper_steps("c", "k", "pc", S.SPARK))
+    rows = S.apply_spark(df, S.normal_two_sided_steps("z", "pz", S.SPARK)).collect()
     for row in rows[:2]:
         ref = 1 - jvm.distribution.ChiSquaredDistribution(row.k).cumulativeProbability(row.c)
         assert row.pc == pytest.approx(ref, abs=1e-10)
