@@ -5,12 +5,17 @@ numbers.  Each of ``SKETCHES`` hash functions picks the ``PICKED``
 smallest labelled shingles and keeps them in the order of the text, so
 that two documents agree on a sketch in proportion to their edit
 similarity.  Documents of like length that agree on a sketch share a
-bucket; each member is held against the bucket's representative, those
-that are no match among each other again (``ROUNDS`` representatives per
-bucket and band).  A pair is linked when a banded alignment of the whole
-word sequences finds an edit similarity of ``MIN_SIMILARITY`` or more, and
+bucket.  A pair is linked when a banded alignment of the whole word
+sequences finds an edit similarity of ``MIN_SIMILARITY`` or more, and
 classes are the connected components of the links.
 
+Every pair of a bucket is settled.  Members are first held against the
+bucket's representative, those that are no match among each other again,
+as long as that links many.  Then all pairs of a bucket that the links do
+not join yet, members linked to a representative included, are compared in
+blocks of bounded size by a lower bound of their edit distance, and each
+pair that may be similar is aligned once.
+
 Equal word sequences are one node from the start, so copies are never
 compared.  Buckets are counted before the shuffle and joined with their
 representative, never gathered.
@@ -28,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,9 +44,13 @@ from .words import mixed, word_hashes
 SHINGLE = 5
 MIN_SIMILARITY = 0.8
 SKETCHES, PICKED = 24, 2
-ROUNDS = 3
 SEED = 31
 
+#: Representatives are tried on while they link this share of the pairs.
+LINKED_SHARE = 0.1
+#: Members of one block, and the word counts that bound a distance.
+BLOCK, BINS = 128, 128
+
 NO_ID = 1 << 62
 _SALTS = np.random.default_rng(SEED).integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -213,30 +223,108 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = common.rekeyed(drawn, ["g1", "g2"], "k_").join(by, ["k_g1", "k_g2"]).select("did", "node", "keys")
     nodes = common.written(nodes, "omh-nodes")
     members = nodes.where(F.col("did") == F.col("node")).select("node", F.explode("keys").alias("key"))
-    spark = docs.sparkSession
-    linked = spark.createDataFrame([], "u long, v long")
-    tried = words = None
-    for _ in range(ROUNDS):
-        heads = members.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"))
-        heads = common.rekeyed(heads.where(F.col("last") > F.col("head")), ["key"], "k_").select("k_key", "head")
-        held = common.rekeyed(members, ["key"], "k_").join(heads, "k_key").where(F.col("node") != F.col("head"))
-        held = common.written(held.select("key", "node", "head"), "omh-held")
-        pairs = held.select("node", "head").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried.select("node", "head"), ["node", "head"], "left_anti")
-        if words is None:  # whoever shares a bucket; later rounds are among them
-            words = packed_words(rows, pairs)
-        tested = common.written(tested_pairs(words, pairs), "omh-tested")
-        linked = linked.unionByName(tested.where("ok").select(F.col("node").alias("u"), F.col("head").alias("v")))
-        tried = tested if tried is None else tried.unionByName(tested)
+    held, pairs = against_heads(members)
+    first = held
+    words = packed_words(rows, pairs)  # whoever shares a bucket; later rounds are among them
+    tried = tested = common.written(tested_pairs(words, pairs), "omh-tested")
+    while True:
+        done, matched = tested.agg(F.count(F.lit(1)), F.count_if("ok")).collect()[0]
+        if matched == done or matched < LINKED_SHARE * done:
+            break
         # Members that are no match of their head go on among themselves.
         failed = tried.where(~F.col("ok")).select("node", "head")
-        members = held.join(failed, ["node", "head"]).select("node", "key")
-        if tested.where(~F.col("ok")).isEmpty():
-            break
+        held, pairs = against_heads(held.join(failed, ["node", "head"]).select("node", "key"))
+        pairs = pairs.join(tried.select("node", "head"), ["node", "head"], "left_anti")
+        tested = common.written(tested_pairs(words, pairs), "omh-tested")
+        tried = tried.unionByName(tested)
+    linked = _linked(tried)
+    if matched < done or held is not first:
+        pairs = common.written(open_pairs(first, tried, words, components(linked)), "omh-open")
+        linked = linked.unionByName(_linked(common.written(tested_pairs(words, pairs), "omh-tested")))
     return nodes.select("did", "node"), linked
 
 
+def _linked(tested: DataFrame) -> DataFrame:
+    return tested.where("ok").select(F.col("node").alias("u"), F.col("head").alias("v"))
+
+
+def against_heads(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, node, head) of all members but the heads, the smallest node of
+    each bucket, and the distinct (node, head) of it."""
+    heads = members.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"))
+    heads = common.rekeyed(heads.where(F.col("last") > F.col("head")), ["key"], "k_").select("k_key", "head")
+    held = common.rekeyed(members, ["key"], "k_").join(heads, "k_key").where(F.col("node") != F.col("head"))
+    held = common.written(held.select("key", "node", "head"), "omh-held")
+    return held, held.select("node", "head").distinct()
+
+
+def open_pairs(held: DataFrame, tried: DataFrame, words: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, head) pairs that share a bucket of ``held``, are in different
+    components so far, were not tested and may be similar; each once."""
+    labels = labels.withColumnRenamed("node", "l_node")
+    heads = held.groupBy("key", "head").agg(F.count(F.lit(1)).alias("size"))
+    # A bucket of two is settled by its head.
+    heads = common.rekeyed(heads.where("size > 1"), ["key"], "k_").select("k_key", "head", "size")
+    rows = common.rekeyed(held.select("key", "node"), ["key"], "k_").join(
+        heads.select("k_key", "size"), "k_key").select("k_key", "node", "size")
+    rows = rows.unionByName(heads.select("k_key", F.col("head").alias("node"), "size"))
+    rows = rows.join(labels, F.col("node") == F.col("l_node"), "left").select(
+        "k_key", "node", "size", F.coalesce("label", "node").alias("label"))
+    rows = common.written(rows, "omh-members")
+    mixed_up = rows.groupBy("k_key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed_up = mixed_up.where(F.col("low") < F.col("high")).select(F.col("k_key").alias("key"))
+    mixed_up = common.rekeyed(mixed_up, ["key"], "m_")
+    rows = rows.withColumn("m_key", F.col("k_key").bitwiseXOR(F.lit(1))).join(
+        mixed_up.select("m_key"), "m_key", "left_semi")
+    parts = F.ceil((F.col("size") + 1) / BLOCK)
+    rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    bags = words.select(F.col("node").alias("w_node"), F.pandas_udf(_bag, "binary")("words").alias("bag"))
+    rows = rows.join(bags, F.col("node") == F.col("w_node"))
+    member = F.struct("node", "label", "bag")
+    blocks = common.written(rows.groupBy("k_key", "part").agg(F.collect_list(member).alias("members")), "omh-blocks")
+    a = common.rekeyed(blocks, ["k_key"], "a_").select("a_k_key", F.col("part").alias("part"), F.col("members").alias("a"))
+    b = a.select(F.col("a_k_key").alias("b_key"), F.col("part").alias("b_part"), F.col("a").alias("b"))
+    both = a.join(b, (F.col("a_k_key") == F.col("b_key")) & (F.col("part") <= F.col("b_part")))
+    found = both.select("a", "b").mapInArrow(_near_batches, "node long, head long").distinct()
+    return found.join(tried.select("node", "head"), ["node", "head"], "left_anti")
+
+
+def _bag(words: pd.Series) -> pd.Series:
+    """The number of words, and how many fall in each of ``BINS`` bins."""
+    out = []
+    for w in words:
+        w = np.frombuffer(w, np.uint32)
+        counts = np.bincount(w % BINS, minlength=BINS)
+        out.append(np.concatenate(([len(w)], counts)).astype(np.uint32).tobytes())
+    return pd.Series(out)
+
+
+def near_bags(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether texts with these bags may be similar: an edit changes one
+    word for another at most, so the words that only one of the two has
+    are no more than the edits."""
+    most = ((1 - MIN_SIMILARITY) * np.maximum.outer(a[:, 0], b[:, 0]) + 1e-9).astype(np.int64)
+    out = np.zeros((len(a), len(b)), bool)
+    for i in range(len(a)):
+        gap = a[i, 1:] - b[:, 1:]
+        more = np.maximum(gap, 0).sum(axis=1)
+        out[i] = np.maximum(more, more - gap.sum(axis=1)) <= most[i]
+    return out
+
+
+def _near_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b in zip(batch.column(0), batch.column(1), strict=True):
+            (n1, l1, b1), (n2, l2, b2) = [
+                (x.values.field("node").to_numpy(), x.values.field("label").to_numpy(),
+                 np.frombuffer(b"".join(x.values.field("bag").to_pylist()), np.uint32).reshape(-1, BINS + 1)
+                 .astype(np.int64)) for x in (a, b)]
+            i, j = np.nonzero(near_bags(b1, b2) & (l1[:, None] != l2))
+            low, high = np.minimum(n1[i], n2[j]), np.maximum(n1[i], n2[j])
+            pairs = np.unique(np.stack((high, low), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["node", "head"])
+
+
 def packed_words(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, words) of every node in ``pairs``."""
     wanted = pairs.select("node").unionByName(pairs.select(F.col("head").alias("node"))).distinct()

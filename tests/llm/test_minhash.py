@@ -114,6 +114,48 @@ def test_stage_keeps_one_of_each(spark):
     assert sorted((r["doc_id"] or 0, r["text"] is None) for r in rows) == [(0, False), (1, False), (2, True), (3, False)]
 
 
+def forms(rng, pairs, size=100, shared=75, swapped=13):
+    """Texts on one template, two and two of them alike."""
+    template = [f"form{i}" for i in range(shared)]
+    texts = []
+    for _ in range(pairs):
+        own = [f"o{rng.randrange(10 ** 9)}" for _ in range(size - shared)]
+        other = list(own)
+        for at in rng.sample(range(len(own)), swapped):
+            other[at] = f"o{rng.randrange(10 ** 9)}"
+        texts += [" ".join(template + own), " ".join(template + other)]
+    return texts
+
+
+def test_pairs_on_one_template_all_meet(spark):
+    texts = forms(random.Random(6), 200)
+    got = {r["doc_id"]: r["class_id"] for r in mh.digest(documents(spark, texts)).collect()}
+    assert got == {i: i // 2 * 2 for i in range(len(texts))}
+
+
+def test_a_member_linked_to_its_head_still_meets_the_others(spark):
+    rng = random.Random(9)
+    chains = []
+    for _ in range(12):
+        text = [f"c{rng.randrange(10 ** 9)}" for _ in range(100)]
+        for step in range(4):  # each is near the one before it only
+            chains.append(" ".join(text))
+            text = text[:step * 18] + [f"c{rng.randrange(10 ** 9)}" for _ in range(18)] + text[step * 18 + 18:]
+    got = {r["doc_id"]: r["class_id"] for r in mh.digest(documents(spark, chains)).collect()}
+    assert got == {i: i // 4 * 4 for i in range(len(chains))}
+
+
+def test_bags_bound_the_distance():
+    rng = random.Random(4)
+    for _ in range(300):
+        a = [rng.choice("abcdefgh") for _ in range(rng.randrange(1, 30))]
+        b = edited(a, rng.randrange(9), rng) or ["a"]
+        x, y = (np.array([ord(c) for c in w], np.uint32) for w in (a, b))
+        bags = [np.concatenate(([len(w)], np.bincount(w % mh.BINS, minlength=mh.BINS))).astype(np.int64) for w in (x, y)]
+        near = mh.near_bags(bags[0][None], bags[1][None])[0, 0]
+        assert near or not mh.similar(x.astype(np.uint64), y.astype(np.uint64))
+
+
 def test_repeated_shingles_are_labelled():
     flat, count = word_hashes(["a b c d e " * 9, "a b c d e " * 3, "a b c d e", "a b", ""])
     names, n = mh._shingles(flat, count)
