@@ -1,11 +1,13 @@
 """Near-duplicate documents by order MinHash.
 
-A document's five-word shingles are labelled with their occurrence
-numbers.  Each of ``SKETCHES`` hash functions picks the ``PICKED``
+A document's shingles are labelled with their occurrence numbers; they
+have one to three words, by the length of the text (``SIZES``), as edits
+leave few long shingles of a short text whole.  Each of ``SKETCHES`` hash functions picks the ``PICKED``
 smallest labelled shingles and keeps them in the order of the text, so
 that two documents agree on a sketch in proportion to their edit
-similarity.  Documents of like length that agree on a sketch share a
-bucket.  A pair is linked when a banded alignment of the whole word
+similarity.  Sizes and number of the sketches are chosen so that at least
+99 % of the pairs at MIN_SIMILARITY agree on one, with the edits at random
+places.  Documents of like length that agree on a sketch share a bucket.  A pair is linked when a banded alignment of the whole word
 sequences finds an edit similarity of ``MIN_SIMILARITY`` or more, and
 classes are the connected components of the links.
 
@@ -43,7 +45,11 @@ from .words import mixed, word_hashes
 
 SHINGLE = 5
 MIN_SIMILARITY = 0.8
-SKETCHES, PICKED = 24, 2
+SKETCHES, PICKED = 48, 2
+#: Length classes are so many factors of MIN_SIMILARITY wide.
+WIDTH = 3
+#: Words of a shingle from a length class on: up to 7 words, to 55, and more.
+SIZES = ((0, 1), (3, 2), (6, 3))
 SEED = 31
 
 #: Representatives are tried on while they link this share of the pairs.
@@ -57,22 +63,25 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def length_class(n: np.ndarray) -> np.ndarray:
-    """Lengths within MIN_SIMILARITY of each other are at most one apart."""
-    return np.floor(np.log(np.maximum(n, 1)) / -np.log(MIN_SIMILARITY) + 1e-9).astype(np.int64)
+def length_classes(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The classes in which texts of n words look for others, the second
+    the same as the first or the next one.  Texts whose lengths are within
+    MIN_SIMILARITY of each other share one."""
+    step = np.floor(np.log(np.maximum(n, 1)) / -np.log(MIN_SIMILARITY) + 1e-9).astype(np.int64)
+    return step // WIDTH, (step + 1) // WIDTH
 
 
-def _shingles(words: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _shingles(words: np.ndarray, count: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Occurrence-labelled shingle hashes, and their number per text."""
     doc = np.repeat(np.arange(len(count)), count)
     first = np.cumsum(count) - count
-    n = np.where(count > 0, np.maximum(count - SHINGLE + 1, 1), 0)
+    n = np.where(count > 0, np.maximum(count - size + 1, 1), 0)
     own = np.repeat(np.arange(len(count)), n)
     at = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n) + first[own]
     names = np.zeros(len(own), np.uint64)
-    padded = np.concatenate((words, np.zeros(SHINGLE, np.uint64)))
-    docs = np.concatenate((doc, np.full(SHINGLE, -1)))
-    for j in range(SHINGLE):  # a text of fewer words ends its only shingle
+    padded = np.concatenate((words, np.zeros(size, np.uint64)))
+    docs = np.concatenate((doc, np.full(size, -1)))
+    for j in range(size):  # a text of fewer words ends its only shingle
         w = np.where(docs[at + j] == own, padded[at + j], 0)
         names = (names ^ w) * _STEP
         names ^= names >> np.uint64(31)
@@ -86,9 +95,9 @@ def _shingles(words: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mixed(names + nth * _SALTS[0]), n
 
 
-def sketches(words: np.ndarray, count: np.ndarray) -> np.ndarray:
+def sketches(words: np.ndarray, count: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """(texts with words, SKETCHES) order MinHash values."""
-    names, n = _shingles(words, count)
+    names, n = _shingles(words, count, size)
     n = n[n > 0]
     start = np.cumsum(n) - n
     out = np.zeros((len(n), SKETCHES), np.uint64)
@@ -113,6 +122,24 @@ def sketches(words: np.ndarray, count: np.ndarray) -> np.ndarray:
     return out
 
 
+def bucket_keys(words: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+    """The buckets of each text with words: its sketches in its classes."""
+    n = count[count > 0]
+    doc = np.repeat(np.arange(len(n)), n)
+    own, beside = length_classes(n)
+    out: list[list[np.ndarray]] = [[] for _ in n]
+    for (least, size), top in zip(SIZES, [c for c, _ in SIZES[1:]] + [1 << 30], strict=True):
+        of = [(k >= least) & (k < top) for k in (own, beside)]
+        some = of[0] | of[1]
+        drawn = sketches(words[some[doc]], n[some], size)
+        for k, here in ((own, of[0]), (beside, of[1] & (beside > own))):
+            keys = mixed(drawn + k[some].astype(np.uint64)[:, None] * _STEP)
+            for i, row in zip(np.flatnonzero(some), keys, strict=True):
+                if here[i]:
+                    out[i].append(row)
+    return [np.concatenate(k).view(np.int64) for k in out]
+
+
 def _sketch_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         words, count = word_hashes([t if isinstance(t, str) else None for t in rows["text"]])
@@ -123,11 +150,8 @@ def _sketch_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         nth = (np.arange(len(words)) - np.repeat(start, n)).astype(np.uint64)
         whole = [np.add.reduceat(mixed(words ^ (nth + np.uint64(s)) * _STEP), start) if len(n) else start
                  for s in (1, 1 << 40)]
-        keys = sketches(words, count)
-        own = length_class(n).astype(np.uint64)[:, None]
-        keys = np.concatenate([mixed(keys + (own + np.uint64(d)) * _STEP) for d in (0, 1)], axis=1)
         yield pd.DataFrame({"did": rows["did"][some].to_numpy(), "g1": whole[0].view(np.int64),
-                            "g2": whole[1].view(np.int64), "n": n, "keys": list(keys.view(np.int64))})
+                            "g2": whole[1].view(np.int64), "n": n, "keys": bucket_keys(words, count)})
 
 
 def node_id(doc_id: Column, text: Column) -> Column:

@@ -156,6 +156,31 @@ def test_bags_bound_the_distance():
         assert near or not mh.similar(x.astype(np.uint64), y.astype(np.uint64))
 
 
+def test_scattered_edits_up_to_the_bound_meet():
+    rng = random.Random(12)
+    for size in (5, 6, 7, 9, 10, 20, 30, 45, 55, 60, 100, 300):
+        for share in (0.15, 0.2):
+            texts = []
+            for _ in range(400):
+                words = [f"w{rng.randrange(10 ** 9)}" for _ in range(size)]
+                other = list(words)
+                for at in rng.sample(range(size), max(1, int(share * size))):
+                    other[at] = f"w{rng.randrange(10 ** 9)}"
+                if size < 10:  # the worst place
+                    other = words[:size // 2] + ["changed"] + words[size // 2 + 1:]
+                texts += [" ".join(words), " ".join(other)]
+            keys = mh.bucket_keys(*word_hashes(texts))
+            met = [bool(np.isin(a, b).any()) for a, b in zip(keys[::2], keys[1::2], strict=True)]
+            assert np.mean(met) >= 0.985, (size, share, np.mean(met))
+
+
+def test_lengths_within_the_bound_share_a_class():
+    for long in range(1, 3000):
+        n = np.arange(max(1, int(np.ceil(mh.MIN_SIMILARITY * long - 1e-9))), long + 1)
+        own, beside = mh.length_classes(n)
+        assert np.all((own == own[-1]) | (beside == own[-1]))
+
+
 def test_repeated_shingles_are_labelled():
     flat, count = word_hashes(["a b c d e " * 9, "a b c d e " * 3, "a b c d e", "a b", ""])
     names, n = mh._shingles(flat, count)
