@@ -9,10 +9,13 @@ that two sequences a few edits apart fall in step again and again, and
 their embeddings differ in few places.  Repeated bit sampling over the
 embeddings (``SAMPLES`` coordinates, ``WALKS`` walks from a window's start
 and as many from its end) finds candidate windows, and each candidate is
-verified by its exact edit distance.
+verified by its exact edit distance.  A walk covers about ``ANCHOR`` words,
+so walks start at every ``ANCHOR``-th word of an item, from its start and
+from its end: a long item is found by any part that is like it.
 
 Only windows that can match are embedded: one too poor in words of any
-item has too many edits, so this test loses nothing.  The items reach the
+item has too many edits.  The same test on the part that a walk covers
+is for walks from inside an item.  The items reach the
 workers in blocks of bounded size; the documents are read once per block
 and never shuffled.
 
@@ -43,6 +46,8 @@ WALKS = 16
 SAMPLES = 4
 #: Steps of a walk for items of at least so many words.
 CLASSES = ((12, 24), (MIN_WORDS, 9))
+#: Words between the starts of walks in an item, as many as a walk covers.
+ANCHOR = 12
 SEED = 23
 
 #: Bounds of one block of items.
@@ -56,6 +61,11 @@ def max_edits(n: int) -> int:
     return int(MAX_EDIT_SHARE * n + 1e-9)
 
 
+def anchors(n: int) -> range:
+    """The words of an item at which walks start."""
+    return range(0, max(n - ANCHOR, 0) + 1, ANCHOR)
+
+
 def best_window(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """(edit distance, start, end) of the window of ``text`` nearest to
     ``item``; of equals the first to end, then the longest."""
@@ -88,6 +98,7 @@ class Walk:
     prefixes: np.ndarray | None = None  # of the items: which keys two samples can have, as a bitmap
     keys: np.ndarray | None = None  # of the items: sorted full keys
     items: np.ndarray | None = None
+    skipped: np.ndarray | None = None  # words of the item before the start
 
     def embed(self, words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sampled keys of the walks from positions ``at``; with the items'
@@ -137,7 +148,8 @@ class Block:
         for least, steps in CLASSES:
             own = [i for i, w in enumerate(self.words) if least <= len(w) < top]
             top = least
-            self.lengths[least] = sorted({len(self.words[i]) for i in own})
+            self.lengths[least] = sorted({len(self.words[i]) for i in own}
+                                         | {ANCHOR for i in own if len(anchors(len(self.words[i]))) > 1})
             for backward in (False, True):
                 walks = [Walk(rng.integers(0, 1 << 63, steps, dtype=np.uint64) * np.uint64(2) + np.uint64(1),
                               np.sort(rng.choice(steps, SAMPLES, replace=False))) for _ in range(WALKS)]
@@ -148,15 +160,19 @@ class Block:
 
     def _enter(self, walk: Walk, items: list[np.ndarray], own: list[int]) -> None:
         padded = np.concatenate([np.concatenate((h, np.zeros(1, np.uint64))) for h in items])
-        starts = np.cumsum([0] + [len(h) + 1 for h in items[:-1]])
-        size = 1 << max(12, (32 * len(own)).bit_length())
+        first = np.cumsum([0] + [len(h) + 1 for h in items[:-1]])
+        skipped = [np.array(anchors(len(h))) for h in items]
+        starts = np.concatenate([f + a for f, a in zip(first, skipped, strict=True)])
+        owner = np.repeat(own, [len(a) for a in skipped])
+        size = 1 << max(12, (32 * len(starts)).bit_length())
         prefixes = np.zeros((SAMPLES - 1, size), bool)
         for n in range(1, SAMPLES):
             part = Walk(walk.advance, walk.sampled[:n])
             prefixes[n - 1][part.embed(padded, starts)[1] & np.uint64(size - 1)] = True
         _, keys = Walk(walk.advance, walk.sampled).embed(padded, starts)
         order = np.argsort(keys, kind="stable")
-        walk.keys, walk.items, walk.prefixes = keys[order], np.array(own)[order], prefixes
+        walk.keys, walk.items, walk.prefixes = keys[order], owner[order], prefixes
+        walk.skipped = np.concatenate(skipped)[order]
 
     def possible(self, known: np.ndarray, least: int) -> np.ndarray:
         """Positions at which a matching window of some length can start:
@@ -172,9 +188,9 @@ class Block:
         return np.flatnonzero(out & known)
 
     def candidates(self, words: np.ndarray) -> np.ndarray:
-        """Rows (item, position, from its end) over words with a 0 after
-        each text; each once."""
-        found = [np.zeros((0, 3), np.int64)]
+        """Rows (item, position, from its end, words of the item before the
+        position) over words with a 0 after each text; each once."""
+        found = [np.zeros((0, 4), np.int64)]
         for backward in (False, True):
             # Reversed texts keep the 0 after each: the one before the first moves.
             line = np.concatenate((words[:-1][::-1], words[-1:])) if backward else words
@@ -190,10 +206,10 @@ class Block:
                     if not len(own):
                         continue
                     nth = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                    item = walk.items[np.repeat(lo, size) + nth]
+                    entry = np.repeat(lo, size) + nth
                     p = np.repeat(at[own], size)
-                    found.append(np.stack((item, len(words) - 2 - p if backward else p,
-                                           np.full(len(p), backward)), axis=1))
+                    found.append(np.stack((walk.items[entry], len(words) - 2 - p if backward else p,
+                                           np.full(len(p), backward), walk.skipped[entry]), axis=1))
         return np.unique(np.concatenate(found), axis=0)
 
     @staticmethod
@@ -224,12 +240,14 @@ class Block:
         solid[end] = False
         line[solid] = flat
         out: list[dict[int, tuple]] = [{} for _ in texts]
-        found = self.candidates(line) if len(flat) else np.zeros((0, 3), np.int64)
+        found = self.candidates(line) if len(flat) else np.zeros((0, 4), np.int64)
         for item in np.unique(found[:, 0]):
             want = self.words[item]
             n, k = len(want), max_edits(len(want))
-            at, backward = found[found[:, 0] == item, 1], found[found[:, 0] == item, 2] > 0
-            doc = np.searchsorted(end, at)
+            own = found[found[:, 0] == item]
+            backward = own[:, 2] > 0
+            doc = np.searchsorted(end, own[:, 1])
+            at = own[:, 1] + np.where(backward, own[:, 3], -own[:, 3])  # where the item's first or last word would be
             lo = np.maximum(np.where(backward, at - n - 2 * k, at - k), end[doc] - count[doc])
             hi = np.minimum(np.where(backward, at + 1 + k, at + n + 2 * k), end[doc])
             places = np.unique(np.stack((doc, lo, hi), axis=1), axis=0)

@@ -68,6 +68,23 @@ def test_search_finds_what_brute_force_finds():
     assert wanted > 20 and found >= 0.98 * wanted
 
 
+def test_long_items_without_head_and_tail():
+    rng = random.Random(15)
+    words = [f"{a}{b}" for a in VOCABULARY for b in VOCABULARY]
+    for size in (40, 60, 100, 200, 500):
+        bench = [[rng.choice(words) for _ in range(size)] for _ in range(30)]
+        cut = [b[size // 10:size - size // 10] for b in bench]
+        ends = [[rng.choice(words) for _ in range(size // 10)] + b[size // 10:size - size // 10]
+                + [rng.choice(words) for _ in range(size // 10)] for b in bench]
+        inner = [edit(b, size * 3 // 20, rng) for b in bench]
+        block = dc.Block(list(range(30)), [" ".join(b) for b in bench])
+        for made in (cut, ends, inner):
+            texts = [[rng.choice(words) for _ in range(70)] + m + [rng.choice(words) for _ in range(70)] for m in made]
+            got = block.matches([" ".join(t) for t in texts])
+            assert sum(i in {h["item_id"] for h in hits} for i, hits in enumerate(got)) >= 29, size
+            assert all(h["distance"] <= dc.max_edits(size) for hits in got for h in hits)
+
+
 def test_best_window_matches_brute_force():
     rng = np.random.default_rng(1)
     for _ in range(300):
