@@ -144,7 +144,9 @@ def links(prints: DataFrame) -> DataFrame:
     spark = prints.sparkSession
     common.prepare(spark)
     with common.batches_of(spark, ROWS):
-        made = prints.select("fp").mapInArrow(_variant_batches, "variant long, flip short")
+        # A fingerprint becomes hundreds of rows, so few go to each task.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        made = prints.select("fp").repartition(parts, "fp").mapInArrow(_variant_batches, "variant long, flip short")
         met = made.repartition("variant").sortWithinPartitions("variant").mapInArrow(_star_batches, "u long, v long")
         met = met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         return common.written(met.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= RADIUS), "sh-links")
