@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hard_negatives, html_extract, line_dedup, minhash, mixing, pii, quality, simhash, substring_dedup, suffix_dedup, url_filter
+from . import decontaminate, hard_negatives, html_extract, line_dedup, minhash, mixing, pii, quality, simhash, spelling, substring_dedup, suffix_dedup, url_filter
 from .common import read_table
 
 
@@ -58,13 +58,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.digest(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_mixing, op3_quality_rules, op4_line_dedup, op5_html_extraction, op6_substring_dedup, op7_pii,
-                              op8_url_filter, op9_suffix_dedup, op10_minhash, op11_hard_negatives, op13_simhash)
+                              op8_url_filter, op9_suffix_dedup, op10_minhash, op11_hard_negatives, op12_spelling, op13_simhash)
 }
 
 ORACLES: dict[str, str] = {
