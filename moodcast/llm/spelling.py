@@ -9,15 +9,15 @@ Near words are found with grams of variable length:
   counted, and the dictionary is pruned by them: a gram is extended by one
   more character as long as it occurs more than ``COMMON`` times.  So which
   gram starts at a place depends on that gram's own characters alone;
-* an edit at a place affects only the grams that cover it, so a word has a
-  bound of its own on the grams one edit can affect: the most that cover
-  one place.  Two near words share, in order, all grams that are not
-  affected, and thus the rarest of these is among the bound + 1 rarest of
-  either word (equally rare ones by gram and place).  Only the lists of
-  those grams are merged;
-* the edit is on one side of a shared gram, and the other side is equal in
-  both words.  A list is keyed with that side (the word up to the gram's
-  end, or from its start on), so that common grams make no long lists;
+* an edit affects only grams that cover its place, so of grams that do not
+  overlap it affects one at most, and a word needs to merge the lists of
+  only two: of a gram that ends where another one starts.  Of all such
+  places in the word the one with the shortest lists is taken;
+* the edit is behind the end of the first gram or before the start of the
+  second one, and the other side of the word is equal in both words.  So a
+  list is keyed with that side (the word up to the gram's end, or from its
+  start on), and common grams make no long lists.  A word is entered in
+  the lists of all its grams, and looks up two;
 * the pairs found are deduplicated and verified.
 
 A word's form is its most frequent near word, if that is so much more
@@ -54,9 +54,13 @@ MIN_LENGTH, MIN_COUNT = 6, 5
 #: A form is at least so many times as frequent as the word.
 FORM_TIMES = 5
 
-SHORTEST, LONGEST = 2, 4
+#: Half of a shortest marked word at most, so that two grams fit into any.
+SHORTEST, LONGEST = 2, (MIN_LENGTH + 2) // 2
 #: Occurrences up to which a gram is not extended.
 COMMON = 64
+#: The base of a hash of a word's characters by their places (odd).
+_BASE = 0x5851F42D4C957F2D
+_INVERSE = pow(_BASE, -1, 1 << 64)
 #: Different words that a task counts before it hands them on.
 HELD = 1 << 17
 
@@ -118,8 +122,8 @@ def _longest_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def grams(words: DataFrame) -> DataFrame:
-    """(id, at, gram, times): the gram of the pruned dictionary that
-    starts at each place of each marked word, and how often it occurs."""
+    """(id, at, gram): the gram of the pruned dictionary that starts at
+    each place of each marked word."""
     # All grams that a place may start are the prefixes of the longest one.
     longest = common.written(words.select("id", "word").mapInPandas(_longest_batches, "id long, at int, g string"), "sp-places")
     parts = F.transform(F.sequence(F.lit(SHORTEST), F.length("g")), lambda q: F.substring(F.col("g"), 1, q))
@@ -129,48 +133,79 @@ def grams(words: DataFrame) -> DataFrame:
     # common, or else that itself.
     kept = starts.select("g", F.explode(parts).alias("gram")).join(freq, "gram")
     kept = kept.where((F.col("times") <= COMMON) | (F.col("gram") == F.col("g")))
-    kept = kept.groupBy("g").agg(F.min(F.struct(F.length("gram").alias("q"), "gram", "times")).alias("x"))
-    kept = common.written(kept.select("g", "x.gram", "x.times"), "sp-dictionary")
-    kept = common.rekeyed(kept, ["g"], "k_").select("k_g", "gram", "times")
-    return common.rekeyed(longest, ["g"], "k_").join(kept, "k_g").select("id", "at", "gram", "times")
+    kept = kept.groupBy("g").agg(F.min(F.struct(F.length("gram").alias("q"), "gram")).alias("x"))
+    kept = common.written(kept.select("g", "x.gram"), "sp-dictionary")
+    kept = common.rekeyed(kept, ["g"], "k_").select("k_g", "gram")
+    return common.rekeyed(longest, ["g"], "k_").join(kept, "k_g").select("id", "at", "gram")
 
 
-def rarest(occurrences: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Occurrences (times, at, gram) of one word -> (at, length) of those
-    whose lists are merged: one more than an edit can affect."""
-    edges = sorted([(at, 1) for _, at, _ in occurrences] + [(at + len(g), -1) for _, at, g in occurrences])
-    most = depth = 0
-    for _, step in edges:
-        depth += step
-        most = max(most, depth)
-    first = sorted(occurrences, key=lambda x: (x[0], x[2], x[1]))[:most + 1]
-    return [(at, len(g)) for _, at, g in first]
+def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
+    x = (x ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
 
 
-def _rarest_of(of: pd.Series) -> pd.Series:
-    return pd.Series([rarest([(x["times"], x["at"], x["gram"]) for x in rows]) for rows in of])
+def side_keys(word: str, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the marked word up to each end, and from each start on."""
+    codes = np.frombuffer(f"^{word}$".encode("utf-32-le"), np.uint32).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        up = np.full(len(codes), _BASE, np.uint64)
+        up[0] = 1
+        down = np.full(len(codes), _INVERSE, np.uint64)
+        down[0] = 1
+        up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        upto = np.concatenate(([np.uint64(0)], np.cumsum(codes * up)))
+        since = (upto[-1] - upto[:-1]) * down
+        return _mixed(upto[ends], 1), _mixed(since[starts], 2)
 
 
-def lists(words: DataFrame) -> DataFrame:
-    """(key, id, size): for each gram whose list is merged, one entry by
-    the word up to the gram's end and one by the word from it on."""
-    held = grams(words).groupBy("id").agg(F.collect_list(F.struct("times", "at", "gram")).alias("of"))
-    picked = held.select("id", F.explode(F.pandas_udf(_rarest_of, "array<struct<at: int, q: int>>")("of")).alias("x"))
-    picked = picked.join(words.select("id", F.concat(F.lit("^"), "word", F.lit("$")).alias("w")), "id")
-    upto, since = F.expr("substring(w, 1, x.at + x.q)"), F.expr("substring(w, x.at + 1)")
-    # The gram's length tells apart what the same side says of other grams.
-    sides = F.array(F.struct(F.lit(0).alias("side"), upto.alias("part")), F.struct(F.lit(1).alias("side"), since.alias("part")))
-    out = picked.select("id", F.length("w").alias("size"), "x.q", F.explode(sides).alias("s"))
-    return out.select(F.xxhash64("s.side", "q", "s.part").alias("key"), "id", "size")
+def _entry_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in batches:
+        out = []
+        for i, word, of in zip(rows["id"], rows["word"], rows["of"], strict=True):
+            starts = np.array([x["at"] for x in of])
+            ends = np.unique(starts + np.array([x["q"] for x in of]))
+            keys = side_keys(word, starts, ends)
+            letters = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64) & np.uint64(63)
+            odd = np.bitwise_xor.reduce(np.uint64(1) << letters).view(np.int64)
+            out.append((np.full(len(ends) + len(starts), i), np.concatenate((ends, starts)), np.concatenate(keys),
+                        np.repeat([True, False], [len(ends), len(starts)]), np.full(len(ends) + len(starts), len(word)),
+                        np.full(len(ends) + len(starts), odd)))
+        if out:
+            yield pd.DataFrame(dict(zip(["id", "cut", "key", "upto", "size", "odd"], map(np.concatenate, zip(*out)), strict=True)))
+
+
+def entries(words: DataFrame) -> DataFrame:
+    """(id, cut, key, upto, size, odd): each word in the lists of all its grams,
+    by the word up to the end of the gram and from its start on.
+    ``odd`` has a bit for the letters that are there an odd number of times."""
+    held = grams(words).groupBy("id").agg(F.collect_list(F.struct("at", F.length("gram").alias("q"))).alias("of"))
+    rows = held.withColumnRenamed("id", "g_id").join(words, F.col("g_id") == F.col("id")).select("id", "word", "of")
+    return common.written(rows.mapInPandas(_entry_batches, "id long, cut int, key long, upto boolean, size int, odd long"), "sp-entries")
+
+
+def lookups(entered: DataFrame) -> DataFrame:
+    """(key, id, size, odd): the two lists that each word looks up, those of the
+    cut whose lists are shortest together."""
+    length = entered.groupBy("key").agg(F.count(F.lit(1)).alias("times"))
+    length = common.rekeyed(length, ["key"], "k_").select("k_key", "times")
+    known = common.rekeyed(entered, ["key"], "k_").join(length, "k_key")
+    cuts = known.groupBy("id", "cut", "size", "odd").agg(F.count(F.lit(1)).alias("sides"), F.sum("times").alias("times"),
+                                                  F.max(F.when(F.col("upto"), F.col("key"))).alias("upto"),
+                                                  F.max(F.when(~F.col("upto"), F.col("key"))).alias("since"))
+    best = cuts.where("sides = 2").groupBy("id", "size", "odd").agg(F.min(F.struct("times", "cut", "upto", "since")).alias("x"))
+    return best.select("id", "size", "odd", F.explode(F.array("x.upto", "x.since")).alias("key"))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """All pairs (a, b) of ids whose words are at distance one, each once
     in either direction."""
-    entries = common.written(lists(words), "sp-lists")
-    a = entries.select("key", F.col("id").alias("a"), F.explode(F.array("size", F.col("size") + 1)).alias("size"))
-    b = entries.select("key", F.col("id").alias("b"), "size")
-    pairs = a.join(b, ["key", "size"]).where(F.col("a") != F.col("b"))
+    entered = entries(words)
+    sizes = F.explode(F.array("size", F.col("size") + 1)).alias("size")
+    a = common.written(lookups(entered), "sp-lookups").select("key", F.col("id").alias("a"), "odd", sizes)
+    b = entered.select("key", F.col("id").alias("b"), "size", F.col("odd").alias("b_odd"))
+    # One edit changes how often two letters are there, at most.
+    like = F.bit_count(F.col("odd").bitwiseXOR(F.col("b_odd"))) <= 2
+    pairs = a.join(b, ["key", "size"]).where((F.col("a") != F.col("b")) & like)
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     named = words.select("id", "word")
     pairs = pairs.join(named.toDF("a", "wa"), "a").join(named.toDF("b", "wb"), "b")

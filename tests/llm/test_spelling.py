@@ -108,10 +108,23 @@ def test_hard_rows(spark):
     assert found(spelling.digest(documents(spark, []))) == set() == found(spelling.digest(documents(spark, ["one"])))
 
 
-def test_bounds_of_affected_grams():
-    # Five grams; the place of "c" is in three of them.
-    of = [(9, 0, "^ab"), (1, 1, "abc"), (2, 2, "bc"), (3, 3, "cd$"), (8, 4, "d$")]
-    assert spelling.rarest(of) == [(1, 3), (2, 2), (3, 3), (4, 2)]
+def test_sides_of_a_word_have_the_same_key_in_its_near_words():
+    import numpy as np
+    at = np.arange(8)
+    upto, since = spelling.side_keys("abcéef", at, at)
+    more, shifted = spelling.side_keys("abcéxef", np.arange(9), np.arange(9))
+    assert (upto[:6] == more[:6]).all() and not set(upto[6:]) & set(more)
+    assert (since[5:] == shifted[6:]).all() and not set(since[:5]) & set(shifted)
+
+
+def test_lists_stay_short_where_words_share_their_ends(spark):
+    rng = random.Random(2)
+    middle = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(3000)]
+    words = sorted({f"inter{m}ation" for m in middle})
+    table = spark.createDataFrame([(i, w, 9) for i, w in enumerate(words)], "id long, word string, n long")
+    entered = spelling.entries(table)
+    found = spelling.lookups(entered).withColumnRenamed("id", "a").join(entered, ["key", "size"])
+    assert found.count() < 100 * len(words)
 
 
 def test_query_on_a_given_table(spark):
