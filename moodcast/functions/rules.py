@@ -61,9 +61,11 @@ BOOSTERS_DOWN = [
     "occasionally", "partly", "scarcely", "slightly", "somewhat", "sorta",
 ]
 
-# The ending of a contracted negation, and its sign.
+# The ending of a contracted negation, its sign, and the word
+# that turns a text.
 NOT_SUFFIX = "n't"
 APOSTROPHE = "'"
+BUT = "but"
 
 # Word pattern: letters or digits, optionally one apostrophe inside.
 WORD_PATTERN = r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)?"

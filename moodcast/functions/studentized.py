@@ -14,11 +14,23 @@ from functools import lru_cache
 import numpy as np
 
 _GL_X, _GL_W = np.polynomial.legendre.leggauss(24)
-_erf = np.frompyfunc(math.erf, 1, 1)
+
+# Phi on a grid; between its points a Taylor series of six terms.
+_GRID_STEP, _GRID_END = 1.0 / 64.0, 9.0
+_GRID = np.arange(-_GRID_END, _GRID_END + _GRID_STEP / 2, _GRID_STEP)
+_GRID_CDF = np.array([0.5 * math.erfc(-x / math.sqrt(2.0)) for x in _GRID])
 
 
 def _phi_cdf(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1.0 + _erf(x / math.sqrt(2.0)).astype(float))
+    x = np.clip(x, -_GRID_END, _GRID_END)
+    at = np.rint((x + _GRID_END) / _GRID_STEP).astype(np.int64)
+    g = _GRID[at]
+    d = x - g
+    # The derivatives of the density are Hermite polynomials times it.
+    h2, h3 = g * g - 1.0, g * (g * g - 3.0)
+    h4, h5 = g * h3 - 3.0 * h2, g * (g * h3 - 3.0 * h2) - 4.0 * h3
+    series = 1.0 - d * (g / 2.0 - d * (h2 / 6.0 - d * (h3 / 24.0 - d * (h4 / 120.0 - d * h5 / 720.0))))
+    return _GRID_CDF[at] + np.exp(-0.5 * g * g) / math.sqrt(2.0 * math.pi) * d * series
 
 
 def _nodes(lo: float, hi: float, panels: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,14 +78,38 @@ def tukey_sf(q: float, k: int, df: float) -> float:
 
 @lru_cache(maxsize=256)
 def qtukey(p: float, k: int, df: float) -> float:
-    """q with P(Q <= q) = p, by bisection."""
+    """q with P(Q <= q) = p: a secant between two sides that come closer,
+    halved where the secant does not help."""
     lo, hi = 0.0, 1.0
-    while ptukey(hi, k, df) < p and hi < 1e300:
+    f_lo, f_hi = -p, ptukey(1.0, k, df) - p
+    while f_hi < 0 and hi < 1e300:
+        lo, f_lo = hi, f_hi
         hi *= 2.0
-    for _ in range(60):
-        mid = (lo + hi) / 2.0
-        if ptukey(mid, k, df) < p:
-            lo = mid
-        else:
-            hi = mid
+        f_hi = ptukey(hi, k, df) - p
+    for _ in range(200):
+        if hi - lo <= 1e-13 * hi:
+            break
+        width = hi - lo
+        q = lo - f_lo * width / (f_hi - f_lo) if f_hi > f_lo else (lo + hi) / 2.0
+        for at in (q, (lo + hi) / 2.0):
+            if not lo < at < hi:
+                continue
+            f = ptukey(at, k, df) - p
+            if f < 0:
+                lo, f_lo = at, f
+            else:
+                hi, f_hi = at, f
+            if abs(f) < 1e-14:
+                return at
+            # A step past the root, by the slope there, closes the other side.
+            step = 2.0 * abs(f) * (hi - lo) / (f_hi - f_lo) if f_hi > f_lo else 0.0
+            near = at + step if f < 0 else at - step
+            if lo < near < hi:
+                f = ptukey(near, k, df) - p
+                if f < 0:
+                    lo, f_lo = near, f
+                else:
+                    hi, f_hi = near, f
+            if hi - lo < width / 4.0:
+                break
     return (lo + hi) / 2.0

@@ -17,12 +17,14 @@ from fractions import Fraction
 from functools import lru_cache
 
 import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import special
 from ..session import ship_package
+from . import joins
 
 EXACT_MAX = 8
 
@@ -85,30 +87,40 @@ def _exact_p(u: pd.Series, n1: pd.Series, n2: pd.Series, tmax: pd.Series) -> pd.
                       for a, b, c, t in zip(u, n1, n2, tmax)], dtype="float64")
 
 
-#: Ranges of the value table, by quantiles of the distinct values.
-RANGES = 1024
+#: Most ranges of the value table, by quantiles of the distinct values, and
+#: the distinct values that one range is to hold.
+RANGES, RANGE_ROWS = 1024, 1 << 16
+
+
+def value_ranges(wide: DataFrame, value: str, rows: int, ranges: int = RANGES) -> DataFrame:
+    """``wide`` with __range, which rises with the value and follows from
+    it alone: few values are one range; many are cut at their approximate
+    quantiles, and a value's range is found by binary search in the JVM."""
+    n = min(ranges, -(-rows // RANGE_ROWS))
+    placed = wide.withColumn("__key", F.col(value).cast("double"))
+    if n < 2:
+        return placed.withColumn("__range", F.lit(0.0)).drop("__key")
+    cuts = placed.where(~F.isnan("__key")).approxQuantile("__key", [i / n for i in range(1, n)], 0.1 / n)
+    inner = sorted({c for c in cuts if math.isfinite(c)})
+    if not inner:
+        return placed.withColumn("__range", F.lit(0.0)).drop("__key")
+    # NaN, the largest value, gets a range of its own behind all others.
+    bucketizer = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="__key", outputCol="__range", handleInvalid="keep")
+    return bucketizer.transform(placed).drop("__key")
 
 
 def running_below(wide: DataFrame, value: str, counts: list[str], ranges: int = RANGES) -> DataFrame:
     """For each distinct value, add __below_<c> = sum of column c over all
     smaller values, for every count column c.
 
-    The values are cut into ranges at their approximate quantiles, and a
-    value's range follows from the value alone: each range has its own
-    running sums, and one row per range gives the sums below it.  A
-    recomputed partition puts every value into the same range.
+    The values are cut into ranges: each range has its own running sums, and
+    one row per range gives the sums below it.  A recomputed partition puts
+    every value into the same range.  The value table is kept and counted
+    while the query is built, as its size decides on the ranges.
     """
     first = Window.unboundedPreceding
-    key = F.col(value).cast("double")
-    cuts = wide.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 10 * ranges)).scalar()
-    # Cuts are sorted: the range is found by halving, not by a scan.
-    placed = wide.select("*", cuts.alias("__cuts"))
-    placed = placed.withColumn("__cuts", F.coalesce("__cuts", F.array().cast("array<double>")))
-    step = ("aggregate(sequence(1, {n}), named_struct('lo', 0, 'hi', size(__cuts)), (s, i) -> "
-            "IF(s.lo >= s.hi, s, IF(__cuts[CAST((s.lo + s.hi) / 2 AS INT)] < CAST(`{v}` AS DOUBLE), "
-            "named_struct('lo', CAST((s.lo + s.hi) / 2 AS INT) + 1, 'hi', s.hi), "
-            "named_struct('lo', s.lo, 'hi', CAST((s.lo + s.hi) / 2 AS INT)))), s -> s.lo)")
-    placed = placed.withColumn("__range", F.expr(step.format(n=ranges.bit_length(), v=value))).drop("__cuts")
+    wide = joins.keep(wide)
+    placed = value_ranges(wide, value, wide.count(), ranges)
     totals = placed.groupBy("__range").agg(*[F.sum(c).alias(f"__tot_{c}") for c in counts])
     lower = Window.orderBy("__range").rowsBetween(first, -1)  # one row per range
     offsets = totals.select("__range", *[F.coalesce(F.sum(f"__tot_{c}").over(lower), F.lit(0.0)).alias(f"__off_{c}")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..constants import COMPOUND_ALPHA, COMPOUND_DECIMALS
 from ..functions import class_of_compound, rules, tokens
 from ..functions.special import bound
+from . import joins
 
 
 def normalise(s: Column) -> Column:
@@ -33,6 +34,15 @@ def _valences(lexicon: DataFrame) -> DataFrame:
     return lexicon.groupBy("token").agg(F.max(F.col("valence").cast("double")).alias("valence"))
 
 
+def _hits(words: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """``words`` (token, ...) that are in the lexicon, with their valence.
+
+    A lexicon within the bound is sent to the words; the words, whose
+    number no estimate knows, are never sent, however few they may seem.
+    """
+    return words.hint("merge").join(joins.bounded(_valences(lexicon)), "token")
+
+
 def _with_scores(ids: DataFrame, sums: DataFrame, id_col: str, compound: Column) -> DataFrame:
     """Every id with its score; texts without a lexicon word score 0."""
     scores = sums.select(id_col, compound.alias("compound"))
@@ -43,7 +53,7 @@ def score_bag(df: DataFrame, lexicon: DataFrame, text: str = "body",
               id_col: str = "comment_id") -> DataFrame:
     """(id, compound) of every text, bag mode."""
     words = df.select(id_col, F.explode(tokens(text)).alias("token"))
-    sums = words.join(_valences(lexicon), "token").groupBy(id_col).agg(F.sum("valence").alias("__s"))
+    sums = _hits(words, lexicon).groupBy(id_col).agg(F.sum("valence").alias("__s"))
     return _with_scores(df.select(id_col), sums, id_col, normalise(F.col("__s")))
 
 
@@ -52,32 +62,45 @@ def score_bag(df: DataFrame, lexicon: DataFrame, text: str = "body",
 # ----------------------------------------------------------------------
 
 
-def _strings(values) -> str:
-    return "array(" + ", ".join("'" + v + "'" for v in values) + ")"
+def _capitals(word: Column) -> Column:
+    return F.coalesce((F.upper(word) == word) & (F.lower(word) != word), F.lit(False))
+
+
+def _plain(word: Column) -> Column:
+    """A word as the lists have it: lower-case, without its apostrophe."""
+    return F.replace(F.lower(word), F.lit(rules.APOSTROPHE), F.lit(""))
 
 
-def _capitals(word: str) -> str:
-    return f"coalesce(upper({word}) = {word} AND lower({word}) <> {word}, false)"
+def _words(df: DataFrame, text: str, id_col: str) -> DataFrame:
+    """The words of every text as rows (id, pos, w), each with the three
+    words before it (w1 nearest) and what its text says of all: the marks,
+    whether capitals are ``mixed`` with others, and where "but" stands."""
+    t = F.col(text)
+    found = F.coalesce(F.regexp_extract_all(t, F.lit(rules.WORD_PATTERN), F.lit(0)), F.array().cast("array<string>"))
+    marks = [(F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))).alias(n) for c, n in (("!", "excl"), ("?", "ques"))]
+    # Most texts show as a whole that they have no capitals and no "but".
+    texts = df.select(id_col, *marks, found.alias("ws"), (F.lower(t) != t).alias("any_up"),
+                      F.contains(_plain(t), F.lit(rules.BUT)).alias("any_but"))
+    caps = F.size(F.filter("ws", _capitals))
+    mixed = F.when(F.col("any_up"), (caps > 0) & (caps < F.size("ws"))).otherwise(False)
+    but = F.when(F.col("any_but"), F.array_position(F.transform("ws", _plain), rules.BUT)).otherwise(0)
+    before = [F.concat(F.array_repeat(F.lit(None).cast("string"), d), F.col("ws")).alias(f"w{d}") for d in (1, 2, 3)]
+    # Made before the words leave, so that no row of a word carries them all.
+    texts = texts.select(id_col, "excl", "ques", mixed.alias("mixed"), but.alias("but"),
+                         F.arrays_zip(F.col("ws").alias("w"), *before).alias("zipped"))
+    rows = texts.select(id_col, "excl", "ques", "mixed", "but", F.posexplode("zipped").alias("pos", "t"))
+    return rows.select(id_col, "excl", "ques", "mixed", "but", "pos", "t.*").where(F.col("w").isNotNull())
 
 
-def _words_sql(text: str, up: list[str], down: list[str]) -> str:
-    """The words of a text as structs: the word's own form, and for the
-    words one, two and three before it their boost (0 for none), capitals
-    and negation."""
-    low = "replace(lower(w), '''', '')"
-    word = (f"transform({text}, w -> named_struct('low', {low}, 'caps', {_capitals('w')}, "
-            f"'boost', CASE WHEN array_contains({_strings(up)}, {low}) THEN {rules.B_INCR!r}D "
-            f"WHEN array_contains({_strings(down)}, {low}) THEN {rules.B_DECR!r}D ELSE 0.0D END, "
-            f"'deny', array_contains({_strings(rules.NEGATIONS)}, {low}) OR instr(lower(w), 'n''t') > 0))")
-    before = ", ".join(f"get(ws, i - {d})" for d in (1, 2, 3))
-    flagged = ("transform(ws, (x, i) -> named_struct('low', x.low, 'caps', x.caps, "
-               f"'before', array({before})))")
-    caps = "size(filter(ws, x -> x.caps))"
-    return bound([
-        ("ws", word),
-        ("out", f"named_struct('words', {flagged}, 'mixed', {caps} > 0 AND {caps} < size(ws), "
-                "'but', array_position(transform(ws, x -> x.low), 'but'))"),
-    ])
+def _before(up: list[str], down: list[str]) -> Column:
+    """What the three words before a lexicon word do to it, nearest first:
+    their boost (0 for none), capitals and negation."""
+    def of(w: Column) -> Column:
+        low = _plain(w)
+        boost = F.when(low.isin(up), rules.B_INCR).when(low.isin(down), rules.B_DECR).otherwise(0.0)
+        deny = low.isin(rules.NEGATIONS) | F.contains(F.lower(w), F.lit(rules.NOT_SUFFIX))
+        return F.struct(boost.alias("boost"), _capitals(w).alias("caps"), deny.alias("deny"))
+    return F.struct(_capitals(F.col("w")).alias("caps"), F.array(*[of(F.col(f"w{d}")) for d in (1, 2, 3)]).alias("before"))
 
 
 def _valence_sql() -> str:
@@ -103,16 +126,10 @@ def score_rules(df: DataFrame, lexicon: DataFrame, text: str = "body",
     boosters = [*rules.BOOSTERS_UP, *rules.BOOSTERS_DOWN]
     listed = {r["token"] for r in lexicon.where(F.col("token").isin(boosters)).select("token").distinct().collect()}
     up, down = ([b for b in side if b not in listed] for side in (rules.BOOSTERS_UP, rules.BOOSTERS_DOWN))
-    found = F.coalesce(F.regexp_extract_all(F.col(text), F.lit(rules.WORD_PATTERN), F.lit(0)),
-                       F.array().cast("array<string>"))
-    marks = [(F.length(text) - F.length(F.replace(F.col(text), F.lit(c), F.lit("")))).alias(n)
-             for c, n in (("!", "excl"), ("?", "ques"))]
-    texts = df.select(id_col, *marks, found.alias("__found")).withColumn("__t", F.expr(_words_sql("__found", up, down)))
-    words = texts.select(id_col, "excl", "ques", F.col("__t.mixed").alias("mixed"), F.col("__t.but").alias("but"),
-                         F.posexplode("__t.words").alias("pos", "t"))
-    words = words.where(~F.col("t.low").isin(boosters)).withColumn("token", F.col("t.low"))
-    hits = words.join(_valences(lexicon), "token").select(
-        id_col, "excl", "ques", F.struct("pos", F.expr(_valence_sql()).alias("x")).alias("__x"))
+    words = _words(df, text, id_col).withColumn("token", _plain(F.col("w"))).where(~F.col("token").isin(boosters))
+    # Only lexicon words are looked at together with the words before them.
+    hits = _hits(words, lexicon).withColumn("t", _before(up, down))
+    hits = hits.select(id_col, "excl", "ques", F.struct("pos", F.expr(_valence_sql()).alias("x")).alias("__x"))
     # Summed in the order of the text, so that reruns agree to the last digit.
     sums = hits.groupBy(id_col).agg(F.first("excl").alias("excl"), F.first("ques").alias("ques"),
                                     F.array_sort(F.collect_list("__x")).alias("__xs"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ELEMENTS, HOT_THRESHOLD, MISSING_SENTINEL, TENTHS
@@ -18,16 +18,42 @@ def with_reading_dates(readings: DataFrame) -> DataFrame:
     return readings.withColumn("date", d).select("*", *date_parts("date"))
 
 
+def stored_filter(readings: DataFrame, elements: Sequence[str], sentinel: float) -> list[Column]:
+    """The filter on readings as predicates on the columns that they are
+    derived from, which a scan can use where it cannot see through the
+    derivation.
+
+    A derived column says so in its metadata, under ``stored``: an element
+    lists the ``values`` of its ``column`` that stand for it, and a measured
+    value is the ``sentinel`` exactly where its ``column`` is ``above`` a
+    limit.  The predicates are implied by the filter, and added to it.
+    """
+    out = []
+    by = {f.name: f.metadata.get("stored", {}) for f in readings.schema}
+    element, value = by.get("element", {}), by.get("data_value", {})
+    if value and value["sentinel"] == sentinel:
+        stored = F.col(value["column"])
+        out += [stored != F.lit(sentinel), stored <= F.lit(value["above"])]
+    if element:
+        known = element["values"]
+        out.append(F.col(element["column"]).isin([v for e in elements for v in known.get(e, [e])]))
+    return out
+
+
 def filter_readings(readings: DataFrame, elements: Sequence[str] = ELEMENTS,
                     sentinel: float = MISSING_SENTINEL) -> DataFrame:
     """Keep the listed elements and drop the sentinel.
 
     ``data_value != sentinel`` is NULL for a NULL value, so NULL readings
     go too.  Quality flags are not looked at.  Both predicates reach the
-    Parquet scan as pushed filters when the input is a plain scan.
+    Parquet scan as pushed filters when the input is a plain scan, or a
+    projection of one whose derived columns name what is stored.
     """
-    return readings.where(F.col("element").isin(list(elements))
+    kept = readings.where(F.col("element").isin(list(elements))
                           & (F.col("data_value") != F.lit(sentinel)))
+    for predicate in stored_filter(readings, elements, sentinel):
+        kept = kept.where(predicate)
+    return kept
 
 
 def attach_city(readings: DataFrame, lookup: DataFrame, how: str = "left") -> DataFrame:

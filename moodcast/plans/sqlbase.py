@@ -78,7 +78,7 @@ def base_ctes(p: Params = TESTDATA) -> str:
 readings AS (
   SELECT CAST(user_id AS VARCHAR) AS station_id,
          CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS date,
-         CASE event_type {element_case} ELSE upper(event_type) END AS element,
+         CASE event_type {element_case} ELSE event_type END AS element,
          CASE WHEN value > {SENSOR_LIMIT} THEN {MISSING_SENTINEL}
               WHEN event_type = {q(rain_event)} AND value < {DRY_BELOW} THEN 0.0 ELSE CAST(value AS DOUBLE) END AS data_value,
          CAST(NULL AS VARCHAR) AS m_flag, CAST(NULL AS VARCHAR) AS q_flag, CAST(NULL AS VARCHAR) AS s_flag,

@@ -95,7 +95,14 @@ def _element(event_type: Column) -> Column:
     expr = None
     for etype, element in EVENT_ELEMENT.items():
         expr = (F.when if expr is None else expr.when)(event_type == etype, F.lit(element))
-    return expr.otherwise(F.upper(event_type))
+    return expr.otherwise(event_type)
+
+
+# What a filter on a reading says of the stored columns it is derived from
+# (see weather.stored_filter).
+_STORED_ELEMENT = {"stored": {"column": "event_type",
+                              "values": {e: [t, e] for t, e in EVENT_ELEMENT.items()}}}
+_STORED_VALUE = {"stored": {"column": "value", "sentinel": MISSING_SENTINEL, "above": SENSOR_LIMIT}}
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,8 +112,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("user_id").cast("string").alias("station_id"),
         (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int").alias("date"),
-        _element(F.col("event_type")).alias("element"),
-        _reading_value(_element(F.col("event_type")), F.col("value").cast("double")).alias("data_value"),
+        _element(F.col("event_type")).alias("element", metadata=_STORED_ELEMENT),
+        _reading_value(_element(F.col("event_type")), F.col("value").cast("double")).alias("data_value", metadata=_STORED_VALUE),
         F.lit(None).cast("string").alias("m_flag"),
         F.lit(None).cast("string").alias("q_flag"),
         F.lit(None).cast("string").alias("s_flag"),

@@ -160,3 +160,26 @@ def test_release_gives_up_what_queries_persisted(spark):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() > before
     ws.release()
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
+def test_stored_filter_changes_no_row(spark):
+    from moodcast.operators import weather
+    ws = workspace(spark, SF001)
+    kept = weather.filter_readings(ws.readings, ["PRCP", "TMAX"])
+    assert "In(event_type, [PRCP" in _plan(kept) and "LessThanOrEqual(value,300.0)" in _plan(kept)
+    plain = ws.readings.where("element in ('PRCP', 'TMAX') and data_value <> 9999.0")
+    assert kept.columns == plain.columns
+    assert kept.count() == plain.count() and kept.exceptAll(plain).isEmpty()
+    other = weather.filter_readings(ws.readings, ["SNOW"], sentinel=0.0)
+    assert other.exceptAll(ws.readings.where("element = 'SNOW' and data_value <> 0.0")).isEmpty()
+    assert "LessThanOrEqual" not in _plan(other)
+
+
+def test_rules_words_carry_no_text_and_are_not_broadcast(spark):
+    from moodcast.operators import sentiment
+    docs = spark.createDataFrame([(1, "not very good")], "comment_id long, body string")
+    lexicon = spark.createDataFrame([("good", 1.9)], "token string, valence double")
+    plan = _plan(sentiment.score_rules(docs, lexicon))
+    generate = next(x for x in plan.splitlines() if "Generate posexplode" in x)
+    assert "body" not in generate and "ws#" not in generate.split("), [", 1)[1]
+    assert "BuildRight" in plan and "Python" not in plan

@@ -369,3 +369,33 @@ def test_anova_by_test_matches_single_tests(spark):
         one = anova.one_way_anova(df.where(F.col("t") == t), "g", "v").first()
         assert both[t].f_stat == pytest.approx(one.f_stat, rel=1e-10) and both[t].k == one.k == 3
         assert both[t].n == one.n == 45
+
+
+def test_value_ranges_cut_many_values(spark, monkeypatch):
+    """Many ranges give the running sums of one; NaN is the largest value."""
+    from moodcast.operators import ranks
+    monkeypatch.setattr(ranks, "RANGE_ROWS", 40)
+    rng = np.random.default_rng(3)
+    values = sorted({round(float(v), 2) for v in rng.lognormal(3, 2, 900)} | {-1.0, 0.0, 1e300, float("inf")}) + [float("nan")]
+    counts = [float(n) for n in rng.integers(0, 5, len(values))]
+    wide = spark.createDataFrame(list(zip(values, counts, strict=True)), "v double, c double").repartition(7)
+    assert ranks.value_ranges(wide, "v", len(values)).select("__range").distinct().count() > 8
+    got = {repr(r.v): r.__below_c for r in ranks.running_below(wide, "v", ["c"]).collect()}
+    below = np.concatenate(([0.0], np.cumsum(counts)[:-1]))
+    assert got == {repr(v): b for v, b in zip(values, below, strict=True)}
+
+
+def test_quantile_of_the_studentised_range():
+    """The search agrees with a plain bisection, and Phi with erfc."""
+    import math
+
+    from moodcast.functions import studentized as st
+    x = np.linspace(-8.9, 8.9, 1777)
+    assert np.abs(st._phi_cdf(x) - [0.5 * math.erfc(-v / math.sqrt(2)) for v in x]).max() < 1e-14
+    for p, k, df in [(0.95, 2, 3), (0.95, 6, 40), (0.99, 3, 1e6), (0.5, 12, 1), (0.999, 4, 7)]:
+        q = st.qtukey(p, k, df)
+        lo, hi = 0.0, 1000.0
+        for _ in range(60):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if st.ptukey(mid, k, df) < p else (lo, mid)
+        assert abs(q - lo) < 1e-8 * lo
