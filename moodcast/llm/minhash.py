@@ -13,10 +13,13 @@ classes are the connected components of the links.
 
 Every pair of a bucket is settled.  Members are first held against the
 bucket's representative, those that are no match among each other again,
-as long as that links many.  Then all pairs of a bucket that the links do
-not join yet, members linked to a representative included, are compared in
-blocks of bounded size by a lower bound of their edit distance, and each
-pair that may be similar is aligned once.
+as long as that links many.  The members of buckets that are not in one
+component by then meet once more by a second, exact key: two texts within
+MIN_SIMILARITY share all but so many words as they may have edits, so of
+the words of either, in one order for all and the rarest first, one is
+shared among the first edits + 1.  Words that many texts have, such as a
+template's, come late in that order and make no keys, so different texts
+on one template are not compared.  Each pair is aligned once.
 
 Equal word sequences are one node from the start, so copies are never
 compared.  Buckets are counted before the shuffle and joined with their
@@ -54,8 +57,6 @@ SEED = 31
 
 #: Representatives are tried on while they link this share of the pairs.
 LINKED_SHARE = 0.1
-#: Members of one block, and the word counts that bound a distance.
-BLOCK, BINS = 128, 128
 
 NO_ID = 1 << 62
 _SALTS = np.random.default_rng(SEED).integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -247,22 +248,21 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = common.rekeyed(drawn, ["g1", "g2"], "k_").join(by, ["k_g1", "k_g2"]).select("did", "node", "keys")
     nodes = common.written(nodes, "omh-nodes")
     members = nodes.where(F.col("did") == F.col("node")).select("node", F.explode("keys").alias("key"))
-    held, pairs = against_heads(members)
-    first = held
+    pairs = against_heads(members)
     words = packed_words(rows, pairs)  # whoever shares a bucket; later rounds are among them
-    tried = tested = common.written(tested_pairs(words, pairs), "omh-tested")
+    first = tried = tested = common.written(tested_pairs(words, pairs), "omh-tested")
     while True:
         done, matched = tested.agg(F.count(F.lit(1)), F.count_if("ok")).collect()[0]
         if matched == done or matched < LINKED_SHARE * done:
             break
-        # Members that are no match of their head go on among themselves.
-        failed = tried.where(~F.col("ok")).select("node", "head")
-        held, pairs = against_heads(held.join(failed, ["node", "head"]).select("node", "key"))
-        pairs = pairs.join(tried.select("node", "head"), ["node", "head"], "left_anti")
+        # Members that are no match of their head go on among themselves,
+        # all that share a bucket with one head together.
+        failed = tested.where(~F.col("ok")).select("node", F.col("head").alias("key"))
+        pairs = against_heads(failed).join(tried.select("node", "head"), ["node", "head"], "left_anti")
         tested = common.written(tested_pairs(words, pairs), "omh-tested")
         tried = tried.unionByName(tested)
     linked = _linked(tried)
-    if matched < done or held is not first:
+    if matched < done or tested is not first:
         pairs = common.written(open_pairs(first, tried, words, components(linked)), "omh-open")
         linked = linked.unionByName(_linked(common.written(tested_pairs(words, pairs), "omh-tested")))
     return nodes.select("did", "node"), linked
@@ -272,81 +272,100 @@ def _linked(tested: DataFrame) -> DataFrame:
     return tested.where("ok").select(F.col("node").alias("u"), F.col("head").alias("v"))
 
 
-def against_heads(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, node, head) of all members but the heads, the smallest node of
-    each bucket, and the distinct (node, head) of it."""
+def against_heads(members: DataFrame) -> DataFrame:
+    """Members (key, node) of buckets -> the distinct (node, head) of all
+    but the heads, the smallest node of each bucket."""
     heads = members.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"))
     heads = common.rekeyed(heads.where(F.col("last") > F.col("head")), ["key"], "k_").select("k_key", "head")
     held = common.rekeyed(members, ["key"], "k_").join(heads, "k_key").where(F.col("node") != F.col("head"))
-    held = common.written(held.select("key", "node", "head"), "omh-held")
-    return held, held.select("node", "head").distinct()
-
-
-def open_pairs(held: DataFrame, tried: DataFrame, words: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, head) pairs that share a bucket of ``held``, are in different
-    components so far, were not tested and may be similar; each once."""
-    labels = labels.withColumnRenamed("node", "l_node")
-    heads = held.groupBy("key", "head").agg(F.count(F.lit(1)).alias("size"))
-    # A bucket of two is settled by its head.
-    heads = common.rekeyed(heads.where("size > 1"), ["key"], "k_").select("k_key", "head", "size")
-    rows = common.rekeyed(held.select("key", "node"), ["key"], "k_").join(
-        heads.select("k_key", "size"), "k_key").select("k_key", "node", "size")
-    rows = rows.unionByName(heads.select("k_key", F.col("head").alias("node"), "size"))
-    rows = rows.join(labels, F.col("node") == F.col("l_node"), "left").select(
-        "k_key", "node", "size", F.coalesce("label", "node").alias("label"))
-    rows = common.written(rows, "omh-members")
-    mixed_up = rows.groupBy("k_key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed_up = mixed_up.where(F.col("low") < F.col("high")).select(F.col("k_key").alias("key"))
-    mixed_up = common.rekeyed(mixed_up, ["key"], "m_")
-    rows = rows.withColumn("m_key", F.col("k_key").bitwiseXOR(F.lit(1))).join(
-        mixed_up.select("m_key"), "m_key", "left_semi")
-    parts = F.ceil((F.col("size") + 1) / BLOCK)
-    rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
-    bags = words.select(F.col("node").alias("w_node"), F.pandas_udf(_bag, "binary")("words").alias("bag"))
-    rows = rows.join(bags, F.col("node") == F.col("w_node"))
-    member = F.struct("node", "label", "bag")
-    blocks = common.written(rows.groupBy("k_key", "part").agg(F.collect_list(member).alias("members")), "omh-blocks")
-    a = common.rekeyed(blocks, ["k_key"], "a_").select("a_k_key", F.col("part").alias("part"), F.col("members").alias("a"))
-    b = a.select(F.col("a_k_key").alias("b_key"), F.col("part").alias("b_part"), F.col("a").alias("b"))
-    both = a.join(b, (F.col("a_k_key") == F.col("b_key")) & (F.col("part") <= F.col("b_part")))
-    found = both.select("a", "b").mapInArrow(_near_batches, "node long, head long").distinct()
-    return found.join(tried.select("node", "head"), ["node", "head"], "left_anti")
-
-
-def _bag(words: pd.Series) -> pd.Series:
-    """The number of words, and how many fall in each of ``BINS`` bins."""
-    out = []
-    for w in words:
-        w = np.frombuffer(w, np.uint32)
-        counts = np.bincount(w % BINS, minlength=BINS)
-        out.append(np.concatenate(([len(w)], counts)).astype(np.uint32).tobytes())
-    return pd.Series(out)
-
-
-def near_bags(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether texts with these bags may be similar: an edit changes one
-    word for another at most, so the words that only one of the two has
-    are no more than the edits."""
-    most = ((1 - MIN_SIMILARITY) * np.maximum.outer(a[:, 0], b[:, 0]) + 1e-9).astype(np.int64)
-    out = np.zeros((len(a), len(b)), bool)
-    for i in range(len(a)):
-        gap = a[i, 1:] - b[:, 1:]
-        more = np.maximum(gap, 0).sum(axis=1)
-        out[i] = np.maximum(more, more - gap.sum(axis=1)) <= most[i]
-    return out
+    return common.written(held.select("node", "head").distinct(), "omh-held")
+
 
+def open_pairs(first: DataFrame, tried: DataFrame, words: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, head) pairs that may be similar among the members of open
+    buckets, in different components so far and not tested; each once.
 
-def _near_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``first``: every member of a bucket with its head.  The members of all
+    buckets of one head are looked at together; they are open when they
+    are more than a tested pair and in more than one component.
+    """
+    label = labels.withColumnRenamed("node", "l_node")
+    of_head = label.select(F.col("l_node").alias("h_node"), F.col("label").alias("h_label"))
+    rows = first.select("node", "head").join(label, F.col("node") == F.col("l_node"), "left").select(
+        "node", "head", F.coalesce("label", "node").alias("label"))
+    rows = rows.join(of_head, F.col("head") == F.col("h_node"), "left").select(
+        "node", "head", "label", F.coalesce("h_label", "head").alias("h_label"))
+    rows = common.written(rows, "omh-members")
+    some = rows.groupBy("head", "h_label").agg(F.count(F.lit(1)).alias("size"), F.count_if(F.col("label") != F.col("h_label")).alias("off"))
+    some = some.where("size > 1 and off > 0").select(F.col("head").alias("o_head"), "h_label")
+    inside = rows.select("node", "label", "head").join(some, F.col("head") == F.col("o_head"), "left_semi").select("node", "label")
+    nodes = inside.unionByName(some.select(F.col("o_head").alias("node"), F.col("h_label").alias("label"))).distinct()
+    entries = common.written(first_words(words, nodes), "omh-entries")
+    # A word that one component alone has among its first ones joins nothing.
+    shared = entries.groupBy("word").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    shared = common.rekeyed(shared.where(F.col("low") < F.col("high")), ["word"], "k_").select("k_word")
+    entries = common.rekeyed(entries, ["word"], "k_").join(shared, "k_word").drop("word")
+    entries = common.written(entries, "omh-entries")
+    a = entries.select(F.col("k_word").alias("word"), "node", "label", "n", "nth")
+    b = entries.select(F.col("k_word").alias("b_word"), F.col("node").alias("head"), F.col("label").alias("b_label"),
+                       F.col("n").alias("b_n"), F.col("nth").alias("b_nth"))
+    most = F.floor((1 - MIN_SIMILARITY) * F.greatest("n", "b_n") + 1e-9)
+    both = a.join(b, (F.col("word") == F.col("b_word")) & (F.col("node") > F.col("head")) & (F.col("label") != F.col("b_label"))
+                  & (F.abs(F.col("n") - F.col("b_n")) <= most) & (F.greatest("nth", "b_nth") <= most))
+    return both.select("node", "head").distinct().join(tried.select("node", "head"), ["node", "head"], "left_anti")
+
+
+def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, words) -> a row for each different word of a node."""
     for batch in batches:
-        for a, b in zip(batch.column(0), batch.column(1), strict=True):
-            (n1, l1, b1), (n2, l2, b2) = [
-                (x.values.field("node").to_numpy(), x.values.field("label").to_numpy(),
-                 np.frombuffer(b"".join(x.values.field("bag").to_pylist()), np.uint32).reshape(-1, BINS + 1)
-                 .astype(np.int64)) for x in (a, b)]
-            i, j = np.nonzero(near_bags(b1, b2) & (l1[:, None] != l2))
-            low, high = np.minimum(n1[i], n2[j]), np.maximum(n1[i], n2[j])
-            pairs = np.unique(np.stack((high, low), axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["node", "head"])
+        parts = [np.unique(np.frombuffer(w, np.uint32)) for w in batch.column(1).to_pylist()]
+        node = np.repeat(batch.column(0).to_numpy(), [len(p) for p in parts])
+        word = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(word)], ["node", "word"])
+
+
+def rarest_words(words: np.ndarray, times: dict[int, int]) -> np.ndarray:
+    """The words that a text may meet a similar one by, labelled with their
+    occurrence numbers: rarest first, one more than a text may have edits
+    in a pair with the longest text that may be similar."""
+    longest = int(len(words) / MIN_SIMILARITY + 1e-9)
+    order = np.argsort(words, kind="stable")
+    of = words[order].astype(np.int64)
+    new = np.concatenate(([True], of[1:] != of[:-1]))
+    occurrence = np.arange(len(of)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    known = np.array([times[w] for w in of[new].tolist()])[np.cumsum(new) - 1]
+    first = np.lexsort((occurrence, of, known))[:int((1 - MIN_SIMILARITY) * longest + 1e-9) + 1]
+    return mixed(of[first].astype(np.uint64) * _STEP + occurrence[first].astype(np.uint64)).view(np.int64)
+
+
+def _first_word_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in batches:
+        node, label, size, first = [], [], [], []
+        for i, k, w, of in zip(rows["node"], rows["label"], rows["words"], rows["times"], strict=True):
+            w = np.frombuffer(w, np.uint32)
+            first.append(rarest_words(w, {x["word"]: x["times"] for x in of}))
+            node.append(i)
+            label.append(k)
+            size.append(len(w))
+        n = [len(x) for x in first]
+        yield pd.DataFrame({"word": np.concatenate(first) if first else np.zeros(0, np.int64), "node": np.repeat(node, n),
+                            "label": np.repeat(label, n), "n": np.repeat(size, n),
+                            "nth": np.concatenate([np.arange(k) for k in n]) if n else np.zeros(0, np.int64)})
+
+
+def first_words(words: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(word, node, label, n, nth): the rarest words of each of ``nodes``
+    (node, label), by the number of those that have a word; n words in all."""
+    held = words.join(nodes.withColumnRenamed("node", "o_node"), F.col("node") == F.col("o_node")).select("node", "label", "words")
+    held = common.written(held, "omh-first")
+    with common.batches_of(words.sparkSession, 4096):
+        each = common.written(held.select("node", "words").mapInArrow(_word_batches, "node long, word long"), "omh-occurring")
+    times = common.rekeyed(each.groupBy("word").agg(F.count(F.lit(1)).alias("times")), ["word"], "k_").select("k_word", "times")
+    known = common.rekeyed(each, ["word"], "k_").join(times, "k_word")
+    known = known.groupBy("node").agg(F.collect_list(F.struct("word", "times")).alias("times"))
+    known = known.withColumnRenamed("node", "t_node").join(held, F.col("t_node") == F.col("node"))
+    return known.select("node", "label", "words", "times").mapInPandas(
+        _first_word_batches, "word long, node long, label long, n long, nth long")
 
 
 def packed_words(rows: DataFrame, pairs: DataFrame) -> DataFrame:

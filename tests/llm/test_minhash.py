@@ -145,15 +145,35 @@ def test_a_member_linked_to_its_head_still_meets_the_others(spark):
     assert got == {i: i // 4 * 4 for i in range(len(chains))}
 
 
-def test_bags_bound_the_distance():
+def test_similar_texts_share_one_of_their_first_words():
     rng = random.Random(4)
-    for _ in range(300):
-        a = [rng.choice("abcdefgh") for _ in range(rng.randrange(1, 30))]
+    for _ in range(400):
+        a = [rng.choice("abcdefghijkl") for _ in range(rng.randrange(1, 40))]
         b = edited(a, rng.randrange(9), rng) or ["a"]
         x, y = (np.array([ord(c) for c in w], np.uint32) for w in (a, b))
-        bags = [np.concatenate(([len(w)], np.bincount(w % mh.BINS, minlength=mh.BINS))).astype(np.int64) for w in (x, y)]
-        near = mh.near_bags(bags[0][None], bags[1][None])[0, 0]
-        assert near or not mh.similar(x.astype(np.uint64), y.astype(np.uint64))
+        if not mh.similar(x.astype(np.uint64), y.astype(np.uint64)):
+            continue
+        times = {ord(c): rng.randrange(4) for c in "abcdefghijklmnopqrstuvwxyz"}
+        times = {w: times.get(w, 1) for w in [*x.tolist(), *y.tolist()]}
+        most = int((1 - mh.MIN_SIMILARITY) * max(len(a), len(b)) + 1e-9)
+        first = [mh.rarest_words(w, times)[:most + 1] for w in (x, y)]
+        assert np.isin(*first).any()
+
+
+def test_pairs_tried_grow_with_the_texts_of_a_template(spark):
+    rng = random.Random(8)
+    template = [f"t{i}" for i in range(70)]
+    tried = []
+    for n in (150, 300, 600):
+        texts = [" ".join(template + [f"o{rng.randrange(10 ** 9)}" for _ in range(30)]) for _ in range(n)]
+        nodes = spark.createDataFrame([(i, i) for i in range(n)], "node long, label long")
+        flat, count = word_hashes(texts)
+        packed = [w.tobytes() for w in np.split((flat >> np.uint64(32)).astype(np.uint32), np.cumsum(count)[:-1])]
+        words = spark.createDataFrame(list(enumerate(packed)), "node long, words binary")
+        first = spark.createDataFrame([(i, 0, False) for i in range(1, n)], "node long, head long, ok boolean")
+        labels = spark.createDataFrame([], "node long, label long")
+        tried.append(mh.open_pairs(first, first, words, labels).count())
+    assert max(tried) <= 5
 
 
 def test_scattered_edits_up_to_the_bound_meet():
