@@ -14,10 +14,10 @@ time) and the totals of the ranges before are added from small tables
 with one row per range.  The ranges follow from values, so a recomputed
 partition gives the same sums.
 
-Defined results: rows that agree in ``doc_id`` and ``source`` are one
-document, its size being the sum of theirs, and share its decision; null
-ids and null sources are ordinary keys; a text without words has size 0
-and is never taken; an empty table gives an empty result.
+Defined results: every row is a document of its own, also where ids are
+null or repeated (a mix takes rows alike in id, source and text together);
+null ids and null sources are ordinary keys; a text without words has size
+0 and is never taken; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -96,17 +96,18 @@ def _ranged_sum(df: DataFrame, part: list[str], bucket: str, order: list[Column]
 
 def queue(docs: DataFrame, budget_ratio: float = BUDGET_RATIO, max_passes: int = MAX_PASSES,
           cycle: tuple[float, ...] = WEIGHT_CYCLE, seed: int = 17) -> DataFrame:
-    """Documents (doc_id, source, size) with source_size, target, finish
+    """Documents (doc_id, source, size, and what else tells them apart) with source_size, target, finish
     (virtual finish time of the first pass) and passes (times taken)."""
-    one = docs.groupBy("doc_id", "source").agg(F.sum("size").alias("size"))
+    one = docs
     targets = source_targets(one, budget_ratio, max_passes, cycle)
     # Null-safe join on the source: one row per source on that side.
     t = targets.withColumnRenamed("source", "t_source")
     one = one.join(t, one["source"].eqNullSafe(t["t_source"])).drop("t_source")
-    shuffle = F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), F.col("doc_id"))
+    mine = [F.col(c) for c in one.columns if c not in ("source", "source_size", "target", "size")]
+    shuffle = F.xxhash64(F.lit(seed), *[x for c in mine for x in (c.isNull(), c)])
     one = (one.withColumn("mix_hash", shuffle)
            .withColumn("mix_range", F.shiftrightunsigned("mix_hash", 64 - HASH_RANGES.bit_length() + 1)))
-    run = _ranged_sum(one, ["source"], "mix_range", [F.col("mix_hash"), F.col("doc_id")], "size", "upto")
+    run = _ranged_sum(one, ["source"], "mix_range", [F.col("mix_hash"), F.col("doc_id"), F.col("size")], "size", "upto")
     run = run.withColumn("finish", F.when(F.col("target") > 0, F.col("upto") / F.col("target")))
     # The cut: the queue of all passes by finish time, its total so far.
     run = common.written(run.drop("mix_range"), "mix-queue")
@@ -130,7 +131,7 @@ def queue(docs: DataFrame, budget_ratio: float = BUDGET_RATIO, max_passes: int =
         return run.withColumn("passes", F.when(F.col("finish").isNotNull() & (F.col("size") > 0),
                                                F.lit(max_passes)).otherwise(0))
     # Only the entries of the range that holds the cut are put in order.
-    order = ["at", "pass", "mix_hash", "source", "doc_id"]
+    order = ["at", "pass", "mix_hash", "source", "doc_id", "size"]
     inside = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     last = (entry.where(F.col("bucket") == first["bucket"])
             .withColumn("total", F.sum("size").over(inside) + first["below"])
@@ -147,13 +148,15 @@ def mix(docs: DataFrame, budget_ratio: float = BUDGET_RATIO, max_passes: int = M
     """The mix: the rows of ``docs`` that are taken, with ``mix_size``,
     ``mix_target``, ``mix_finish`` and ``mix_passes`` (how often the row's
     document is taken), range-sorted by virtual finish time."""
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    q = (queue(sized, budget_ratio, max_passes, cycle, seed).where(F.col("passes") > 0)
-         .select(F.col("doc_id").alias("q_doc"), F.col("source").alias("q_source"), F.col("size").alias("mix_size"),
-                 F.col("target").alias("mix_target"), F.col("finish").alias("mix_finish"),
-                 F.col("passes").alias("mix_passes")))
-    rows = docs.select(common.row_struct(docs).alias("mix_row"))
-    out = rows.join(q, F.col("mix_row.doc_id").eqNullSafe(F.col("q_doc"))
+    # Rows alike in id, source and text are taken together, all others by themselves.
+    mark = common.row_hash(F.col("text"))
+    sized = docs.select("doc_id", "source", mark.alias("mark"), n_words(F.col("text")).alias("one"))
+    sized = sized.groupBy("doc_id", "source", "mark").agg(F.sum("one").alias("size"), F.max("one").alias("one"))
+    q = queue(sized.drop("one"), budget_ratio, max_passes, cycle, seed).where(F.col("passes") > 0)
+    q = q.select(F.col("doc_id").alias("q_doc"), F.col("source").alias("q_source"), F.col("mark").alias("q_mark"),
+                 F.col("target").alias("mix_target"), F.col("finish").alias("mix_finish"), F.col("passes").alias("mix_passes"))
+    rows = docs.select(common.row_struct(docs).alias("mix_row"), mark.alias("mark"), n_words(F.col("text")).alias("mix_size"))
+    out = rows.join(q, (F.col("mark") == F.col("q_mark")) & F.col("mix_row.doc_id").eqNullSafe(F.col("q_doc"))
                     & F.col("mix_row.source").eqNullSafe(F.col("q_source")))
     added = {c: F.col(c) for c in ("mix_size", "mix_target", "mix_finish", "mix_passes")}
     return out.select(*common.unpacked(docs, "mix_row", added)).orderBy("mix_finish", "doc_id")
@@ -161,7 +164,7 @@ def mix(docs: DataFrame, budget_ratio: float = BUDGET_RATIO, max_passes: int = M
 
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns, one row per document."""
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", common.row_hash(F.col("text")).alias("mark"), n_words(F.col("text")).alias("size"))
     return queue(sized).select("doc_id", "source", "size", "source_size", "target",
                                (F.col("size") * F.col("passes")).cast("long").alias("taken"),
                                F.col("finish").alias("virtual_finish"), "passes")

@@ -33,7 +33,8 @@ from .words import hashed_words, mixed
 
 MIN_CHARS = 25
 MIN_WORDS = 4
-LAST = (1 << 63) - 1
+#: Ids up to the last long that stand for null ones.
+LAST, NULL_IDS = (1 << 63) - 1, 1 << 61
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -102,7 +103,7 @@ def _unit_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for n in named:
             n[again] = pd.NA
         yield pd.DataFrame({"n1": named[0], "n2": named[1], "did": rows["did"].to_numpy()[own],
-                            "thash": rows["thash"].to_numpy()[own], "at": start << 24 | np.minimum(length, (1 << 24) - 1)})
+                            "thash": rows["thash"].to_numpy()[own], "at": start << 32 | length})
 
 
 def merged(at: list[int], most_gap: int = MIN_CHARS) -> list[tuple[int, int]]:
@@ -110,7 +111,7 @@ def merged(at: list[int], most_gap: int = MIN_CHARS) -> list[tuple[int, int]]:
     closed."""
     out: list[list[int]] = []
     for a in sorted(at):
-        lo, hi = a >> 24, (a >> 24) + (a & 0xFFFFFF)
+        lo, hi = a >> 32, (a >> 32) + (a & 0xFFFFFFFF)
         if out and lo - out[-1][1] < most_gap:
             out[-1][1] = max(out[-1][1], hi)
         else:
@@ -145,15 +146,17 @@ def repeated_units(rows: DataFrame) -> DataFrame:
     gone = (common.rekeyed(named, ["n1", "n2"], "k_").join(heads, ["k_n1", "k_n2"])
             .where(F.col("did") > F.col("head")).select("did", "thash", "at"))
     inside = found.where(F.col("n1").isNull()).select("did", "thash", "at")
-    return gone.unionByName(inside).groupBy("did", "thash").agg(F.collect_list("at").alias("spans"))
+    return gone.unionByName(inside).groupBy("did", "thash").agg(F.collect_set("at").alias("spans"))
 
 
 def dedup_passages(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` less its repeated units, and ``ss``: a struct
     of the removed spans, n_chars and n_removed."""
     common.prepare(docs.sparkSession)
-    did = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    thash = F.hash(F.col("text").isNull(), F.col("text")).cast("long")
+    # Null ids rank last, each text by a hash of its own.
+    own = F.lit(LAST) - F.xxhash64(F.lit("id"), F.col("text").isNull(), F.col("text")).bitwiseAND(F.lit(NULL_IDS - 1))
+    did = F.coalesce(F.col("doc_id").cast("long"), own)
+    thash = common.row_hash(F.col("text"))
     spans = repeated_units(docs.select(did.alias("did"), thash.alias("thash"), "text"))
     rows = docs.select(common.row_struct(docs).alias("ss_row"), did.alias("did"), thash.alias("thash"))
     cut = F.pandas_udf(_cut, _CUT)

@@ -52,7 +52,8 @@ _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint
 _BASE = 0x5851F42D4C957F2D
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _INDEX_BITS = 28
-LOWEST = -(1 << 63)
+#: Ids from the lowest long on that stand for null ones.
+LOWEST, NULL_IDS = -(1 << 63), 1 << 61
 
 
 def _composed(length: int, one: np.ndarray, join) -> np.ndarray:
@@ -234,10 +235,6 @@ def _cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def _text_hash(text: Column) -> Column:
-    return common.row_hash(text)
-
-
 def repeated_spans(rows: DataFrame, group_contexts: int = GROUP_CONTEXTS) -> DataFrame:
     """Rows (did, thash, text) -> (did, thash, spans): packed spans of
     repeated strings of every text that has any."""
@@ -251,19 +248,19 @@ def repeated_spans(rows: DataFrame, group_contexts: int = GROUP_CONTEXTS) -> Dat
     settled = again.where("alike").select("did", "thash", "at")
     # Grams with different contexts: each context's copies, and one of them.
     mixed_up = again.where(~F.col("alike"))
-    kinds = mixed_up.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min("did").alias("one"))
+    kinds = mixed_up.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "thash", "at")).alias("one"))
     sizes = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"))
     sizes = common.rekeyed(sizes, ["gram"], "s_").select("s_gram", "kinds")
     kinds = common.rekeyed(kinds, ["gram", "context"], "k_").select("k_gram", "k_context", "n", "one")
     told = common.rekeyed(mixed_up, ["gram", "context"], "k_").join(kinds, ["k_gram", "k_context"])
     told = common.rekeyed(told, ["gram"], "s_").join(sizes, "s_gram")
     told = common.written(told.select("did", "thash", "gram", "at", (F.col("n") == 1).alias("open"),
-                                      (F.col("did") == F.col("one")).alias("first"),
+                                      (F.struct("did", "thash", "at") == F.col("one")).alias("first"),
                                       (F.col("kinds") > group_contexts).alias("alone")), "sd-told")
     settled = settled.unionByName(told.where(~F.col("open")).select("did", "thash", "at"))
     need = told.where("open or first")
     grouped = (_contexts(rows, need.where(~F.col("alone"))).groupBy("gram")
-               .agg(F.collect_list(F.struct("did", "thash", "at", "open", "bytes")).alias("members"))
+               .agg(F.collect_set(F.struct("did", "thash", "at", "open", "bytes")).alias("members"))
                .mapInPandas(_group_batches, "did long, thash long, at long"))
     each = _contexts(rows, need.where("alone")).mapInPandas(
         _row_batches, "n1 long, n2 long, did long, thash long, at long, open boolean")
@@ -272,20 +269,23 @@ def repeated_spans(rows: DataFrame, group_contexts: int = GROUP_CONTEXTS) -> Dat
     each = common.rekeyed(each.where("open"), ["n1", "n2"], "k_").join(twice, ["k_n1", "k_n2"]).select(
         "did", "thash", "at")
     return (settled.unionByName(grouped).unionByName(each)
-            .groupBy("did", "thash").agg(F.collect_list("at").alias("spans")))
+            .groupBy("did", "thash").agg(F.collect_set("at").alias("spans")))
 
 
 def _contexts(rows: DataFrame, need: DataFrame) -> DataFrame:
-    wanted = need.groupBy("did", "thash").agg(F.collect_list(F.struct("gram", "at", "open")).alias("wanted"))
+    wanted = need.groupBy("did", "thash").agg(F.collect_set(F.struct("gram", "at", "open")).alias("wanted"))
     return rows.join(wanted, ["did", "thash"]).mapInPandas(
         _context_batches, "gram long, did long, thash long, at long, open boolean, bytes binary")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(did, thash, text): a null doc_id ranks below all; rows that share
-    a doc_id are told apart by their texts."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("did"),
-                       F.hash(F.col("text").isNull(), F.col("text")).cast("long").alias("thash"), "text")
+    """(did, thash, text): rows that share a doc_id are told apart by a
+    64-bit hash of their texts; rows with a null one by a second hash as
+    well, which is their id, below all others.  Rows alike in id and text
+    have the same spans."""
+    own = F.lit(LOWEST) + F.xxhash64(F.lit("id"), F.col("text").isNull(), F.col("text")).bitwiseAND(F.lit(NULL_IDS - 1))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), own).alias("did"),
+                       common.row_hash(F.col("text")).alias("thash"), "text")
 
 
 _CUT = "n_bytes long, n_removed long, starts array<long>, ends array<long>, kept binary"
@@ -306,5 +306,5 @@ def removed(docs: DataFrame, group_contexts: int = GROUP_CONTEXTS) -> DataFrame:
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns, one row per document."""
     return removed(docs.select("doc_id", "text")).select(
-        F.when(F.col("did") != LOWEST, F.col("did")).alias("doc_id"), "sd.n_bytes", "sd.n_removed",
+        F.when(F.col("did") >= LOWEST + NULL_IDS, F.col("did")).alias("doc_id"), "sd.n_bytes", "sd.n_removed",
         F.size("sd.starts").cast("long").alias("n_spans"), F.sha2("sd.kept", 256).alias("kept_sha256"))

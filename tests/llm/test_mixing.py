@@ -92,6 +92,20 @@ def test_mix_keeps_columns_and_copes_with_odd_rows(spark):
     assert finish == sorted(finish)
 
 
+def test_every_row_is_a_document(spark):
+    texts = ["a b c d e", "a b c d e f g", "x", "x", "a b c d e", None, "y z"] * 3
+    ids = [None, None, 1, 1, 1, None, 2] * 3
+    docs = documents(spark, texts, ids, sources=["s"] * len(texts))
+    got = m.digest(docs).collect()
+    size = [len((t or "").split()) for t in texts]
+    assert sorted((str(r["doc_id"]), r["size"]) for r in got) == sorted(zip(map(str, ids), size, strict=True))
+    assert all(r["source_size"] == sum(size) and r["taken"] <= 2 * r["size"] for r in got)
+    assert abs(sum(r["taken"] for r in got) - 1.5 * sum(size)) <= 2 * max(size)
+    taken = m.mix(docs).collect()
+    assert all(r["mix_size"] == len(r["text"].split()) for r in taken)
+    assert {(r["doc_id"], r["text"]) for r in taken} <= set(zip(ids, texts, strict=True))
+
+
 def test_empty_tables(spark):
     docs = documents(spark, ["a"]).limit(0)
     assert m.digest(docs).count() == 0 and m.mix(docs).count() == 0

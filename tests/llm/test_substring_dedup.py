@@ -95,5 +95,17 @@ def test_ids_and_columns(spark):
     assert all(map(same_extras, rows))
 
 
+def test_passages_repeat_among_null_ids(spark):
+    line = "One plain sentence that is long enough to count."
+    texts = [f"{line} Another sentence which no other text has, number {w} of all." for w in ("one", "two", "three")]
+    rows = ss.dedup_passages(documents(spark, texts, [None] * 3)).collect()
+    assert sum(line in r["text"] for r in rows) == 1 and all("Another sentence" in r["text"] for r in rows)
+
+
+def test_spans_of_any_length_are_whole():
+    far = (1 << 31) - 5
+    assert ss.merged([3 << 32 | 1 << 25, far << 32 | 40]) == [(3, 3 + (1 << 25)), (far, far + 40)]
+
+
 def test_empty_table(spark):
     assert ss.digest(documents(spark, ["a"]).limit(0)).count() == 0

@@ -87,6 +87,21 @@ def test_repeated_and_null_ids(spark):
     assert sorted(map(tuple, got), key=repr) == brute(rows)
 
 
+def test_many_null_ids(spark):
+    text = " ".join(str(i) for i in range(130))
+    other = " ".join(str(i * 7) for i in range(300, 420))
+    rows = [(None, text)] * 150 + [(7, text[:260] + other)] + [(None, other[30:])] + [(None, "z" * 199 + str(i)) for i in range(40)]
+    got = sd.digest(documents(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows)
+
+
+def test_rows_with_null_ids_have_ids_of_their_own(spark):
+    texts = [f"text {i}" for i in range(2000)] + [None, ""]
+    rows = sd.keyed(documents(spark, texts, [None] * len(texts)))
+    assert rows.select("did").distinct().count() == len(texts) == rows.select("thash").distinct().count()
+    assert rows.where(f"did >= {sd.LOWEST + sd.NULL_IDS}").isEmpty()
+
+
 def test_equal_strings_share_their_sampled_place():
     rng = np.random.default_rng(7)
     s = rng.integers(0, 256, 700).astype(np.uint8)
