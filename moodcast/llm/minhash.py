@@ -298,20 +298,23 @@ def open_pairs(first: DataFrame, tried: DataFrame, words: DataFrame, labels: Dat
     rows = common.written(rows, "omh-members")
     some = rows.groupBy("head", "h_label").agg(F.count(F.lit(1)).alias("size"), F.count_if(F.col("label") != F.col("h_label")).alias("off"))
     some = some.where("size > 1 and off > 0").select(F.col("head").alias("o_head"), "h_label")
-    inside = rows.select("node", "label", "head").join(some, F.col("head") == F.col("o_head"), "left_semi").select("node", "label")
-    nodes = inside.unionByName(some.select(F.col("o_head").alias("node"), F.col("h_label").alias("label"))).distinct()
-    entries = common.written(first_words(words, nodes), "omh-entries")
+    inside = rows.select("node", "label", "head").join(some, F.col("head") == F.col("o_head"), "left_semi")
+    members = inside.unionByName(some.select(F.col("o_head").alias("node"), F.col("h_label").alias("label"), F.col("o_head").alias("head")))
+    # A node has as many buckets as sketches, and no more heads.
+    members = common.written(members.groupBy("node", "label").agg(F.collect_set("head").alias("heads")), "omh-nodes")
+    entries = common.written(first_words(words, members.select("node", "label")), "omh-entries")
     # A word that one component alone has among its first ones joins nothing.
     shared = entries.groupBy("word").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     shared = common.rekeyed(shared.where(F.col("low") < F.col("high")), ["word"], "k_").select("k_word")
     entries = common.rekeyed(entries, ["word"], "k_").join(shared, "k_word").drop("word")
-    entries = common.written(entries, "omh-entries")
-    a = entries.select(F.col("k_word").alias("word"), "node", "label", "n", "nth")
+    entries = common.written(entries.join(members.select("node", "heads"), "node"), "omh-entries")
+    a = entries.select(F.col("k_word").alias("word"), "node", "label", "n", "nth", "heads")
     b = entries.select(F.col("k_word").alias("b_word"), F.col("node").alias("head"), F.col("label").alias("b_label"),
-                       F.col("n").alias("b_n"), F.col("nth").alias("b_nth"))
+                       F.col("n").alias("b_n"), F.col("nth").alias("b_nth"), F.col("heads").alias("b_heads"))
     most = F.floor((1 - MIN_SIMILARITY) * F.greatest("n", "b_n") + 1e-9)
     both = a.join(b, (F.col("word") == F.col("b_word")) & (F.col("node") > F.col("head")) & (F.col("label") != F.col("b_label"))
-                  & (F.abs(F.col("n") - F.col("b_n")) <= most) & (F.greatest("nth", "b_nth") <= most))
+                  & (F.abs(F.col("n") - F.col("b_n")) <= most) & (F.greatest("nth", "b_nth") <= most)
+                  & F.arrays_overlap("heads", "b_heads"))
     return both.select("node", "head").distinct().join(tried.select("node", "head"), ["node", "head"], "left_anti")
 
 
