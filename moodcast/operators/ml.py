@@ -6,10 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import FOREST_DEPTH, FOREST_TREES, TRAIN_FRACTION
+from ..session import scratch_path
+from . import joins
 
 FEATURES = ["city_index", "PRCP", "SNOW", "TMAX", "TMIN", "TAVG"]
 MEASURES = ["PRCP", "SNOW", "TMAX", "TMIN", "TAVG"]
@@ -96,6 +99,49 @@ def train_forest(train: DataFrame, seed: int = 42, trees: int = FOREST_TREES,
     return rf.fit(train)
 
 
+def tree_rows(model) -> DataFrame:
+    """The fitted trees as rows (tree, node, feature, cut, kinds, left,
+    right, votes), read from the saved model.  A leaf has no feature; an
+    inner node sends a value to the left where it is at most the first of
+    ``cut`` or, with ``kinds`` >= 0, where it is one of ``cut``."""
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    n = F.col("nodeData")
+    total = F.aggregate(n["impurityStats"], F.lit(0.0), lambda a, x: a + x)
+    inner = n["leftChild"] >= 0
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), n["id"].alias("node"), F.when(inner, n["split"]["featureIndex"]).alias("feature"),
+        n["split"]["leftCategoriesOrThreshold"].alias("cut"), n["split"]["numCategories"].alias("kinds"),
+        n["leftChild"].alias("left"), n["rightChild"].alias("right"),
+        F.transform(n["impurityStats"], lambda x: x / total).alias("votes"))
+
+
+def replay(rows: DataFrame, trees: DataFrame, keys: Sequence[str], depth: int = FOREST_DEPTH) -> DataFrame:
+    """(keys, prediction) of rows with a ``features`` vector, by walking
+    all trees with joins: an independent application of ``tree_rows``.
+
+    A forest has at most trees * 2^(depth + 1) nodes, whatever the rows;
+    they are counted before they are broadcast.  The shares of a row's
+    leaves are summed by class, and the first largest one is its class.
+    """
+    node = joins.bounded(trees.select(*[F.col(c).alias(f"t_{c}") for c in trees.columns]))
+    roots = F.array_sort(F.collect_set("tree"))
+    walk = rows.select(*keys, vector_to_array("features").alias("x")).withColumn("all", trees.agg(roots).scalar())
+    walk = walk.select(*keys, "x", F.explode("all").alias("tree")).withColumn("node", F.lit(0))
+    here = (F.col("tree") == F.col("t_tree")) & (F.col("node") == F.col("t_node"))
+    value = F.get("x", F.col("t_feature"))
+    left = F.when(F.col("t_kinds") < 0, value <= F.get("t_cut", F.lit(0))).otherwise(F.array_contains("t_cut", value))
+    step = F.when(F.col("t_feature").isNull(), F.col("node")).when(left, F.col("t_left")).otherwise(F.col("t_right"))
+    for _ in range(depth):
+        walk = walk.join(node, here).select(*keys, "x", "tree", step.alias("node"))
+    shares = walk.join(node, here).select(*keys, F.posexplode("t_votes").alias("class", "share"))
+    # Rounded, as the order of a sum's terms must not decide between equal classes.
+    total = shares.groupBy(*keys, "class").agg(F.round(F.sum("share"), 9).alias("total"))
+    best = total.groupBy(*keys).agg(F.min(F.struct((-F.col("total")).alias("down"), "class")).alias("best"))
+    return best.select(*keys, F.col("best.class").cast("double").alias("prediction"))
+
+
 def accuracy(predictions: DataFrame) -> DataFrame:
     return predictions.agg(
         F.count(F.lit(1)).alias("n_test"),

@@ -835,6 +835,7 @@ def _forest(ws: Workspace):
         train, test = ml.hash_split(data, ["station_id", "date", "comment_id"])
         model = ml.train_forest(train, cities=rows.select("city").distinct().count())
         cached = ws.__dict__["_forest"] = model.transform(test)
+        ws.__dict__["_forest_fit"] = (model, test)
     return cached
 
 
@@ -860,6 +861,15 @@ def rf_predictions(ws: Workspace) -> DataFrame:
     return _forest(ws).select("station_id", "date", "comment_id", "sentiment_index", "prediction")
 
 
+@query("rf_replayed", None, "L4 L5")
+def rf_replayed(ws: Workspace) -> DataFrame:
+    """The predictions once more: the fitted trees as rows, walked by joins."""
+    _forest(ws)
+    model, test = ws.__dict__["_forest_fit"]
+    keys = ["station_id", "date", "comment_id"]
+    return ml.replay(test, ml.tree_rows(model), keys)
+
+
 @query("rf_accuracy", None, "L6")
 def rf_accuracy(ws: Workspace) -> DataFrame:
     return _round(ml.accuracy(_forest(ws)), "accuracy")

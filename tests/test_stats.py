@@ -399,3 +399,23 @@ def test_quantile_of_the_studentised_range():
             mid = (lo + hi) / 2
             lo, hi = (mid, hi) if st.ptukey(mid, k, df) < p else (lo, mid)
         assert abs(q - lo) < 1e-8 * lo
+
+
+def test_replayed_trees_predict_what_the_forest_does(spark):
+    """The trees as rows, walked by joins, on whole and on indexed features."""
+    from moodcast.operators import ml
+    rng = np.random.default_rng(12)
+    cities = ["a", "b", "c", "d"]
+    rows = []
+    for i in range(600):
+        city, v = cities[int(rng.integers(4))], rng.normal(size=5)
+        label = "negative" if (v[0] > 0.3) ^ (city in "bd") else "positive" if v[3] > v[1] else "neutral"
+        rows.append((str(i), city, *map(float, v), label))
+    data = ml.prepared_rows(spark.createDataFrame(rows, "id string, city string, PRCP double, SNOW double, TMAX double, "
+                                                  "TMIN double, TAVG double, sentiment string"))
+    model = ml.train_forest(data, trees=7, depth=6, cities=4)
+    trees = ml.tree_rows(model)
+    assert trees.where("feature = 0 and kinds = 4").count() > 0 and trees.where("kinds < 0").count() > 0
+    want = {r.id: r.prediction for r in model.transform(data).select("id", "prediction").collect()}
+    got = {r.id: r.prediction for r in ml.replay(data, trees, ["id"], depth=6).collect()}
+    assert got == want and len(set(want.values())) == 3
