@@ -1,14 +1,21 @@
 """Main text of web pages by tag-path ratios.
 
 A small reader turns a page into blocks of text and a table of its
-root-to-leaf tag paths, with the characters, punctuation and number of
-text nodes of each.  The ratios, their smoothing along the page, the
-fused score, the threshold and the choice of regions are Spark
-expressions over that table.
+root-to-leaf tag paths, with the characters, the characters outside
+links, the punctuation and the number of text nodes of each.  The ratios,
+their smoothing along the page, the fused score, the threshold and what
+follows from it are Spark expressions over that table.
+
+What the score decides: where no article or main element holds text, the
+paths at or above the threshold choose the regions that stay; everywhere, paths
+of links (at least two nodes, nearly all text linked) below the threshold go.
+Class words are a feature of a path: elements named like noise go unless they
+hold a main element or first heading and half of all punctuated text.
 
 Defined results: a null or empty page has the empty text; markup that is
-never closed ends with its container; every page is one row, repeated
-rows included; other columns pass through untouched.
+never closed ends with its container, a comment or tag that is never
+closed ends the page; every page is one row, repeated rows included;
+other columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -16,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -42,21 +50,25 @@ NOISE_WORDS = frozenset("ad ads adv advert advertisement advertising banner brea
 NOISE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search"
                         .split())
 PUNCTUATION = re.compile(r"[.,;:!?、。，！？…]")
+# Words that make a class name tell a state, not a part.
+STATE_WORDS = frozenset("closed disabled enabled has no off on open with without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: A path is one of links if this share of its characters or more is linked.
+LINK_SHARE = 0.8
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
-#: A tag that the end of the page cuts off.
-_CUT_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
+#: A tag, comment or declaration that the end of the page cuts off.
+_CUT = re.compile(r"<[a-zA-Z/!?]")
 
 
-def is_noise(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+def is_hidden(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether the element itself says that it holds no text of the article."""
     if tag in NO_TEXT:
         return True
     if tag in ("html", "body"):
         return False
     for name, value in attrs:
         value = (value or "").lower()
-        if name in ("class", "id") and not NOISE_WORDS.isdisjoint(_WORDS.findall(value)):
-            return True
         if name == "role" and value in NOISE_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "style" and "display:none" in value.replace(" ", ""):
@@ -64,108 +76,156 @@ def is_noise(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     return False
 
 
+def named_noise(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether a class name or the id speaks of noise; an article or main
+    element has to be named by that word alone."""
+    if tag in ("html", "body"):
+        return False
+    for name, value in attrs:
+        if name in ("class", "id"):
+            for part in (value or "").lower().split():
+                words = _WORDS.findall(part)
+                if tag in MAIN and len(words) > 1 or not STATE_WORDS.isdisjoint(words):
+                    continue
+                if not NOISE_WORDS.isdisjoint(words):
+                    return True
+    return False
+
+
+class Element(NamedTuple):
+    tag: str
+    hidden: bool
+    region: int
+    main: bool
+    group: int  # the outermost element named like noise that it is in; 0: none
+    step: str  # its part of a path: the tag and its classes
+
+
 class PageReader(HTMLParser):
     """Blocks of a page: (path number, region number, in main, text)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # tag, noise, region
-        self.mains = self.regions = 0
+        self.stack: list[Element] = []
+        self.mains = self.regions = self.groups = self.anchors = 0
         self.text: list[str] = []
+        self.unlinked: list[str] = []
         self.blocks: list[tuple[int, int, bool, str]] = []
-        self.paths: dict[str, list[int]] = {}
+        self.paths: dict[tuple[str, int], list[int]] = {}
+        self.heads: set[int] = set()
 
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
-        self.text = []
+        plain = _SPACE.sub(" ", "".join(self.unlinked)).strip()
+        self.text, self.unlinked = [], []
         if not text:
             return
-        path = "/".join(t for t, _, _ in self.stack if t not in INLINE)
-        stats = self.paths.setdefault(path, [len(self.paths), 0, 0, 0])
+        path = "/".join(e.step for e in self.stack if e.tag not in INLINE)
+        if any(e.tag in HEADINGS for e in self.stack):  # a heading may link to its own page
+            plain = text
+        top = self.top()
+        stats = self.paths.setdefault((path, top.group), [len(self.paths), 0, 0, 0, 0])
         stats[1] += 1
         stats[2] += len(text)
-        stats[3] += len(PUNCTUATION.findall(text))
-        self.blocks.append((stats[0], self.stack[-1][2] if self.stack else 0, self.mains > 0, text))
+        stats[3] += len(plain)
+        stats[4] += len(PUNCTUATION.findall(plain))
+        self.blocks.append((stats[0], top.region, self.mains > 0, text))
 
-    def noisy(self) -> bool:
-        return bool(self.stack) and self.stack[-1][1]
+    def top(self) -> Element:
+        return self.stack[-1] if self.stack else Element("", False, 0, False, 0, "")
+
+    def say(self, data: str) -> None:
+        self.text.append(data)
+        self.unlinked.append(" " if self.anchors else data)
 
     def pop_to(self, at: int) -> None:
-        for tag, noise, _ in self.stack[at:]:
-            self.mains -= tag in MAIN and not noise
+        for e in self.stack[at:]:
+            self.mains -= e.main
+            self.anchors -= e.tag == "a"
         del self.stack[at:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in ("br", "hr", "wbr"):
-            if not self.noisy() and tag != "wbr":
-                self.text.append(" ")
+            if not self.top().hidden and tag != "wbr":
+                self.say(" ")
             return
         if tag in VOID:
             return
         if tag not in INLINE:
-            if not self.noisy():
+            if not self.top().hidden:
                 self.flush()
             closes = SELF_CLOSING.get(tag, ("p",) if tag in ("p", "ul", "ol", "dl", "table", "pre", "blockquote", "div",
                                                             "section", "article", "h1", "h2", "h3", "h4", "h5", "h6",
                                                             "header", "footer", "nav", "aside", "form") else ())
             for at in range(len(self.stack) - 1, -1, -1):
-                if self.stack[at][0] in closes:
+                if self.stack[at].tag in closes:
                     self.pop_to(at)
                     break
-                if self.stack[at][0] in SCOPES:
+                if self.stack[at].tag in SCOPES:
                     break
-        noise = self.noisy() or is_noise(tag, attrs) or tag == "header" and not self.mains
-        region = self.stack[-1][2] if self.stack else 0
+        top = self.top()
+        named = named_noise(tag, attrs)
+        code = tag in INLINE and any(e.tag in ("pre", "code") for e in self.stack)
+        hidden = (top.hidden or is_hidden(tag, attrs) or tag == "header" and not self.mains
+                  or named and tag in INLINE and not code)
+        group = top.group
+        if named and not hidden and not group and tag not in INLINE:
+            self.groups += 1
+            group = self.groups
+        main = tag in MAIN and not hidden and not named
+        if group and not hidden and (main or tag == "h1"):
+            self.heads.add(group)
+        region = top.region
         if tag in SCOPES and not self.mains:  # the outermost article or main is one region
             self.regions += 1
             region = self.regions
-        self.mains += tag in MAIN and not noise
-        if noise and not self.noisy() and tag in INLINE:
-            self.text.append(" ")
-        self.stack.append((tag, noise, region))
+        self.mains += main
+        self.anchors += tag == "a"
+        if hidden and not top.hidden and tag in INLINE:
+            self.say(" ")
+        classes = next((value for name, value in attrs if name == "class" and value), "")
+        self.stack.append(Element(tag, hidden, region, main, group, ".".join((tag, *classes.split()))))
 
     def handle_endtag(self, tag: str) -> None:
         for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
-                if tag not in INLINE and not self.noisy():
+            if self.stack[at].tag == tag:
+                if tag not in INLINE and not self.top().hidden:
                     self.flush()
                 self.pop_to(at)
                 return
-            if tag in INLINE and self.stack[at][0] not in INLINE or tag == "p" and self.stack[at][0] in SCOPES:
+            if tag in INLINE and self.stack[at].tag not in INLINE or tag == "p" and self.stack[at].tag in SCOPES:
                 return
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_data(self, data: str) -> None:
-        if not self.noisy():
-            self.text.append(data)
+        if not self.top().hidden:
+            self.say(data)
 
 
 BLOCKS = "blocks array<struct<path int, region int, main boolean, text string>>"
-PATHS = "paths array<struct<path string, nodes long, chars long, punct long>>"
+PATHS = "paths array<struct<path string, group int, at int, nodes long, chars long, plain long, punct long>>"
+HEADS = "heads array<int>"
+_PATH = ("path", "group", "at", "nodes", "chars", "plain", "punct")
 
 
-def read_page(html: str | None) -> tuple[list[tuple[int, int, bool, str]], list[tuple[str, int, int, int]]]:
+def read_page(html: str | None) -> PageReader:
     reader = PageReader()
-    html = html or ""
-    comment = html.rfind("<!--")
-    if comment >= 0 and "-->" not in html[comment:]:  # a comment that never ends holds the rest
-        html = html[:comment]
-    last = html.rfind("<")
-    reader.feed(html[:last] if last >= 0 and _CUT_TAG.match(html, last) else html)
+    reader.feed(html or "")
+    if _CUT.match(reader.rawdata):  # what is left over was never closed
+        reader.rawdata = ""
     reader.close()
     reader.flush()
-    return reader.blocks, [(p, *s[1:]) for p, s in reader.paths.items()]
+    return reader
 
 
 def _read_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for pages in batches:
         got = [read_page(h if isinstance(h, str) else None) for h in pages]
-        yield pd.DataFrame({"blocks": [[dict(zip(("path", "region", "main", "text"), b)) for b in blocks]
-                                       for blocks, _ in got],
-                            "paths": [[dict(zip(("path", "nodes", "chars", "punct"), p)) for p in paths]
-                                      for _, paths in got]})
+        yield pd.DataFrame({"blocks": [[dict(zip(("path", "region", "main", "text"), b)) for b in r.blocks] for r in got],
+                            "paths": [[dict(zip(_PATH, (*k, *v))) for k, v in r.paths.items()] for r in got],
+                            "heads": [sorted(r.heads) for r in got]})
 
 
 def _smoothed(values: Column) -> Column:
@@ -179,13 +239,27 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
 
 
+def live_paths(rows: DataFrame) -> DataFrame:
+    """``rows`` (he_page) with ``he_live``, the paths outside elements named
+    like noise, and those inside the elements that hold the article after all."""
+    def punctuated(kept):
+        return F.aggregate(F.filter("he_page.paths", lambda p: kept(p) & (p["punct"] > 0)), F.lit(0).cast("long"),
+                           lambda a, p: a + p["plain"])
+    rows = rows.withColumn("he_total", punctuated(lambda p: F.lit(True)))
+    rows = rows.withColumn("he_groups", F.filter("he_page.heads", lambda g: 2 * punctuated(lambda p: p["group"] == g)
+                                                 >= F.col("he_total")))
+    return rows.withColumn("he_live", F.filter("he_page.paths", lambda p: (p["group"] == 0)
+                                               | F.array_contains(F.col("he_groups"), p["group"])))
+
+
 def content_paths(rows: DataFrame) -> DataFrame:
-    """``rows`` (he_page.paths) with ``he_score``, the fused ratio of each
-    path, and ``he_threshold``."""
-    rows = rows.withColumn("he_text", _smoothed(F.transform("he_page.paths", lambda p: p["chars"] / p["nodes"])))
-    rows = rows.withColumn("he_punct", _smoothed(F.transform("he_page.paths", lambda p: p["punct"] / p["nodes"])))
-    # Fused: running text has both length and punctuation in each node.
-    rows = rows.withColumn("he_score", F.zip_with("he_text", "he_punct", lambda t, p: F.sqrt(t * (p + 0.5))))
+    """``rows`` (he_live) with ``he_score``, the fused ratio of each path, and
+    ``he_threshold``."""
+    rows = rows.withColumn("he_text", _smoothed(F.transform("he_live", lambda p: p["plain"] / p["nodes"])))
+    rows = rows.withColumn("he_punct", _smoothed(F.transform("he_live", lambda p: p["punct"] / p["nodes"])))
+    # Fused: running text has both length and punctuation in each node, and few links.
+    rows = rows.withColumn("he_fused", F.zip_with("he_text", "he_punct", lambda t, p: F.sqrt(t * (p + 0.5))))
+    rows = rows.withColumn("he_score", F.zip_with("he_fused", "he_live", lambda s, p: s * p["plain"] / p["chars"]))
     n = F.size("he_score")
     mean = _total(F.col("he_score")) / n
     rows = rows.withColumn("he_mean", F.when(n > 0, mean))
@@ -194,20 +268,29 @@ def content_paths(rows: DataFrame) -> DataFrame:
     return rows.withColumn("he_threshold", F.when(n > 0, F.least(spread, F.array_max("he_score"))))
 
 
-def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
-    """``pages`` with the main text of each page in column ``out``."""
+def extract(pages: DataFrame, html: str = "html", out: str = "text", threshold: Column | None = None) -> DataFrame:
+    """``pages`` with the main text of each page in column ``out``.
+    ``threshold`` replaces the one that follows from the page's scores."""
     common.prepare(pages.sparkSession)
-    read = F.pandas_udf(_read_batches, f"{BLOCKS}, {PATHS}")
+    read = F.pandas_udf(_read_batches, f"{BLOCKS}, {PATHS}, {HEADS}")
     rows = pages.select(common.row_struct(pages).alias("he_row"), read(F.col(html)).alias("he_page"))
-    rows = content_paths(rows)
-    blocks = F.col("he_page.blocks")
-    chosen = F.filter(blocks, lambda b: F.get(F.col("he_score"), b["path"]) >= F.col("he_threshold"))
-    rows = rows.withColumn("he_chosen", chosen)
+    rows = content_paths(live_paths(rows))
+    if threshold is not None:
+        rows = rows.withColumn("he_threshold", threshold)
+    scored = F.zip_with("he_live", "he_score", lambda p, s: F.struct(
+        p["at"].alias("at"), (s >= F.col("he_threshold")).alias("chosen"),
+        ((p["nodes"] > 1) & (p["chars"] - p["plain"] >= LINK_SHARE * p["chars"])).alias("links")))
+    rows = rows.withColumn("he_scored", scored)
+    rows = rows.withColumn("he_chosen", F.transform(F.filter("he_scored", lambda p: p["chosen"]), lambda p: p["at"]))
+    rows = rows.withColumn("he_stay", F.transform(F.filter("he_scored", lambda p: p["chosen"] | ~p["links"]),
+                                                  lambda p: p["at"]))
+    blocks = F.col("he_blocks")
+    rows = rows.withColumn("he_blocks", F.filter("he_page.blocks", lambda b: F.array_contains(F.col("he_stay"),
+                                                                                           b["path"])))
     # An article or main region, where one holds text, goes before others.
     rows = rows.withColumn("he_main", F.exists(blocks, lambda b: b["main"]))
-    regions = F.when(F.col("he_main"), F.transform(F.filter("he_chosen", lambda b: b["main"]), lambda b: b["region"])
-                     ).otherwise(F.transform("he_chosen", lambda b: b["region"]))
-    rows = rows.withColumn("he_regions", F.array_distinct(regions))
+    voters = F.filter(blocks, lambda b: F.array_contains(F.col("he_chosen"), b["path"]) & (b["main"] == F.col("he_main")))
+    rows = rows.withColumn("he_regions", F.array_distinct(F.transform(voters, lambda b: b["region"])))
     none = F.size("he_regions") == 0
     kept = F.filter(blocks, lambda b: (b["main"] == F.col("he_main"))
                     & (none | F.array_contains(F.col("he_regions"), b["region"])))

@@ -64,3 +64,88 @@ def test_other_columns_and_repeated_rows(spark):
 
 def test_empty_table(spark):
     assert he.digest(pages(spark, ["<p>x"]).limit(0)).count() == 0
+
+
+def test_class_words_do_not_lose_the_article(spark):
+    say = "It rained, all day. "
+    got = extracted(spark, [
+        f'<main class="has-sidebar"><h1>T</h1><p>{say}</p></main>',
+        f'<article class="post share-enabled"><p>{say}</p></article>',
+        f'<div class="search-page"><h1>T</h1><p>{say}</p><p>{say}</p></div><div><p>Short, too.</p></div>',
+        f'<article><h1>T</h1><p>{say}</p><div class="comments"><h2>No</h2><p>{say * 9}</p></div></article>',
+        f'<div class="post"><h1>T</h1><p>{say}</p></div><div id="comments"><article class="comment">{say * 9}</article></div>',
+        f'<article><p>{say}</p><pre>x = 1 <span class="comment"># one</span></pre></article>',
+        '<div class="ad">Buy now!</div>'])
+    text = "It rained, all day."
+    assert got == [f"T {text}", text, f"T {text} {text} Short, too.", f"T {text}", f"T {text}", f"{text} x = 1 # one", ""]
+
+
+def test_open_comments(spark):
+    got = extracted(spark, ["<script>var a = '<!--';</script><article><p>Still, here.</p></article>",
+                            "<article><p>a <!-- b --> c<!-- d", "<article><p>1 < 2, and <", "<p>a<div class='x"])
+    assert got == ["Still, here.", "a c", "1 < 2, and <", "a"]
+
+
+LINKS = "<ul><li><a href=a>One more page</a></li><li><a href=b>Another page</a></li><li><a href=c>A third</a></li></ul>"
+ARTICLE = ("<article><h1><a href=x>Title</a></h1><p>Some words, and more of them. And <a href=y>a link</a>, too.</p>{}"
+           "<ul><li>a point</li><li><a href=z>linked</a> point</li></ul><table><tr><td>1</td><td>2</td></tr></table>"
+           "<p>The end, then.</p></article>")
+
+
+def test_the_threshold_decides_inside_an_article(spark):
+    df = pages(spark, [ARTICLE.format(f"<div>{LINKS}</div>"), ARTICLE.format("")])
+    text = "Title Some words, and more of them. And a link, too. a point linked point 1 2 The end, then."
+    assert [r["text"] for r in he.digest(df).collect()] == [text, text]
+    kept = he.extract(df, threshold=he.F.lit(-1.0)).orderBy("page_id").collect()
+    assert "One more page Another page A third" in kept[0]["text"] and kept[1]["text"] == text
+
+
+def ratios(html):
+    """Paths, scores and threshold of a page whose every element is closed."""
+    stats, stack = {}, []
+    for tag, text in re.findall(r"<(/?\w+)[^>]*>([^<]*)", html):
+        stack = stack[:-1] if tag[0] == "/" else [*stack, tag]
+        text = " ".join(text.split())
+        if text:
+            linked = "a" in stack and not {"h1", "h2"} & set(stack)
+            got = stats.setdefault("/".join(t for t in stack if t != "a"), [0, 0, 0, 0])
+            for i, v in enumerate((1, len(text), 0 if linked else len(text),
+                                   0 if linked else sum(c in ".,;:!?" for c in text))):
+                got[i] += v
+    def smooth(v):
+        return [(v[max(i - 1, 0)] + 2 * v[i] + v[min(i + 1, len(v) - 1)]) / 4 for i in range(len(v))]
+    rows = list(stats.values())
+    texts, points = smooth([r[2] / r[0] for r in rows]), smooth([r[3] / r[0] for r in rows])
+    scores = [(t * (p + 0.5)) ** 0.5 * r[2] / r[1] for t, p, r in zip(texts, points, rows)]
+    mean = sum(scores) / len(scores)
+    return list(stats), scores, min((sum((s - mean) ** 2 for s in scores) / len(scores)) ** 0.5, max(scores))
+
+
+def test_ratios_equal_brute_force(spark):
+    rng = random.Random(4)
+    def some(n):
+        return " ".join(rng.choice(["rain,", "wind", "stone.", "sea", "so?"]) for _ in range(n))
+    def body():
+        return "".join(rng.choice([f"<p>{some(rng.randrange(1, 30))}</p>", f"<h2>{some(3)}</h2>",
+                                   f"<div><ul><li>{some(2)}</li><li><a>{some(4)}</a></li></ul></div>",
+                                   f"<section><p><a>{some(5)}</a></p><div>{some(9)}</div></section>"])
+                       for _ in range(rng.randrange(1, 12)))
+    made = [f"<body><div><h1>{some(4)}</h1>{body()}</div><div>{body()}</div></body>" for _ in range(40)]
+    read = he.F.pandas_udf(he._read_batches, f"{he.BLOCKS}, {he.PATHS}, {he.HEADS}")
+    he.common.prepare(spark)
+    rows = he.content_paths(he.live_paths(pages(spark, made).select("page_id", read("html").alias("he_page"))))
+    for r in rows.select("page_id", "he_live", "he_score", "he_threshold").collect():
+        paths, scores, threshold = ratios(made[r["page_id"]])
+        assert [p["path"] for p in r["he_live"]] == paths
+        assert all(abs(a - b) < 1e-9 for a, b in zip(r["he_score"], scores, strict=True))
+        assert abs(r["he_threshold"] - threshold) < 1e-9
+
+
+def test_unnamed_noise_outside_goes_by_its_score(spark):
+    rng = random.Random(6)
+    made = [page(rng, 'div class="post"') for _ in range(20)]
+    noise = "<div><p>Log in</p><p>Home</p><p>Up</p></div>" + f"<div>{LINKS}</div>"
+    made = [(p.replace('</div class="post">', "</div>").replace("<footer>", noise + "<footer>"), t) for p, t in made]
+    assert extracted(spark, [p for p, _ in made]) == [t for _, t in made]
+    kept = he.extract(pages(spark, [p for p, _ in made]), threshold=he.F.lit(-1.0)).collect()
+    assert all("Log in" in r["text"] for r in kept)
