@@ -6,11 +6,17 @@ surrogate of its own type and format: letters for letters of the same
 case and script, digits for digits, names of the same gender and script.
 The same entity has the same surrogate in every document, and different
 entities have different ones: all distinct entities are checked against
-each other and against the originals, and those that collide draw again
-until none does.
+each other and against the originals, those of names over all kinds of
+name parts, and those that collide draw again until none does.
 
-The first draw follows from the key and the entity alone, so only the
-entities that had to draw again travel to their documents.
+A name found once in a text is found wherever its words stand alone in
+it.  The mentions of a word in a text agree on its place (given name or
+surname) and gender before anything is drawn, and all texts agree on its
+gender: the one that more texts tell, none if they tell both alike.
+
+Each text is scanned once; what was found is written beside the row,
+under a number of its own.  The first draw follows from the key and the
+entity alone, so only entities that differ from it travel to their rows.
 
 Defined results: a null text stays null; entities never overlap, the
 first and longest counts; rows are judged each by itself, repeated rows
@@ -23,10 +29,9 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
-from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -75,6 +80,9 @@ _PATTERNS = [
 _NEEDS = {"email": "@", "ip6": ":"}
 _DIGIT = re.compile(r"\d")
 _TOKEN = re.compile(r"[^\s]+")
+#: A word that may be a name told before; not a part of an address.
+_MENTION = re.compile(r"(?<![\w.@/’'-])[^\W\d_](?:[\w’'-]*\w)?(?![\w@-]|\.\w)")
+_OWNER = re.compile(r"[’']s\Z")
 
 
 def _script(word: str) -> str:
@@ -97,6 +105,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 gender = _GIVEN[first][1] if first in _GIVEN else TITLES.get(title, "")
             spans.append((m.start(1), -m.end(1), rank, kind, gender))
     out: list[tuple[int, int, str, str]] = []
+    parts: list[tuple[int, str, str, str, bool]] = []  # start, word, place, gender, part of a longer name
     done = 0
     for start, end, _, kind, gender in sorted(spans):
         if start < done:
@@ -109,11 +118,40 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         for i, (at, word) in enumerate(words):
             place = "first" if word in _GIVEN or i < len(words) - 1 else "last"
             own = _GIVEN[word][1] if word in _GIVEN else gender
-            script = _script(word)
-            # A surname's form follows gender only where its script has such forms.
-            kept = own if place == "first" or script == "cyrillic" else ""
-            out.append((at, at + len(word), f"{place}-{script}-{kept}", word))
-    return out
+            parts.append((at, word, place, own, len(words) > 1))
+    if not parts:
+        return out
+    kinds = _agreed(parts)
+    out += [(at, at + len(word), kinds[word], word) for at, word, *_ in parts]
+    out.sort()
+    again, i = [], 0
+    for m in _MENTION.finditer(text):
+        word = _OWNER.sub("", m.group())
+        if word not in kinds:
+            continue
+        while i < len(out) and out[i][1] <= m.start():
+            i += 1
+        if i == len(out) or out[i][0] >= m.start() + len(word):
+            again.append((m.start(), m.start() + len(word), kinds[word], word))
+    return sorted(out + again)
+
+
+def _agreed(parts: list[tuple[int, str, str, str, bool]]) -> dict[str, str]:
+    """The kind of each word of the names of a text.  Longer names tell
+    better than a word after a title whether it is a given name."""
+    mentions: dict[str, list[tuple[str, str, bool]]] = {}
+    for _, word, place, gender, longer in parts:
+        mentions.setdefault(word, []).append((place, gender, longer))
+    kinds = {}
+    for word, told in mentions.items():
+        best = [p for p, _, longer in told if longer] or [p for p, _, _ in told]
+        place = "first" if "first" in best else "last"
+        women, men = (sum(g == x for _, g, _ in told) for x in "fm")
+        gender = "f" if women > men else "m" if men > women else ""
+        script = _script(word)
+        # A surname's form follows gender only where its script has such forms.
+        kinds[word] = f"{place}-{script}-{gender if place == 'first' or script == 'cyrillic' else ''}"
+    return kinds
 
 
 class _Draw:
@@ -198,12 +236,33 @@ def shaped(kind: str, original: str, norm: str) -> str:
     return norm
 
 
-def _entity_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(did, thash, kind, norm), each once per text."""
-    for rows in batches:
-        out = [(d, h, kind, norm) for t, d, h in zip(rows["text"], rows["did"], rows["thash"], strict=True)
-               if isinstance(t, str) for kind, norm in sorted({(k, normal(k, o)) for _, _, k, o in find(t)})]
-        yield pd.DataFrame(out, columns=["did", "thash", "kind", "norm"])
+_FOUND = "array<struct<kind:string,start:int,length:int,norm:string>>"
+
+
+def _scan(text: pd.Series) -> pd.Series:
+    return pd.Series([[{"kind": k, "start": s, "length": e - s, "norm": normal(k, o)} for s, e, k, o in find(t)]
+                      if isinstance(t, str) else [] for t in text], dtype=object)
+
+
+_scan.__annotations__ = {"text": pd.Series, "return": pd.Series}
+_NAME = r"^((?:first|last)-[a-z]+)-([fm]?)$"
+
+
+def resolved(entities: DataFrame) -> DataFrame:
+    """(kind, norm, n texts) with ``told``, the kind with the gender that
+    more texts tell."""
+    base, gender = F.regexp_extract("kind", _NAME, 1), F.regexp_extract("kind", _NAME, 2)
+    votes = (entities.where(base != "").groupBy(base.alias("v_base"), F.col("norm").alias("v_norm"))
+             .agg(F.sum(F.when(gender == "f", F.col("n")).when(gender == "m", -F.col("n")).otherwise(0)).alias("v")))
+    told = F.concat("v_base", F.lit("-"), F.when(F.col("v") > 0, "f").when(F.col("v") < 0, "m").otherwise(""))
+    both = entities.join(votes, (base == votes["v_base"]) & (entities["norm"] == votes["v_norm"]), "left")
+    return both.select("kind", "norm", F.coalesce(told, "kind").alias("told"))
+
+
+def _space(kind: str) -> Column:
+    """Entities of one space have different surrogates: all parts of names
+    are one space, any other kind is one of its own."""
+    return F.when(F.col(kind).rlike(_NAME), "name").otherwise(F.col(kind))
 
 
 def _drawn(entities: DataFrame, key: str, attempt: int) -> DataFrame:
@@ -221,50 +280,53 @@ def _hinted(f):
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """Distinct (kind, norm) -> those that had to draw again, with their
-    ``surrogate``.  Ends with all surrogates different and none an
-    original of its kind."""
-    entities = common.written(entities, "pii-entities")
+    ``surrogate``.  Ends with all surrogates of a space different and none
+    an original of it."""
+    entities = common.written(entities.select("kind", "norm", _space("kind").alias("space")), "pii-entities")
     settled = None
     todo, attempt = entities, 0
-    taken = entities.select("kind", F.col("norm").alias("surrogate"))
+    taken = entities.select("space", F.col("norm").alias("surrogate"))
     while True:
-        drawn = common.written(_drawn(todo.select("kind", "norm"), key, attempt), "pii-drawn")
+        drawn = common.written(_drawn(todo.select("kind", "norm"), key, attempt)
+                               .withColumn("space", _space("kind")), "pii-drawn")
         # One of those that drew alike stays; none that drew a taken one.
-        best = drawn.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm"))
-        free = best.join(taken, ["kind", "surrogate"], "left_anti")
-        settled_now = common.written(free.select("kind", "norm", "surrogate"), "pii-settled")
+        best = drawn.groupBy("space", "surrogate").agg(F.min(F.struct("norm", "kind")).alias("e"))
+        free = best.join(taken, ["space", "surrogate"], "left_anti")
+        settled_now = common.written(free.select("e.kind", "e.norm", "space", "surrogate"), "pii-settled")
         todo = drawn.select("kind", "norm").join(settled_now, ["kind", "norm"], "left_anti")
         if attempt:
-            settled = settled_now if settled is None else settled.unionByName(settled_now)
+            now = settled_now.drop("space")
+            settled = now if settled is None else settled.unionByName(now)
         if todo.isEmpty():
             break
-        taken = taken.unionByName(settled_now.select("kind", "surrogate"))
+        taken = taken.unionByName(settled_now.select("space", "surrogate"))
         attempt += 1
     return settled if settled is not None else entities.select("kind", "norm", F.lit("").alias("surrogate")).limit(0)
 
 
 def _replacer(key: str):
-    def replace(text: pd.Series, again: pd.Series) -> pd.DataFrame:
+    def replace(text: pd.Series, found: pd.Series, again: pd.Series) -> pd.DataFrame:
         texts, entities = [], []
-        for t, other in zip(text, again, strict=True):
+        for t, spans, other in zip(text, found, again, strict=True):
             if not isinstance(t, str):
                 texts.append(None)
                 entities.append([])
                 continue
-            known = {(e["kind"], e["norm"]): e["surrogate"] for e in other} if other is not None else {}
-            parts, found, done = [], [], 0
-            for start, end, kind, original in find(t):
-                norm = normal(kind, original)
-                new = known.get((kind, norm)) or surrogate(key, kind, norm)
-                new = shaped(kind, original, new)
+            known = {(e["kind"], e["norm"]): e for e in other} if other is not None else {}
+            parts, named, done = [], [], 0
+            for span in spans:
+                kind, norm, start, end = span["kind"], span["norm"], span["start"], span["start"] + span["length"]
+                e = known.get((kind, norm))
+                new = e and e["surrogate"] or surrogate(key, e["told"] if e else kind, norm)
+                new = shaped(kind, t[start:end], new)
                 parts += [t[done:start], new]
-                found.append({"kind": kind, "start": start, "length": end - start, "surrogate": new})
+                named.append({"kind": e["told"] if e else kind, "start": start, "length": end - start, "surrogate": new})
                 done = end
             texts.append("".join([*parts, t[done:]]))
-            entities.append(found)
+            entities.append(named)
         return pd.DataFrame({"text": texts, "entities": entities})
 
-    replace.__annotations__ = {"text": pd.Series, "again": pd.Series, "return": pd.DataFrame}
+    replace.__annotations__ = {"text": pd.Series, "found": pd.Series, "again": pd.Series, "return": pd.DataFrame}
     return replace
 
 
@@ -275,19 +337,21 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """``docs`` with surrogates in ``text``, and ``pii_entities``: kind,
     start and length in the original, and surrogate of each."""
     common.prepare(docs.sparkSession)
-    did = F.col("doc_id").cast("long")
-    thash = common.row_hash(F.col("text"))
-    found = docs.select(did.alias("did"), thash.alias("thash"), "text").mapInPandas(
-        _entity_batches, "did long, thash long, kind string, norm string")
-    found = common.written(found, "pii-found")
-    again = assign(found.select("kind", "norm").distinct(), key)
-    again = (found.join(again, ["kind", "norm"]).distinct()
-             .groupBy("did", "thash").agg(F.collect_list(F.struct("kind", "norm", "surrogate")).alias("again"))
-             .select(F.col("did").alias("p_did"), F.col("thash").alias("p_thash"), "again"))
-    rows = docs.select(common.row_struct(docs).alias("pii_row"), did.alias("did"), thash.alias("thash"))
-    rows = rows.join(again, rows["did"].eqNullSafe(again["p_did"]) & (rows["thash"] == again["p_thash"]), "left")
-    out = rows.select("pii_row", F.pandas_udf(_replacer(key), _REPLACED)(F.col("pii_row.text"), F.col("again"))
-                      .alias("pii_new"))
+    rows = common.written(docs.select(common.row_struct(docs).alias("pii_row"),
+                                      F.pandas_udf(_scan, _FOUND)(F.col("text")).alias("pii_found"),
+                                      F.monotonically_increasing_id().alias("pii_id")), "pii-found")
+    # Each entity once per text.
+    each = F.array_distinct(F.transform("pii_found", lambda e: F.struct(e["kind"].alias("kind"), e["norm"].alias("norm"))))
+    found = rows.select("pii_id", F.explode(each).alias("e")).select("pii_id", "e.kind", "e.norm")
+    entities = common.written(resolved(found.groupBy("kind", "norm").agg(F.count("*").alias("n"))), "pii-told")
+    drawn_again = assign(entities.select(F.col("told").alias("kind"), "norm").distinct(), key)
+    other = entities.join(drawn_again.withColumnRenamed("kind", "told"), ["told", "norm"], "left").where(
+        F.col("surrogate").isNotNull() | (F.col("told") != F.col("kind")))
+    again = (found.join(other, ["kind", "norm"]).groupBy(F.col("pii_id").alias("p_id"))
+             .agg(F.collect_list(F.struct("kind", "norm", "told", "surrogate")).alias("again")))
+    rows = rows.join(again, rows["pii_id"] == again["p_id"], "left")
+    out = rows.select("pii_row", F.pandas_udf(_replacer(key), _REPLACED)(F.col("pii_row.text"), F.col("pii_found"),
+                                                                         F.col("again")).alias("pii_new"))
     added = {"text": F.col("pii_new.text"), "pii_entities": F.col("pii_new.entities")}
     return out.select(*common.unpacked(docs, "pii_row", added))
 

@@ -1,3 +1,4 @@
+import random
 import re
 
 from helpers import LONG_WORD, documents, same_extras
@@ -108,5 +109,80 @@ def test_many_names_stay_apart(spark):
     assert new.keys() == set(names)
 
 
+def replaced(spark, texts):
+    """Originals to surrogates of each text."""
+    rows = sorted(pii.pseudonymise(documents(spark, texts)).collect(), key=lambda r: r["doc_id"])
+    out = []
+    for r, t in zip(rows, texts, strict=True):
+        new = {}
+        for e in r["pii_entities"]:
+            o = t[e["start"]:e["start"] + e["length"]]
+            assert new.setdefault(o, e["surrogate"]) == e["surrogate"]
+        out.append((r["text"], new))
+    return out
+
+
+def test_mentions_agree(spark):
+    texts = ["Mr Xavier Lopez left; later Lopez and Xavier slept in Lopez's house at www.Lopez.org.", "Dr Xavier Lopez came.",
+             "Mr Xavier Lopez, Mr Xavier Lopez.", "Then Ms Xavier slept."]
+    (one, names), (_, dr), (_, mr), (_, ms) = replaced(spark, texts)
+    x, lo = names["Xavier"], names["Lopez"]
+    assert one == f"Mr {x} {lo} left; later {lo} and {x} slept in {lo}'s house at www.Lopez.org."
+    assert dr == mr == names and x.split("-")[0] in pii.FIRST_NAMES["latin", "m"]
+    assert ms["Xavier"] not in (x, lo)  # a surname there, another entity
+    assert replaced(spark, ["Ms Kim Roe, Mr Kim Poe.", "Mr Kim Roe."])[1][1]["Kim"]
+
+
+def brute_force(texts, key):
+    """All entities in one dictionary; the smallest of those that draw alike stays."""
+    scans = [pii.find(t) for t in texts]
+    votes = {}
+    for spans in scans:
+        for kind, norm in {(k, pii.normal(k, o)) for _, _, k, o in spans}:
+            if kind.startswith(("first", "last")):
+                at = (kind.rsplit("-", 1)[0], norm)
+                votes[at] = votes.get(at, 0) + {"f": 1, "m": -1, "": 0}[kind.rsplit("-", 1)[1]]
+
+    def told(kind, norm):
+        v = votes.get((kind.rsplit("-", 1)[0], norm))
+        return kind if v is None else f"{kind.rsplit('-', 1)[0]}-{'f' if v > 0 else 'm' if v < 0 else ''}"
+
+    space = lambda kind: "name" if kind.startswith(("first-", "last-")) else kind
+    todo = {(told(k, pii.normal(k, o)), pii.normal(k, o)) for spans in scans for _, _, k, o in spans}
+    taken, final, attempt = {(space(k), n) for k, n in todo}, {}, 0
+    while todo:
+        drew = {}
+        for n, k in sorted((n, k) for k, n in todo):
+            drew.setdefault((space(k), pii.surrogate(key, k, n, attempt)), (k, n))
+        for at, e in drew.items():
+            if at not in taken:
+                final[e] = at[1]
+        taken |= {(space(k), s) for (k, _), s in final.items()}
+        todo, attempt = {e for e in todo if e not in final}, attempt + 1
+    out = []
+    for t, spans in zip(texts, scans, strict=True):
+        for start, end, kind, o in reversed(spans):
+            norm = pii.normal(kind, o)
+            t = t[:start] + pii.shaped(kind, o, final[told(kind, norm), norm]) + t[end:]
+        out.append(t)
+    return out, final
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(5)
+    given = " ".join(pii.FIRST_NAMES.values()).split() + ["Xavier", "Pablo", "Kim", "Zoe"]
+    last = ["Lopez", "Roe", "Poe", "Thomas", "Anna", "Balbalen", "Keller", "Петрова"]
+    titles = ["Mr ", "Ms ", "Dr ", "Prof. ", ""]
+    def part():
+        g, la = rng.choice(given), rng.choice(last)
+        return rng.choice([f"{rng.choice(titles)}{g} {la} left.", f"Dr {la} met {g}.", f"{la} slept; {g} did not.",
+                           f"mail {g.lower()}@a{rng.randrange(3)}.org", f"call 555-{rng.randrange(100, 120)}-4567 now"])
+    texts = [" ".join(part() for _ in range(rng.randrange(6))) for _ in range(300)]
+    want, final = brute_force(texts, pii.DEFAULT_KEY)
+    assert [t for t, _ in replaced(spark, texts)] == want
+    names = [s for (k, _), s in final.items() if k.startswith(("first-", "last-"))]
+    assert len(names) == len(set(names)) and not set(names) & {n for _, n in final}
+
+
 def test_empty_table(spark):
     assert pii.digest(documents(spark, [TEXT]).limit(0)).count() == 0
