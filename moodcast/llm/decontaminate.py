@@ -16,8 +16,12 @@ from its end: a long item is found by any part that is like it.
 Only windows that can match are embedded: one too poor in words of any
 item has too many edits.  The same test on the part that a walk covers
 is for walks from inside an item.  The items reach the
-workers in blocks of bounded size; the documents are read once per block
-and never shuffled.
+workers in blocks of at most ``BLOCK_STARTS`` starts of walks, which as
+built take about 1.5 kB a start, or one item that has more.  One block is
+searched in the one pass over the documents.  Of several blocks one at a
+time is sent, while the driver holds the next: the rows are numbered and
+written once, each pass reads the texts, writes its hits and gives its block
+up; only hits are shuffled to their rows.
 
 Defined results: null or empty texts match nothing; an item of fewer than
 ``MIN_WORDS`` words contaminates only a document that consists of it, as
@@ -33,7 +37,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -50,8 +54,8 @@ CLASSES = ((12, 24), (MIN_WORDS, 9))
 ANCHOR = 12
 SEED = 23
 
-#: Bounds of one block of items.
-BLOCK_ITEMS, BLOCK_BYTES = 2000, 16 << 20
+#: Bounds of one block: items (expected) and starts of walks.
+BLOCK_ITEMS, BLOCK_STARTS = 2000, 1 << 14
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 MATCH = "array<struct<item_id:long,start_word:int,n_words:int,distance:int,similarity:double>>"
@@ -95,7 +99,7 @@ class Walk:
 
     advance: np.ndarray  # a multiplier per step; the top bit of the product moves the pointer
     sampled: np.ndarray
-    prefixes: np.ndarray | None = None  # of the items: which keys two samples can have, as a bitmap
+    prefixes: np.ndarray | None = None  # of the items: which keys the first samples can have, in bits
     keys: np.ndarray | None = None  # of the items: sorted full keys
     items: np.ndarray | None = None
     skipped: np.ndarray | None = None  # words of the item before the start
@@ -112,8 +116,9 @@ class Walk:
                 key = _mixed(key, w)
                 done += 1
                 if self.prefixes is not None and done < len(self.sampled):
-                    mask = np.uint64(self.prefixes.shape[1] - 1)
-                    live = self.prefixes[done - 1][key & mask]
+                    bit = key & np.uint64(8 * self.prefixes.shape[1] - 1)
+                    held = self.prefixes[done - 1][bit >> np.uint64(3)]
+                    live = (held >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
                     own, key, at, w = own[live], key[live], at[live], w[live]
                 if done == len(self.sampled) or not len(own):
                     break
@@ -165,14 +170,16 @@ class Block:
         starts = np.concatenate([f + a for f, a in zip(first, skipped, strict=True)])
         owner = np.repeat(own, [len(a) for a in skipped])
         size = 1 << max(12, (32 * len(starts)).bit_length())
-        prefixes = np.zeros((SAMPLES - 1, size), bool)
+        prefixes = np.zeros((SAMPLES - 1, size // 8), np.uint8)
         for n in range(1, SAMPLES):
             part = Walk(walk.advance, walk.sampled[:n])
-            prefixes[n - 1][part.embed(padded, starts)[1] & np.uint64(size - 1)] = True
+            held = np.zeros(size, bool)
+            held[part.embed(padded, starts)[1] & np.uint64(size - 1)] = True
+            prefixes[n - 1] = np.packbits(held, bitorder="little")
         _, keys = Walk(walk.advance, walk.sampled).embed(padded, starts)
         order = np.argsort(keys, kind="stable")
-        walk.keys, walk.items, walk.prefixes = keys[order], owner[order], prefixes
-        walk.skipped = np.concatenate(skipped)[order]
+        walk.keys, walk.items, walk.prefixes = keys[order], owner[order].astype(np.int32), prefixes
+        walk.skipped = np.concatenate(skipped)[order].astype(np.int32)
 
     def possible(self, known: np.ndarray, least: int) -> np.ndarray:
         """Positions at which a matching window of some length can start:
@@ -266,16 +273,26 @@ class Block:
                   "similarity": 1.0 - d / len(self.words[i])} for i, (d, s, n) in sorted(o.items())] for o in out]
 
 
-def item_blocks(benchmark: DataFrame, max_items: int = BLOCK_ITEMS, max_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
-    """The items in blocks whose expected size is bounded, however many
-    items there are."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull())
-    n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).collect()[0]
-    parts = max(1, -(-n // max_items), -(-size // max_bytes))
+def item_blocks(benchmark: DataFrame, max_items: int = BLOCK_ITEMS, max_starts: int = BLOCK_STARTS) -> Iterator[Block]:
+    """The items in blocks of bounded size, however many items there are;
+    each is built when it is asked for."""
+    starts = (F.regexp_count("text", F.lit(common.WORD_PATTERN)) / ANCHOR).cast("long") + 1  # or more
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text", starts.alias("starts")).where(
+        F.col("text").isNotNull())
+    n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum("starts"), F.lit(0))).collect()[0]
+    parts = max(1, -(-n // max_items), -(-size // max_starts))
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
         rows = sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
-        yield Block([r["item_id"] for r in rows], [r["text"] for r in rows])
+        block, held = [], 0
+        for r in rows:  # the hash deals about max_starts to each part; the rest is another block
+            if block and held + r["starts"] > max_starts:
+                yield Block([b["item_id"] for b in block], [b["text"] for b in block])
+                block, held = [], 0
+            block.append(r)
+            held += r["starts"]
+        if block or parts == 1:
+            yield Block([b["item_id"] for b in block], [b["text"] for b in block])
 
 
 def _searcher(sent: Broadcast) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
@@ -291,13 +308,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     window (first word, words), distance and similarity."""
     spark = docs.sparkSession
     common.prepare(spark)
-    found = []
-    for i, block in enumerate(item_blocks(benchmark)):
-        sent = spark.sparkContext.broadcast(block)
 
-        docs = docs.withColumn(f"dc_block_{i}", F.pandas_udf(_searcher(sent), MATCH)("text"))
-        found.append(f"dc_block_{i}")
-    return docs.withColumn("dc_matches", F.concat(*found)).drop(*found)
+    def search(block: Block) -> tuple[Broadcast, Column]:
+        sent = spark.sparkContext.broadcast(block)
+        return sent, F.pandas_udf(_searcher(sent), MATCH)("text")
+
+    blocks = item_blocks(benchmark)
+    block, after = next(blocks), next(blocks, None)
+    if after is None:
+        return docs.withColumn("dc_matches", search(block)[1])
+    rows = common.written(docs.select(common.row_struct(docs).alias("dc_row"), "text",
+                                      F.monotonically_increasing_id().alias("dc_id")), "dc-rows")
+    hits = None
+    while block is not None:
+        sent, found = search(block)
+        got = common.written(rows.select("dc_id", found.alias("dc_found")).where(F.size("dc_found") > 0), "dc-hits")
+        sent.destroy()
+        hits = got if hits is None else hits.unionByName(got)
+        block, after = after, next(blocks, None)
+    hits = hits.groupBy(F.col("dc_id").alias("dc_hit")).agg(F.flatten(F.collect_list("dc_found")).alias("dc_found"))
+    rows = rows.join(hits, rows["dc_id"] == hits["dc_hit"], "left")
+    matches = F.coalesce("dc_found", F.array().cast(MATCH))
+    return rows.select(*common.unpacked(docs, "dc_row", {"dc_matches": F.array_sort(matches)}))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import pickle
 import random
 
 import numpy as np
@@ -122,6 +123,22 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     assert len(key(one) & key(many)) >= 0.98 * len(key(one) | key(many))
 
 
+def test_blocks_are_bounded_as_built(spark, monkeypatch):
+    rng = random.Random(3)
+    for n, size in ((600, 50), (60, 1300), (200, 200)):
+        table = items(spark, [" ".join(rng.choice(VOCABULARY) for _ in range(size)) for _ in range(n)])
+        blocks = list(dc.item_blocks(table, max_starts=2048))
+        assert sum(len(b.ids) for b in blocks) == n and len(blocks) >= n * (size // 12) // 2048
+        for b in blocks:
+            starts = sum(len(dc.anchors(len(w))) for w in b.words)
+            assert starts <= 2048 and len(pickle.dumps(b)) < 2 * 1024 * 2048 + (2 << 20)
+    built = []
+    monkeypatch.setattr(dc.Block, "__post_init__", lambda self: built.append(len(self.ids)))
+    blocks = dc.item_blocks(table, max_starts=300)
+    next(blocks)
+    assert len(built) == 1  # none is built before it is asked for
+
+
 def test_empty_tables(spark):
     docs, bench = documents(spark, ["a b c d e f"]), items(spark, ["a b c d e f"])
     assert dc.digest(docs.limit(0), bench).count() == 0
