@@ -330,7 +330,8 @@ def _replacer(key: str):
     return replace
 
 
-_REPLACED = "text string, entities array<struct<kind:string,start:int,length:int,surrogate:string>>"
+_ENTITIES = "array<struct<kind:string,start:int,length:int,surrogate:string>>"
+_REPLACED = f"text string, entities {_ENTITIES}"
 
 
 def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
@@ -349,9 +350,14 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
         F.col("surrogate").isNotNull() | (F.col("told") != F.col("kind")))
     again = (found.join(other, ["kind", "norm"]).groupBy(F.col("pii_id").alias("p_id"))
              .agg(F.collect_list(F.struct("kind", "norm", "told", "surrogate")).alias("again")))
-    rows = rows.join(again, rows["pii_id"] == again["p_id"], "left")
-    out = rows.select("pii_row", F.pandas_udf(_replacer(key), _REPLACED)(F.col("pii_row.text"), F.col("pii_found"),
+    # Rows without entities take no part in the join.
+    some = F.size("pii_found") > 0
+    held = rows.where(some)
+    held = held.join(again, held["pii_id"] == again["p_id"], "left")
+    out = held.select("pii_row", F.pandas_udf(_replacer(key), _REPLACED)(F.col("pii_row.text"), F.col("pii_found"),
                                                                          F.col("again")).alias("pii_new"))
+    plain = F.struct(F.col("pii_row.text").alias("text"), F.array().cast(_ENTITIES).alias("entities"))
+    out = out.unionByName(rows.where(~some).select("pii_row", plain.alias("pii_new")))
     added = {"text": F.col("pii_new.text"), "pii_entities": F.col("pii_new.entities")}
     return out.select(*common.unpacked(docs, "pii_row", added))
 
