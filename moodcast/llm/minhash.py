@@ -19,7 +19,14 @@ MIN_SIMILARITY share all but so many words as they may have edits, so of
 the words of either, in one order for all and the rarest first, one is
 shared among the first edits + 1.  Words that many texts have, such as a
 template's, come late in that order and make no keys, so different texts
-on one template are not compared.  Each pair is aligned once.
+on one template are not compared.  Of those that meet, a pair is looked at
+only if the signatures of its texts, one parity bit for each of BITS
+values that a word's hash may take, differ in at most two bits an edit;
+for texts too long for that, if they share a bucket's representative.
+Where that leaves many pairs, as in a large group close to MIN_SIMILARITY,
+members are first held against one of those with the same word, and
+components that come together that way are not compared again.  Each pair
+is aligned once.
 
 Equal word sequences are one node from the start, so copies are never
 compared.  Buckets are counted before the shuffle and joined with their
@@ -58,6 +65,16 @@ SEED = 31
 #: Representatives are tried on while they link this share of the pairs.
 LINKED_SHARE = 0.1
 
+#: Bits of a signature, and the words up to which it tells texts apart.
+BITS, SIGNED = 512, 500
+SIGNATURE = [f"s{i}" for i in range(BITS // 64)]
+_SIGNATURE_TYPES = ", ".join(f"{s} long" for s in SIGNATURE)
+#: Members of a word are held against one of them while the pairs of all
+#: words are more than so many times the members.
+PAIRS_A_MEMBER = 4
+#: Such rounds go on while so many of the members met a text like theirs.
+NEAR_SHARE = 0.01
+
 NO_ID = 1 << 62
 _SALTS = np.random.default_rng(SEED).integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -223,17 +240,42 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return edits_within(a, b, int((1 - MIN_SIMILARITY) * longest + 1e-9)) <= (1 - MIN_SIMILARITY) * longest + 1e-9
 
 
+def signatures(words: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """(texts, BITS / 64) longs: whether the words of each of BITS hash
+    values are odd in number.  An inserted or deleted word changes one bit,
+    a replaced one two."""
+    own = np.repeat(np.arange(len(count)), count)
+    bit = (mixed(words.astype(np.uint64) * _STEP) % np.uint64(BITS)).astype(np.int64)
+    odd = np.bincount(own * BITS + bit, minlength=len(count) * BITS).reshape(len(count), BITS) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+
+
+def _differing(a: str, b: str) -> Column:
+    """Bits in which the signatures of columns with prefixes a and b differ."""
+    total = F.lit(0)
+    for s in SIGNATURE:
+        total = total + F.bit_count(F.col(a + s).bitwiseXOR(F.col(b + s)))
+    return total
+
+
+def _edits(a: str, b: str) -> Column:
+    """The most edits that two texts of so many words may be apart."""
+    return F.floor((1 - MIN_SIMILARITY) * F.greatest(a, b) + 1e-9)
+
+
 def _pack_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         words, count = word_hashes([t if isinstance(t, str) else None for t in rows["text"]])
         short = (words >> np.uint64(32)).astype(np.uint32)
         parts = np.split(short, np.cumsum(count)[:-1])
-        yield pd.DataFrame({"node": rows["did"].to_numpy(), "words": [p.tobytes() for p in parts]})
+        bits = signatures(short, count)
+        yield pd.DataFrame({"node": rows["did"].to_numpy(), "words": [p.tobytes() for p in parts], "n": count.astype(np.int64)}
+                           | dict(zip(SIGNATURE, bits.T, strict=True)))
 
 
 def _verify(a: pd.Series, b: pd.Series) -> pd.Series:
-    seq = [[np.frombuffer(x, np.uint32).astype(np.uint64) for x in s] for s in (a, b)]
-    return pd.Series([similar(x, y) for x, y in zip(*seq, strict=True)], dtype=bool)
+    seq = [[None if x is None else np.frombuffer(x, np.uint32).astype(np.uint64) for x in s] for s in (a, b)]
+    return pd.Series([x is not None and similar(x, y) for x, y in zip(*seq, strict=True)], dtype=bool)
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -248,9 +290,11 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = common.rekeyed(drawn, ["g1", "g2"], "k_").join(by, ["k_g1", "k_g2"]).select("did", "node", "keys")
     nodes = common.written(nodes, "omh-nodes")
     members = nodes.where(F.col("did") == F.col("node")).select("node", F.explode("keys").alias("key"))
-    pairs = against_heads(members)
+    pairs = common.written(against_heads(members), "omh-held")
     words = packed_words(rows, pairs)  # whoever shares a bucket; later rounds are among them
-    first = tried = tested = common.written(tested_pairs(words, pairs), "omh-tested")
+    first, pairs = pairs, pairs.select("node", "head")
+    tried = tested = common.written(tested_pairs(words, pairs), "omh-tested")
+    rounds = 0
     while True:
         done, matched = tested.agg(F.count(F.lit(1)), F.count_if("ok")).collect()[0]
         if matched == done or matched < LINKED_SHARE * done:
@@ -258,13 +302,14 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         # Members that are no match of their head go on among themselves,
         # all that share a bucket with one head together.
         failed = tested.where(~F.col("ok")).select("node", F.col("head").alias("key"))
-        pairs = against_heads(failed).join(tried.select("node", "head"), ["node", "head"], "left_anti")
+        pairs = against_heads(failed).select("node", "head").join(tried.select("node", "head"), ["node", "head"], "left_anti")
+        pairs = common.written(pairs, "omh-held")
         tested = common.written(tested_pairs(words, pairs), "omh-tested")
         tried = tried.unionByName(tested)
+        rounds += 1
     linked = _linked(tried)
-    if matched < done or tested is not first:
-        pairs = common.written(open_pairs(first, tried, words, components(linked)), "omh-open")
-        linked = linked.unionByName(_linked(common.written(tested_pairs(words, pairs), "omh-tested")))
+    if matched < done or rounds:
+        linked = linked.unionByName(settled(open_entries(first, words, components(linked)), tried, words))
     return nodes.select("did", "node"), linked
 
 
@@ -273,25 +318,25 @@ def _linked(tested: DataFrame) -> DataFrame:
 
 
 def against_heads(members: DataFrame) -> DataFrame:
-    """Members (key, node) of buckets -> the distinct (node, head) of all
-    but the heads, the smallest node of each bucket."""
-    heads = members.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"))
-    heads = common.rekeyed(heads.where(F.col("last") > F.col("head")), ["key"], "k_").select("k_key", "head")
+    """Members (key, node) of buckets -> the distinct (node, head, more) of
+    all but the heads, the smallest node of each bucket; ``more``: whether
+    a bucket of theirs has other members than the two."""
+    heads = members.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"))
+    heads = common.rekeyed(heads.where(F.col("last") > F.col("head")), ["key"], "k_").select("k_key", "head", "size")
     held = common.rekeyed(members, ["key"], "k_").join(heads, "k_key").where(F.col("node") != F.col("head"))
-    return common.written(held.select("node", "head").distinct(), "omh-held")
+    return held.groupBy("node", "head").agg(F.max(F.col("size") > 2).alias("more"))
 
 
-def open_pairs(first: DataFrame, tried: DataFrame, words: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, head) pairs that may be similar among the members of open
-    buckets, in different components so far and not tested; each once.
+def open_members(first: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, label, heads) of the members of open buckets.
 
     ``first``: every member of a bucket with its head.  The members of all
-    buckets of one head are looked at together; they are open when they
-    are more than a tested pair and in more than one component.
+    buckets of one head that are more than a tested pair are looked at
+    together; they are open when they are in more than one component.
     """
     label = labels.withColumnRenamed("node", "l_node")
     of_head = label.select(F.col("l_node").alias("h_node"), F.col("label").alias("h_label"))
-    rows = first.select("node", "head").join(label, F.col("node") == F.col("l_node"), "left").select(
+    rows = first.where("more").select("node", "head").join(label, F.col("node") == F.col("l_node"), "left").select(
         "node", "head", F.coalesce("label", "node").alias("label"))
     rows = rows.join(of_head, F.col("head") == F.col("h_node"), "left").select(
         "node", "head", "label", F.coalesce("h_label", "head").alias("h_label"))
@@ -301,21 +346,88 @@ def open_pairs(first: DataFrame, tried: DataFrame, words: DataFrame, labels: Dat
     inside = rows.select("node", "label", "head").join(some, F.col("head") == F.col("o_head"), "left_semi")
     members = inside.unionByName(some.select(F.col("o_head").alias("node"), F.col("h_label").alias("label"), F.col("o_head").alias("head")))
     # A node has as many buckets as sketches, and no more heads.
-    members = common.written(members.groupBy("node", "label").agg(F.collect_set("head").alias("heads")), "omh-nodes")
-    entries = common.written(first_words(words, members.select("node", "label")), "omh-entries")
-    # A word that one component alone has among its first ones joins nothing.
+    return members.groupBy("node", "label").agg(F.collect_set("head").alias("heads"))
+
+
+def open_entries(first: DataFrame, words: DataFrame, labels: DataFrame) -> DataFrame:
+    """(word, node, label, n, nth, signature, heads): the open members by
+    their rarest words; ``heads`` only where the text may be too long for
+    its signature."""
+    members = common.written(open_members(first, labels), "omh-nodes")
+    entries = first_words(words, members.select("node", "label"))
+    long = entries.where(F.col("n") > MIN_SIMILARITY * SIGNED).join(members.select("node", "heads"), "node")
+    short = entries.where(F.col("n") <= MIN_SIMILARITY * SIGNED).withColumn("heads", F.lit(None).cast("array<long>"))
+    return common.written(shared_words(short.unionByName(long)), "omh-entries")
+
+
+def shared_words(entries: DataFrame) -> DataFrame:
+    """Entries less those whose word has one component only."""
     shared = entries.groupBy("word").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     shared = common.rekeyed(shared.where(F.col("low") < F.col("high")), ["word"], "k_").select("k_word")
-    entries = common.rekeyed(entries, ["word"], "k_").join(shared, "k_word").drop("word")
-    entries = common.written(entries.join(members.select("node", "heads"), "node"), "omh-entries")
-    a = entries.select(F.col("k_word").alias("word"), "node", "label", "n", "nth", "heads")
-    b = entries.select(F.col("k_word").alias("b_word"), F.col("node").alias("head"), F.col("label").alias("b_label"),
-                       F.col("n").alias("b_n"), F.col("nth").alias("b_nth"), F.col("heads").alias("b_heads"))
-    most = F.floor((1 - MIN_SIMILARITY) * F.greatest("n", "b_n") + 1e-9)
-    both = a.join(b, (F.col("word") == F.col("b_word")) & (F.col("node") > F.col("head")) & (F.col("label") != F.col("b_label"))
-                  & (F.abs(F.col("n") - F.col("b_n")) <= most) & (F.greatest("nth", "b_nth") <= most)
-                  & F.arrays_overlap("heads", "b_heads"))
-    return both.select("node", "head").distinct().join(tried.select("node", "head"), ["node", "head"], "left_anti")
+    return common.rekeyed(entries, ["word"], "k_").join(shared, "k_word").drop("k_word")
+
+
+def _may_be_similar() -> Column:
+    """Of an entry and another (b_) of the same word: by lengths, places of
+    the word and signatures."""
+    most = _edits("n", "b_n")
+    told = F.greatest("n", "b_n") <= SIGNED
+    return ((F.col("label") != F.col("b_label")) & (F.abs(F.col("n") - F.col("b_n")) <= most)
+            & (F.greatest("nth", "b_nth") <= most) & F.when(told, _differing("", "b_") <= 2 * most)
+            .otherwise(F.arrays_overlap("heads", "b_heads")))
+
+
+_FACTS = ["label", "n", "nth", *SIGNATURE, "heads"]
+
+
+def against_one(entries: DataFrame) -> DataFrame:
+    """(node, head) that may be similar: each entry and the smallest node
+    that has its word."""
+    one = entries.groupBy("word").agg(F.min("node").alias("head"),
+                                      F.min_by(F.struct(*[F.col(c).alias("b_" + c) for c in _FACTS]), "node").alias("b"))
+    one = common.rekeyed(one, ["word"], "k_").select("k_word", "head", "b.*")
+    held = common.rekeyed(entries, ["word"], "k_").join(one, "k_word")
+    return held.where((F.col("node") != F.col("head")) & _may_be_similar()).select("node", "head").distinct()
+
+
+def open_pairs(entries: DataFrame) -> DataFrame:
+    """(node, head) that may be similar, of all entries with one word."""
+    b = entries.select(F.col("word").alias("b_word"), F.col("node").alias("head"), *[F.col(c).alias("b_" + c) for c in _FACTS])
+    both = entries.join(b, (F.col("word") == F.col("b_word")) & (F.col("node") > F.col("head")) & _may_be_similar())
+    return both.select("node", "head").distinct()
+
+
+def settled(entries: DataFrame, tried: DataFrame, words: DataFrame) -> DataFrame:
+    """Links (u, v) between the open members, each pair tested once."""
+    out = None
+
+    def tested(pairs: DataFrame) -> DataFrame:
+        nonlocal out, tried
+        new = pairs.join(tried.select("node", "head"), ["node", "head"], "left_anti")
+        found = common.written(tested_pairs(words, common.written(new, "omh-open")), "omh-tested")
+        tried = tried.unionByName(found)
+        out = _linked(found) if out is None else out.unionByName(_linked(found))
+        return found
+
+    while True:
+        sizes = entries.groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("size"))
+        members, pairs = sizes.agg(F.coalesce(F.sum("size"), F.lit(0.0)), F.coalesce(F.sum(F.expr("size * (size - 1) / 2")), F.lit(0.0))).collect()[0]
+        if pairs <= PAIRS_A_MEMBER * members:
+            break
+        found = tested(against_one(entries))
+        near, matched = found.agg(F.count(F.lit(1)), F.count_if("ok")).collect()[0]
+        if matched:  # what came together has one label from now on
+            label = entries.select("node", "label").distinct()
+            ends = found.where("ok").join(label, "node").withColumnRenamed("label", "u")
+            ends = ends.join(label.select(F.col("node").alias("head"), F.col("label").alias("v")), "head").select("u", "v")
+            now = components(ends).select(F.col("node").alias("l_label"), F.col("label").alias("now"))
+            entries = entries.join(now, F.col("label") == F.col("l_label"), "left")
+            entries = entries.withColumn("label", F.coalesce("now", "label")).drop("now", "l_label")
+            entries = common.written(shared_words(entries), "omh-entries")
+        if matched < LINKED_SHARE * near or near < NEAR_SHARE * members:
+            break
+    tested(open_pairs(entries))
+    return out
 
 
 def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,23 +455,29 @@ def rarest_words(words: np.ndarray, times: dict[int, int]) -> np.ndarray:
 
 def _first_word_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
-        node, label, size, first = [], [], [], []
-        for i, k, w, of in zip(rows["node"], rows["label"], rows["words"], rows["times"], strict=True):
+        node, first, nth = [], [], []
+        for i, w, of in zip(rows["node"], rows["words"], rows["times"], strict=True):
             w = np.frombuffer(w, np.uint32)
-            first.append(rarest_words(w, {x["word"]: x["times"] for x in of}))
+            times = {x["word"]: x["times"] for x in of}
+            lone = np.count_nonzero(np.isin(w, [x for x, k in times.items() if k == 1]))
+            keys = rarest_words(w, times)[lone:]  # nobody else has the words before
+            first.append(keys)
+            nth.append(np.arange(lone, lone + len(keys)))
             node.append(i)
-            label.append(k)
-            size.append(len(w))
         n = [len(x) for x in first]
-        yield pd.DataFrame({"word": np.concatenate(first) if first else np.zeros(0, np.int64), "node": np.repeat(node, n),
-                            "label": np.repeat(label, n), "n": np.repeat(size, n),
-                            "nth": np.concatenate([np.arange(k) for k in n]) if n else np.zeros(0, np.int64)})
+        at = np.repeat(np.arange(len(n)), n)
+        out = rows[["label", "n", *SIGNATURE]].take(at).reset_index(drop=True)
+        out.insert(0, "word", np.concatenate(first) if first else np.zeros(0, np.int64))
+        out.insert(1, "node", np.repeat(np.array(node, np.int64), n))
+        out.insert(4, "nth", np.concatenate(nth) if nth else np.zeros(0, np.int64))
+        yield out
 
 
 def first_words(words: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(word, node, label, n, nth): the rarest words of each of ``nodes``
-    (node, label), by the number of those that have a word; n words in all."""
-    held = words.join(nodes.withColumnRenamed("node", "o_node"), F.col("node") == F.col("o_node")).select("node", "label", "words")
+    """(word, node, label, n, nth, signature): the rarest words of each of
+    ``nodes`` (node, label), by the number of those that have a word, less
+    those that one alone has; n words in all."""
+    held = words.join(nodes.withColumnRenamed("node", "o_node"), F.col("node") == F.col("o_node")).drop("o_node")
     held = common.written(held, "omh-first")
     with common.batches_of(words.sparkSession, 4096):
         each = common.written(held.select("node", "words").mapInArrow(_word_batches, "node long, word long"), "omh-occurring")
@@ -367,24 +485,26 @@ def first_words(words: DataFrame, nodes: DataFrame) -> DataFrame:
     known = common.rekeyed(each, ["word"], "k_").join(times, "k_word")
     known = known.groupBy("node").agg(F.collect_list(F.struct("word", "times")).alias("times"))
     known = known.withColumnRenamed("node", "t_node").join(held, F.col("t_node") == F.col("node"))
-    return known.select("node", "label", "words", "times").mapInPandas(
-        _first_word_batches, "word long, node long, label long, n long, nth long")
+    return known.select("node", "label", "n", *SIGNATURE, "words", "times").mapInPandas(
+        _first_word_batches, "word long, node long, label long, n long, nth long, " + _SIGNATURE_TYPES)
 
 
 def packed_words(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, words) of every node in ``pairs``."""
+    """(node, words, n, signature) of every node in ``pairs``."""
     wanted = pairs.select("node").unionByName(pairs.select(F.col("head").alias("node"))).distinct()
     texts = rows.join(wanted, rows["did"] == wanted["node"], "left_semi").select("did", "text")
-    return common.written(texts.mapInPandas(_pack_batches, "node long, words binary")
-                          .groupBy("node").agg(F.max("words").alias("words")), "omh-words")
+    packed = texts.mapInPandas(_pack_batches, "node long, words binary, n long, " + _SIGNATURE_TYPES)
+    most = packed.groupBy("node").agg(F.max(F.struct("words", "n", *SIGNATURE)).alias("w"))
+    return common.written(most.select("node", "w.*"), "omh-words")
 
 
 def tested_pairs(words: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, head) pairs with ``ok``: whether their texts are similar."""
-    a = words.select("node", F.col("words").alias("a"))
-    b = words.select(F.col("node").alias("head"), F.col("words").alias("b"))
-    return (pairs.join(a, "node").join(b, "head")
-            .select("node", "head", F.pandas_udf(_verify, "boolean")("a", "b").alias("ok")))
+    a = words.withColumnRenamed("words", "a")
+    b = words.select(F.col("node").alias("head"), F.col("words").alias("b"), *[F.col(c).alias("b_" + c) for c in ["n", *SIGNATURE]])
+    near = _differing("", "b_") <= 2 * _edits("n", "b_n")  # others need no alignment
+    both = pairs.join(a, "node").join(b, "head").select("node", "head", F.when(near, F.col("a")).alias("a"), F.when(near, F.col("b")).alias("b"))
+    return both.select("node", "head", F.pandas_udf(_verify, "boolean")("a", "b").alias("ok"))
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -160,22 +160,60 @@ def test_similar_texts_share_one_of_their_first_words():
         assert np.isin(*first).any()
 
 
+def packed(spark, texts):
+    flat, count = word_hashes(texts)
+    short = (flat >> np.uint64(32)).astype(np.uint32)
+    rows = [(i, w.tobytes(), len(w), *bits) for i, (w, bits) in
+            enumerate(zip(np.split(short, np.cumsum(count)[:-1]), mh.signatures(short, count).tolist(), strict=True))]
+    return spark.createDataFrame(rows, "node long, words binary, n long, " + ", ".join(f"{s} long" for s in mh.SIGNATURE))
+
+
 def test_pairs_tried_grow_with_the_texts_of_a_template(spark):
     rng = random.Random(8)
     template = [f"t{i}" for i in range(70)]
     tried = []
     for n in (150, 300, 600):
-        texts = [" ".join(template + [f"o{rng.randrange(10 ** 9)}" for _ in range(30)]) for _ in range(n)]
-        nodes = spark.createDataFrame([(i, i) for i in range(n)], "node long, label long")
-        flat, count = word_hashes(texts)
-        packed = [w.tobytes() for w in np.split((flat >> np.uint64(32)).astype(np.uint32), np.cumsum(count)[:-1])]
-        words = spark.createDataFrame(list(enumerate(packed)), "node long, words binary")
-        first = spark.createDataFrame([(i, 0, False) for i in range(1, n)], "node long, head long, ok boolean")
+        words = packed(spark, [" ".join(template + [f"o{rng.randrange(10 ** 9)}" for _ in range(30)]) for _ in range(n)])
+        first = spark.createDataFrame([(i, 0, True) for i in range(1, n)], "node long, head long, more boolean")
         labels = spark.createDataFrame([], "node long, label long")
-        tried.append(mh.open_pairs(first, first, words, labels).count())
+        tried.append(mh.open_pairs(mh.open_entries(first, words, labels)).count())
     assert max(tried) <= 5
 
 
+def test_signatures_never_part_similar_texts():
+    rng = random.Random(14)
+    for _ in range(300):
+        a = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(1, 200))]
+        b = edited(a, rng.randrange(40), rng) or ["a"]
+        flat, count = word_hashes([" ".join(a), " ".join(b)])
+        short = (flat >> np.uint64(32)).astype(np.uint32)
+        bits = mh.signatures(short, count)
+        apart = int(np.bitwise_count((bits[0] ^ bits[1]).view(np.uint64)).sum())
+        assert apart <= 2 * brute_distance(a, b)
+
+
+def test_a_large_group_close_to_the_bound_takes_few_pairs(spark):
+    # Variants of one text whose pairs are about 0.8 apart: components come
+    # together in rounds, and all pairs are never written.
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(100)]
+    texts = []
+    for _ in range(300):
+        text = list(base)
+        for at in rng.sample(range(100), 11):
+            text[at] = f"v{rng.randrange(60)}"
+        texts.append(" ".join(text))
+    got = {r["doc_id"]: r["class_id"] for r in mh.digest(documents(spark, texts)).collect()}
+    assert got == brute_classes(list(range(300)), texts)
+
+
+def test_long_texts_meet_by_shared_heads(spark):
+    rng = random.Random(23)
+    texts = forms(rng, 6, size=700, shared=500, swapped=100)
+    got = {r["doc_id"]: r["class_id"] for r in mh.digest(documents(spark, texts)).collect()}
+    assert got == {i: i // 2 * 2 for i in range(len(texts))}
+
+
 def test_scattered_edits_up_to_the_bound_meet():
     rng = random.Random(12)
     for size in (5, 6, 7, 9, 10, 20, 30, 45, 55, 60, 100, 300):
