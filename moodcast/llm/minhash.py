@@ -23,10 +23,8 @@ on one template are not compared.  Of those that meet, a pair is looked at
 only if the signatures of its texts, one parity bit for each of BITS
 values that a word's hash may take, differ in at most two bits an edit;
 for texts too long for that, if they share a bucket's representative.
-Where that leaves many pairs, as in a large group close to MIN_SIMILARITY,
-members are first held against one of those with the same word, and
-components that come together that way are not compared again.  Each pair
-is aligned once.
+Each pair is looked at once, and its words are brought together only if the
+signatures allow a match.
 
 Equal word sequences are one node from the start, so copies are never
 compared.  Buckets are counted before the shuffle and joined with their
@@ -65,9 +63,11 @@ SEED = 31
 #: Representatives are tried on while they link this share of the pairs.
 LINKED_SHARE = 0.1
 
-#: Bits of a signature, and the words up to which it tells texts apart.
-BITS, SIGNED = 512, 500
+#: Bits of a signature; those of an entry by word are half as many, as two
+#: values each go together, and tell texts of up to SIGNED words apart.
+BITS, SIGNED = 1024, 500
 SIGNATURE = [f"s{i}" for i in range(BITS // 64)]
+FOLDED = [f"f{i}" for i in range(BITS // 128)]
 _SIGNATURE_TYPES = ", ".join(f"{s} long" for s in SIGNATURE)
 #: Members of a word are held against one of them while the pairs of all
 #: words are more than so many times the members.
@@ -250,10 +250,10 @@ def signatures(words: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view(np.int64)
 
 
-def _differing(a: str, b: str) -> Column:
+def _differing(a: str, b: str, columns: list[str]) -> Column:
     """Bits in which the signatures of columns with prefixes a and b differ."""
     total = F.lit(0)
-    for s in SIGNATURE:
+    for s in columns:
         total = total + F.bit_count(F.col(a + s).bitwiseXOR(F.col(b + s)))
     return total
 
@@ -274,8 +274,8 @@ def _pack_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _verify(a: pd.Series, b: pd.Series) -> pd.Series:
-    seq = [[None if x is None else np.frombuffer(x, np.uint32).astype(np.uint64) for x in s] for s in (a, b)]
-    return pd.Series([x is not None and similar(x, y) for x, y in zip(*seq, strict=True)], dtype=bool)
+    seq = [[np.frombuffer(x, np.uint32).astype(np.uint64) for x in s] for s in (a, b)]
+    return pd.Series([similar(x, y) for x, y in zip(*seq, strict=True)], dtype=bool)
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -309,7 +309,9 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         rounds += 1
     linked = _linked(tried)
     if matched < done or rounds:
-        linked = linked.unionByName(settled(open_entries(first, words, components(linked)), tried, words))
+        pairs = open_pairs(open_entries(first, words, components(linked)))
+        pairs = common.written(pairs.join(tried.select("node", "head"), ["node", "head"], "left_anti"), "omh-open")
+        linked = linked.unionByName(_linked(common.written(tested_pairs(words, pairs), "omh-tested")))
     return nodes.select("did", "node"), linked
 
 
@@ -373,63 +375,18 @@ def _may_be_similar() -> Column:
     most = _edits("n", "b_n")
     told = F.greatest("n", "b_n") <= SIGNED
     return ((F.col("label") != F.col("b_label")) & (F.abs(F.col("n") - F.col("b_n")) <= most)
-            & (F.greatest("nth", "b_nth") <= most) & F.when(told, _differing("", "b_") <= 2 * most)
+            & (F.greatest("nth", "b_nth") <= most) & F.when(told, _differing("", "b_", FOLDED) <= 2 * most)
             .otherwise(F.arrays_overlap("heads", "b_heads")))
 
 
-_FACTS = ["label", "n", "nth", *SIGNATURE, "heads"]
-
-
-def against_one(entries: DataFrame) -> DataFrame:
-    """(node, head) that may be similar: each entry and the smallest node
-    that has its word."""
-    one = entries.groupBy("word").agg(F.min("node").alias("head"),
-                                      F.min_by(F.struct(*[F.col(c).alias("b_" + c) for c in _FACTS]), "node").alias("b"))
-    one = common.rekeyed(one, ["word"], "k_").select("k_word", "head", "b.*")
-    held = common.rekeyed(entries, ["word"], "k_").join(one, "k_word")
-    return held.where((F.col("node") != F.col("head")) & _may_be_similar()).select("node", "head").distinct()
-
-
 def open_pairs(entries: DataFrame) -> DataFrame:
     """(node, head) that may be similar, of all entries with one word."""
-    b = entries.select(F.col("word").alias("b_word"), F.col("node").alias("head"), *[F.col(c).alias("b_" + c) for c in _FACTS])
+    b = entries.select(F.col("word").alias("b_word"), F.col("node").alias("head"),
+                       *[F.col(c).alias("b_" + c) for c in ("label", "n", "nth", *FOLDED, "heads")])
     both = entries.join(b, (F.col("word") == F.col("b_word")) & (F.col("node") > F.col("head")) & _may_be_similar())
     return both.select("node", "head").distinct()
 
 
-def settled(entries: DataFrame, tried: DataFrame, words: DataFrame) -> DataFrame:
-    """Links (u, v) between the open members, each pair tested once."""
-    out = None
-
-    def tested(pairs: DataFrame) -> DataFrame:
-        nonlocal out, tried
-        new = pairs.join(tried.select("node", "head"), ["node", "head"], "left_anti")
-        found = common.written(tested_pairs(words, common.written(new, "omh-open")), "omh-tested")
-        tried = tried.unionByName(found)
-        out = _linked(found) if out is None else out.unionByName(_linked(found))
-        return found
-
-    while True:
-        sizes = entries.groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("size"))
-        members, pairs = sizes.agg(F.coalesce(F.sum("size"), F.lit(0.0)), F.coalesce(F.sum(F.expr("size * (size - 1) / 2")), F.lit(0.0))).collect()[0]
-        if pairs <= PAIRS_A_MEMBER * members:
-            break
-        found = tested(against_one(entries))
-        near, matched = found.agg(F.count(F.lit(1)), F.count_if("ok")).collect()[0]
-        if matched:  # what came together has one label from now on
-            label = entries.select("node", "label").distinct()
-            ends = found.where("ok").join(label, "node").withColumnRenamed("label", "u")
-            ends = ends.join(label.select(F.col("node").alias("head"), F.col("label").alias("v")), "head").select("u", "v")
-            now = components(ends).select(F.col("node").alias("l_label"), F.col("label").alias("now"))
-            entries = entries.join(now, F.col("label") == F.col("l_label"), "left")
-            entries = entries.withColumn("label", F.coalesce("now", "label")).drop("now", "l_label")
-            entries = common.written(shared_words(entries), "omh-entries")
-        if matched < LINKED_SHARE * near or near < NEAR_SHARE * members:
-            break
-    tested(open_pairs(entries))
-    return out
-
-
 def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, words) -> a row for each different word of a node."""
     for batch in batches:
@@ -456,17 +413,16 @@ def rarest_words(words: np.ndarray, times: dict[int, int]) -> np.ndarray:
 def _first_word_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         node, first, nth = [], [], []
-        for i, w, of in zip(rows["node"], rows["words"], rows["times"], strict=True):
+        for i, w, of, times in zip(rows["node"], rows["words"], rows["of"], rows["times"], strict=True):
             w = np.frombuffer(w, np.uint32)
-            times = {x["word"]: x["times"] for x in of}
-            lone = np.count_nonzero(np.isin(w, [x for x, k in times.items() if k == 1]))
-            keys = rarest_words(w, times)[lone:]  # nobody else has the words before
+            lone = np.count_nonzero(np.isin(w, of[times == 1]))
+            keys = rarest_words(w, dict(zip(of.tolist(), times.tolist(), strict=True)))[lone:]  # nobody else has those before
             first.append(keys)
             nth.append(np.arange(lone, lone + len(keys)))
             node.append(i)
         n = [len(x) for x in first]
         at = np.repeat(np.arange(len(n)), n)
-        out = rows[["label", "n", *SIGNATURE]].take(at).reset_index(drop=True)
+        out = rows[["label", "n", *FOLDED]].take(at).reset_index(drop=True)
         out.insert(0, "word", np.concatenate(first) if first else np.zeros(0, np.int64))
         out.insert(1, "node", np.repeat(np.array(node, np.int64), n))
         out.insert(4, "nth", np.concatenate(nth) if nth else np.zeros(0, np.int64))
@@ -477,7 +433,10 @@ def first_words(words: DataFrame, nodes: DataFrame) -> DataFrame:
     """(word, node, label, n, nth, signature): the rarest words of each of
     ``nodes`` (node, label), by the number of those that have a word, less
     those that one alone has; n words in all."""
-    held = words.join(nodes.withColumnRenamed("node", "o_node"), F.col("node") == F.col("o_node")).drop("o_node")
+    folded = [F.col(s).bitwiseXOR(F.col(t)).alias(f) for f, s, t in
+              zip(FOLDED, SIGNATURE, SIGNATURE[len(FOLDED):], strict=False)]
+    held = words.join(nodes.withColumnRenamed("node", "o_node"), F.col("node") == F.col("o_node"))
+    held = held.select("node", "label", "words", "n", *folded)
     held = common.written(held, "omh-first")
     with common.batches_of(words.sparkSession, 4096):
         each = common.written(held.select("node", "words").mapInArrow(_word_batches, "node long, word long"), "omh-occurring")
@@ -485,8 +444,8 @@ def first_words(words: DataFrame, nodes: DataFrame) -> DataFrame:
     known = common.rekeyed(each, ["word"], "k_").join(times, "k_word")
     known = known.groupBy("node").agg(F.collect_list(F.struct("word", "times")).alias("times"))
     known = known.withColumnRenamed("node", "t_node").join(held, F.col("t_node") == F.col("node"))
-    return known.select("node", "label", "n", *SIGNATURE, "words", "times").mapInPandas(
-        _first_word_batches, "word long, node long, label long, n long, nth long, " + _SIGNATURE_TYPES)
+    return known.select("node", "label", "n", *FOLDED, "words", F.col("times.word").alias("of"), "times.times").mapInPandas(
+        _first_word_batches, "word long, node long, label long, n long, nth long, " + ", ".join(f"{f} long" for f in FOLDED))
 
 
 def packed_words(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -500,11 +459,15 @@ def packed_words(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def tested_pairs(words: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, head) pairs with ``ok``: whether their texts are similar."""
-    a = words.withColumnRenamed("words", "a")
-    b = words.select(F.col("node").alias("head"), F.col("words").alias("b"), *[F.col(c).alias("b_" + c) for c in ["n", *SIGNATURE]])
-    near = _differing("", "b_") <= 2 * _edits("n", "b_n")  # others need no alignment
-    both = pairs.join(a, "node").join(b, "head").select("node", "head", F.when(near, F.col("a")).alias("a"), F.when(near, F.col("b")).alias("b"))
-    return both.select("node", "head", F.pandas_udf(_verify, "boolean")("a", "b").alias("ok"))
+    facts = ["n", *SIGNATURE]
+    a = words.select("node", *facts)
+    b = words.select(F.col("node").alias("head"), *[F.col(c).alias("b_" + c) for c in facts])
+    near = _differing("", "b_", SIGNATURE) <= 2 * _edits("n", "b_n")
+    told = common.written(pairs.join(a, "node").join(b, "head").select("node", "head", near.alias("near")), "omh-near")
+    some = told.where("near").join(words.select("node", F.col("words").alias("a")), "node")
+    some = some.join(words.select(F.col("node").alias("head"), F.col("words").alias("b")), "head")
+    some = some.select("node", "head", F.pandas_udf(_verify, "boolean")("a", "b").alias("ok"))
+    return some.unionByName(told.where("not near").select("node", "head", F.lit(False).alias("ok")))
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -192,9 +192,8 @@ def test_signatures_never_part_similar_texts():
         assert apart <= 2 * brute_distance(a, b)
 
 
-def test_a_large_group_close_to_the_bound_takes_few_pairs(spark):
-    # Variants of one text whose pairs are about 0.8 apart: components come
-    # together in rounds, and all pairs are never written.
+def test_a_large_group_close_to_the_bound(spark):
+    # Variants of one text, the similarity of whose pairs is about 0.8.
     rng = random.Random(21)
     base = [f"b{i}" for i in range(100)]
     texts = []
