@@ -183,3 +183,86 @@ def test_rules_words_carry_no_text_and_are_not_broadcast(spark):
     generate = next(x for x in plan.splitlines() if "Generate posexplode" in x)
     assert "body" not in generate and "ws#" not in generate.split("), [", 1)[1]
     assert "BuildRight" in plan and "Python" not in plan
+
+
+def _shuffled_records(df) -> list[int]:
+    """Rows that each exchange of the executed plan wrote."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        metric = node.metrics().get("shuffleRecordsWritten")
+        if "Exchange" in name and metric.isDefined():
+            found.append(metric.get().value())
+        for child in _seq(node.children()):
+            walk(child)
+
+    df.collect()  # runs this plan, so its metrics are filled in
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def _city_days(spark):
+    """150 station days and 60 comments of two cities on one day, one of
+    each without a partner or incomplete."""
+    w = [(f"s{i}", "2024-01-02", ["x", "y"][i % 2], float(i) if i != 5 else None) for i in range(150)]
+    w += [("lone", "2024-01-03", "x", 1.0), ("nowhere", "2024-01-02", None, 1.0)]
+    weather = spark.createDataFrame(w, "station_id string, date string, city string, TMAX double").selectExpr(
+        "station_id", "to_date(date) date", "year(to_date(date)) year", "month(to_date(date)) month",
+        "day(to_date(date)) day", "city", "TMAX", "1.5D TMIN", "2.5D TAVG", "'hot' T_label")
+    c = [(i, "2024-01-02", ["x", "y"][i % 2], ["positive", "negative"][i % 3 % 2]) for i in range(60)]
+    c += [(7, "2024-01-02", "y", "neutral"), (None, "2024-01-02", "x", "neutral"), (90, "2024-01-02", None, "neutral")]
+    classified = spark.createDataFrame(c, "comment_id long, d string, subreddit string, sentiment string").selectExpr(
+        "comment_id", "to_date(d) date", "subreddit", "sentiment")
+    texts = spark.createDataFrame([(i, f"text {i}" if i != 4 else None) for i in [*range(61), 8, 90]], "comment_id long, body string")
+    return weather, classified, texts
+
+
+def _plain_city_days(weather, classified, texts, how):
+    from moodcast.operators.align import ROW_COLUMNS
+    c = classified.join(texts, "comment_id").withColumnRenamed("date", "c_date")
+    rows = weather.join(c, (weather["date"] == c["c_date"]) & (weather["city"] == c["subreddit"]), how).select(*ROW_COLUMNS)
+    return rows.dropna() if how == "inner" else rows
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("comments,stations", [(2048, 65536), (7, 1000), (9, 11)])
+def test_row_level_join_equals_the_plain_one_in_pieces_of_any_size(spark, monkeypatch, how, comments, stations):
+    from moodcast.operators import align
+    monkeypatch.setattr(align, "PIECE_COMMENTS", comments)
+    monkeypatch.setattr(align, "PIECE_STATIONS", stations)
+    weather, classified, texts = _city_days(spark)
+    got = align.city_day_rows(weather, classified, texts, how)
+    want = _plain_city_days(weather, classified, texts, how)
+    assert got.columns == want.columns and want.count() > 4000
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_row_level_join_shuffles_no_row_per_pair(spark, ordered):
+    from moodcast.operators import align
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = align.city_day_rows(*_city_days(spark), "inner", *([True] if ordered else []))
+        assert max(_shuffled_records(rows)) < 400
+        assert rows.count() > 4000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_sorted_rows_are_in_order_and_sorted_before_they_are_paired(spark, monkeypatch):
+    from moodcast.operators import align
+    ws = workspace(spark, SF001)
+    df = catalog.REGISTRY["aligned_sorted"].build(ws)
+    days = [(r.year, r.month, r.day) for r in df.collect()]
+    assert days == sorted(days) and len(set(days)) > 5
+    assert max(_shuffled_records(df)) < len(days)
+    monkeypatch.setattr(align, "PIECE_COMMENTS", 1)
+    many = align.city_day_rows(ws.weather, ws.classified, ws.texts, "inner", ordered=True)
+    keys = [(r.date, r.city) for r in many.collect()]
+    assert keys == sorted(keys) and len(keys) == len(days)
