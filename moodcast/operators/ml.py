@@ -99,6 +99,14 @@ def train_forest(train: DataFrame, seed: int = 42, trees: int = FOREST_TREES,
     return rf.fit(train)
 
 
+def scored(model, rows: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """``rows`` with the model's ``prediction``, made once for each
+    different set of feature values and joined to the rows that have it."""
+    kinds = rows.select(*features, "features").dropDuplicates(list(features))
+    said = joins.bounded(model.transform(kinds).select(*features, "prediction"))
+    return rows.join(said, list(features)).select(*rows.columns, "prediction")
+
+
 def tree_rows(model) -> DataFrame:
     """The fitted trees as rows (tree, node, feature, cut, kinds, left,
     right, votes), read from the saved model.  A leaf has no feature; an
