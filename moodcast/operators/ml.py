@@ -129,25 +129,32 @@ def replay(rows: DataFrame, trees: DataFrame, keys: Sequence[str], depth: int =
     """(keys, prediction) of rows with a ``features`` vector, by walking
     all trees with joins: an independent application of ``tree_rows``.
 
-    A forest has at most trees * 2^(depth + 1) nodes, whatever the rows;
-    they are counted before they are broadcast.  The shares of a row's
-    leaves are summed by class, and the first largest one is its class.
+    Rows with equal features walk together: what goes from node to node are
+    the different vectors.  A forest has at most trees * 2^(depth + 1) nodes,
+    whatever the rows; they are counted before they are broadcast.  The
+    shares of a row's leaves are summed by class, and the first largest one
+    is its class.
     """
     node = joins.bounded(trees.select(*[F.col(c).alias(f"t_{c}") for c in trees.columns]))
     roots = F.array_sort(F.collect_set("tree"))
-    walk = rows.select(*keys, vector_to_array("features").alias("x")).withColumn("all", trees.agg(roots).scalar())
-    walk = walk.select(*keys, "x", F.explode("all").alias("tree")).withColumn("node", F.lit(0))
+    rows = rows.select(*keys, vector_to_array("features").alias("x"))
+    walk = rows.select("x").distinct().withColumn("all", trees.agg(roots).scalar())
+    walk = walk.select("x", F.explode("all").alias("tree")).withColumn("node", F.lit(0))
     here = (F.col("tree") == F.col("t_tree")) & (F.col("node") == F.col("t_node"))
     value = F.get("x", F.col("t_feature"))
     left = F.when(F.col("t_kinds") < 0, value <= F.get("t_cut", F.lit(0))).otherwise(F.array_contains("t_cut", value))
     step = F.when(F.col("t_feature").isNull(), F.col("node")).when(left, F.col("t_left")).otherwise(F.col("t_right"))
     for _ in range(depth):
-        walk = walk.join(node, here).select(*keys, "x", "tree", step.alias("node"))
-    shares = walk.join(node, here).select(*keys, F.posexplode("t_votes").alias("class", "share"))
+        walk = walk.join(node, here).select("x", "tree", step.alias("node"))
+    classes = range(trees.agg(F.max(F.size("votes"))).first()[0])
+    shares = walk.join(node, here).groupBy(F.col("x").alias("s_x")).agg(
+        *[F.sum(F.get("t_votes", F.lit(k))).alias(f"share_{k}") for k in classes])
+    shares = joins.bounded(shares, joins.MAX_BROADCAST_BYTES // 4)  # a vector is wider than a number
     # Rounded, as the order of a sum's terms must not decide between equal classes.
-    total = shares.groupBy(*keys, "class").agg(F.round(F.sum("share"), 9).alias("total"))
-    best = total.groupBy(*keys).agg(F.min(F.struct((-F.col("total")).alias("down"), "class")).alias("best"))
-    return best.select(*keys, F.col("best.class").cast("double").alias("prediction"))
+    total = rows.join(shares, F.col("x").eqNullSafe(F.col("s_x"))).groupBy(*keys).agg(
+        F.array(*[F.round(F.sum(f"share_{k}"), 9) for k in classes]).alias("total"))
+    best = F.array_position("total", F.array_max("total")) - 1
+    return total.select(*keys, best.cast("double").alias("prediction"))
 
 
 def accuracy(predictions: DataFrame) -> DataFrame:

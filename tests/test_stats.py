@@ -380,7 +380,7 @@ def test_value_ranges_cut_many_values(spark, monkeypatch):
     counts = [float(n) for n in rng.integers(0, 5, len(values))]
     wide = spark.createDataFrame(list(zip(values, counts, strict=True)), "v double, c double").repartition(7)
     assert ranks.value_ranges(wide, "v", len(values)).select("__range").distinct().count() > 8
-    got = {repr(r.v): r.__below_c for r in ranks.running_below(wide, "v", ["c"]).collect()}
+    got = {repr(r.v): r["__below_c"] for r in ranks.running_below(wide, "v", ["c"]).collect()}
     below = np.concatenate(([0.0], np.cumsum(counts)[:-1]))
     assert got == {repr(v): b for v, b in zip(values, below, strict=True)}
 
@@ -419,3 +419,57 @@ def test_replayed_trees_predict_what_the_forest_does(spark):
     want = {r.id: r.prediction for r in model.transform(data).select("id", "prediction").collect()}
     got = {r.id: r.prediction for r in ml.replay(data, trees, ["id"], depth=6).collect()}
     assert got == want and len(set(want.values())) == 3
+
+
+def _repeated_rows(spark):
+    """40 feature vectors with 30 rows each, one key of them twice."""
+    from moodcast.operators import ml
+    rng = np.random.default_rng(5)
+    days = [(["a", "b", "c"][i % 3], *map(float, rng.normal(size=5))) for i in range(40)]
+    rows = [(str(30 * i + j), *day, ["negative", "neutral", "positive"][(i + (j % 7 == 0)) % 3])
+            for i, day in enumerate(days) for j in range(30)]
+    rows += [rows[0], ("0", *rows[45][1:])]
+    return ml.prepared_rows(spark.createDataFrame(rows, "id string, city string, PRCP double, SNOW double, TMAX double, "
+                                                  "TMIN double, TAVG double, sentiment string"))
+
+
+def _most_generated(df) -> int:
+    """The most rows that a Generate of the executed plan made."""
+    df.collect()  # runs this plan, so its metrics are filled in
+    made = [0]
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name == "Generate":
+            made.append(node.metrics().get("numOutputRows").get().value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return max(made)
+
+
+def test_rows_with_equal_features_walk_the_trees_once(spark):
+    from moodcast.operators import ml
+    data = _repeated_rows(spark)
+    model = ml.train_forest(data, trees=5, depth=4, cities=3)
+    replayed = ml.replay(data, ml.tree_rows(model), ["id"], depth=4)
+    got = {r.id: r.prediction for r in replayed.collect()}
+    want = {r.id: r.prediction for r in model.transform(data).where("id <> '0'").select("id", "prediction").collect()}
+    assert len(got) == replayed.count() == 1200 and {k: v for k, v in got.items() if k != "0"} == want
+    assert _most_generated(replayed) <= 40 * 5
+
+
+def test_rows_with_equal_features_are_scored_once(spark):
+    from moodcast.operators import joins, ml
+    data = _repeated_rows(spark)
+    model = ml.train_forest(data, trees=5, depth=4, cities=3)
+    got = ml.scored(model, data)
+    assert joins._KEPT[-1].count() == 40
+    assert sorted((r.id, r.prediction) for r in got.collect()) == sorted(
+        (r.id, r.prediction) for r in model.transform(data).select("id", "prediction").collect())
