@@ -11,10 +11,11 @@ places.  Documents of like length that agree on a sketch share a bucket.  A pair
 sequences finds an edit similarity of ``MIN_SIMILARITY`` or more, and
 classes are the connected components of the links.
 
-Every pair of a bucket is settled.  Members are first held against the
-bucket's representative, those that are no match among each other again,
-as long as that links many.  The members of buckets that are not in one
-component by then meet once more by a second, exact key: two texts within
+Every pair of a bucket is settled.  The members of a bucket of up to SMALL
+are all compared with each other.  Those of a larger one are first held
+against the bucket's representative, those that are no match among each
+other again, as long as that links many.  The members of larger buckets that
+are not in one component by then meet once more by a second, exact key: two texts within
 MIN_SIMILARITY share all but so many words as they may have edits, so of
 the words of either, in one order for all and the rarest first, one is
 shared among the first edits + 1.  Words that many texts have, such as a
@@ -24,7 +25,7 @@ only if the signatures of its texts, one parity bit for each of BITS
 values that a word's hash may take, differ in at most two bits an edit;
 for texts too long for that, if they share a bucket's representative.
 Each pair is looked at once, and its words are brought together only if the
-signatures allow a match.
+signatures allow a match; long texts have a finer one for that.
 
 Equal word sequences are one node from the start, so copies are never
 compared.  Buckets are counted before the shuffle and joined with their
@@ -60,6 +61,9 @@ WIDTH = 3
 SIZES = ((0, 1), (3, 2), (6, 3))
 SEED = 31
 
+#: Buckets of so many members are settled pair by pair.
+SMALL = 8
+
 #: Representatives are tried on while they link this share of the pairs.
 LINKED_SHARE = 0.1
 
@@ -68,6 +72,10 @@ LINKED_SHARE = 0.1
 BITS, SIGNED = 1024, 500
 SIGNATURE = [f"s{i}" for i in range(BITS // 64)]
 FOLDED = [f"f{i}" for i in range(BITS // 128)]
+#: Bits of the finer signature of texts that BITS are too few for.
+FINE_BITS = 8192
+#: Words are read for their pairs alone where those are no more than so many.
+FEW_PAIRS = 1 << 18
 _SIGNATURE_TYPES = ", ".join(f"{s} long" for s in SIGNATURE)
 #: Members of a word are held against one of them while the pairs of all
 #: words are more than so many times the members.
@@ -240,16 +248,22 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return edits_within(a, b, int((1 - MIN_SIMILARITY) * longest + 1e-9)) <= (1 - MIN_SIMILARITY) * longest + 1e-9
 
 
-def signatures(words: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """(texts, BITS / 64) longs: whether the words of each of BITS hash
+def signatures(words: np.ndarray, count: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """(texts, bits / 64) longs: whether the words of each of so many hash
     values are odd in number.  An inserted or deleted word changes one bit,
     a replaced one two."""
     own = np.repeat(np.arange(len(count)), count)
-    bit = (mixed(words.astype(np.uint64) * _STEP) % np.uint64(BITS)).astype(np.int64)
-    odd = np.bincount(own * BITS + bit, minlength=len(count) * BITS).reshape(len(count), BITS) & 1
+    bit = (mixed(words.astype(np.uint64) * _STEP) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(own * bits + bit, minlength=len(count) * bits).reshape(len(count), bits) & 1
     return np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view(np.int64)
 
 
+def occurrences(words: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Hashes of each text's words with their occurrence numbers, so that a
+    word found twice does not cancel out in a signature."""
+    return _shingles(words.astype(np.uint64), count, 1)[0]
+
+
 def _differing(a: str, b: str, columns: list[str]) -> Column:
     """Bits in which the signatures of columns with prefixes a and b differ."""
     total = F.lit(0)
@@ -263,14 +277,29 @@ def _edits(a: str, b: str) -> Column:
     return F.floor((1 - MIN_SIMILARITY) * F.greatest(a, b) + 1e-9)
 
 
+def _bits() -> Column:
+    """The most bits in which the signatures of a text and another (b_) that
+    is similar may differ: two an edit, one where the edit changes the length."""
+    return 2 * _edits("n", "b_n") - F.abs(F.col("n") - F.col("b_n"))
+
+
+def _finely_near() -> Column:
+    """Whether the finer signatures allow a match, or one has none."""
+    bits = F.zip_with("fine", "b_fine", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.coalesce(F.aggregate(bits, F.lit(0), lambda total, x: total + x) <= _bits(), F.lit(True))
+
+
 def _pack_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         words, count = word_hashes([t if isinstance(t, str) else None for t in rows["text"]])
         short = (words >> np.uint64(32)).astype(np.uint32)
         parts = np.split(short, np.cumsum(count)[:-1])
-        bits = signatures(short, count)
+        names = occurrences(short, count)
+        bits = signatures(names, count)
+        fine = [signatures(p, np.array([len(p)]), FINE_BITS)[0] if len(p) > MIN_SIMILARITY * SIGNED else None
+                for p in np.split(names, np.cumsum(count)[:-1])]  # one at a time, as they are wide
         yield pd.DataFrame({"node": rows["did"].to_numpy(), "words": [p.tobytes() for p in parts], "n": count.astype(np.int64)}
-                           | dict(zip(SIGNATURE, bits.T, strict=True)))
+                           | dict(zip(SIGNATURE, bits.T, strict=True)) | {"fine": pd.Series(fine, dtype=object)})
 
 
 def _verify(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -290,51 +319,62 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = common.rekeyed(drawn, ["g1", "g2"], "k_").join(by, ["k_g1", "k_g2"]).select("did", "node", "keys")
     nodes = common.written(nodes, "omh-nodes")
     members = nodes.where(F.col("did") == F.col("node")).select("node", F.explode("keys").alias("key"))
-    pairs = common.written(against_heads(members), "omh-held")
-    words = packed_words(rows, pairs)  # whoever shares a bucket; later rounds are among them
-    first, pairs = pairs, pairs.select("node", "head")
-    tried = tested = common.written(tested_pairs(words, pairs), "omh-tested")
+    held = first = common.written(against_heads(members), "omh-held")
+    words = packed_words(rows, held)  # whoever shares a bucket; later rounds are among them
+    tried = pairs = common.written(pairs_to_try(held), "omh-pairs")
+    linked = similar_pairs(words, pairs)
     rounds = 0
     while True:
-        done, matched = tested.agg(F.count(F.lit(1)), F.count_if("ok")).collect()[0]
-        if matched == done or matched < LINKED_SHARE * done:
+        # Members of larger buckets that are no match of their head go on
+        # among themselves, all that share a bucket with one head together.
+        large = held.where("more").select("node", "head")
+        failed = common.written(large.join(linked, ["node", "head"], "left_anti"), "omh-failed")
+        left, done = failed.count(), large.count()
+        if not left or done - left < LINKED_SHARE * done:
             break
-        # Members that are no match of their head go on among themselves,
-        # all that share a bucket with one head together.
-        failed = tested.where(~F.col("ok")).select("node", F.col("head").alias("key"))
-        pairs = against_heads(failed).select("node", "head").join(tried.select("node", "head"), ["node", "head"], "left_anti")
-        pairs = common.written(pairs, "omh-held")
-        tested = common.written(tested_pairs(words, pairs), "omh-tested")
-        tried = tried.unionByName(tested)
+        held = common.written(against_heads(failed.select("node", F.col("head").alias("key"))), "omh-held")
+        pairs = common.written(pairs_to_try(held).join(tried, ["node", "head"], "left_anti"), "omh-pairs")
+        tried = tried.unionByName(pairs)
+        linked = linked.unionByName(similar_pairs(words, pairs))
         rounds += 1
-    linked = _linked(tried)
-    if matched < done or rounds:
-        pairs = open_pairs(open_entries(first, words, components(linked)))
-        pairs = common.written(pairs.join(tried.select("node", "head"), ["node", "head"], "left_anti"), "omh-open")
-        linked = linked.unionByName(_linked(common.written(tested_pairs(words, pairs), "omh-tested")))
-    return nodes.select("did", "node"), linked
+    if left or rounds:
+        pairs = open_pairs(open_entries(first, words, components(_edges(linked))))
+        pairs = common.written(pairs.join(tried, ["node", "head"], "left_anti"), "omh-open")
+        linked = linked.unionByName(similar_pairs(words, pairs))
+    return nodes.select("did", "node"), _edges(linked)
 
 
-def _linked(tested: DataFrame) -> DataFrame:
-    return tested.where("ok").select(F.col("node").alias("u"), F.col("head").alias("v"))
+def _edges(linked: DataFrame) -> DataFrame:
+    return linked.select(F.col("node").alias("u"), F.col("head").alias("v"))
 
 
 def against_heads(members: DataFrame) -> DataFrame:
-    """Members (key, node) of buckets -> the distinct (node, head, more) of
-    all but the heads, the smallest node of each bucket; ``more``: whether
-    a bucket of theirs has other members than the two."""
+    """Members (key, node) of buckets -> the distinct (node, head, more,
+    keys) of all but the heads, the smallest node of each bucket; ``more``:
+    whether a bucket of theirs has over SMALL members; ``keys``: their
+    buckets of up to SMALL that have other members than the two."""
     heads = members.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"))
     heads = common.rekeyed(heads.where(F.col("last") > F.col("head")), ["key"], "k_").select("k_key", "head", "size")
     held = common.rekeyed(members, ["key"], "k_").join(heads, "k_key").where(F.col("node") != F.col("head"))
-    return held.groupBy("node", "head").agg(F.max(F.col("size") > 2).alias("more"))
+    # A node has no more keys than sketches in its length classes.
+    few = F.collect_set(F.when(F.col("size").between(3, SMALL), F.col("key"))).alias("keys")
+    return held.groupBy("node", "head").agg(F.max(F.col("size") > SMALL).alias("more"), few)
+
+
+def pairs_to_try(held: DataFrame) -> DataFrame:
+    """(node, head) of ``held``, and of all members of its small buckets."""
+    one = held.select("node", F.explode("keys").alias("key"))
+    other = one.select(F.col("node").alias("head"), F.col("key").alias("b_key"))
+    met = one.join(other, (F.col("key") == F.col("b_key")) & (F.col("node") > F.col("head"))).select("node", "head")
+    return held.select("node", "head").unionByName(met).distinct()
 
 
 def open_members(first: DataFrame, labels: DataFrame) -> DataFrame:
     """(node, label, heads) of the members of open buckets.
 
     ``first``: every member of a bucket with its head.  The members of all
-    buckets of one head that are more than a tested pair are looked at
-    together; they are open when they are in more than one component.
+    buckets of one head that are larger than SMALL are looked at together;
+    they are open when they are in more than one component.
     """
     label = labels.withColumnRenamed("node", "l_node")
     of_head = label.select(F.col("l_node").alias("h_node"), F.col("label").alias("h_label"))
@@ -375,7 +415,7 @@ def _may_be_similar() -> Column:
     most = _edits("n", "b_n")
     told = F.greatest("n", "b_n") <= SIGNED
     return ((F.col("label") != F.col("b_label")) & (F.abs(F.col("n") - F.col("b_n")) <= most)
-            & (F.greatest("nth", "b_nth") <= most) & F.when(told, _differing("", "b_", FOLDED) <= 2 * most)
+            & (F.greatest("nth", "b_nth") <= most) & F.when(told, _differing("", "b_", FOLDED) <= _bits())
             .otherwise(F.arrays_overlap("heads", "b_heads")))
 
 
@@ -452,22 +492,26 @@ def packed_words(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, words, n, signature) of every node in ``pairs``."""
     wanted = pairs.select("node").unionByName(pairs.select(F.col("head").alias("node"))).distinct()
     texts = rows.join(wanted, rows["did"] == wanted["node"], "left_semi").select("did", "text")
-    packed = texts.mapInPandas(_pack_batches, "node long, words binary, n long, " + _SIGNATURE_TYPES)
-    most = packed.groupBy("node").agg(F.max(F.struct("words", "n", *SIGNATURE)).alias("w"))
+    packed = texts.mapInPandas(_pack_batches, "node long, words binary, n long, " + _SIGNATURE_TYPES + ", fine array<long>")
+    most = packed.groupBy("node").agg(F.max(F.struct("words", "n", *SIGNATURE, "fine")).alias("w"))
     return common.written(most.select("node", "w.*"), "omh-words")
 
 
-def tested_pairs(words: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, head) pairs with ``ok``: whether their texts are similar."""
-    facts = ["n", *SIGNATURE]
+def similar_pairs(words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (node, head) whose texts are similar."""
+    facts = ["n", *SIGNATURE, "fine"]
     a = words.select("node", *facts)
     b = words.select(F.col("node").alias("head"), *[F.col(c).alias("b_" + c) for c in facts])
-    near = _differing("", "b_", SIGNATURE) <= 2 * _edits("n", "b_n")
-    told = common.written(pairs.join(a, "node").join(b, "head").select("node", "head", near.alias("near")), "omh-near")
-    some = told.where("near").join(words.select("node", F.col("words").alias("a")), "node")
-    some = some.join(words.select(F.col("node").alias("head"), F.col("words").alias("b")), "head")
-    some = some.select("node", "head", F.pandas_udf(_verify, "boolean")("a", "b").alias("ok"))
-    return some.unionByName(told.where("not near").select("node", "head", F.lit(False).alias("ok")))
+    near = pairs.join(a, "node").join(b, "head").where((_differing("", "b_", SIGNATURE) <= _bits()) & _finely_near())
+    near = common.written(near.select("node", "head"), "omh-near")
+    texts = words.select("node", "words")
+    if near.count() <= FEW_PAIRS:
+        wanted = near.select("node").unionByName(near.select(F.col("head").alias("node"))).distinct()
+        texts = texts.join(F.broadcast(wanted), "node", "left_semi")
+    some = near.join(texts.withColumnRenamed("words", "a"), "node")
+    some = some.join(texts.select(F.col("node").alias("head"), F.col("words").alias("b")), "head")
+    some = some.where(F.pandas_udf(_verify, "boolean")("a", "b")).select("node", "head")
+    return common.written(some, "omh-tested")
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -180,6 +180,50 @@ def test_pairs_tried_grow_with_the_texts_of_a_template(spark):
     assert max(tried) <= 5
 
 
+def test_small_buckets_are_settled_pair_by_pair(spark):
+    rows = [(1, n) for n in (10, 11, 12, 13)] + [(2, n) for n in range(20, 21 + mh.SMALL)] + [(3, 30), (3, 31), (4, 11), (4, 40)]
+    held = mh.against_heads(spark.createDataFrame(rows, "key long, node long"))
+    assert {r["node"] for r in held.where("more").collect()} == set(range(21, 21 + mh.SMALL))
+    got = {(r["node"], r["head"]) for r in mh.pairs_to_try(held).collect()}
+    assert got == ({(a, b) for a in range(10, 14) for b in range(10, a)} | {(n, 20) for n in range(21, 21 + mh.SMALL)}
+                   | {(31, 30), (40, 11)})
+
+
+def test_small_buckets_need_no_words(spark, monkeypatch):
+    """Texts that share a bucket with an unlike one only are no entries by word."""
+    made = []
+    write = mh.common.written
+    monkeypatch.setattr(mh.common, "written", lambda df, name: made.append(name) or write(df, name))
+    texts = forms(random.Random(6), 1) + ["short one here", "short one there", "nothing else"]
+    got = {r["doc_id"]: r["class_id"] for r in mh.digest(documents(spark, texts)).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
+    assert "omh-near" in made and "omh-entries" not in made
+
+
+def test_repeated_words_count_in_signatures():
+    """Two long texts that differ in how often they say the same words."""
+    own = [f"w{i}" for i in range(400)]
+    flat, count = word_hashes([" ".join(own + ["of"] * 200), " ".join(own + ["the"] * 200)])
+    short = (flat >> np.uint64(32)).astype(np.uint32)
+    plain, told = (mh.signatures(w, count, mh.FINE_BITS) for w in (short, mh.occurrences(short, count)))
+    apart = [int(np.bitwise_count((b[0] ^ b[1]).view(np.uint64)).sum()) for b in (plain, told)]
+    assert apart[0] == 0 and 2 * 0.2 * 600 < apart[1] <= 400
+
+
+def test_labelled_signatures_never_part_similar_texts():
+    """Two bits an edit, less one for each word that one text is longer."""
+    rng = random.Random(17)
+    for _ in range(300):
+        a = [f"w{rng.randrange(30)}" for _ in range(rng.randrange(1, 200))]
+        b = edited(a, rng.randrange(40), rng) or ["a"]
+        flat, count = word_hashes([" ".join(a), " ".join(b)])
+        names = mh.occurrences((flat >> np.uint64(32)).astype(np.uint32), count)
+        for size in (mh.BITS, mh.FINE_BITS):
+            bits = mh.signatures(names, count, size)
+            apart = int(np.bitwise_count((bits[0] ^ bits[1]).view(np.uint64)).sum())
+            assert apart <= 2 * brute_distance(a, b) - abs(len(a) - len(b))
+
+
 def test_signatures_never_part_similar_texts():
     rng = random.Random(14)
     for _ in range(300):
