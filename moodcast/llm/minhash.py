@@ -22,10 +22,10 @@ shared among the first edits + 1.  Words that many texts have, such as a
 template's, come late in that order and make no keys, so different texts
 on one template are not compared.  Of those that meet, a pair is looked at
 only if the signatures of its texts, one parity bit for each of BITS
-values that a word's hash may take, differ in at most two bits an edit;
-for texts too long for that, if they share a bucket's representative.
-Each pair is looked at once, and its words are brought together only if the
-signatures allow a match; long texts have a finer one for that.
+values that a word's hash may take, differ in at most two bits an edit.
+Texts too long for that meet where they share a bucket's representative
+instead, if a finer signature allows a match.  Each pair is looked at once, and its words are brought together only if the
+signatures allow a match.
 
 Equal word sequences are one node from the start, so copies are never
 compared.  Buckets are counted before the shuffle and joined with their
@@ -77,11 +77,8 @@ FINE_BITS = 8192
 #: Words are read for their pairs alone where those are no more than so many.
 FEW_PAIRS = 1 << 18
 _SIGNATURE_TYPES = ", ".join(f"{s} long" for s in SIGNATURE)
-#: Members of a word are held against one of them while the pairs of all
-#: words are more than so many times the members.
-PAIRS_A_MEMBER = 4
-#: Such rounds go on while so many of the members met a text like theirs.
-NEAR_SHARE = 0.01
+#: Long members of a head are dealt by so many.
+SLICE = 512
 
 NO_ID = 1 << 62
 _SALTS = np.random.default_rng(SEED).integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -338,7 +335,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         linked = linked.unionByName(similar_pairs(words, pairs))
         rounds += 1
     if left or rounds:
-        pairs = open_pairs(open_entries(first, words, components(_edges(linked))))
+        entries = open_entries(first, words, components(_edges(linked)))
+        pairs = open_pairs(entries).unionByName(long_pairs(first, entries, words))
         pairs = common.written(pairs.join(tried, ["node", "head"], "left_anti"), "omh-open")
         linked = linked.unionByName(similar_pairs(words, pairs))
     return nodes.select("did", "node"), _edges(linked)
@@ -370,7 +368,7 @@ def pairs_to_try(held: DataFrame) -> DataFrame:
 
 
 def open_members(first: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, label, heads) of the members of open buckets.
+    """(node, label) of the members of open buckets.
 
     ``first``: every member of a bucket with its head.  The members of all
     buckets of one head that are larger than SMALL are looked at together;
@@ -386,20 +384,15 @@ def open_members(first: DataFrame, labels: DataFrame) -> DataFrame:
     some = rows.groupBy("head", "h_label").agg(F.count(F.lit(1)).alias("size"), F.count_if(F.col("label") != F.col("h_label")).alias("off"))
     some = some.where("size > 1 and off > 0").select(F.col("head").alias("o_head"), "h_label")
     inside = rows.select("node", "label", "head").join(some, F.col("head") == F.col("o_head"), "left_semi")
-    members = inside.unionByName(some.select(F.col("o_head").alias("node"), F.col("h_label").alias("label"), F.col("o_head").alias("head")))
-    # A node has as many buckets as sketches, and no more heads.
-    return members.groupBy("node", "label").agg(F.collect_set("head").alias("heads"))
+    members = inside.select("node", "label").unionByName(some.select(F.col("o_head").alias("node"), F.col("h_label").alias("label")))
+    return members.distinct()
 
 
 def open_entries(first: DataFrame, words: DataFrame, labels: DataFrame) -> DataFrame:
-    """(word, node, label, n, nth, signature, heads): the open members by
-    their rarest words; ``heads`` only where the text may be too long for
-    its signature."""
+    """(word, node, label, n, nth, signature): the open members by their
+    rarest words."""
     members = common.written(open_members(first, labels), "omh-nodes")
-    entries = first_words(words, members.select("node", "label"))
-    long = entries.where(F.col("n") > MIN_SIMILARITY * SIGNED).join(members.select("node", "heads"), "node")
-    short = entries.where(F.col("n") <= MIN_SIMILARITY * SIGNED).withColumn("heads", F.lit(None).cast("array<long>"))
-    return common.written(shared_words(short.unionByName(long)), "omh-entries")
+    return common.written(shared_words(first_words(words, members)), "omh-entries")
 
 
 def shared_words(entries: DataFrame) -> DataFrame:
@@ -413,20 +406,57 @@ def _may_be_similar() -> Column:
     """Of an entry and another (b_) of the same word: by lengths, places of
     the word and signatures."""
     most = _edits("n", "b_n")
-    told = F.greatest("n", "b_n") <= SIGNED
     return ((F.col("label") != F.col("b_label")) & (F.abs(F.col("n") - F.col("b_n")) <= most)
-            & (F.greatest("nth", "b_nth") <= most) & F.when(told, _differing("", "b_", FOLDED) <= _bits())
-            .otherwise(F.arrays_overlap("heads", "b_heads")))
+            & (F.greatest("nth", "b_nth") <= most) & (_differing("", "b_", FOLDED) <= _bits()))
 
 
 def open_pairs(entries: DataFrame) -> DataFrame:
-    """(node, head) that may be similar, of all entries with one word."""
+    """(node, head) of up to SIGNED words that may be similar, of all
+    entries with one word."""
+    entries = entries.where(F.col("n") <= SIGNED)
     b = entries.select(F.col("word").alias("b_word"), F.col("node").alias("head"),
-                       *[F.col(c).alias("b_" + c) for c in ("label", "n", "nth", *FOLDED, "heads")])
+                       *[F.col(c).alias("b_" + c) for c in ("label", "n", "nth", *FOLDED)])
     both = entries.join(b, (F.col("word") == F.col("b_word")) & (F.col("node") > F.col("head")) & _may_be_similar())
     return both.select("node", "head").distinct()
 
 
+def long_members(first: DataFrame, entries: DataFrame, words: DataFrame) -> DataFrame:
+    """(head, main, size, node, label, n, heads, fine) of the open members
+    too long for SIGNED, one row for each head of theirs; ``main``: the
+    component that most of the head's ``size`` members are in."""
+    long = entries.where(F.col("n") > MIN_SIMILARITY * SIGNED).select(F.col("node").alias("l_node"), "label", "n").distinct()
+    held = first.where("more").select("node", "head")
+    held = held.unionByName(held.select(F.col("head").alias("node"), "head")).distinct()
+    held = held.join(long, F.col("node") == F.col("l_node")).groupBy("node", "label", "n").agg(F.collect_set("head").alias("heads"))
+    fine = words.select(F.col("node").alias("w_node"), "fine")
+    held = common.written(held.join(fine, F.col("node") == F.col("w_node")).drop("w_node"), "omh-long")
+    each = held.select("label", F.explode("heads").alias("head")).groupBy("head", "label").agg(F.count(F.lit(1)).alias("of"))
+    main = each.groupBy("head").agg(F.max_by("label", F.struct("of", "label")).alias("main"), F.sum("of").alias("size"))
+    main = main.withColumnRenamed("head", "m_head")
+    return held.withColumn("head", F.explode("heads")).join(main, F.col("head") == F.col("m_head")).drop("m_head")
+
+
+def long_pairs(first: DataFrame, entries: DataFrame, words: DataFrame) -> DataFrame:
+    """(node, head) that may be similar and share a head, one of them too
+    long for SIGNED.
+
+    A head's members outside its main component are held against all of
+    them, dealt by SLICE members.  Signatures decide in the join, and a
+    pair with several heads comes out at the smallest.
+    """
+    members = long_members(first, entries, words)
+    slices = F.floor(F.col("size") / SLICE).cast("int")
+    off = members.where("label != main").withColumn("slice", F.explode(F.sequence(F.lit(0), slices)))
+    b = members.select(F.col("head").alias("b_head"), F.pmod(F.xxhash64("node"), slices + 1).cast("int").alias("b_slice"),
+                       *[F.col(c).alias("b_" + c) for c in ("node", "label", "n", "heads", "fine")])
+    once = (F.col("b_label") == F.col("main")) | (F.col("node") > F.col("b_node"))
+    both = off.join(b, (F.col("head") == F.col("b_head")) & (F.col("slice") == F.col("b_slice"))
+                    & (F.col("label") != F.col("b_label")) & once & (F.greatest("n", "b_n") > SIGNED)
+                    & (F.abs(F.col("n") - F.col("b_n")) <= _edits("n", "b_n"))
+                    & (F.array_min(F.array_intersect("heads", "b_heads")) == F.col("head")) & _finely_near())
+    return both.select(F.greatest("node", "b_node").alias("node"), F.least("node", "b_node").alias("head"))
+
+
 def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, words) -> a row for each different word of a node."""
     for batch in batches:

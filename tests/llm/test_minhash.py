@@ -257,6 +257,50 @@ def test_long_texts_meet_by_shared_heads(spark):
     assert got == {i: i // 2 * 2 for i in range(len(texts))}
 
 
+def replaced(rng, text, share):
+    out = list(text)
+    for at in rng.sample(range(len(text)), int(share * len(text))):
+        out[at] = f"r{rng.randrange(400)}"  # words that others have as well
+    return out
+
+
+def test_long_texts_near_a_large_group_are_told_by_signature(spark, monkeypatch):
+    """Texts too far from a group of long copies make no pairs with all of it."""
+    made = {}
+    write = mh.common.written
+
+    def written(df, name):
+        made[name] = write(df, name)
+        return made[name]
+    monkeypatch.setattr(mh.common, "written", written)
+    rng = random.Random(31)
+    base = [f"b{i}" for i in range(700)]
+    texts = [replaced(rng, base, 0.05) for _ in range(60)]
+    texts += [replaced(rng, base, 0.26) for _ in range(40)]
+    texts += [replaced(rng, texts[99], 0.05), replaced(rng, texts[3], 0.1)]
+    got = {r["doc_id"]: r["class_id"] for r in mh.digest(documents(spark, [" ".join(t) for t in texts])).collect()}
+    assert got == {i: 0 if i < 60 or i == 101 else 99 if i == 100 else i for i in range(len(texts))}
+    assert made["omh-entries"].where("n > 500").select("node").distinct().count() > 40
+    assert made["omh-open"].count() <= len(texts)
+
+
+def test_long_pairs_come_out_once(spark, monkeypatch):
+    """Whatever the heads that two texts share, and however a head's members are dealt."""
+    monkeypatch.setattr(mh, "SLICE", 3)
+    rng = random.Random(33)
+    base = [f"b{i}" for i in range(600)]
+    texts = [replaced(rng, base, 0.05) for _ in range(20)]
+    flat, count = word_hashes([" ".join(t) for t in texts])
+    short = (flat >> np.uint64(32)).astype(np.uint32)
+    fine = mh.signatures(mh.occurrences(short, count), count, mh.FINE_BITS).tolist()
+    words = spark.createDataFrame(list(enumerate(fine)), "node long, fine array<long>")
+    first = spark.createDataFrame([(i, h, True) for h in (0, 1) for i in range(h + 1, 20)], "node long, head long, more boolean")
+    label = [0] * 12 + [12] * 4 + [16, 17, 18, 19]
+    entries = spark.createDataFrame([(i, label[i], 600) for i in range(20)] * 2, "node long, label long, n long")
+    got = sorted((r["node"], r["head"]) for r in mh.long_pairs(first, entries, words).collect())
+    assert got == [(a, b) for a in range(20) for b in range(a) if label[a] != label[b]]
+
+
 def test_scattered_edits_up_to_the_bound_meet():
     rng = random.Random(12)
     for size in (5, 6, 7, 9, 10, 20, 30, 45, 55, 60, 100, 300):
