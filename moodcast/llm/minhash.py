@@ -77,6 +77,8 @@ FINE_BITS = 8192
 #: Words are read for their pairs alone where those are no more than so many.
 FEW_PAIRS = 1 << 18
 _SIGNATURE_TYPES = ", ".join(f"{s} long" for s in SIGNATURE)
+#: Words are counted by the remainder of their hash.
+WORD_COUNTS = 1 << 18
 #: Long members of a head are dealt by so many.
 SLICE = 512
 
@@ -392,14 +394,7 @@ def open_entries(first: DataFrame, words: DataFrame, labels: DataFrame) -> DataF
     """(word, node, label, n, nth, signature): the open members by their
     rarest words."""
     members = common.written(open_members(first, labels), "omh-nodes")
-    return common.written(shared_words(first_words(words, members)), "omh-entries")
-
-
-def shared_words(entries: DataFrame) -> DataFrame:
-    """Entries less those whose word has one component only."""
-    shared = entries.groupBy("word").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    shared = common.rekeyed(shared.where(F.col("low") < F.col("high")), ["word"], "k_").select("k_word")
-    return common.rekeyed(entries, ["word"], "k_").join(shared, "k_word").drop("k_word")
+    return common.written(first_words(words, members), "omh-entries")
 
 
 def _may_be_similar() -> Column:
@@ -457,13 +452,25 @@ def long_pairs(first: DataFrame, entries: DataFrame, words: DataFrame) -> DataFr
     return both.select(F.greatest("node", "b_node").alias("node"), F.least("node", "b_node").alias("head"))
 
 
-def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, words) -> a row for each different word of a node."""
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(words) -> (at, times): in how many of the texts of a partition the
+    words are whose hashes are ``at`` modulo WORD_COUNTS."""
+    times = np.zeros(WORD_COUNTS, np.int64)
     for batch in batches:
-        parts = [np.unique(np.frombuffer(w, np.uint32)) for w in batch.column(1).to_pylist()]
-        node = np.repeat(batch.column(0).to_numpy(), [len(p) for p in parts])
-        word = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(word)], ["node", "word"])
+        for words in batch.column(0).to_pylist():
+            times += np.bincount(np.unique(np.frombuffer(words, np.uint32)) % WORD_COUNTS, minlength=WORD_COUNTS)
+    at = np.flatnonzero(times)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(times[at])], ["at", "times"])
+
+
+def word_counts(held: DataFrame) -> np.ndarray:
+    """For each remainder of a word's hash by WORD_COUNTS the texts (words)
+    that have such words: no less than those of any one of the words."""
+    some = held.select("words").mapInArrow(_count_batches, "at long, times long")
+    some = some.groupBy("at").agg(F.sum("times").alias("times")).where("times > 1").toArrow()
+    out = np.ones(WORD_COUNTS, np.int64)
+    out[some["at"].to_numpy()] = some["times"].to_numpy()
+    return out
 
 
 def rarest_words(words: np.ndarray, times: dict[int, int]) -> np.ndarray:
@@ -480,42 +487,38 @@ def rarest_words(words: np.ndarray, times: dict[int, int]) -> np.ndarray:
     return mixed(of[first].astype(np.uint64) * _STEP + occurrence[first].astype(np.uint64)).view(np.int64)
 
 
-def _first_word_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _first_word_batches(batches: Iterator[pd.DataFrame], counts: np.ndarray) -> Iterator[pd.DataFrame]:
     for rows in batches:
-        node, first, nth = [], [], []
-        for i, w, of, times in zip(rows["node"], rows["words"], rows["of"], rows["times"], strict=True):
-            w = np.frombuffer(w, np.uint32)
+        first, nth = [], []
+        for words, total in zip(rows["words"], rows["n"], strict=True):
+            w = np.frombuffer(words, np.uint32)
+            of = np.unique(w)
+            times = counts[of % WORD_COUNTS]
             lone = np.count_nonzero(np.isin(w, of[times == 1]))
             keys = rarest_words(w, dict(zip(of.tolist(), times.tolist(), strict=True)))[lone:]  # nobody else has those before
+            keys = keys if total <= SIGNED else keys[:1]
             first.append(keys)
             nth.append(np.arange(lone, lone + len(keys)))
-            node.append(i)
         n = [len(x) for x in first]
-        at = np.repeat(np.arange(len(n)), n)
-        out = rows[["label", "n", *FOLDED]].take(at).reset_index(drop=True)
+        out = rows[["node", "label", "n", *FOLDED]].take(np.repeat(np.arange(len(n)), n)).reset_index(drop=True)
         out.insert(0, "word", np.concatenate(first) if first else np.zeros(0, np.int64))
-        out.insert(1, "node", np.repeat(np.array(node, np.int64), n))
         out.insert(4, "nth", np.concatenate(nth) if nth else np.zeros(0, np.int64))
         yield out
 
 
 def first_words(words: DataFrame, nodes: DataFrame) -> DataFrame:
     """(word, node, label, n, nth, signature): the rarest words of each of
-    ``nodes`` (node, label), by the number of those that have a word, less
-    those that one alone has; n words in all."""
+    ``nodes`` (node, label), less those that one alone has; n words in all.
+    A text of more than SIGNED words has one of them, if any.  Counts by
+    WORD_COUNTS say which words are rare: one order for all texts is all
+    that it takes for similar ones to share a word."""
     folded = [F.col(s).bitwiseXOR(F.col(t)).alias(f) for f, s, t in
               zip(FOLDED, SIGNATURE, SIGNATURE[len(FOLDED):], strict=False)]
     held = words.join(nodes.withColumnRenamed("node", "o_node"), F.col("node") == F.col("o_node"))
-    held = held.select("node", "label", "words", "n", *folded)
-    held = common.written(held, "omh-first")
-    with common.batches_of(words.sparkSession, 4096):
-        each = common.written(held.select("node", "words").mapInArrow(_word_batches, "node long, word long"), "omh-occurring")
-    times = common.rekeyed(each.groupBy("word").agg(F.count(F.lit(1)).alias("times")), ["word"], "k_").select("k_word", "times")
-    known = common.rekeyed(each, ["word"], "k_").join(times, "k_word")
-    known = known.groupBy("node").agg(F.collect_list(F.struct("word", "times")).alias("times"))
-    known = known.withColumnRenamed("node", "t_node").join(held, F.col("t_node") == F.col("node"))
-    return known.select("node", "label", "n", *FOLDED, "words", F.col("times.word").alias("of"), "times.times").mapInPandas(
-        _first_word_batches, "word long, node long, label long, n long, nth long, " + ", ".join(f"{f} long" for f in FOLDED))
+    held = common.written(held.select("node", "label", "n", *folded, "words"), "omh-first")
+    counts = word_counts(held)
+    return held.mapInPandas(lambda batches: _first_word_batches(batches, counts),
+                            "word long, node long, label long, n long, nth long, " + ", ".join(f"{f} long" for f in FOLDED))
 
 
 def packed_words(rows: DataFrame, pairs: DataFrame) -> DataFrame:
