@@ -473,3 +473,80 @@ def test_rows_with_equal_features_are_scored_once(spark):
     assert joins._KEPT[-1].count() == 40
     assert sorted((r.id, r.prediction) for r in got.collect()) == sorted(
         (r.id, r.prediction) for r in model.transform(data).select("id", "prediction").collect())
+
+
+def _forest_sides(spark):
+    """Station days and comments: gaps, a station day twice, a comment twice,
+    equal features on two stations, and a city with many of both."""
+    from moodcast.operators import ml
+    rng = np.random.default_rng(8)
+    days = [(f"s{i % 9}", f"2024-01-0{1 + i % 3}", ["a", "a", "b"][i % 9 % 3], *[float(x) for x in rng.integers(0, 3, 5)])
+            for i in range(60)]
+    days += [days[0], ("s99", *days[0][1:]), ("s50", "2024-01-01", None, 1., 1., 1., 1., 1.),
+             ("s51", "2024-01-01", "a", None, 1., 1., 1., 1.), (None, "2024-01-01", "a", 1., 1., 1., 1., 1.)]
+    said = [(i, f"2024-01-0{1 + i % 3}", ["a", "b", "a", "z"][i % 4], ["negative", "neutral", "positive", None][i % 7 % 4])
+            for i in range(90)]
+    said += [said[0], (None, "2024-01-01", "a", "neutral")]
+    weather = spark.createDataFrame(days, "station_id string, date string, city string, "
+                                    + ", ".join(f"{m} double" for m in ml.MEASURES))
+    comments = spark.createDataFrame(said, "comment_id long, date string, subreddit string, sentiment string")
+    return weather.withColumn("date", F.to_date("date")), comments.withColumn("date", F.to_date("date"))
+
+
+def test_split_is_counted_as_the_rows_are_split(spark, monkeypatch):
+    from moodcast.operators import ml
+    monkeypatch.setattr(ml, "PIECE_STATIONS", 4)
+    monkeypatch.setattr(ml, "PIECE_COMMENTS", 3)
+    weather, comments = _forest_sides(spark)
+    rows = ml.forest_rows(weather, comments)
+    plain = weather.dropna().join(comments.where("sentiment is not null").withColumnRenamed("subreddit", "city"), ["city", "date"])
+    assert sorted(map(repr, rows.collect())) == sorted(map(repr, plain.select(*rows.columns).collect()))
+    by = ["city", *ml.MEASURES, "sentiment"]
+    train, test = ml.hash_split(rows, ml.ROW_KEYS)
+    want = {tuple(r[c] for c in by): [r["count"], 0] for r in train.groupBy(*by).count().collect()}
+    for r in test.groupBy(*by).count().collect():
+        want.setdefault(tuple(r[c] for c in by), [0, 0])[1] = r["count"]
+    counted = ml.split_counts(weather, comments).collect()
+    assert {tuple(r[c] for c in by): [r.n_train, r.n_test] for r in counted} == want and len(counted) == len(want)
+    labels = ml.fit_index(rows, ["sentiment", "city"]).labelsArray
+    assert ml.index_labels(ml.forest_index(weather, comments)) == [list(x) for x in labels]
+
+
+def test_counted_rows_grow_the_trees_of_the_rows(spark):
+    """One row with its number gives the trees that the rows give, and a
+    bag holds n equal rows a Poisson(n) number of times."""
+    from moodcast.operators import ml
+    data = _repeated_rows(spark)
+    counted = data.groupBy(*ml.FEATURES, "features", "sentiment_index").agg(F.count(F.lit(1)).alias("n"))
+    one, two = (ml.tree_rows(ml.train_forest(d, trees=4, depth=5, cities=3, count=n)).drop("votes")
+                for d, n in ((data.repartition(5), None), (counted, "n")))
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    drawn = spark.range(400).select(F.explode(ml._drawn(20, 42)("id", F.lit(50))).alias("n"))
+    mean, var = drawn.agg(F.avg("n"), F.var_samp("n")).first()
+    assert abs(mean - 50) < 0.5 and abs(var - 50) < 4
+
+
+def test_accuracy_of_counted_rows(spark):
+    from moodcast.operators import ml
+    rows = spark.createDataFrame([(0.0, 0.0, 5), (1.0, 0.0, 2), (1.0, 1.0, 1)], "prediction double, sentiment_index double, n long")
+    assert tuple(ml.accuracy(rows, "n").first()) == (8, 0.75)
+    assert tuple(ml.accuracy(rows).first()) == (3, 2 / 3)
+    assert tuple(ml.accuracy(rows.where("n < 0")).first()) == (0, None)
+
+
+def test_forest_keeps_no_row_per_station_day_and_comment(spark):
+    from moodcast.operators import joins, ml
+    from moodcast.plans import catalog
+    from moodcast.plans.workspace import workspace
+    from conftest import SF001
+    ws = workspace(spark, SF001)
+    ws.release()
+    weather, comments = _forest_sides(spark)
+    many = comments.crossJoin(spark.range(20)).withColumn("comment_id", F.col("comment_id") + 1000 * F.col("id")).drop("id")
+    ws.__dict__.update(weather=weather, classified=many)
+    try:
+        n_test = catalog.REGISTRY["rf_accuracy"].build(ws).first().n_test
+        assert n_test == ml.hash_split(ml.forest_rows(weather, many), ml.ROW_KEYS)[1].count() > 2000
+        assert max(df.count() for df in joins._KEPT) < 400
+    finally:
+        ws.release()
