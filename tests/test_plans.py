@@ -255,6 +255,35 @@ def test_row_level_join_shuffles_no_row_per_pair(spark, ordered):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def _paired_rows(df) -> int:
+    """Pairs of a station day and a comment that the executed plan made."""
+    made = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name == "Generate" and {"s", "c"} <= {a.name() for a in _seq(node.output())}:
+            made.append(node.metrics().get("numOutputRows").get().value())
+        for child in _seq(node.children()):
+            walk(child)
+
+    df.collect()  # runs this plan, so its metrics are filled in
+    walk(df._jdf.queryExecution().executedPlan())
+    assert made
+    return sum(made)
+
+
+@pytest.mark.parametrize("how,ordered", [("left", False)])
+def test_a_task_makes_the_pairs_of_a_piece_as_they_are_read(spark, how, ordered):
+    from moodcast.operators import align
+    rows = align.city_day_rows(*_city_days(spark), how, ordered)
+    assert _paired_rows(rows) > 4000
+    assert _paired_rows(rows.limit(5)) < 200
+
+
 def test_sorted_rows_are_in_order_and_sorted_before_they_are_paired(spark, monkeypatch):
     from moodcast.operators import align
     ws = workspace(spark, SF001)
