@@ -276,7 +276,7 @@ def _paired_rows(df) -> int:
     return sum(made)
 
 
-@pytest.mark.parametrize("how,ordered", [("left", False), ("inner", False)])
+@pytest.mark.parametrize("how,ordered", [("left", False), ("inner", False), ("inner", True)])
 def test_a_task_makes_the_pairs_of_a_piece_as_they_are_read(spark, how, ordered):
     from moodcast.operators import align
     rows = align.city_day_rows(*_city_days(spark), how, ordered)
